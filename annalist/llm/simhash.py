@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -74,7 +75,7 @@ def postings(distinct: DataFrame) -> DataFrame:
     if long_lists.isEmpty():
         return rows.select("key", "fp", "node")
     short = rows.join(long_lists, "key", "left_anti").select("key", "fp", "node")
-    pairs = [(i, a, b) for i, t in enumerate(TRIPLES) for k, a in enumerate(r := [p for p in range(8) if p not in t]) for b in r[k + 1 :]]
+    pairs = [(i, a, b) for i, t in enumerate(TRIPLES) for a, b in combinations([p for p in range(8) if p not in t], 2)]
     divided = F.array(*[F.when(F.col("triple") == i, F.concat_ws(":", "key", F.lit(f"{a}-{b}"), _byte(a), _byte(b))) for i, a, b in pairs])
     divided = rows.join(long_lists, "key", "left_semi").select(F.explode(F.array_compact(divided)).alias("key"), "fp", "node")
     return short.union(divided)
