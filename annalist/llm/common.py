@@ -51,3 +51,14 @@ def id_text(column: str):
 def held_out(column: str = "doc_id"):
     """True for the rows that no model may learn from: crc32 of the id as text, mod 4, is 2."""
     return F.pmod(F.crc32(id_text(column).cast("binary")), F.lit(4)) == 2
+
+
+def text_batches(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The two columns an operator reads, named ``id`` and ``text`` whatever else there is."""
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+
+
+def sample_order(column: str, seed: str):
+    """A number in 0..1 that depends on the id alone, for bounded samples that reruns repeat."""
+    digits = F.substring(F.md5(F.concat(F.lit(seed), id_text(column)).cast("binary")), 1, 12)
+    return F.conv(digits, 16, 10).cast("double") / F.lit(float(16**12))

@@ -97,6 +97,19 @@ def mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sour
     return marked.select(id_col, "source", "size", "source_size", "target", copies.cast("long").alias("copies"), (copies * F.col("size")).cast("long").alias("taken"))
 
 
+def apply_mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
+    """The mix itself: each row of ``docs`` as often as ``mix`` takes it, with the same columns.
+
+    Rows of one id, source and size fare alike, so they find their number by these.
+    """
+    copies = mix(docs, id_col=id_col, text_col=text_col, source_col=source_col, **options)
+    copies = copies.where("copies > 0").groupBy(F.col(id_col).alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size")).agg(F.max("copies").alias("_copies"))
+    own = docs.withColumn("_words", word_count(text_col))
+    same = own[id_col].eqNullSafe(copies["_id"]) & own[source_col].cast("string").eqNullSafe(copies["_source"]) & (own["_words"] == copies["_size"])
+    taken = own.join(copies, same).withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))
+    return taken.select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 #: What ``op8_mix_sources`` returns, as DuckDB SQL.
 ORACLE_SQL = rf"""
 WITH sized AS (

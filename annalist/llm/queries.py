@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from annalist.llm import mixing, packing, simhash
+from annalist.llm import embedding_dedup, gif, langid, mixing, packing, pii, simhash, toxicity
+from annalist.llm.common import held_out
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,6 +18,30 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(pieces)
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    model = langid.fit(docs.where(~held_out()))
+    return langid.identify(docs, model).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
+def op3_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.replace_personal_data(_documents(spark, sf_dir), spans_col="spans")
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    index = toxicity.fit(docs, labels.where(~held_out()))
+    return toxicity.score(docs, index).select("doc_id", held_out().alias("held_out"), "score", "predicted", "evidence")
+
+
+def op5_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op6_gif_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gif.digests(gif.media(_documents(spark, sf_dir)))
+
+
 def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(_documents(spark, sf_dir))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -27,7 +52,7 @@ def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    own = [op1_best_fit_packing, op7_simhash_near_dedup, op8_mix_sources]
+    own = [op1_best_fit_packing, op2_language_id, op3_surrogates, op4_toxicity, op5_embedding_near_dedup, op6_gif_media, op7_simhash_near_dedup, op8_mix_sources]
     return {f.__name__: f for f in own}
 
 
