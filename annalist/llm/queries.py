@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from annalist.llm import embedding_dedup, gif, langid, mixing, packing, pii, simhash, toxicity
+from annalist.llm import embedding_dedup, gif, langid, mixing, packing, phrase_dedup, pii, simhash, suffix_dedup, toxicity
 from annalist.llm.common import held_out
 
 
@@ -51,8 +51,18 @@ def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digests(suffix_dedup.remove_repeats(_documents(spark, sf_dir)))
+
+
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    removed = phrase_dedup.remove_passages(_documents(spark, sf_dir))
+    gone = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return removed.select("doc_id", "n_words", gone.alias("n_removed"), F.sha2(F.encode("kept", "UTF-8"), 256).alias("kept_sha256"))
+
+
 def queries() -> dict:
-    own = [op1_best_fit_packing, op2_language_id, op3_surrogates, op4_toxicity, op5_embedding_near_dedup, op6_gif_media, op7_simhash_near_dedup, op8_mix_sources]
+    own = [op1_best_fit_packing, op2_language_id, op3_surrogates, op4_toxicity, op5_embedding_near_dedup, op6_gif_media, op7_simhash_near_dedup, op8_mix_sources, op9_suffix_dedup, op10_substring_dedup]
     return {f.__name__: f for f in own}
 
 
