@@ -209,17 +209,17 @@ def repeated(docs: DataFrame, kind: Kind, solve: Callable[[Iterator[bytes]], Ite
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for key, text in zip(batch["key"], batch["text"], strict=True):
-                grams, counts = np.unique(anchors(kind.symbols(text.encode("utf-8", "surrogatepass")), kind)[0], return_counts=True)
-                if len(grams):
-                    yield pd.DataFrame({"gram": grams.view(np.int64), "key": key, "n": counts})
+            found = [np.unique(anchors(kind.symbols(t.encode("utf-8", "surrogatepass")), kind)[0], return_counts=True) for t in batch["text"]]
+            if found:
+                keys = np.repeat(batch["key"].to_numpy(), [len(g) for g, _ in found])
+                yield pd.DataFrame({"gram": np.concatenate([g for g, _ in found]).view(np.int64), "key": keys, "n": np.concatenate([n for _, n in found])})
 
     def compressed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         squeeze = zstandard.ZstdCompressor(level=3).compress
         for batch in batches:
             yield pd.DataFrame({"key": batch["key"], "z": [squeeze(t.encode("utf-8", "surrogatepass")) for t in batch["text"]]})
 
-    found = source.select("key", "text").mapInPandas(scan, "gram long, key long, n int")
+    found = materialize(source.select("key", "text").mapInPandas(scan, "gram long, key long, n int"), "grams")
     again = found.groupBy(F.col("gram").alias("_gram")).agg(F.sum("n").alias("_n")).where(F.col("_n") > 1)
     wanted = found.join(again, F.col("gram") == F.col("_gram")).select("key", F.struct("gram", (F.col("_n") > HOT).alias("hot")).alias("g"))
     wanted = wanted.groupBy(F.col("key").alias("_key")).agg(F.collect_set("g").alias("grams"))
