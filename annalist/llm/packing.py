@@ -16,6 +16,8 @@ from annalist.llm.common import materialize
 CAPACITY = 2048
 END_ID = 0
 VOCABULARY = "byte_bpe_50k"
+#: Documents whose pieces are held in a task at a time.
+DOCUMENTS_AT_ONCE = 256
 
 
 @lru_cache(maxsize=4)
@@ -67,16 +69,17 @@ def tokenize(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encode = encoder(vocabulary)
-        for batch in batches:
-            rows = []
-            for doc, text in zip(batch["id"], batch["text"], strict=True):
-                ids = np.append(encode(text or ""), np.uint32(end_id)).astype("<u4")
-                first = len(ids) % capacity or capacity
-                for piece, start in enumerate([0, *range(first, len(ids), capacity)]):
-                    part = ids[start : first if piece == 0 else start + capacity]
-                    rows.append((doc, piece, start, len(part), zlib.crc32(part.tobytes()), part.tolist() if with_ids else None))
-            out = pd.DataFrame(rows, columns=["id", "piece", "start", "length", "ids_crc32", "ids"])
-            yield out if with_ids else out.drop(columns="ids")
+        for whole in batches:
+            for at in range(0, len(whole), DOCUMENTS_AT_ONCE):
+                batch, rows = whole.iloc[at : at + DOCUMENTS_AT_ONCE], []
+                for doc, text in zip(batch["id"], batch["text"], strict=True):
+                    ids = np.append(encode(text or ""), np.uint32(end_id)).astype("<u4")
+                    first = len(ids) % capacity or capacity
+                    for piece, start in enumerate([0, *range(first, len(ids), capacity)]):
+                        part = ids[start : first if piece == 0 else start + capacity]
+                        rows.append((doc, piece, start, len(part), zlib.crc32(part.tobytes()), part.astype(np.int32) if with_ids else None))
+                out = pd.DataFrame(rows, columns=["id", "piece", "start", "length", "ids_crc32", "ids"])
+                yield out if with_ids else out.drop(columns="ids")
 
     kind = docs.schema[id_col].dataType.simpleString()
     schema = f"id {kind}, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids
