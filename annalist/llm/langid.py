@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from annalist.llm.common import sample_order, text_batches
+from annalist.llm.common import materialize, sample_order, text_batches
 
 #: Bounds of the fit: labelled texts of each language, and how many of those are landmarks.
 TEXTS_PER_LANGUAGE = 400
@@ -112,6 +112,7 @@ def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"), sample_order(id_col, SEED).alias("draw"))
     rows = rows.where("lang is not null and text is not null").where(F.col("text").rlike(r"\p{L}"))
     counts = rows.groupBy(F.col("lang").alias("of")).agg(F.count(F.lit(1)).alias("n"))
+    counts = materialize(counts, "languages")  # small, and seen to be so: the texts aren't shuffled
     drawn = rows.join(counts, rows["lang"] == counts["of"]).where(F.col("draw") * F.col("n") < 1.2 * texts_per_language + 20)
 
     def spectra(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
