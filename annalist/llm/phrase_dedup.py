@@ -20,7 +20,7 @@ from annalist.llm.repeats import Kind, merged, prefix_hashes, read_run, repeated
 WINDOW = 35
 GRAM_SHARE = 0.34
 #: Words in the patterns of one automaton.
-WORDS_PER_AUTOMATON = 1_000_000
+WORDS_PER_AUTOMATON = 250_000
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 _SPACES = np.zeros(256, dtype=bool)
 _SPACES[[0x20, *range(0x09, 0x0E)]] = True
@@ -54,16 +54,20 @@ def covered_stretches(runs: list[bytes], window: int) -> Iterator[tuple[int, int
     if not contexts:
         return
     sizes = np.array([len(c) for c in contexts])
-    number = np.unique(np.concatenate(contexts), return_inverse=True)[1].astype(np.int64)
+    number = np.unique(np.concatenate(contexts), return_inverse=True)[1].astype(np.int32)
     first = np.cumsum(sizes) - sizes
     n = np.array(counts)
     at = np.repeat(first, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
     of = np.repeat(np.arange(len(contexts)), n)
-    windows = np.lib.stride_tricks.sliding_window_view(number, window) if len(number) >= window else np.zeros((0, window), dtype=np.int64)
+    windows = np.lib.stride_tricks.sliding_window_view(number, window) if len(number) >= window else np.zeros((0, window), dtype=np.int32)
     hashes = stretch_hashes(prefix_hashes(number), at, at + window)
     order = np.lexsort((at, hashes))
-    # equal hashes are held against each other word by word
-    same = (hashes[order][1:] == hashes[order][:-1]) & (windows[at[order][1:]] == windows[at[order][:-1]]).all(axis=1)
+    # equal hashes are held against each other word by word, a few at a time
+    same = hashes[order][1:] == hashes[order][:-1]
+    pairs = np.flatnonzero(same)
+    for k in range(0, len(pairs), 16384):
+        part = pairs[k : k + 16384]
+        same[part] = (windows[at[order[part + 1]]] == windows[at[order[part]]]).all(axis=1)
     recurs = np.array(settled)[of]
     recurs[order[1:][same]] = True
     recurs[order[:-1][same]] = True

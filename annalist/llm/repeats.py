@@ -27,8 +27,8 @@ from annalist.llm.common import id_text, materialize, shards_for
 HOT = 1000
 #: Positions that fit into the lower bits of a gram's hash.
 PLACES = 1 << 24
-ENTRIES_PER_RUN = 100_000
-ENTRIES_PER_SHARD = 30_000
+ENTRIES_PER_RUN = 50_000
+ENTRIES_PER_SHARD = 10_000
 _R = 0x9E3779B97F4A7C15
 _R_INVERSE = pow(_R, -1, 2**64)
 
