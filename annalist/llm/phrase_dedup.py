@@ -20,7 +20,8 @@ from annalist.llm.repeats import Kind, merged, prefix_hashes, read_run, repeated
 WINDOW = 35
 GRAM_SHARE = 0.34
 #: Words in the patterns of one automaton.
-WORDS_PER_AUTOMATON = 250_000
+WORDS_PER_AUTOMATON = 100_000
+CONTEXTS_AT_ONCE = 1000
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 _SPACES = np.zeros(256, dtype=bool)
 _SPACES[[0x20, *range(0x09, 0x0E)]] = True
@@ -40,19 +41,24 @@ def word_symbols(data: bytes) -> np.ndarray:
 def covered_stretches(runs: list[bytes], window: int) -> Iterator[tuple[int, int, int]]:
     """``key, start, end`` of what recurring windows cover, from a shard's runs.
 
-    Words are numbered within the shard. A window recurs if it is in two contexts, or in one
-    that stands for several.
+    Windows of different anchor grams differ, so a few grams are taken at a time: patterns and
+    automata stay small, and a context passes only the automata of its own gram.
     """
-    contexts, counts, keys, starts, settled = [], [], [], [], []
-    for run in runs:
-        for _, text, left, n, key, start, known in read_run(run):
-            contexts.append(np.frombuffer(left + text[8:], dtype="<u8"))
-            counts.append(n)
-            keys.append(key)
-            starts.append(start)
-            settled.append(known)
-    if not contexts:
-        return
+    found = [(text[:8], np.frombuffer(left + text[8:], dtype="<u8"), n, key, start, known) for run in runs for _, text, left, n, key, start, known in read_run(run)]
+    found.sort(key=lambda x: x[0])
+    at = 0
+    while at < len(found):
+        upto = min(at + CONTEXTS_AT_ONCE, len(found))
+        while upto < len(found) and found[upto][0] == found[upto - 1][0]:
+            upto += 1
+        yield from _covered(found[at:upto], window)
+        at = upto
+
+
+def _covered(found: list[tuple], window: int) -> Iterator[tuple[int, int, int]]:
+    """Words are numbered here. A window recurs if it is in two contexts, or in one that stands
+    for several."""
+    _, contexts, counts, keys, starts, settled = map(list, zip(*found, strict=True))
     sizes = np.array([len(c) for c in contexts])
     number = np.unique(np.concatenate(contexts), return_inverse=True)[1].astype(np.int32)
     first = np.cumsum(sizes) - sizes
