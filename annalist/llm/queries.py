@@ -30,8 +30,8 @@ def op3_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = _documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
-    index = toxicity.fit(docs, labels.where(~held_out()))
-    return toxicity.score(docs, index).select("doc_id", held_out().alias("held_out"), "score", "predicted", "evidence")
+    index, vectors = toxicity.fit_and_vectorize(docs, labels.where(~held_out()))
+    return toxicity.score_vectors(vectors, index).withColumnRenamed("id", "doc_id").select("doc_id", held_out().alias("held_out"), "score", "predicted", "evidence")
 
 
 def op5_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -35,14 +35,16 @@ SEED = "tox-1"
 _WORD = re.compile(r"[^\W\d_]+")
 
 
+def _terms_of(word: str) -> list[str]:
+    return [word, *(f"{word[:size]}-" for size in STEMS if len(word) > size)]
+
+
 def terms(text: str | None) -> Counter:
     """How often each term is in a text: lower-case words, and their first 4 and 5 letters."""
-    words = Counter(_WORD.findall((text or "").lower()))
-    found = Counter(words)
-    for word, n in words.items():
-        for size in STEMS:
-            if len(word) > size:
-                found[f"{word[:size]}-"] += n
+    found = Counter()
+    for word, n in Counter(_WORD.findall((text or "").lower())).items():
+        for term in _terms_of(word):
+            found[term] += n
     return found
 
 
@@ -72,44 +74,53 @@ class Index:
         term = np.repeat(np.arange(len(self.idf)), self.starts[:, -1] - self.starts[:, 0])
         np.maximum.at(self.peaks, (term, self.entries // BLOCK), self.weights)
 
-    def query(self, counts: Counter) -> tuple[np.ndarray, np.ndarray]:
-        """Term numbers and unit TF-IDF weights; empty if no term of the text is known."""
-        known = sorted((self.ids[t], n) for t, n in counts.items() if t in self.ids)
-        if not known:
+    def query(self, vector: str) -> tuple[np.ndarray, np.ndarray]:
+        """Term numbers and unit TF-IDF weights of "term:count ..."; empty if there are none."""
+        if not vector:
             return np.array([], dtype=np.int64), np.array([])
-        at = np.array([k for k, _ in known])
-        weight = (1 + np.log([n for _, n in known])) * self.idf[at]
+        at, counts = np.array([p.split(":") for p in vector.split()], dtype=np.int64).T
+        weight = (1 + np.log(counts)) * self.idf[at]
         return at, weight / np.sqrt((weight**2).sum())
 
+    def _open(self, blocks: np.ndarray, at: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The entries of some blocks that share a term with the query, and their dot products."""
+        first = self.starts[at[:, None], blocks].ravel()
+        n = self.starts[at[:, None], blocks + 1].ravel() - first
+        own = np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum())
+        slot = np.repeat(np.tile(np.arange(len(blocks)), len(at)), n) * BLOCK + self.entries[own] % BLOCK
+        dots = np.bincount(slot, np.repeat(np.repeat(weight, len(blocks)), n) * self.weights[own], len(blocks) * BLOCK)
+        hit = np.flatnonzero(dots > 0)
+        return blocks[hit // BLOCK] * BLOCK + hit % BLOCK, dots[hit]
+
     def nearest(self, at: np.ndarray, weight: np.ndarray, k: int = NEIGHBOURS) -> tuple[np.ndarray, np.ndarray]:
         """The exact ``k`` entries of largest cosine (ties: the first entries) and the cosines.
 
-        Blocks are opened from the largest bound down, until no bound exceeds the k-th best.
+        Blocks are opened from the largest bound down, ever more at a time, until no bound
+        exceeds the k-th best.
         """
         bounds = weight @ self.peaks[at]
+        order = np.argsort(-bounds, kind="stable")
         best, cosines = np.array([], dtype=np.int64), np.array([])
-        for block in np.argsort(-bounds, kind="stable"):
-            if bounds[block] <= 0 or (len(best) == k and bounds[block] < cosines[-1] - 1e-12):
-                break
-            first = block * BLOCK
-            dots = np.zeros(min(BLOCK, len(self.votes) - first))
-            for term, of in zip(at, weight, strict=True):
-                own = slice(self.starts[term, block], self.starts[term, block + 1])
-                dots[self.entries[own] - first] += of * self.weights[own]
-            best = np.concatenate([best, np.arange(first, first + len(dots))])
-            cosines = np.concatenate([cosines, dots])
-            order = np.lexsort((best, -np.round(cosines, 12)))[:k]
-            best, cosines = best[order], cosines[order]
-        found = cosines > 0
-        return best[found], cosines[found]
-
-    def score(self, text: str | None) -> tuple[float, list[tuple[int | None, float, float]]]:
+        opened, width = 0, 4
+        while True:
+            least = cosines[-1] - 1e-12 if len(best) == k else 0.0
+            blocks = order[opened : opened + width]
+            blocks = blocks[(bounds[blocks] > 0) & (bounds[blocks] >= least)]
+            if not len(blocks):
+                return best, cosines
+            entries, dots = self._open(blocks, at, weight)
+            best, cosines = np.concatenate([best, entries]), np.concatenate([cosines, dots])
+            top = np.lexsort((best, -np.round(cosines, 12)))[:k]
+            best, cosines = best[top], cosines[top]
+            opened, width = opened + width, width * 4
+
+    def score_vector(self, vector: str) -> tuple[float, list[tuple[int | None, float, float]]]:
         """The calibrated score, and the nearest examples as (example id, cosine, toxic share).
 
         A vote weighs its examples by 1 / (distance + 0.05), and the share of labels among
         texts without a known term counts as one more example at distance 1.
         """
-        at, weight = self.query(terms(text))
+        at, weight = self.query(vector)
         if not len(at) or not len(self.votes):
             return self.none_rate, []
         near, cosines = self.nearest(at, weight)
@@ -117,6 +128,15 @@ class Index:
         score = (float((vote * self.toxic[near]).sum()) + self.none_rate / 1.05) / (float(vote.sum()) + 1 / 1.05)
         return min(1.0, max(0.0, score)), [(self.example[e], float(c), float(self.toxic[e])) for e, c in zip(near[:3], cosines[:3], strict=True)]
 
+    def score(self, text: str | None) -> tuple[float, list[tuple[int | None, float, float]]]:
+        """``score_vector`` of a text."""
+        return self.score_vector(_vector({self.ids[t]: n for t, n in terms(text).items() if t in self.ids}))
+
+
+def _vector(counts: dict[int, int]) -> str:
+    """Counts by term number as "term:count ...", in the order of terms."""
+    return " ".join(f"{k}:{n}" for k, n in sorted(counts.items()))
+
 
 def _term_counts(rows: DataFrame) -> DataFrame:
     """``term, n1, n0``: how many toxic and other examples have the term."""
@@ -133,28 +153,50 @@ def _term_counts(rows: DataFrame) -> DataFrame:
     return counted.groupBy("term").agg(F.sum(F.expr("if(label = 1, n, 0)")).alias("n1"), F.sum(F.expr("if(label = 0, n, 0)")).alias("n0"))
 
 
-def document_frequencies(docs: DataFrame, vocabulary: list[str], *, text_col: str = "text") -> tuple[int, dict[str, int]]:
-    """How many rows there are, and how many have each term of a bounded vocabulary."""
-    wanted = set(vocabulary)
+def vectorize(docs: DataFrame, ids: dict[str, int], *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``id, vector`` of every row: how often each known term is in the whole text.
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counts, rows = Counter(), 0
+    ``vector`` reads "term:count ..."; it is empty if the text is null or has no known term.
+    """
+
+    heads = {t[: STEMS[0]] for t in ids}
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows += len(batch)
+            vectors = []
             for text in batch["text"]:
-                counts.update(wanted.intersection(terms(text)))
-        yield pd.DataFrame({"term": ["", *counts], "n": [rows, *counts.values()]})
+                counts: dict[int, int] = {}
+                for word, n in Counter(_WORD.findall((text or "").lower())).items():
+                    if word[: STEMS[0]] in heads:
+                        for term in _terms_of(word):
+                            if (number := ids.get(term)) is not None:
+                                counts[number] = counts.get(number, 0) + n
+                vectors.append(_vector(counts))
+            yield pd.DataFrame({"id": batch["id"], "vector": vectors})
+
+    kind = docs.schema[id_col].dataType.simpleString()
+    return text_batches(docs, id_col, text_col).mapInPandas(run, f"id {kind}, vector string")
+
 
-    counted = docs.select(F.col(text_col).cast("string").alias("text")).mapInPandas(count, "term string, n long").groupBy("term").agg(F.sum("n").alias("n"))
+def document_frequencies(vectors: DataFrame) -> tuple[int, dict[int, int]]:
+    """How many rows there are, and how many have each term of the bounded vocabulary."""
+    terms_of = F.explode(F.array_union(F.array(F.lit("")), F.split("vector", " ")))
+    counted = vectors.select(terms_of.alias("term")).groupBy(F.split("term", ":")[0].alias("term")).agg(F.count(F.lit(1)).alias("n"))
     found = {r["term"]: r["n"] for r in counted.collect()}
-    return found.pop("", 0), found
+    return found.pop("", 0), {int(t): n for t, n in found.items()}
 
 
 def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_examples: int = MAX_EXAMPLES, max_terms: int = MAX_TERMS) -> Index:
+    """Index at most ``max_examples`` labelled texts; see ``fit_and_vectorize``."""
+    return fit_and_vectorize(docs, labels, id_col=id_col, text_col=text_col, label_col=label_col, max_examples=max_examples, max_terms=max_terms)[0]
+
+
+def fit_and_vectorize(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_examples: int = MAX_EXAMPLES, max_terms: int = MAX_TERMS) -> tuple[Index, DataFrame]:
     """Index at most ``max_examples`` labelled texts, drawn by a hash of the id.
 
     The terms are those that tell the labels of these examples apart (chi-squared, at most
-    ``max_terms``); their document frequencies are over all of ``docs``. The driver gets the
+    ``max_terms``); their document frequencies are over all of ``docs``, whose vectors come
+    back as a table beside the index, so that texts are read once. The driver gets the
     examples' vectors, not their texts; equal vectors are one entry that counts its examples.
     Labels that are null, or other than 0 and 1, and labels of ids that are null or have no
     text, aren't used; an id with several labels or texts is an example for each.
@@ -174,21 +216,16 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
     counted = counted.where(without > 0).withColumn("chi2", chi2).where(F.col("chi2") >= MIN_CHI2).where(a * float(max(1, n0)) > b * float(max(1, n1))).where(a >= MIN_SHARE * n1)
     vocabulary = sorted(r["term"] for r in counted.orderBy(F.desc("chi2"), "term").limit(max_terms).collect())
     ids = {t: k for k, t in enumerate(vocabulary)}
-    n_docs, df = document_frequencies(docs, vocabulary, text_col=text_col)
-    idf = np.array([np.log((1 + n_docs) / (1 + df.get(t, 0))) + 1 for t in vocabulary])
-
-    def vectors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            known = [sorted((ids[t], n) for t, n in terms(text).items() if t in ids) for text in batch["text"]]
-            yield pd.DataFrame({"id": batch["id"], "label": batch["label"], "vector": [" ".join(f"{k}:{n}" for k, n in v) for v in known]})
-
-    kind = docs.schema[id_col].dataType.simpleString()
-    entries = rows.mapInPandas(vectors, f"id {kind}, label int, vector string").groupBy("vector").agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("n1"), F.min("id").alias("id"))
+    vectors = materialize(vectorize(docs, ids, id_col=id_col, text_col=text_col), "toxic-vectors")
+    n_docs, df = document_frequencies(vectors)
+    idf = np.array([np.log((1 + n_docs) / (1 + df.get(k, 0))) + 1 for k in range(len(vocabulary))])
+    own = rows.select(F.struct("id", "label").alias("of"), "text")
+    entries = vectorize(own, ids, id_col="of").groupBy("vector").agg(F.count(F.lit(1)).alias("n"), F.sum("id.label").alias("n1"), F.min("id.id").alias("id"))
     entries = entries.toPandas().sort_values("vector")
     none = entries[entries["vector"] == ""]
     none_rate = float((none["n1"].sum() + 0.1) / (none["n"].sum() + 1)) if n1 + n0 else 0.0
     entries = entries[entries["vector"] != ""]
-    return build(ids, idf, entries, none_rate)
+    return build(ids, idf, entries, none_rate), vectors
 
 
 def build(ids: dict[str, int], idf: np.ndarray, entries: pd.DataFrame, none_rate: float) -> Index:
@@ -222,13 +259,19 @@ def score(docs: DataFrame, index: Index, *, id_col: str = "doc_id", text_col: st
     they come, an empty table gives no rows, and other columns are not looked at.
     """
 
+    return score_vectors(vectorize(docs, index.ids, id_col=id_col, text_col=text_col), index, threshold=threshold).withColumnRenamed("id", id_col)
+
+
+def score_vectors(vectors: DataFrame, index: Index, *, threshold: float = THRESHOLD) -> DataFrame:
+    """``id, score, predicted, evidence`` for every row of ``vectorize``; equal vectors of a batch are looked up once."""
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = [index.score(t) for t in batch["text"]]
-            scores = np.array([s for s, _ in found], dtype=np.float64)
+            which, distinct = pd.factorize(batch["vector"])
+            found = [index.score_vector(v) for v in distinct]
+            scores = np.array([s for s, _ in found], dtype=np.float64)[which]
             evidence = [[{"id": None if e is None else str(e), "cosine": c, "toxic": t} for e, c, t in near] for _, near in found]
-            yield pd.DataFrame({"id": batch["id"], "score": scores, "predicted": (scores >= threshold).astype(np.int32), "evidence": evidence})
+            yield pd.DataFrame({"id": batch["id"], "score": scores, "predicted": (scores >= threshold).astype(np.int32), "evidence": [evidence[w] for w in which]})
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    schema = f"id {kind}, score double, predicted int, evidence array<struct<id: string, cosine: double, toxic: double>>"
-    return text_batches(docs, id_col, text_col).mapInPandas(run, schema).withColumnRenamed("id", id_col)
+    kind = vectors.schema["id"].dataType.simpleString()
+    return vectors.mapInPandas(run, f"id {kind}, score double, predicted int, evidence array<struct<id: string, cosine: double, toxic: double>>")

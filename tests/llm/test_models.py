@@ -35,8 +35,8 @@ def test_toxicity_finds_exact_neighbours(spark):
     dense = np.zeros((len(index.votes), len(index.idf)))
     term = np.repeat(np.arange(len(index.idf)), index.starts[:, -1] - index.starts[:, 0])
     dense[index.entries, term] = index.weights
-    for row in docs.limit(300).collect():
-        at, weight = index.query(toxicity.terms(row["text"]))
+    for row in toxicity.vectorize(docs, index.ids).limit(300).collect():
+        at, weight = index.query(row["vector"])
         if not len(at):
             continue
         near, cosines = index.nearest(at, weight)
