@@ -29,6 +29,9 @@ MIN_SHARE = 0.01
 MIN_CHI2 = 25.0
 NEIGHBOURS = 15
 BLOCK = 64
+#: Queries answered side by side hold at most so many postings together; so many blocks are opened first for each.
+POSTINGS = 500_000
+FIRST_BLOCKS = 4
 STEMS = (4, 5)
 THRESHOLD = 0.3
 SEED = "tox-1"
@@ -82,55 +85,73 @@ class Index:
         weight = (1 + np.log(counts)) * self.idf[at]
         return at, weight / np.sqrt((weight**2).sum())
 
-    def _open(self, blocks: np.ndarray, at: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The entries of some blocks that share a term with the query, and their dot products."""
-        first = self.starts[at[:, None], blocks].ravel()
-        n = self.starts[at[:, None], blocks + 1].ravel() - first
+    def _open(self, query: np.ndarray, block: np.ndarray, terms: tuple[np.ndarray, np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Query, entry and dot product of all entries, in pairs of query and block, that share a term.
+
+        ``terms`` are the queries' terms and weights, those of query q from ``edges[q]`` on.
+        """
+        at, weight, edges = terms
+        size = np.diff(edges)[query]
+        pair = np.repeat(np.arange(len(query)), size)
+        term = np.repeat(edges[query] - np.cumsum(size) + size, size) + np.arange(size.sum())
+        first = self.starts[at[term], block[pair]]
+        n = self.starts[at[term], block[pair] + 1] - first
         own = np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum())
-        slot = np.repeat(np.tile(np.arange(len(blocks)), len(at)), n) * BLOCK + self.entries[own] % BLOCK
-        dots = np.bincount(slot, np.repeat(np.repeat(weight, len(blocks)), n) * self.weights[own], len(blocks) * BLOCK)
+        dots = np.bincount(np.repeat(pair, n) * BLOCK + self.entries[own] % BLOCK, np.repeat(weight[term], n) * self.weights[own], len(query) * BLOCK)
         hit = np.flatnonzero(dots > 0)
-        return blocks[hit // BLOCK] * BLOCK + hit % BLOCK, dots[hit]
+        return query[hit // BLOCK], block[hit // BLOCK] * BLOCK + hit % BLOCK, dots[hit]
 
-    def nearest(self, at: np.ndarray, weight: np.ndarray, k: int = NEIGHBOURS) -> tuple[np.ndarray, np.ndarray]:
-        """The exact ``k`` entries of largest cosine (ties: the first entries) and the cosines.
+    def nearest(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int = NEIGHBOURS) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each query the exact ``k`` entries of largest cosine (ties: the first entries), and the cosines.
 
-        Blocks are opened from the largest bound down, ever more at a time, until no bound
-        exceeds the k-th best.
+        The blocks of the largest bounds are opened first, then all whose bound reaches the
+        k-th best so far. A query is its term numbers and weights.
         """
-        bounds = weight @ self.peaks[at]
-        order = np.argsort(-bounds, kind="stable")
-        best, cosines = np.array([], dtype=np.int64), np.array([])
-        opened, width = 0, 4
-        while True:
-            least = cosines[-1] - 1e-12 if len(best) == k else 0.0
-            blocks = order[opened : opened + width]
-            blocks = blocks[(bounds[blocks] > 0) & (bounds[blocks] >= least)]
-            if not len(blocks):
-                return best, cosines
-            entries, dots = self._open(blocks, at, weight)
-            best, cosines = np.concatenate([best, entries]), np.concatenate([cosines, dots])
-            top = np.lexsort((best, -np.round(cosines, 12)))[:k]
-            best, cosines = best[top], cosines[top]
-            opened, width = opened + width, width * 4
-
-    def score_vector(self, vector: str) -> tuple[float, list[tuple[int | None, float, float]]]:
-        """The calibrated score, and the nearest examples as (example id, cosine, toxic share).
+        edges = np.cumsum([0, *(len(at) for at, _ in queries)])
+        terms = np.concatenate([at for at, _ in queries]), np.concatenate([w for _, w in queries]), edges
+        dense = np.zeros((len(queries), len(self.idf)))
+        dense[np.repeat(np.arange(len(queries)), np.diff(edges)), terms[0]] = terms[1]
+        bounds = dense @ self.peaks
+        number = np.arange(len(queries))
+        opened = np.zeros(bounds.shape, dtype=bool)
+        np.put_along_axis(opened, np.argsort(-bounds, axis=1, kind="stable")[:, :FIRST_BLOCKS], True, axis=1)
+        found = _best(*self._open(*np.nonzero(opened & (bounds > 0)), terms), k)
+        least = np.zeros(len(queries))
+        full = np.bincount(found[0], minlength=len(queries)) == k
+        least[full] = found[2][np.searchsorted(found[0], number[full], "right") - 1] - 1e-12
+        rest = self._open(*np.nonzero(~opened & (bounds > 0) & (bounds >= least[:, None])), terms)
+        near = rest[2] >= least[rest[0]] - 1e-11
+        query, entry, cosine = _best(*(np.concatenate([x, y[near]]) for x, y in zip(found, rest, strict=True)), k)
+        cuts = np.searchsorted(query, number[1:])
+        return list(zip(np.split(entry, cuts), np.split(cosine, cuts), strict=True))
+
+    def score_vectors(self, vectors: list[str]) -> list[tuple[float, list[tuple[int | None, float, float]]]]:
+        """For each vector the calibrated score and the nearest examples as (example id, cosine, toxic share).
 
         A vote weighs its examples by 1 / (distance + 0.05), and the share of labels among
         texts without a known term counts as one more example at distance 1.
         """
-        at, weight = self.query(vector)
-        if not len(at) or not len(self.votes):
-            return self.none_rate, []
-        near, cosines = self.nearest(at, weight)
-        vote = np.sqrt(self.votes[near]) / (1 - np.minimum(cosines, 1) + 0.05)
-        score = (float((vote * self.toxic[near]).sum()) + self.none_rate / 1.05) / (float(vote.sum()) + 1 / 1.05)
-        return min(1.0, max(0.0, score)), [(self.example[e], float(c), float(self.toxic[e])) for e, c in zip(near[:3], cosines[:3], strict=True)]
-
-    def score(self, text: str | None) -> tuple[float, list[tuple[int | None, float, float]]]:
-        """``score_vector`` of a text."""
-        return self.score_vector(_vector({self.ids[t]: n for t, n in terms(text).items() if t in self.ids}))
+        scored: list = [(self.none_rate, [])] * len(vectors)
+        known = [n for n, v in enumerate(vectors) if v and len(self.votes)]
+        queries = [self.query(vectors[n]) for n in known]
+        length = self.starts[:, -1] - self.starts[:, 0] + self.starts.shape[1]
+        group = np.cumsum([length[at].sum() + len(self.votes) for at, _ in queries], dtype=np.int64) // POSTINGS
+        cuts = [0, *(np.flatnonzero(np.diff(group)) + 1), len(known)]
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True) if known else ():
+            for n, (near, cosines) in zip(known[a:b], self.nearest(queries[a:b]), strict=True):
+                vote = np.sqrt(self.votes[near]) / (1 - np.minimum(cosines, 1) + 0.05)
+                score = (float((vote * self.toxic[near]).sum()) + self.none_rate / 1.05) / (float(vote.sum()) + 1 / 1.05)
+                evidence = [(self.example[e], float(c), float(self.toxic[e])) for e, c in zip(near[:3], cosines[:3], strict=True)]
+                scored[n] = min(1.0, max(0.0, score)), evidence
+        return scored
+
+
+def _best(query: np.ndarray, entry: np.ndarray, cosine: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The ``k`` largest cosines of each query, in order; ties go to the first entries."""
+    order = np.lexsort((entry, -np.round(cosine, 12), query))
+    query, entry, cosine = query[order], entry[order], cosine[order]
+    top = np.arange(len(query)) - np.searchsorted(query, query) < k
+    return query[top], entry[top], cosine[top]
 
 
 def _vector(counts: dict[int, int]) -> str:
@@ -268,7 +289,7 @@ def score_vectors(vectors: DataFrame, index: Index, *, threshold: float = THRESH
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             which, distinct = pd.factorize(batch["vector"])
-            found = [index.score_vector(v) for v in distinct]
+            found = index.score_vectors(list(distinct))
             scores = np.array([s for s, _ in found], dtype=np.float64)[which]
             evidence = [[{"id": None if e is None else str(e), "cosine": c, "toxic": t} for e, c, t in near] for _, near in found]
             yield pd.DataFrame({"id": batch["id"], "score": scores, "predicted": (scores >= threshold).astype(np.int32), "evidence": [evidence[w] for w in which]})

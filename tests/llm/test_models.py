@@ -39,7 +39,7 @@ def test_toxicity_finds_exact_neighbours(spark):
         at, weight = index.query(row["vector"])
         if not len(at):
             continue
-        near, cosines = index.nearest(at, weight)
+        [(near, cosines)] = index.nearest([(at, weight)])
         brute = np.sort(dense[:, at] @ weight)[::-1][: toxicity.NEIGHBOURS]
         np.testing.assert_allclose(cosines, brute[brute > 0][: len(cosines)], atol=1e-9)
         assert len(cosines) == (brute > 0).sum()
