@@ -63,3 +63,21 @@ def test_toxicity_learns_a_word(documents, spark):
     labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(100)] + [(None, 1), (3, None), (4, 7)], "doc_id long, toxic int")
     rows = toxicity.score(documents(texts), toxicity.fit(documents(texts), labels)).collect()
     assert all(r["predicted"] == int(r["doc_id"] % 4 == 0) for r in rows if r["doc_id"] is not None)
+
+
+def test_toxicity_compares_all_examples_by_all_terms(documents, spark):
+    texts = ["alpha beta gamma", "delta epsilon zeta", "eta theta iota", "kappa alpha mu", "beta kappa"]
+    labels = spark.createDataFrame([(0, 1), (1, 0), (2, 0)], "doc_id long, toxic int")
+    index = toxicity.fit(documents(texts), labels)
+    assert {toxicity.code(t) for t in ("alpha", "theta", "gamm-", "epsi-")} <= set(index.ids.tolist()) and index.votes.sum() >= 3
+    found = {r["doc_id"]: r for r in toxicity.score(documents(texts), index).collect()}
+    assert [found[i]["evidence"][0]["id"] for i in (0, 1, 2, 3, 4)] == ["0", "1", "2", "0", "0"]
+    assert abs(found[1]["evidence"][0]["cosine"] - 1) < 1e-6
+
+
+def test_toxicity_calibration_rises():
+    x, y = toxicity.calibration(np.array([0.1, 0.2, 0.3, 0.9]), np.array([0, 1, 0, 1]), np.ones(4))
+    assert list(np.interp([0.1, 0.2, 0.3, 0.9], x, y)) == [0, 0.5, 0.5, 1]
+    counts = {5: 1, 700_000: 3, 7: 1, 80_000: 70_000}
+    at, n = toxicity.unpack(toxicity.pack(np.array(list(counts)), np.array(list(counts.values()))))
+    assert dict(zip(at.tolist(), n.tolist(), strict=True)) == counts
