@@ -31,10 +31,14 @@ TITLE_GENDER = {t: g for g, all_ in TITLES.items() for t in all_}
 NAME_GENDER = {n: (script, g) for (script, g), names in GIVEN.items() for n in names}
 
 _NAME = r"[^\W\d_a-zà-öø-ÿа-яіїєґ][^\W\d_]+"
+_EMAIL = r"[A-Za-z0-9][\w.+%-]{0,63}@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}"
+_ACCESS = r"\b(?:AKIA|ASIA)[0-9A-Z]{16}\b"
+_SECRETS = ["password", "passwd", "secret", "api_key", "token"]
 ENTITY = re.compile(
-    r"(?P<email>[A-Za-z0-9][\w.+%-]{0,63}@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,})"
-    r"|(?P<key>\b(?:AKIA|ASIA)[0-9A-Z]{16}\b)"
-    r"|(?P<secret>(?<=[=:\s\"'])(?:(?<=password=)|(?<=passwd=)|(?<=secret=)|(?<=api_key=)|(?<=token=)|(?<=token = \")|(?<=secret = \")|(?<=password = \")|(?<=api_key = \"))[^\s\"',;]{6,})"
+    rf"(?P<email>{_EMAIL})"
+    rf"|(?P<key>{_ACCESS})"
+    # after a key word in any case, quoted or not, and = or :
+    rf"|(?P<secret>(?ai:{'|'.join(_SECRETS)})\\?[\"']?[ \t]*[=:][ \t]*\\?[\"']?(?!{_EMAIL}|{_ACCESS})(?P<value>[^\s\"',;]{{6,}}))"
     r"|(?P<phone>(?<![\w+])\+\d{1,3}[ .-]?\(?\d{2,4}\)?(?:[ .-]?\d{2,4}){2,3}(?!\w)|(?<![\w(])\(\d{3}\) ?\d{3}-\d{4}(?!\w)|(?<![\w.-])\d{3}-\d{3}-\d{4}(?![\w-]))"
     r"|(?P<ssn>(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-]))"
     r"|(?P<ipv4>(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\w|\.\d))"
@@ -43,7 +47,7 @@ ENTITY = re.compile(
     rf"|(?P<name>(?:(?<=\W)|^)(?:{'|'.join(re.escape(t) for t in TITLE_GENDER)}) {_NAME}(?: {_NAME})?)"
 )
 _MARK = re.compile(r"[@\d]+")
-_CUES = [*(f"{t} " for t in TITLE_GENDER), "password", "passwd", "secret", "api_key", "token", "AKIA", "ASIA"]
+_CUES = [*(f"{t} " for t in TITLE_GENDER), "AKIA", "ASIA"]
 REACH = 100
 
 
@@ -64,11 +68,15 @@ def _stretches(text: str) -> Iterator[tuple[int, int]]:
     ``REACH`` characters from one to the next or to its ends.
     """
     marks = [(m.start(), m.end()) for m in _MARK.finditer(text)]
-    for word in _CUES:
-        at = text.find(word)
-        while at >= 0:
-            marks.append((at, at + len(word)))
-            at = text.find(word, at + 1)
+    folded = text.lower()
+    if len(folded) != len(text):
+        folded = "".join(low if len(low := c.lower()) == 1 else c for c in text)
+    for where, words in ((text, _CUES), (folded, _SECRETS)):
+        for word in words:
+            at = where.find(word)
+            while at >= 0:
+                marks.append((at, at + len(word)))
+                at = where.find(word, at + 1)
     start, end = None, 0
     for first, last in sorted(marks):
         if start is not None and first - REACH <= end:
@@ -114,6 +122,8 @@ def mentions(text: str) -> Iterator[tuple[int, int, str, str]]:
             yield m.start(), m.end(), kind, surface.replace(" ", "")
         elif kind == "email":
             yield m.start(), m.end(), kind, surface.lower()
+        elif kind == "secret":
+            yield m.start("value"), m.end("value"), kind, m["value"]
         else:
             yield m.start(), m.end(), kind, surface
 
