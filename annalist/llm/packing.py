@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from annalist.llm.common import materialize
+from annalist.llm.common import fresh, materialize, quoted
 
 CAPACITY = 2048
 END_ID = 0
@@ -25,21 +25,24 @@ def encoder(vocabulary: str):
     """A function from a text to its ids, as numpy.
 
     ``tokenizers`` on the vocabulary's JSON file is the definition. The same vocabulary as
-    ranks gives the same ids several times faster, so that is what runs; a text it refuses
-    goes to ``tokenizers``. Marker strings in a text are ordinary text.
+    ranks gives the same ids several times faster, so ``tiktoken`` runs; a text it refuses
+    goes to ``tokenizers``. The vocabulary's marker strings give their own ids, as there.
     """
     import base64
+    import json
 
     import public_tokenizers
     import tiktoken
 
     with open(public_tokenizers.path(f"{vocabulary}.tiktoken"), "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    with open(public_tokenizers.path(f"{vocabulary}.json"), encoding="utf-8") as f:
+        markers = {t["content"]: t["id"] for t in json.load(f)["added_tokens"]}
+    fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=markers)
 
     def encode(text: str) -> np.ndarray:
         try:
-            return np.array(fast.encode_ordinary(text), dtype="<u4")
+            return np.array(fast.encode(text, allowed_special="all", disallowed_special=()), dtype="<u4")
         except Exception:  # noqa: BLE001  the splitting pattern's limit on very long runs
             return np.array(reference_encoder(vocabulary)(text), dtype="<u4")
 
@@ -53,7 +56,6 @@ def reference_encoder(vocabulary: str):
     from tokenizers import Tokenizer
 
     own = Tokenizer.from_file(public_tokenizers.path(f"{vocabulary}.json"))
-    own.encode_special_tokens = True
     return lambda text: own.encode(text, add_special_tokens=False).ids
 
 
@@ -161,7 +163,7 @@ def pack(pieces: DataFrame, *, id_col: str = "doc_id", length_col: str = "length
     Best-fit decreasing over the whole table. The driver sees only how many pieces there are
     of each length (at most ``capacity`` numbers). The pieces are then ranked within their
     length: counts by slice give each slice's first rank, so that no length, however common,
-    is sorted in one task. Ties follow ``id_col`` and ``order_cols``; identical rows are
+    is sorted in one task; repeats of one id fall into slices by ``order_cols`` too. Ties follow ``id_col`` and ``order_cols``; identical rows are
     interchangeable. Lengths must lie in 1..``capacity``; another length fails the job. No
     rows give no rows.
     """
@@ -171,13 +173,14 @@ def pack(pieces: DataFrame, *, id_col: str = "doc_id", length_col: str = "length
         raise ValueError(f"lengths must lie in 1..{capacity}")
     slices = max(1, round(sum(counts.values()) ** 0.5))
     plan = pd.DataFrame(best_fit_plan(counts, capacity), columns=["length", "first", "last", "per_bin", "sequence", "offset"]).astype("int64").sort_values(["length", "first"])
-    cut = pieces.withColumn("_slice", F.pmod(F.xxhash64(id_col), F.lit(slices)))
-    sizes = cut.groupBy(length_col, "_slice").agg(F.count(F.lit(1)).alias("n"))
-    before = F.coalesce(F.sum("n").over(Window.partitionBy(length_col).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    sizes = materialize(sizes.select(F.col(length_col).alias("_length"), F.col("_slice").alias("_of"), before.alias("_before")), "slices")
-    place = F.row_number().over(Window.partitionBy(length_col, "_slice").orderBy(id_col, *order_cols)) - 1
-    ranked = cut.withColumn("_place", place.cast("long")).join(sizes, (F.col(length_col) == F.col("_length")) & (F.col("_slice") == F.col("_of")))
-    ranked = ranked.withColumn("_rank", F.col("_place") + F.col("_before")).select(*pieces.columns, "_rank")
+    own, of, n_of, place, rank, at = fresh(pieces.columns, "slice", "of", "length_of", "place", "rank", "at")
+    cut = pieces.withColumn(own, F.pmod(F.xxhash64(id_col, *order_cols), F.lit(slices)))
+    sizes = cut.groupBy(F.col(length_col).alias(n_of), F.col(own).alias(of)).agg(F.count(F.lit(1)).alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.partitionBy(n_of).orderBy(of).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    sizes = materialize(sizes.select(n_of, of, before.alias(rank)), "slices")
+    nth = F.row_number().over(Window.partitionBy(length_col, own).orderBy(id_col, *order_cols)) - 1
+    ranked = cut.withColumn(place, nth.cast("long")).join(sizes, (F.col(length_col) == F.col(n_of)) & (F.col(own) == F.col(of)))
+    ranked = ranked.select(*map(quoted, pieces.columns), (F.col(place) + F.col(rank)).alias(rank))
     span = int(max(counts.values(), default=0)) + 1
     starts = (plan["length"] * span + plan["first"]).to_numpy()
     table = plan[["first", "per_bin", "sequence", "offset"]].to_numpy()
@@ -188,4 +191,4 @@ def pack(pieces: DataFrame, *, id_col: str = "doc_id", length_col: str = "length
         nth = rank.to_numpy() - run[:, 0]
         return pd.DataFrame({"sequence_id": run[:, 2] + nth // run[:, 1], "offset": run[:, 3] + nth % run[:, 1] * length.to_numpy()})
 
-    return ranked.withColumn("_at", placed(F.col(length_col).cast("long"), "_rank")).select(*pieces.columns, "_at.sequence_id", "_at.offset")
+    return ranked.withColumn(at, placed(F.col(length_col).cast("long"), rank)).select(*map(quoted, pieces.columns), f"{at}.sequence_id", f"{at}.offset")

@@ -56,6 +56,7 @@ def test_packing_is_whole(documents, nothing):
     ids = [i for r in sorted(by_doc[3], key=lambda r: r["start"]) for i in r["ids"]]
     assert ids == [*reference("one two three " * 3000), 0]
     assert [r["ids"] for r in by_doc[4]] == [[*reference("a<|endoftext|>b"), 0]]
+    assert by_doc[4][0]["ids"] == [64, 50256, 65, 0]
     assert len(by_doc[0]) == 2 and by_doc[None][0]["ids"] == [0]
     places = defaultdict(list)
     for r in rows:
@@ -66,6 +67,22 @@ def test_packing_is_whole(documents, nothing):
     assert packing.pack(packing.tokenize(nothing)).count() == 0
 
 
+def test_packing_with_clashing_columns(spark):
+    odd = spark.createDataFrame([(1, 5, 0, 0, "a"), (1, 5, 0, 0, "b"), (None, 2040, 0, 0, "c")], "doc_id long, length long, piece int, ids_crc32 long, slice string")
+    out = packing.pack(odd)
+    assert out.columns == [*odd.columns, "sequence_id", "offset"] and {r["slice"] for r in out.collect()} == {"a", "b", "c"}
+
+
+def test_mix_draws_rows_without_id_apart(spark):
+    rows = [(None, f"word {n} " * 5, "a", 1) for n in range(200)] + [(n, "x y", "b", 2) for n in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, copies int")
+    counted = mixing.mix(docs).where("source = 'a'")
+    target = counted.first()["target"]
+    assert abs(counted.agg({"taken": "sum"}).first()[0] - target) <= 20
+    mixed = mixing.apply_mix(docs)
+    assert mixed.columns == docs.columns and mixed.where("source = 'a'").count() * 10 == counted.agg({"taken": "sum"}).first()[0]
+
+
 def test_mix_meets_targets(documents, nothing):
     rng = random.Random(3)
     texts = ["w " * rng.randint(1, 40) for _ in range(600)] + ["", None]
@@ -207,6 +224,9 @@ def test_media_columns(documents, nothing):
     assert [r["start_cs"] for r in shown] == [4 * n for n in range(len(shown))]
     assert ",".join(map(str, total)) == rows[3]["feature"]
     assert gif.digests(gif.media(nothing)).count() == 0
+    odd = stored.sparkSession.createDataFrame([(1, 3, None), (2, 4, bytearray(b"GIF89a")), (3, 5, bytearray(stored.where("doc_id = 0").first()["media"]))], "doc_id long, n_bytes long, media binary")
+    found = {r["doc_id"]: r for r in gif.digests(odd).collect()}
+    assert found[1]["payload_sha256"] is None and found[2]["media_bytes"] is None and found[3]["payload_bytes"] == 576
 
 
 def test_pipeline_stage_by_stage(spark):
