@@ -24,12 +24,16 @@ TEXTS_PER_LANGUAGE = 400
 LANDMARKS_PER_LANGUAGE = 60
 RIDGE = 1e-2
 UNDETERMINED = "und"
-#: A text is foreign to every learned language if even the best one scores less than this.
+#: A text is foreign to every learned language if even the best one scores less than this, or if
+#: less of its n-grams is known than in this share of the least known text of the fit.
 MIN_SCORE = 0.3
+KNOWN_SHARE = 0.8
 BATCH = 128
 SEED = "lang-1"
-_LETTER = re.compile(r"[^\W\d_]")
-_SPACE = re.compile(r"[\W\d_]+")
+#: Characters that count as alphanumeric but are no letters and no decimal digits, such as ½ and ².
+_OTHER = "".join(c for c in map(chr, range(0x80, 0x20000)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
+_LETTER = re.compile(rf"[^\W\d_{_OTHER}]")
+_SPACE = re.compile(rf"[\W\d_{_OTHER}]+")
 
 
 def spectrum(text: str) -> np.ndarray:
@@ -53,26 +57,34 @@ class Model:
     grams: np.ndarray
     landmarks: np.ndarray
     weights: np.ndarray
+    least_known: float = 0.0
 
-    def kernel(self, spectra: list[np.ndarray]) -> np.ndarray:
+    def kernel(self, spectra: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """Kernels with the landmarks, and the share of each spectrum's n-grams that those hold."""
         present = np.zeros((len(spectra), len(self.grams)), dtype=np.float32)
         for row, own in enumerate(spectra):
             at = np.minimum(np.searchsorted(self.grams, own), len(self.grams) - 1)
             present[row, at[self.grams[at] == own]] = 1
         sizes = np.array([max(1, len(s)) for s in spectra], dtype=np.float64)
-        return (present @ self.landmarks).astype(np.float64) / np.sqrt(sizes)[:, None]
+        return (present @ self.landmarks).astype(np.float64) / np.sqrt(sizes)[:, None], present.sum(axis=1) / sizes
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
-        names, scores = [UNDETERMINED] * len(texts), np.zeros(len(texts))
+        return self.judge(texts)[:2]
+
+    def judge(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """Language, score and known share of each text's n-grams."""
+        names, scores, shares = [UNDETERMINED] * len(texts), np.zeros(len(texts)), np.zeros(len(texts))
         known = [i for i, t in enumerate(texts) if t and _LETTER.search(t)] if self.languages else []
         for start in range(0, len(known), BATCH):
             rows = known[start : start + BATCH]
-            margins = self.kernel([spectrum(texts[i]) for i in rows]) @ self.weights
+            spectra = [spectrum(texts[i]) for i in rows]
+            kernel, shares[rows] = self.kernel(spectra)
+            margins = kernel @ self.weights
             best = margins.argmax(axis=1)
             scores[rows] = np.clip((1 + margins[np.arange(len(rows)), best]) / 2, 0, 1)
             for i, b in zip(rows, best, strict=True):
                 names[i] = self.languages[b]
-        return names, scores
+        return names, scores, shares
 
 
 def fit_spectra(labels: list[str], spectra: list[np.ndarray], *, landmarks_per_language: int = LANDMARKS_PER_LANGUAGE, ridge: float = RIDGE) -> Model:
@@ -91,7 +103,7 @@ def fit_spectra(labels: list[str], spectra: list[np.ndarray], *, landmarks_per_l
     for column, i in enumerate(marks):
         matrix[np.searchsorted(grams, spectra[i]), column] = 1 / np.sqrt(len(spectra[i]))
     model = Model(languages, grams, matrix, np.eye(len(marks)))
-    kernel = model.kernel(spectra)
+    kernel, known = model.kernel(spectra)
     values, vectors = np.linalg.eigh(kernel[marks])
     whiten = vectors[:, values > 1e-8] / np.sqrt(values[values > 1e-8])
     features = kernel @ whiten
@@ -100,6 +112,8 @@ def fit_spectra(labels: list[str], spectra: list[np.ndarray], *, landmarks_per_l
     weight = (1 / np.unique(label, return_counts=True)[1])[np.searchsorted(languages, label)][:, None]
     gram = features.T @ (features * weight) + ridge / len(languages) * np.eye(features.shape[1])
     model.weights = whiten @ np.linalg.solve(gram, features.T @ (target * weight))
+    # landmarks know all of themselves, so the other texts of the fit say what is usual
+    model.least_known = KNOWN_SHARE * float(np.delete(known, marks).min()) if len(marks) < len(spectra) else 0.0
     return model
 
 
@@ -144,12 +158,14 @@ def identify(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col:
 def keep_known(docs: DataFrame, model: Model, *, text_col: str = "text", min_score: float = MIN_SCORE) -> DataFrame:
     """The rows of ``docs`` whose language is one of the learned, with the same columns.
 
-    Rejected are texts that give ``und`` and texts that score less than ``min_score``.
+    Rejected are texts that give ``und``, texts that score less than ``min_score``, and texts
+    of whose n-grams the landmarks hold a smaller share than ``KNOWN_SHARE`` times the least
+    share among the fit's other texts: a script or language that was not learned.
     """
 
     @F.pandas_udf("boolean")
     def known(text: pd.Series) -> pd.Series:
-        names, scores = model.predict(list(text))
-        return pd.Series([n != UNDETERMINED and s >= min_score for n, s in zip(names, scores, strict=True)], dtype=bool)
+        found = zip(*model.judge(list(text)), strict=True)
+        return pd.Series([n != UNDETERMINED and s >= min_score and share >= model.least_known for n, s, share in found], dtype=bool)
 
     return docs.where(known(F.col(text_col).cast("string")))

@@ -29,6 +29,32 @@ def test_language_of_odd_texts(documents, nothing):
     assert langid.identify(nothing, langid.fit(nothing)).count() == 0
 
 
+def test_language_of_texts_without_letters(documents):
+    docs = documents(["der die und das ist", "½ ² ① ٣ 12", "the and of was with"], ["de", None, "en"])
+    found = {r["doc_id"]: r["lang_pred"] for r in langid.identify(docs, langid.fit(docs)).collect()}
+    assert found[0] == "de" and found[1] == "und"
+
+
+def test_language_against_exact_kernels(spark):
+    """The Nyström features of all fitted texts give what the plain kernel matrix gives."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").where("lang is not null").limit(120).collect()
+    labels, spectra = [r["lang"] for r in docs], [langid.spectrum(r["text"]) for r in docs]
+    model = langid.fit_spectra(labels, spectra, landmarks_per_language=1000)
+    kernel = np.array([[len(np.intersect1d(a, b)) / np.sqrt(len(a) * len(b)) for b in spectra] for a in spectra])
+    np.testing.assert_allclose(model.kernel(spectra)[0], kernel[:, np.concatenate([np.flatnonzero(np.array(labels) == n) for n in model.languages])], atol=1e-5)
+    plain = [labels[i] for i in (kernel - 2 * np.eye(len(labels))).argmax(axis=1)]
+    assert np.mean([a == b for a, b in zip(model.predict([r["text"] for r in docs])[0], plain)]) >= 0.9
+
+
+def test_unlearned_languages_go(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = langid.fit(docs.where(~held_out()))
+    foreign = ["Это просто русский текст о погоде и природе", "これは日本語の文章です", "zxq qzx jwk kqj xzz wqq vvk kkz jjq", "Tämä lyhyt kirjoitus käsittelee säätä ympäri vuoden hyvin yksityiskohtaisesti"]
+    table = spark.createDataFrame([(t,) for t in foreign], "text string")
+    assert langid.keep_known(table, model).count() == 0
+    assert langid.keep_known(docs, model).count() >= 0.99 * docs.where("text is not null").count()
+
+
 def test_toxicity_finds_exact_neighbours(spark):
     docs, labels = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
     index = toxicity.fit(docs, labels.where(~held_out()))
