@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from annalist.llm.common import materialize
+from annalist.llm.common import discard, materialize
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -30,14 +30,17 @@ def connected_components(edges: DataFrame) -> DataFrame:
         hop = materialize(hop, "hops")
         hops.append(hop)
         to_b = hop.select(F.col("a").alias("b"), F.col("p").alias("q"))
-        e = e.join(hop, "a").join(to_b, "b").where("p <> q").select(F.col("p").alias("a"), F.col("q").alias("b"))
-        e = materialize(e.distinct(), "edges")
+        smaller = e.join(hop, "a").join(to_b, "b").where("p <> q").select(F.col("p").alias("a"), F.col("q").alias("b"))
+        smaller = materialize(smaller.distinct(), "edges")
+        discard(e)
+        e = smaller
     if not hops:
         return e.select(F.col("a").alias("node"), F.col("b").alias("component"))
     labels = hops[0].select(F.col("a").alias("node"), F.col("p").alias("root"))
     for hop in hops[1:]:
         labels = labels.join(hop, labels["root"] == hop["a"], "left").select("node", F.coalesce("p", "root").alias("root"))
     labels = materialize(labels, "labels")
+    discard(e, *hops)
     least = labels.groupBy("root").agg(F.least(F.min("node"), F.min("root")).alias("component"))
     return labels.join(least, "root").select("node", "component")
 

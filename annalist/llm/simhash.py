@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from annalist.llm.common import materialize, shards_for
+from annalist.llm.common import fresh, materialize, quoted, shards_for
 from annalist.llm.components import connected_components, star_edges
 
 #: Any two of 64 bits that differ in at most 3 share at least 5 of their 8 positional bytes.
@@ -47,15 +47,16 @@ def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> i
 
 
 def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
-    """``id_col`` and ``fp``, the 64-bit fingerprint as a signed long, of every row."""
+    """``id_col``, ``fp``, the 64-bit fingerprint as a signed long, and ``same``, a hash of the text, of every row."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             fps = np.array([fingerprint(t, shingle, seed) for t in batch["text"]], dtype=np.uint64).view(np.int64)
-            yield pd.DataFrame({"id": batch["id"], "fp": fps})
+            yield pd.DataFrame({"id": batch["id"], "fp": fps, "same": batch["same"]})
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInPandas(run, f"id {kind}, fp long").withColumnRenamed("id", id_col)
+    read = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).withColumn("same", F.xxhash64("text"))
+    return read.mapInPandas(run, f"id {kind}, fp long, same long").withColumnRenamed("id", id_col)
 
 
 def _byte(position: int) -> Column:
@@ -115,6 +116,11 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     null if no row of the group has an id. Repeated rows are returned as often as they come.
     An empty table gives no rows. Extra columns are ignored.
     """
+    return _grouped(docs, id_col, text_col).select(id_col, "fp", "component_id")
+
+
+def _grouped(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``id_col, fp, same, class, component_id`` of every row; ``class`` is a group's number, also where no row has an id."""
     fps = materialize(fingerprints(docs, id_col=id_col, text_col=text_col), "fingerprints")
     distinct = materialize(fps.groupBy("fp").agg(F.min(F.col(id_col).cast("long")).alias("least")).withColumn("node", F.col("fp")), "distinct")
     index = postings(distinct)
@@ -133,15 +139,26 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     classes = distinct.join(found, "fp", "left").select("fp", "least", F.coalesce("component", "fp").alias("class"))
     classes = materialize(classes, "classes")
     least = classes.groupBy("class").agg(F.min("least").alias("component_id"))
-    return fps.join(classes.join(least, "class").select("fp", "component_id"), "fp", "left").select(id_col, "fp", "component_id")
+    return fps.join(classes.join(least, "class").select("fp", "class", "component_id"), "fp", "left").select(id_col, "fp", "same", "class", "component_id")
 
 
 def keep_first(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents that stay: of each group of near-duplicates, the one with the smallest id.
+    """One document of each group of near-duplicates: the one with the smallest id.
 
-    Rows that repeat that id are all kept if their text is in the group; a row without an id
-    is kept only if its whole group has none. Columns are those of ``docs``.
+    Of rows that repeat that id, one stays; of a group without ids, the row whose text has
+    the smallest hash. Columns are those of ``docs``.
     """
-    found = near_duplicates(docs, id_col=id_col, text_col=text_col)
-    stay = found.where(F.col(id_col).cast("long").eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("_stay")).distinct()
-    return docs.join(stay, F.col(id_col).eqNullSafe(F.col("_stay")), "left_semi")
+    found = _grouped(docs, id_col, text_col)
+    rows = found.groupBy("class", id_col, "same").agg(F.count(F.lit(1)).alias("rows"))
+    first = rows.groupBy("class").agg(F.min(F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), "same", "rows")).alias("f"))
+    of, text_hash, repeats, row = fresh(docs.columns, "stay", "text_hash", "repeats", "row")
+    first = materialize(first.select(F.col("f.id").alias(of), F.col("f.same").alias(text_hash), F.col("f.rows").alias(repeats)), "first")
+    hashed = F.xxhash64(quoted(text_col).cast("string"))
+    chosen = lambda some: quoted(id_col).eqNullSafe(some[of]) & (hashed == some[text_hash])
+    once, several = first.where(F.col(repeats) == 1), first.where(F.col(repeats) > 1)
+    kept = docs.join(once, chosen(once), "left_semi")
+    if several.isEmpty():
+        return kept
+    # few rows: only those that repeat a kept id and text meet here, one from each task
+    again = docs.join(several, chosen(several)).groupBy(of, text_hash).agg(F.first(F.struct(*map(quoted, docs.columns))).alias(row))
+    return kept.union(again.select(*[F.col(f"{row}.`{c}`").alias(c) for c in docs.columns]))

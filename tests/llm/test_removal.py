@@ -112,3 +112,11 @@ def test_simhash_is_exact(documents, monkeypatch, long_list):
     kept = simhash.keep_first(docs)
     assert kept.columns == docs.columns
     assert {r["doc_id"] for r in kept.collect()} == {c for _, c in want if c is not None}
+
+
+def test_one_document_of_each_group_stays(spark):
+    text, other = "one two three four five", "six seven eight nine ten"
+    rows = [(None, text, 1), (4, text, 2), (4, text, 3), (9, text, 4), (None, other, 5), (None, other, 6), (4, other + " eleven", 7), (1, None, 8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, stay int")
+    kept = simhash.keep_first(docs).collect()
+    assert sorted((r["doc_id"] or 0, r["text"] or "") for r in kept) == [(0, other), (1, ""), (4, text), (4, other + " eleven")]
