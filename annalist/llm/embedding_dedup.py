@@ -21,7 +21,7 @@ PROJECTIONS = 32
 WINDOW = 1.5
 #: Width of a routing cell in the same unit, and vectors of random direction wanted in a cell.
 CELL = 6.0
-CELL_ROWS = 30
+CELL_ROWS = 256
 #: Chance to lose a pair at exactly the least cosine: in counting, and in routing.
 MISS_COUNT = 1e-4
 MISS_ROUTE = 1e-3
@@ -167,12 +167,15 @@ def near_duplicates(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: s
     counted for each pair, and pairs that reach the calibrated count are verified. Only
     counts and spanning edges leave a task.
 
-    A vector that is null, empty, zero or holds null, NaN or infinity links with nothing, and
+    Ids must be whole numbers; another id is read as null. A vector that is null, empty, zero or holds null, NaN or infinity links with nothing, and
     so do vectors of different lengths. A row without an id links with nothing and has a null
     component. Repeated rows count as other rows. An empty table gives no rows; other columns
     are not looked at.
     """
-    rows = vectors.select(F.col(id_col).alias("id"), F.col(vector_col).cast("array<double>").alias("e"))
+    # floats stay floats on the way, which loses nothing; cosines are computed in double
+    kind = vectors.schema[vector_col].dataType.simpleString()
+    kind = kind if kind == "array<float>" else "array<double>"
+    rows = vectors.select(F.col(id_col).alias("id"), F.col(vector_col).cast(kind).alias("e"))
     sound = F.col("id").isNotNull() & F.coalesce(F.forall("e", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("e", lambda x: x != 0), F.lit(False))
     rows = rows.withColumn("sound", sound)
     nodes = rows.where("sound").groupBy("e").agg(F.min(F.col("id").cast("long")).alias("node"), F.count(F.lit(1)).alias("n"))
@@ -183,11 +186,11 @@ def near_duplicates(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: s
     def route(batches):
         for batch in batches:
             for _, part in batch.groupby(batch["e"].map(len)):
-                routed = cells(unit_vectors(np.stack(part["e"].to_numpy())), plan)
+                routed = cells(unit_vectors(np.stack(part["e"].to_numpy()).astype(np.float64)), plan)
                 for t in range(plan.tables):
                     yield part.assign(table=t, cell=routed[:, t])
 
-    routed = nodes.mapInPandas(route, "e array<double>, node long, n long, table int, cell long")
+    routed = nodes.mapInPandas(route, f"e {kind}, node long, n long, table int, cell long")
     large = routed.groupBy(F.col("cell").alias("_cell")).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > LARGE_CELL)
     large = materialize(large.select("_cell", F.ceil(F.col("_rows") / (LARGE_CELL / 2)).cast("int").alias("_blocks")), "large-cells")
     own = F.pmod(F.xxhash64("node"), F.coalesce("_blocks", F.lit(1))).cast("int")
