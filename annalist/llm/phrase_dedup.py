@@ -38,7 +38,7 @@ def word_symbols(data: bytes) -> np.ndarray:
     return stretch_hashes(prefix, starts, ends).astype("<u8")
 
 
-def covered_stretches(runs: list[bytes], window: int) -> Iterator[tuple[int, int, int]]:
+def covered_stretches(runs: list[bytes], window: int) -> Iterator[tuple[bytes, int, int]]:
     """``key, start, end`` of what recurring windows cover, from a shard's runs.
 
     Windows of different anchor grams differ, so a few grams are taken at a time: patterns and
@@ -55,7 +55,7 @@ def covered_stretches(runs: list[bytes], window: int) -> Iterator[tuple[int, int
         at = upto
 
 
-def _covered(found: list[tuple], window: int) -> Iterator[tuple[int, int, int]]:
+def _covered(found: list[tuple], window: int) -> Iterator[tuple[bytes, int, int]]:
     """Words are numbered here. A window recurs if it is in two contexts, or in one that stands
     for several."""
     _, contexts, counts, keys, starts, settled = map(list, zip(*found, strict=True))
@@ -85,7 +85,7 @@ def _covered(found: list[tuple], window: int) -> Iterator[tuple[int, int, int]]:
     yield from _located(list(patterns), [number[f : f + s] for f, s in zip(first, sizes, strict=True)], keys, starts, settled)
 
 
-def _located(patterns: list[tuple[int, ...]], contexts: list[np.ndarray], keys: list[int], starts: list[int], settled: list[bool]) -> Iterator[tuple[int, int, int]]:
+def _located(patterns: list[tuple[int, ...]], contexts: list[np.ndarray], keys: list[bytes], starts: list[int], settled: list[bool]) -> Iterator[tuple[bytes, int, int]]:
     import ahocorasick
 
     at = 0

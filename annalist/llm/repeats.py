@@ -28,7 +28,9 @@ HOT = 1000
 #: Positions that fit into the lower bits of a gram's hash.
 PLACES = 1 << 24
 ENTRIES_PER_RUN = 50_000
-ENTRIES_PER_SHARD = 10_000
+ENTRIES_PER_SHARD = 2_500
+#: Shards that a task takes one after the other; tasks grow with the entries, and are not put together again.
+SHARDS_PER_TASK = 8
 _R = 0x9E3779B97F4A7C15
 _R_INVERSE = pow(_R, -1, 2**64)
 
@@ -114,13 +116,13 @@ class Entry:
     gram: int
     offset: int
     content: bytes
-    key: int
+    key: bytes
     start: int
     windows: int
     settled: bool = False
 
 
-def _collapse(entries: list[Entry], kind: Kind) -> tuple[list[Entry], list[tuple[int, int, int]]]:
+def _collapse(entries: list[Entry], kind: Kind) -> tuple[list[Entry], list[tuple[bytes, int, int]]]:
     """One entry for equal contexts, and what thereby is known to be covered."""
     seen: dict[tuple[int, int, bytes], Entry] = {}
     covered = []
@@ -164,15 +166,15 @@ def pack_run(entries: list[Entry], size: int) -> bytes:
     for own, e in sorted(((suffix(e, size), e) for e in entries), key=lambda x: x[0]):
         shared = common(before, own)
         left = e.content[: e.offset * size]
-        out.append(struct.pack("<HHHHqqB", shared, len(own) - shared, len(left), e.windows, e.key, e.start, e.settled) + own[shared:] + left)
+        out.append(struct.pack(_HEAD.format, shared, len(own) - shared, len(left), e.windows, e.key, e.start, e.settled) + own[shared:] + left)
         before = own
     return zstandard.ZstdCompressor(level=3).compress(b"".join(out))
 
 
-_HEAD = struct.Struct("<HHHHqqB")
+_HEAD = struct.Struct("<HHHH16sqB")
 
 
-def read_run(run: bytes) -> Iterator[tuple[int, bytes, bytes, int, int, int, bool]]:
+def read_run(run: bytes) -> Iterator[tuple[int, bytes, bytes, int, bytes, int, bool]]:
     """``shared, suffix, left, windows, key, start, settled`` in order; shared with the one before."""
     data, at, before = zstandard.ZstdDecompressor().decompress(run, max_output_size=2**31), 0, b""
     while at < len(data):
@@ -196,15 +198,17 @@ def _runs(entries: list[Entry], kind: Kind, size: int, shards: int, hot: set[int
         yield None, None, key, start, end
 
 
-def repeated(docs: DataFrame, kind: Kind, solve: Callable[[Iterator[bytes]], Iterator[tuple[int, int, int]]], *, id_col: str, text_col: str) -> DataFrame:
+def repeated(docs: DataFrame, kind: Kind, solve: Callable[[list[bytes]], Iterator[tuple[bytes, int, int]]], *, id_col: str, text_col: str) -> DataFrame:
     """``id_col, z, covers`` for every row: the compressed text and the covered stretches.
 
     ``solve`` gets the runs of a shard and yields ``key, start, end`` of stretches, in symbols,
-    whose windows all occur again. The key of a row is a 64-bit hash of its id and text; rows
-    that agree in both are each other's copies, and share what is covered.
+    whose windows all occur again. A row is known by a 128-bit hash of its id and text; rows
+    that agree in both are each other's copies, and share what is covered. Grams find their
+    rows by 64 bits; a chance meeting there only adds grams to look at.
     """
     size = kind.symbols(b"").dtype.itemsize
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    row = F.unhex(F.md5(F.concat(id_text("id"), F.lit("\0"), F.coalesce("text", F.lit(""))).cast("binary")))
     source = source.withColumn("key", F.xxhash64(F.lit("row"), id_text("id"), F.col("text"))).where("text is not null and text <> ''")
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -217,7 +221,7 @@ def repeated(docs: DataFrame, kind: Kind, solve: Callable[[Iterator[bytes]], Ite
     def compressed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         squeeze = zstandard.ZstdCompressor(level=3).compress
         for batch in batches:
-            yield pd.DataFrame({"key": batch["key"], "z": [squeeze(t.encode("utf-8", "surrogatepass")) for t in batch["text"]]})
+            yield pd.DataFrame({"key": batch["key"], "row": batch["row"], "z": [squeeze(t.encode("utf-8", "surrogatepass")) for t in batch["text"]]})
 
     found = materialize(source.select("key", "text").mapInPandas(scan, "gram long, key long, n int"), "grams")
     again = found.groupBy(F.col("gram").alias("_gram")).agg(F.sum("n").alias("_n")).where(F.col("_n") > 1)
@@ -228,11 +232,11 @@ def repeated(docs: DataFrame, kind: Kind, solve: Callable[[Iterator[bytes]], Ite
 
     def contexts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         expand = zstandard.ZstdDecompressor().decompress
-        columns = ["shard", "run", "key", "start", "end"]
+        columns = ["shard", "run", "row", "start", "end"]
         entries: list[Entry] = []
         hot: set[int] = set()
         for batch in batches:
-            for key, z, grams in zip(batch["key"], batch["z"], batch["grams"], strict=True):
+            for key, z, grams in zip(batch["row"], batch["z"], batch["grams"], strict=True):
                 symbols = kind.symbols(expand(z))
                 own = np.array(sorted(g["gram"] & (2**64 - 1) for g in grams), dtype=np.uint64)
                 hot.update(g["gram"] & (2**64 - 1) for g in grams if g["hot"])
@@ -246,26 +250,27 @@ def repeated(docs: DataFrame, kind: Kind, solve: Callable[[Iterator[bytes]], Ite
         if entries:
             yield pd.DataFrame(list(_runs(entries, kind, size, shards, hot)), columns=columns, dtype=object)
 
-    texts = source.select("key", "text").mapInPandas(compressed, "key long, z binary")
-    parts = texts.join(wanted, F.col("key") == F.col("_key")).select("key", "z", "grams").mapInPandas(contexts, "shard int, run binary, key long, start int, end int")
+    texts = source.select("key", row.alias("row"), "text").mapInPandas(compressed, "key long, row binary, z binary")
+    parts = texts.join(wanted, F.col("key") == F.col("_key")).select("row", "z", "grams").mapInPandas(contexts, "shard int, run binary, row binary, start int, end int")
     parts = materialize(parts, "runs")
 
     def solved(shard: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame(list(solve(list(shard["run"]))), columns=["key", "start", "end"], dtype=object)
+        return pd.DataFrame(list(solve(list(shard["run"]))), columns=["row", "start", "end"], dtype=object)
 
-    covers = parts.where("shard is not null").select("shard", "run").groupBy("shard").applyInPandas(solved, "key long, start int, end int")
-    covers = covers.union(parts.where("shard is null").select("key", "start", "end"))
-    covers = covers.groupBy(F.col("key").alias("_key")).agg(F.collect_set(F.struct("start", "end")).alias("covers"))
+    dealt = parts.where("shard is not null").select("shard", "run").repartition(-(-shards // SHARDS_PER_TASK), "shard")
+    covers = dealt.groupBy("shard").applyInPandas(solved, "row binary, start int, end int")
+    covers = covers.union(parts.where("shard is null").select("row", "start", "end"))
+    covers = covers.groupBy(F.col("row").alias("_row")).agg(F.collect_set(F.struct("start", "end")).alias("covers"))
     kind_of_id = docs.schema[id_col].dataType.simpleString()
 
     def with_id(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         squeeze = zstandard.ZstdCompressor(level=3).compress
         for batch in batches:
-            yield pd.DataFrame({"id": batch["id"], "key": batch["key"], "z": [squeeze((t or "").encode("utf-8", "surrogatepass")) for t in batch["text"]]})
+            yield pd.DataFrame({"id": batch["id"], "row": batch["row"], "z": [squeeze((t or "").encode("utf-8", "surrogatepass")) for t in batch["text"]]})
 
-    everything = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).withColumn("key", F.xxhash64(F.lit("row"), id_text("id"), F.col("text")))
-    everything = everything.mapInPandas(with_id, f"id {kind_of_id}, key long, z binary")
-    return everything.join(covers, F.col("key") == F.col("_key"), "left").select(F.col("id").alias(id_col), "z", "covers")
+    everything = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).withColumn("row", row)
+    everything = everything.mapInPandas(with_id, f"id {kind_of_id}, row binary, z binary")
+    return everything.join(covers, F.col("row") == F.col("_row"), "left").select(F.col("id").alias(id_col), "z", "covers")
 
 
 def merged(covers) -> list[tuple[int, int]]:

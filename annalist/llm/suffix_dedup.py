@@ -71,7 +71,7 @@ def merge_runs(runs: list[Iterator[tuple]]) -> Iterator[tuple]:
             node //= 2
 
 
-def covered_stretches(runs: list[bytes], window: int) -> Iterator[tuple[int, int, int]]:
+def covered_stretches(runs: list[bytes], window: int) -> Iterator[tuple[bytes, int, int]]:
     """``key, start, end`` of what the windows that occur again cover, from a shard's runs.
 
     The window that starts o bytes before its anchor occurs again if another suffix shares its
