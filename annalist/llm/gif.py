@@ -27,6 +27,8 @@ LEVELS = 4
 PALETTE = np.stack([np.arange(256), np.arange(256) * 7 % 256, 255 - np.arange(256)], axis=1).astype(np.uint8)
 FRAMES_A_BATCH = 4096
 STREAMS_AT_ONCE = 1024
+#: Stored bytes whose frames a task decodes at a time; one larger GIF is decoded by itself.
+BYTES_AT_ONCE = 4 << 20
 _EMPTY = np.zeros((0, 0), dtype=np.uint8)
 
 
@@ -443,12 +445,32 @@ def frames(stored: DataFrame, *, id_col: str = "doc_id", media_col: str = "media
     return stored.select(F.col(id_col).alias("id"), F.col(media_col).alias("media")).mapInPandas(run, schema).withColumnRenamed("id", id_col)
 
 
+def _sound(media: pd.Series) -> Iterator[Gif | None]:
+    """Decoded GIFs, a few MB at a time; None for what is null or malformed."""
+    group, size = [], 0
+    for n, data in enumerate(media):
+        group.append(data)
+        size += len(data or b"")
+        if size < BYTES_AT_ONCE and n < len(media) - 1:
+            continue
+        try:
+            yield from decode_all([parse(d) for d in group])
+        except (GifError, TypeError):
+            for d in group:
+                try:
+                    yield decode(d or b"")
+                except GifError:
+                    yield None
+        group, size = [], 0
+
+
 def digests(stored: DataFrame, *, id_col: str = "doc_id") -> DataFrame:
     """What the stored bytes hold, read back: payload and media digests and the feature.
 
     The payload is what the frames' indices are. ``feature`` is the colour histogram of all
     shown frames as comma-separated counts; a frame that fills the canvas and hides nothing
     shows its own colours, so those are counted by index, and other frames are rendered.
+    Null or malformed media give a row in which all but the id and ``n_bytes`` is null.
     """
 
     def feature(gif: Gif) -> np.ndarray:
@@ -462,11 +484,13 @@ def digests(stored: DataFrame, *, id_col: str = "doc_id") -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
-            gifs = decode_all([parse(data) for data in batch["media"]])
-            for key, n, data, gif in zip(batch["id"], batch["n_bytes"], batch["media"], gifs, strict=True):
+            for key, n, data, gif in zip(batch["id"], batch["n_bytes"], batch["media"], _sound(batch["media"]), strict=True):
+                if gif is None:
+                    rows.append((key, n, *[None] * 6))
+                    continue
                 payload = b"".join(f.indices.tobytes() for f in gif.frames)
                 rows.append((key, n, len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), len(data), hashlib.sha256(data).hexdigest(), ",".join(map(str, feature(gif)))))
-            yield pd.DataFrame(rows, columns=["id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"])
+            yield pd.DataFrame(rows, columns=["id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"], dtype=object)
 
     kind = stored.schema[id_col].dataType.simpleString()
     schema = f"id {kind}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"

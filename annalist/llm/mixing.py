@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from annalist.llm.common import WORD, id_text, materialize
+from annalist.llm.common import WORD, fresh, id_text, materialize, quoted
 
 WEIGHTS = (5, 2, 1)
 MAX_REPEAT = 3
@@ -41,11 +41,18 @@ def source_targets(sized: DataFrame, weights=WEIGHTS, max_repeat: int = MAX_REPE
     return level.select("source", "source_size", "n_docs", target.alias("target"))
 
 
+def _unit(id_col: str, text_col: str, seed: str) -> Column:
+    """A number between 0 and 1 from the id; rows without an id draw by their text."""
+    own = F.when(F.col(id_col).isNull(), F.concat(F.lit(" "), F.coalesce(F.col(text_col).cast("string"), F.lit("")))).otherwise(id_text(id_col))
+    digits = F.substring(F.md5(F.concat(F.lit(seed), own).cast("binary")), 1, 13)
+    return (F.conv(digits, 16, 10).cast("long") + F.lit(0.5)) / F.lit(float(2**52))
+
+
 def mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights=WEIGHTS, max_repeat: int = MAX_REPEAT, seed: str = SEED) -> DataFrame:
     """How often the mix takes each document.
 
     Returns a row for each input row: ``id_col, source, size, source_size, target, copies,
-    taken`` (``taken`` = ``copies`` x ``size``). A document is due target / source_size
+    taken, draw`` (``taken`` = ``copies`` x ``size``; ``draw`` is the row's random number). A document is due target / source_size
     copies. Its whole copies are certain. The fraction is drawn: documents of a source are
     ranked by their random odds divided by their inclusion odds, and the ranking's longest
     prefix whose words fit what the target leaves is taken. One closing document of the
@@ -59,11 +66,10 @@ def mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sour
     seeing its size.
 
     Null text, empty text: size 0, no copies drawn, taken 0. Null source: a source of its
-    own, the last. Rows with the same id are drawn together. Extra columns are ignored.
+    own, the last. Rows with the same id are drawn together, rows without an id by their text. Extra columns are ignored.
     An empty table gives no rows.
     """
-    unit = (F.conv(F.substring(F.md5(F.concat(F.lit(seed), id_text(id_col)).cast("binary")), 1, 13), 16, 10).cast("long") + F.lit(0.5)) / F.lit(float(2**52))
-    sized = docs.select(F.col(id_col).alias(id_col), F.col(source_col).cast("string").alias("source"), word_count(text_col).alias("size"), unit.alias("u"))
+    sized = docs.select(F.col(id_col).alias(id_col), F.col(source_col).cast("string").alias("source"), word_count(text_col).alias("size"), _unit(id_col, text_col, seed).alias("u"))
     sized = materialize(sized, "sized")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     sources = source_targets(sized, weights, max_repeat).withColumn("whole", F.floor(rate)).withColumn("part", rate - F.col("whole"))
@@ -94,20 +100,21 @@ def mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sour
     marked = marked.join(nearest, marked["source"].eqNullSafe(nearest["of"]), "left").drop("of")
     closing = F.coalesce((F.col("order") == F.col("near_order")) & (F.col("tie") == F.col("near_tie")), F.lit(False))
     copies = F.coalesce(F.col("whole"), F.lit(0)) + F.when(F.col("chosen") | closing, 1).otherwise(0)
-    return marked.select(id_col, "source", "size", "source_size", "target", copies.cast("long").alias("copies"), (copies * F.col("size")).cast("long").alias("taken"))
+    return marked.select(id_col, "source", "size", "source_size", "target", copies.cast("long").alias("copies"), (copies * F.col("size")).cast("long").alias("taken"), F.col("u").alias("draw"))
 
 
 def apply_mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
     """The mix itself: each row of ``docs`` as often as ``mix`` takes it, with the same columns.
 
-    Rows of one id, source and size fare alike, so they find their number by these.
+    Rows of one draw, source and size fare alike, so they find their number by these.
     """
+    draw, source, size, n, words, number, copy = fresh(docs.columns, "draw_of", "source_of", "size_of", "copies_of", "words", "number", "copy")
     copies = mix(docs, id_col=id_col, text_col=text_col, source_col=source_col, **options)
-    copies = copies.where("copies > 0").groupBy(F.col(id_col).alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size")).agg(F.max("copies").alias("_copies"))
-    own = docs.withColumn("_words", word_count(text_col))
-    same = own[id_col].eqNullSafe(copies["_id"]) & own[source_col].cast("string").eqNullSafe(copies["_source"]) & (own["_words"] == copies["_size"])
-    taken = own.join(copies, same).withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))
-    return taken.select(*[F.col(f"`{c}`") for c in docs.columns])
+    copies = copies.where("copies > 0").groupBy(F.col("draw").alias(draw), F.col("source").alias(source), F.col("size").alias(size)).agg(F.max("copies").alias(n))
+    own = docs.withColumn(words, word_count(text_col)).withColumn(number, _unit(id_col, text_col, options.get("seed", SEED)))
+    same = (own[number] == copies[draw]) & quoted(source_col).cast("string").eqNullSafe(copies[source]) & (own[words] == copies[size])
+    taken = own.join(copies, same).withColumn(copy, F.explode(F.sequence(F.lit(1).cast("long"), F.col(n))))
+    return taken.select(*map(quoted, docs.columns))
 
 
 #: What ``op8_mix_sources`` returns, as DuckDB SQL.
