@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from annalist.llm.common import materialize, sample_order, shards_for, text_batches
 
 #: Bound of the fit: labelled examples.
-MAX_EXAMPLES = 20_000
+MAX_EXAMPLES = 4_000
 #: A term whose chi-squared value reaches this, and that is commoner in toxic examples, weighs
 #: the root of that value more.
 MIN_CHI2 = 25.0
