@@ -3,12 +3,17 @@
 from __future__ import annotations
 
 import json
+import re
+import unicodedata
+from decimal import Decimal
 
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from annalist.functions.text import attribute_texts, normalize
+
 
 def sha256_hex(value: Column) -> Column:
     return F.sha2(value, 256)
@@ -43,10 +48,19 @@ def parse_key(*parts: Column) -> Column:
     return sha256_hex(F.concat_ws("\u001f", *parts))
 
 
-@F.pandas_udf(T.StringType())
-def canonical_json(documents: pd.Series) -> pd.Series:
-    """Any JSON text with sorted keys, no blanks and NFC strings; malformed text gives null."""
-    import unicodedata
+class NotCanonical(ValueError):
+    """A value without a canonical form."""
+
+
+def canonical_text(document: str) -> str:
+    """JSON text with sorted keys, no blanks, NFC strings and plain numbers.
+
+    Integers stay; decimals lose exponents and zeros at their end. Keys that become one,
+    NaN and infinity, and lone surrogates are errors.
+    """
+
+    def wrong(name: str):
+        raise NotCanonical(name)
 
     def normal(value):
         if isinstance(value, str):
@@ -56,20 +70,191 @@ def canonical_json(documents: pd.Series) -> pd.Series:
         if isinstance(value, dict):
             out = {normal(k): normal(v) for k, v in value.items()}
             if len(out) < len(value):
-                raise ValueError("keys collide")
+                raise NotCanonical("keys collide")
             return out
         return value
 
+    class Plain(float):
+        """A number that is written as its decimal text."""
+
+        def __new__(cls, text: str):
+            own = super().__new__(cls, text)
+            own.text = _plain_decimal(text)
+            return own
+
+        def __repr__(self) -> str:
+            return self.text
+
+    out = json.dumps(_holding(normal(json.loads(document, parse_float=Plain, parse_constant=wrong))), sort_keys=True, separators=(",", ":"), ensure_ascii=False, allow_nan=False)
+    out = _MARK.sub(lambda m: m[1], out)
+    out.encode("utf-8")
+    return out
+
+
+_MARK = re.compile('"\ufdd0([0-9.-]+)\ufdd0"')
+
+
+def _holding(value):
+    """The same tree with decimals as marked strings, as the encoder writes floats its own way."""
+    if isinstance(value, float):
+        return f"\ufdd0{value!r}\ufdd0"
+    if isinstance(value, list):
+        return [_holding(v) for v in value]
+    return {k: _holding(v) for k, v in value.items()} if isinstance(value, dict) else value
+
+
+def _plain_decimal(text: str) -> str:
+    value = Decimal(text)
+    if not value.is_finite():
+        raise NotCanonical(text)
+    plain = f"{value:f}"
+    plain = plain.rstrip("0").rstrip(".") if "." in plain else plain
+    return "0" if plain in ("-0", "") else plain
+
+
+@F.pandas_udf(T.StringType())
+def canonical_json(documents: pd.Series) -> pd.Series:
+    """The canonical form of JSON texts; null for what has none."""
+
     def one(text):
         try:
-            return None if text is None else json.dumps(normal(json.loads(text)), sort_keys=True, separators=(",", ":"), ensure_ascii=False, allow_nan=False)
-        except ValueError:
+            return None if text is None else canonical_text(text)
+        except (ValueError, ArithmeticError):
             return None
 
     return documents.map(one)
 
 
+def canonical_sha256(document: Column) -> Column:
+    """The hash of a nested JSON document, whatever the order of its keys."""
+    return sha256_hex(canonical_json(document))
+
+
+def _quoted(text: Column) -> Column:
+    """A JSON string with only the escapes that JSON needs."""
+    return F.regexp_extract(F.to_json(F.struct(text.alias("v")), {"ignoreNullFields": "false"}), r"^\{\"v\":(.*)\}$", 1)
+
+
+def identity_hash(url: Column, attributes: Column) -> Column:
+    """``v1:`` and the hash of a page's URL and stable attributes (a map of strings).
+
+    Names and values are compared in folded case with white space squeezed; null and empty
+    ones don't count. Null if two names become one.
+    """
+    pairs = F.arrays_zip(attribute_texts(F.map_keys(attributes)).alias("k"), attribute_texts(F.map_values(attributes)).alias("v"))
+    named = F.transform(pairs, lambda p: F.struct(p["k"].alias("k"), p["v"].alias("v")))
+    return _identity(F.trim(url), named)
+
+
+def _identity(url: Column, pairs: Column) -> Column:
+    kept = F.array_sort(F.filter(pairs, lambda p: F.coalesce(p["v"] != "", F.lit(False))))
+    names = F.transform(kept, lambda p: p["k"])
+    body = F.array_join(F.transform(kept, lambda p: F.concat(_quoted(p["k"]), F.lit(":"), _quoted(p["v"]))), ",")
+    text = F.concat(F.lit('{"attributes":{'), body, F.lit('},"url":'), _quoted(url), F.lit(',"v":1}'))
+    return F.when(F.size(F.array_distinct(names)) == F.size(names), F.concat(F.lit("v1:"), sha256_hex(text)))
+
+
+def state_hash(core: Column, attributes: Column, latest_state: Column) -> Column:
+    """``v1:`` and the hash of three JSON objects; null if one of them has no canonical form."""
+    text = F.concat(F.lit('{"attributes":'), canonical_json(attributes), F.lit(',"core":'), canonical_json(core), F.lit(',"latest_state":'), canonical_json(latest_state), F.lit(',"v":1}'))
+    return F.concat(F.lit("v1:"), sha256_hex(text))
+
+
+def translation_key(article_version: Column, target: Column, provider: Column, model: Column, glossary: Column) -> Column:
+    """Identity of a translation of an article's version."""
+    return flat_hash(article_version_id=article_version, glossary_version=glossary, model_version=model, provider=provider, target_language=F.lower(F.trim(target)))
+
+
+def segment_hash(masked: Column) -> Column:
+    return sha256_hex(normalize(masked))
+
+
+def memory_key(source: Column, target: Column, segment: Column, provider: Column, model: Column, glossary: Column) -> Column:
+    """Key of a translated segment; the provider is an object of its own in it."""
+    nested = F.struct(glossary.alias("glossary_version"), segment.alias("normalized_segment_hash"), F.struct(model.alias("model_version"), provider.alias("name")).alias("provider"), source.alias("source_language"), target.alias("target_language"))
+    return sha256_hex(F.to_json(nested, {"ignoreNullFields": "false"}))
+
+
+#: Bounds of nested documents, and of what an event carries itself.
+BOUNDS = {"depth": 8, "items": 256, "keys": 512, "characters": 65_536, "key_characters": 256, "bytes": 1 << 20}
+INLINE_BYTES = 256 * 1024
+
+
+def _beyond(value, depth: int = 1, path: str = "$") -> str | None:
+    """Where a tree first goes beyond a bound, and which; None if it does not."""
+    if depth > BOUNDS["depth"]:
+        return f"{path}: depth"
+    if isinstance(value, str) and len(value) > BOUNDS["characters"]:
+        return f"{path}: characters"
+    if isinstance(value, int) and not isinstance(value, bool) and not -(2**63) <= value < 2**63:
+        return f"{path}: integer"
+    if isinstance(value, list):
+        inner = ((f"{path}[{n}]", v) for n, v in enumerate(value))
+        return f"{path}: items" if len(value) > BOUNDS["items"] else next(filter(None, (_beyond(v, depth + 1, p) for p, v in inner)), None)
+    if isinstance(value, dict):
+        long = next((k for k in value if len(k) > BOUNDS["key_characters"]), None)
+        if len(value) > BOUNDS["keys"] or long is not None:
+            return f"{path}: keys" if long is None else f"{path}: key_characters"
+        return next(filter(None, (_beyond(v, depth + 1, f"{path}.{k}") for k, v in value.items())), None)
+    return None
+
+
+@F.pandas_udf(T.StringType())
+def unbounded(documents: pd.Series) -> pd.Series:
+    """Why a JSON text is no bounded object, with the place; null if it is one."""
+
+    def one(text):
+        try:
+            if text is None or not isinstance(value := json.loads(text), dict):
+                return "$: object"
+            return _beyond(value) or ("$: bytes" if len(canonical_text(text).encode()) > BOUNDS["bytes"] else None)
+        except (ValueError, ArithmeticError, RecursionError):
+            return "$: json"
+
+    return documents.map(one)
+
+
+def encoded_event(event: Column, media_type: str) -> Column:
+    """``bytes, media_type, sha256, too_large`` of an event's JSON; a large one belongs into an artifact."""
+    data = F.encode(canonical_json(event), "UTF-8")
+    large = F.octet_length(data) > INLINE_BYTES
+    return F.struct(F.when(~large, data).alias("bytes"), F.lit(media_type).alias("media_type"), F.sha2(data, 256).alias("sha256"), large.alias("too_large"))
+
+
+def decoded_event(data: Column, schema: str) -> Column:
+    """The event in canonical bytes, as a struct; null for bytes that are no such event."""
+    return F.from_json(F.decode(data, "UTF-8"), schema)
+
+
 def uuid7_time(value: Column) -> Column:
     """The time in a version 7 UUID; null for another version."""
     ms = F.conv(F.concat(F.substring(value, 1, 8), F.substring(value, 10, 4)), 16, 10).cast("long")
-    return F.when(F.substring(value, 15, 1) == "7", F.timestamp_millis(ms))
+    return F.when(is_uuid(value, 7), F.timestamp_millis(ms))
+
+
+def uuid7(ts: Column, place: Column, seed: Column) -> Column:
+    """A version 7 UUID from a time, a place among the rows of one millisecond, and a seed.
+
+    Ids grow with time and place (12 bits), and the seed's hash fills the rest, so that reruns
+    give the same ids.
+    """
+    ms = F.lpad(F.lower(F.hex(F.unix_millis(ts.cast("timestamp")))), 12, "0")
+    twelve = F.lpad(F.lower(F.hex(F.pmod(place, F.lit(4096)).cast("long"))), 3, "0")
+    noise = sha256_hex(seed.cast("string"))
+    variant = F.element_at(F.array(*map(F.lit, "89ab")), (F.conv(F.substring(noise, 1, 1), 16, 10).cast("int") % 4 + 1).cast("int"))
+    return F.concat(F.substring(ms, 1, 8), F.lit("-"), F.substring(ms, 9, 4), F.lit("-7"), twelve, F.lit("-"), variant, F.substring(noise, 2, 3), F.lit("-"), F.substring(noise, 5, 12))
+
+
+def is_uuid(value: Column, version: int | None = None) -> Column:
+    digit = "[0-9a-f]" if version is None else str(version)
+    return F.coalesce(value.rlike(f"^[0-9a-f]{{8}}-[0-9a-f]{{4}}-{digit}[0-9a-f]{{3}}-[0-9a-f]{{4}}-[0-9a-f]{{12}}$"), F.lit(False))
+
+
+def raw_object_key(content: Column) -> Column:
+    """Where the bytes of a page are kept."""
+    return F.concat(F.lit("raw/"), F.sha2(content, 256))
+
+
+def normalized_object_key(entity: Column, digest: Column) -> Column:
+    """Where a normalised document is kept; null for a digest that is none."""
+    return F.when(digest.rlike("^[0-9a-f]{64}$"), F.concat(F.lit("normalized/"), entity, F.lit("/"), digest, F.lit(".json")))

@@ -1,8 +1,7 @@
-"""Text: normal form, numbers, protected spans and the language decision."""
+"""Text: normal form, numbers, labels, and which language a text is in."""
 
 from __future__ import annotations
 
-import re
 import unicodedata
 
 import pandas as pd
@@ -56,72 +55,131 @@ def normalize_number(raw: Column) -> Column:
     return F.concat(sign, plain)
 
 
-#: What a translation must not change, in the order in which spans are claimed.
-_NUMBER = r"\d{1,3}(?:[   .,]\d{3})+(?:[.,]\d+)?(?!\d)|\d+(?:[.,]\d+)?"
-PROTECTED = (
-    ("url", re.compile(r"(?:https?://|www\.)[^\s<>\"'«»]+", re.IGNORECASE)),
-    ("email", re.compile(r"(?<![\w.+-])[\w.+-]{1,64}@[\w-]+(?:\.[\w-]+)+")),
-    ("date", re.compile(r"(?<!\d)(?:\d{1,2}[./]\d{1,2}[./]\d{2,4}|\d{4}-\d{2}-\d{2})(?!\d)")),
-    ("number", re.compile(rf"(?<![\w.,])(?:[€$£]\s?)?(?:{_NUMBER})(?:\s?[%‰€$£])?(?!\d)")),
-)
-
-
-def mask_text(text: str, glossary: tuple[str, ...] = ()) -> tuple[str, list[str]]:
-    """The text with protected spans as ``<x id="N"/>``, and the spans. Earlier claims win."""
-    claimed: list[tuple[int, int]] = []
-
-    def claim(pattern: re.Pattern) -> None:
-        for m in pattern.finditer(text):
-            if all(m.end() <= a or m.start() >= b for a, b in claimed):
-                claimed.append(m.span())
-
-    for kind, pattern in PROTECTED:
-        if kind == "date" and glossary:
-            claim(re.compile("|".join(re.escape(t) for t in sorted(glossary, key=len, reverse=True))))
-        claim(pattern)
-    out, spans, at = [], [], 0
-    for n, (start, end) in enumerate(sorted(claimed), 1):
-        out += [text[at:start], f'<x id="{n}"/>']
-        spans.append(text[start:end])
-        at = end
-    return "".join([*out, text[at:]]), spans
-
-
-@F.pandas_udf(T.StructType().add("masked", T.StringType()).add("spans", T.ArrayType(T.StringType())))
-def mask(texts: pd.Series) -> pd.DataFrame:
-    found = [(None, None) if t is None else mask_text(t) for t in texts]
-    return pd.DataFrame({"masked": [m for m, _ in found], "spans": [s for _, s in found]}, dtype=object)
-
-
-def unmask(masked: Column, spans: Column) -> Column:
-    """Put the spans back; placeholders with unknown numbers stay."""
-    numbered = F.transform(spans, lambda s, i: F.struct((i + 1).alias("n"), s.alias("s")))
-    return F.aggregate(F.reverse(numbered), masked, lambda text, s: F.replace(text, F.concat(F.lit('<x id="'), s["n"].cast("string"), F.lit('"/>')), s["s"]))
-
-
-def preservation_issues(masked: Column, spans: Column, translated: Column) -> Column:
-    """What a translation did to the placeholders: sorted codes, empty if all is well."""
-    wanted = F.transform(spans, lambda s, i: (i + 1).cast("string"))
-    found = F.regexp_extract_all(translated, F.lit(r'<x id="(\d+)"/>'), 1)
-    codes = F.array(
-        F.when(F.size(F.array_except(wanted, found)) > 0, "placeholder_missing"),
-        F.when(F.size(F.array_except(found, wanted)) > 0, "placeholder_unknown"),
-        F.when(F.size(F.array_distinct(found)) < F.size(found), "placeholder_duplicate"),
+def attribute_text(text: Column) -> Column:
+    """NFC, white space squeezed, case folded (not only lowered): how identity compares attributes."""
+    ascii_form = F.lower(F.trim(F.regexp_replace(text, r"[\x09-\x0D\x1C-\x20]+", " ")))
+    return F.when(text.rlike(_ASCII), ascii_form).otherwise(_folded(F.when(~text.rlike(_ASCII), text)))
+
+
+@F.pandas_udf(T.StringType())
+def _folded(texts: pd.Series) -> pd.Series:
+    return texts.map(lambda t: None if t is None else " ".join(unicodedata.normalize("NFC", t).split()).casefold())
+
+
+def language_tag(tag: Column) -> Column:
+    """The two-letter language of a tag or locale such as ``de-AT`` and ``pt_BR``; null for anything else."""
+    primary = F.lower(F.regexp_extract(F.trim(tag), r"^([^-_]*)", 1))
+    return F.when(primary.rlike("^[a-z]{2}$"), primary)
+
+
+def attribute_texts(texts: Column) -> Column:
+    """``attribute_text`` of each of an array of texts; only arrays beyond ASCII leave the JVM."""
+    plain = F.forall(texts, lambda t: t.isNull() | t.rlike(_ASCII))
+    ascii_form = F.transform(texts, lambda t: F.lower(F.trim(F.regexp_replace(t, r"[\x09-\x0D\x1C-\x20]+", " "))))
+    return F.when(plain, ascii_form).otherwise(_all_folded(F.when(~plain, texts)))
+
+
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def _all_folded(arrays: pd.Series) -> pd.Series:
+    fold = lambda t: None if t is None else " ".join(unicodedata.normalize("NFC", t).split()).casefold()
+    return arrays.map(lambda a: None if a is None else [fold(t) for t in a])
+
+
+#: Labels of access, and what some of them are called elsewhere.
+ACCESS = ("full", "partial", "metadata_only", "blocked", "challenge", "premium", "gone", "unknown")
+ACCESS_ALIASES = {"free": "full", "body_unavailable": "metadata_only", "retryable": "retryable"}
+
+
+def access_state(label: Column) -> Column:
+    """A label of access in one vocabulary; null for a label that is not known."""
+    key = F.lower(F.trim(label))
+    known = F.create_map(*[F.lit(x) for k in [*ACCESS_ALIASES, *ACCESS] for x in (k, ACCESS_ALIASES.get(k, k))])
+    return known[key]
+
+
+def schema_version(value: Column) -> Column:
+    """``major, minor`` of ``major.minor``; null for another form."""
+    pair = F.split(value, r"\.")
+    parsed = F.struct(pair[0].cast("int").alias("major"), pair[1].cast("int").alias("minor"))
+    return F.when(value.rlike(r"^(0|[1-9][0-9]{0,8})\.(0|[1-9][0-9]{0,8})$"), parsed)
+
+
+def readable(version: Column, own: str) -> Column:
+    """Whether a reader of version ``own`` takes a document: same major number, minor not above."""
+    major, minor = map(int, own.split("."))
+    parsed = schema_version(version)
+    return F.coalesce((parsed["major"] == major) & (parsed["minor"] <= minor), F.lit(False))
+
+
+#: Parameters whose values are secrets.
+SECRET_PARAMETERS = "token|api[_-]?key|apikey|password|passwd|secret|signature|sig"
+
+
+def redact(message: Column) -> Column:
+    """No credentials in URLs, no values of secret parameters."""
+    anonymous = F.regexp_replace(message, r"([a-zA-Z][\w+.-]*://)[^/\s:@]+:[^/\s@]*@", "$1[redacted]@")
+    return F.regexp_replace(anonymous, rf"(?i)({SECRET_PARAMETERS})=[^\s&#\"']+", "$1=[redacted]")
+
+
+def shortened(message: Column, limit: int = 2048) -> Column:
+    """At most ``limit`` characters, the last an ellipsis if something is left out."""
+    return F.when(F.length(message) > limit, F.concat(F.substring(message, 1, limit - 1), F.lit("…"))).otherwise(message)
+
+
+def classified(ranking: Column, supported: list[str], *, target: str = "uk", min_confidence: float = 0.6, neighbour: float = 0.3) -> Column:
+    """``language, confidence, uncertain, candidate`` of a ranking of (language, confidence), best first.
+
+    The best language's confidence is its share among the supported ones. If it is not
+    supported, a supported one with enough confidence stands in, as an uncertain answer.
+    Null if the ranking is empty.
+    """
+    ours = [*supported, target]
+    fits = F.filter(ranking, lambda r: r["language"].isin(*ours))
+    best, near = F.try_element_at(ranking, F.lit(1)), F.try_element_at(fits, F.lit(1))
+    mass = F.aggregate(fits, F.lit(0.0), lambda a, r: a + r["confidence"])
+    answer = lambda language, confidence, unsure: F.struct(language.alias("language"), confidence.alias("confidence"), unsure.alias("uncertain"), best["language"].alias("candidate"))
+    share = F.when(mass > 0, best["confidence"] / mass).otherwise(best["confidence"])
+    own = answer(best["language"], share, share < min_confidence)
+    other = answer(near["language"], near["confidence"], F.lit(True))
+    alone = answer(best["language"], best["confidence"], best["confidence"] < min_confidence)
+    return F.when(best.isNotNull(), F.when(best["language"].isin(*ours), own).when(near["confidence"] >= neighbour, other).otherwise(alone))
+
+
+def article_language(declared: Column, root_lang: Column, text: Column, ranking: Column, supported: list[str], **options) -> Column:
+    """``language, confidence, basis, uncertain, candidate`` of an article: what it says of itself, else the classifier."""
+    found = classified(ranking, supported, **options)
+    answer = lambda language, confidence, basis, unsure, candidate: F.struct(language.cast("string").alias("language"), confidence.cast("double").alias("confidence"), F.lit(basis).alias("basis"), unsure.alias("uncertain"), candidate.cast("string").alias("candidate"))
+    none, no, yes = F.lit(None), F.lit(False), F.lit(True)
+    by_class = answer(found["language"], F.coalesce(found["confidence"], F.lit(0.0)), "classifier", F.coalesce(found["uncertain"], yes), found["candidate"])
+    empty = F.coalesce(F.trim(text) == "", yes)
+    return (
+        F.when(language_tag(declared).isNotNull(), answer(language_tag(declared), F.lit(1.0), "metadata", no, none))
+        .when(language_tag(root_lang).isNotNull(), answer(language_tag(root_lang), F.lit(1.0), "lang_attribute", no, none))
+        .when(empty, answer(none, F.lit(0.0), "none", yes, none))
+        .otherwise(by_class)
     )
-    return F.array_sort(F.array_compact(codes))
 
 
-def language_decision(declared: Column, ranking: Column, text: Column, *, min_confidence: float = 0.6, short: int = 30) -> Column:
-    """``language, basis, uncertain`` of a text from the declared one and a ranking.
+def segment_language(own_lang: Column, text: Column, ranking: Column, article: Column, supported: list[str], *, short: int = 30, min_confidence: float = 0.6) -> Column:
+    """The same of a segment: its own attribute, the article's language if it is short, else the classifier.
 
-    ``ranking`` is an array of (language, confidence). A declared language decides; a text
-    that is short or has no letter stays undecided; the best of the ranking decides if its
-    share of the confidences is enough, and is uncertain otherwise.
+    A classifier that is not sure leaves the article's language, marked as uncertain, with
+    its own candidate beside it.
     """
-    total = F.aggregate(ranking, F.lit(0.0), lambda a, r: a + r["confidence"])
-    best = F.reduce(ranking, F.struct(F.lit("").alias("language"), F.lit(-1.0).alias("confidence")), lambda a, r: F.when(r["confidence"] > a["confidence"], F.struct(r["language"].alias("language"), r["confidence"].alias("confidence"))).otherwise(a))
-    share = F.when(total > 0, best["confidence"] / total).otherwise(0.0)
+    found = classified(ranking, supported, min_confidence=min_confidence)
+    answer = lambda language, confidence, basis, unsure, candidate: F.struct(language.cast("string").alias("language"), confidence.cast("double").alias("confidence"), F.lit(basis).alias("basis"), unsure.alias("uncertain"), candidate.cast("string").alias("candidate"))
+    inherited = answer(article["language"], article["confidence"], "inherited", article["uncertain"], article["candidate"])
     small = (F.length(text) < short) | ~text.rlike(r"\p{L}")
-    language = F.when(declared.isNotNull(), declared).when(small | (F.size(ranking) == 0), None).otherwise(best["language"])
-    basis = F.when(declared.isNotNull(), "declared").when(small, "short").when(F.size(ranking) == 0, "none").otherwise("classifier")
-    return F.struct(language.alias("language"), basis.alias("basis"), ((basis == "classifier") & (share < min_confidence)).alias("uncertain"))
+    sure = F.coalesce((found["confidence"] >= min_confidence) | (found["candidate"] != found["language"]), F.lit(False))
+    unsure = answer(article["language"], F.coalesce(found["confidence"], F.lit(0.0)), "inherited", F.lit(True), found["candidate"])
+    return (
+        F.when(language_tag(own_lang).isNotNull(), answer(language_tag(own_lang), F.lit(1.0), "lang_attribute", F.lit(False), F.lit(None)))
+        .when(small, inherited)
+        .when(sure, answer(found["language"], found["confidence"], "classifier", found["uncertain"], found["candidate"]))
+        .otherwise(unsure)
+    )
+
+
+def action(language: Column, supported: list[str], target: str = "uk") -> Column:
+    """What to do with a segment in a language."""
+    return F.when(language == target, "keep").when(language.isin(*supported), "translate").otherwise("unsupported")

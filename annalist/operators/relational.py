@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from decimal import Decimal
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -79,22 +82,136 @@ def prior_median(df: DataFrame, key: str, order: list[str], value: str, runs: in
     return df.withColumn("_n", F.size(values)).withColumn("prior_median", F.when(F.col("_n") == runs, F.try_element_at(values, F.lit(half + 1)) if runs % 2 else middle)).drop("_n")
 
 
+def refill_rate(per_second: float, unit: int = 10_000) -> tuple[int, int]:
+    """Ten-thousandths of a token by microsecond as an exact fraction, so that rounding down is the same everywhere."""
+    return (Decimal(str(per_second)) * unit / 1_000_000).as_integer_ratio()
+
+
 def token_bucket(requests: DataFrame, *, origin: str = "origin", at: str = "at", tie: str = "request_id", capacity: int = 1, per_second: float = 0.2) -> DataFrame:
     """``origin, request_id, granted``: each origin's requests against its bucket, in order.
 
     Tokens are whole ten-thousandths, as refills are rounded down; only a grant costs one.
-    An origin's requests are folded in one array.
+    An origin's requests are read in order from a sort that spills, with the bucket as state.
+    """
+    names = ["origin", "t", "tie"]
+    rows = requests.select(F.col(origin).alias("origin"), F.unix_micros(F.col(at).cast("timestamp")).alias("t"), F.col(tie).alias("tie"))
+    unit, (num, den) = 10_000, refill_rate(per_second)
+
+    def grant(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        of, last, tokens = None, None, 0
+        for batch in batches:
+            out = []
+            for who, t, own in zip(*(batch[c].tolist() for c in names), strict=True):
+                if last is None or who != of:
+                    of, last, tokens = who, t, capacity * unit
+                tokens = min(capacity * unit, tokens + (t - last) * num // den)
+                granted = tokens >= unit
+                tokens, last = tokens - unit * granted, t
+                out.append((who, own, granted))
+            yield pd.DataFrame(out, columns=["origin", "tie", "granted"])
+
+    kinds = {c: rows.schema[c].dataType.simpleString() for c in names}
+    found = rows.repartition("origin").sortWithinPartitions(*names).mapInPandas(grant, f"origin {kinds['origin']}, tie {kinds['tie']}, granted boolean")
+    return found.select(F.col("origin").alias(origin), F.col("tie").alias(tie), "granted")
+
+
+def insert_or_conflict(target: DataFrame, incoming: DataFrame, keys: list[str]) -> DataFrame:
+    """What inserting rows would do to each: ``created``, ``same`` or ``conflict``, beside the keys.
+
+    A key that is present with other values is a conflict, and so is the second of two
+    different new rows of one key, by their values' order. Values are compared null-safely.
+    """
+    values = [c for c in target.columns if c not in keys]
+    old = target.select(*keys, F.struct(*values).alias("_old"), F.lit(True).alias("_is"))
+    first = incoming.groupBy(*keys).agg(F.min(F.struct(*values)).alias("_first"))
+    new = incoming.select(*keys, F.struct(*values).alias("_new")).join(first, keys).join(old, keys, "left")
+    against = F.when(F.col("_is"), F.col("_old")).otherwise(F.col("_first"))
+    status = F.when(~F.col("_new").eqNullSafe(against), "conflict").when(F.col("_is"), "same").otherwise("created")
+    return new.select(*keys, F.col("_new.*"), status.alias("status"))
+
+
+def next_versions(target: DataFrame, incoming: DataFrame, key: str, *, step: str, version: str = "version") -> DataFrame:
+    """Number new rows of a key after its present versions; a step that is present keeps its version.
+
+    ``step`` identifies the work that made a row, so a repeated delivery gets no number of
+    its own. Repeats within ``incoming`` count once; new rows are numbered by their step.
     """
-    unit = 10_000
-    items = F.array_sort(F.collect_list(F.struct(F.unix_micros(F.col(at).cast("timestamp")).alias("t"), F.col(tie).alias("id"))))
-    start = F.expr(f"named_struct('t', cast(null as bigint), 'tokens', cast({capacity * unit} as bigint), 'out', cast(array() as array<struct<id: bigint, granted: boolean>>))")
-
-    def step(acc: Column, x: Column) -> Column:
-        refill = F.floor((x["t"] - F.coalesce(acc["t"], x["t"])) * F.lit(per_second * unit) / 1_000_000).cast("long")
-        tokens = F.least(F.lit(capacity * unit).cast("long"), acc["tokens"] + refill)
-        granted = tokens >= unit
-        row = F.struct(x["id"].alias("id"), granted.alias("granted"))
-        return F.struct(x["t"].alias("t"), (tokens - F.when(granted, unit).otherwise(0)).cast("long").alias("tokens"), F.concat(acc["out"], F.array(row)).alias("out"))
-
-    folded = requests.groupBy(origin).agg(F.aggregate(items, start, step)["out"].alias("out"))
-    return folded.select(origin, F.inline("out")).withColumnRenamed("id", tie)
+    done = target.select(key, step, F.col(version).alias("_had")).dropDuplicates([key, step])
+    top = target.groupBy(key).agg(F.max(version).alias("_top"))
+    new = incoming.dropDuplicates([key, step]).join(done, [key, step], "left").join(top, key, "left")
+    place = F.row_number().over(Window.partitionBy(key, F.col("_had").isNull()).orderBy(step))
+    numbered = new.withColumn(version, F.coalesce(F.col("_had"), F.coalesce("_top", F.lit(0)) + place).cast("long"))
+    return numbered.withColumn("created", F.col("_had").isNull()).drop("_had", "_top")
+
+
+def expired_leases(jobs: DataFrame, now: Column, max_attempts: Column) -> DataFrame:
+    """What becomes of jobs whose lease has passed: ``retry``, or ``dead`` after the last attempt."""
+    lapsed = jobs.where((F.col("status") == "leased") & (F.col("lease_expires_at") <= now))
+    return lapsed.withColumn("next_status", F.when(F.col("attempt") < max_attempts, "retry").otherwise("dead"))
+
+
+def can_commit(claims: DataFrame, now: Column, generation: Column) -> DataFrame:
+    """Adds ``can_commit``: the claim is leased, of that generation, and its lease has not passed."""
+    return claims.withColumn("can_commit", F.coalesce((F.col("status") == "leased") & (F.col("claim_generation") == generation) & (F.col("lease_expires_at") > now), F.lit(False)))
+
+
+def orphans(objects: DataFrame, references: DataFrame, claims: DataFrame, now: Column, grace_seconds: int, *, key: str = "object_key") -> DataFrame:
+    """Objects that nothing refers to, whose claim is not live, and that are older than the grace period."""
+    live = claims.where((F.col("status") == "leased") & (F.col("lease_expires_at") > now)).select(key)
+    old = F.unix_micros(now.cast("timestamp")) - F.unix_micros(F.col("created_at").cast("timestamp")) > grace_seconds * 1_000_000
+    return objects.where(old).join(references.select(key), key, "left_anti").join(live, key, "left_anti")
+
+
+def swept(candidates: DataFrame, live_again: DataFrame, *, key: str = "object_key") -> DataFrame:
+    """A sweep's report: each candidate is ``deleted``, or ``skipped`` if it was claimed meanwhile."""
+    again = live_again.select(F.col(key), F.lit(True).alias("_live")).distinct()
+    return candidates.join(again, key, "left").withColumn("result", F.when(F.col("_live"), "skipped").otherwise("deleted")).drop("_live")
+
+
+def backlog(outbox: DataFrame, now: Column, by: str) -> DataFrame:
+    """``by, waiting, parked, oldest_seconds`` of what is not published."""
+    waiting = outbox.where(F.col("published_at").isNull())
+    age = (F.unix_micros(now.cast("timestamp")) - F.min(F.when(~F.col("parked"), F.unix_micros(F.col("created_at").cast("timestamp"))))) / 1_000_000
+    return waiting.groupBy(by).agg(F.count_if(~F.col("parked")).alias("waiting"), F.count_if("parked").alias("parked"), F.greatest(age, F.lit(0.0)).alias("oldest_seconds"))
+
+
+def unpublished(outbox: DataFrame, keys: list[str], limit: int, topic: str = "domain") -> DataFrame:
+    """What to publish next: of a topic, not published, not parked, in order."""
+    return outbox.where(F.col("published_at").isNull() & ~F.col("parked") & (F.col("topic") == topic)).orderBy(*keys).limit(limit)
+
+
+def retries_since(attempts: DataFrame, since: Column, by: str) -> DataFrame:
+    """``by, retries``: failed attempts after a moment that may be tried again."""
+    return attempts.where((F.col("fetched_at") >= since) & (F.col("outcome") == "retryable")).groupBy(by).agg(F.count(F.lit(1)).alias("retries"))
+
+
+def removals(seen: DataFrame, runs: DataFrame, *, key: str, source: str, run: str, misses: int = 3) -> DataFrame:
+    """Items that are gone: missing from the ``misses`` latest complete runs of their source.
+
+    ``runs`` holds the complete runs of each source in order of ``run``; an item that is in a
+    later run is not gone. Sources with fewer runs lose nothing.
+    """
+    place = F.row_number().over(Window.partitionBy(source).orderBy(F.desc(run)))
+    bar = runs.withColumn("_place", place).where(F.col("_place") == misses).select(source, F.col(run).alias("_bar"))
+    last = seen.groupBy(source, key).agg(F.max(run).alias("last_seen"))
+    return last.join(bar, source).where(F.col("last_seen") < F.col("_bar")).drop("_bar")
+
+
+def located(index: DataFrame, documents: DataFrame, probes: DataFrame, *, key: str = "key", version: str = "version") -> DataFrame:
+    """Two-step reads: probes find the exact version in an index, and only then the document."""
+    return probes.join(index, key).join(documents, [key, version])
+
+
+def changed_documents(stored: DataFrame, incoming: DataFrame, key: str, digest: str) -> DataFrame:
+    """Adds ``result`` to incoming objects: ``new``, ``verified`` if the stored digest is the same, ``mismatch`` if not."""
+    old = stored.select(key, F.col(digest).alias("_old"))
+    result = F.when(F.col("_old").isNull(), "new").when(F.col("_old") == F.col(digest), "verified").otherwise("mismatch")
+    return incoming.join(old, key, "left").withColumn("result", result).drop("_old")
+
+
+def forecast(daily: DataFrame, key: str, day: str, value: str, ahead: tuple[int, ...] = (30, 90, 365)) -> DataFrame:
+    """Median and 95th percentile of a key's daily values, and its straight trend so many days ahead."""
+    t = F.datediff(F.col(day), F.lit("1970-01-01")).cast("double")
+    y = F.col(value).cast("double")
+    fitted = daily.groupBy(key).agg(F.percentile(value, 0.5).alias("p50"), F.percentile(value, 0.95).alias("p95"), F.regr_slope(y, t).alias("_slope"), F.regr_intercept(y, t).alias("_base"), F.max(t).alias("_last"))
+    return fitted.select(key, "p50", "p95", *[F.greatest(F.lit(0.0), F.col("_base") + F.col("_slope") * (F.col("_last") + n)).alias(f"in_{n}_days") for n in ahead])

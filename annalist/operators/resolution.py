@@ -2,87 +2,130 @@
 
 from __future__ import annotations
 
+from collections import defaultdict
+from collections.abc import Iterable
+
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Decisions of one connected part of the decision graph are replayed in one task.
-_OUT = "part long, group_id string, member string"
+from annalist.operators.graph import components
+
+LINKS = ("merge", "manual_link")
 
 
-def effective_decisions(decisions: DataFrame) -> DataFrame:
-    """The latest version of each decision, without those superseded by an effective one.
+def effective(supersedes: dict[str, str | None]) -> set[str]:
+    """The decisions that count: those that no decision which counts supersedes.
 
-    Of A superseded by B superseded by C, C and A are effective. Chains are followed from
-    their ends, so rounds are as many as the longest chain is long.
+    Of A superseded by B superseded by C, C and A count. A circle is an error.
     """
-    latest = decisions.groupBy("decision_id").agg(F.max_by(F.struct(*[c for c in decisions.columns if c != "decision_id"]), "decision_version").alias("d")).select("decision_id", "d.*")
-    state = latest
-    edges = state.select(F.col("decision_id").alias("by"), F.col("supersedes").alias("target")).where("supersedes is not null")
-    settled = state.join(edges.select(F.col("target").alias("decision_id")).distinct(), "decision_id", "left_anti").select("decision_id", F.lit(True).alias("effective"))
-    total, known = state.count(), settled.count()
-    while known < total:
-        decided = settled.select(F.col("decision_id").alias("by"), "effective")
-        judged = edges.join(decided, "by", "left").groupBy(F.col("target").alias("decision_id")).agg(F.bool_and(F.col("effective").isNotNull()).alias("ready"), F.bool_or(F.coalesce("effective", F.lit(False))).alias("hit"))
-        more = judged.where("ready").select("decision_id", (~F.col("hit")).alias("effective")).join(settled, "decision_id", "left_anti").join(state.select("decision_id"), "decision_id", "left_semi")
-        settled = settled.union(more)
-        now = settled.count()
-        if now == known:
-            raise ValueError("decisions supersede each other in a circle")
-        known = now
-    return state.join(settled.where("effective"), "decision_id", "left_semi")
-
-
-def replay(rows: pd.DataFrame) -> list[tuple[str, str]]:
-    """Replay decisions in order; ``(group, member)`` of groups of two or more.
-
-    merge joins members into the group unless a pair among them and their present groups is
-    blocked; manual_link joins anyway; manual_block forbids pairs and takes members out;
-    unmerge takes members out; reject does nothing.
+    above = defaultdict(list)
+    for decision, target in supersedes.items():
+        if target in supersedes:
+            above[target].append(decision)
+    waiting = {d: len(above[d]) for d in supersedes}
+    ready, out, beaten = [d for d, n in waiting.items() if not n], set(), set()
+    while ready:
+        decision = ready.pop()
+        del waiting[decision]
+        target = supersedes[decision]
+        if decision not in beaten:
+            out.add(decision)
+            beaten.add(target)
+        if target in waiting:
+            waiting[target] -= 1
+            if not waiting[target]:
+                ready.append(target)
+    if waiting:
+        raise ValueError("decisions supersede each other in a circle")
+    return out
+
+
+def replay(decisions: Iterable[tuple[str, str, list[str], str | None]]) -> tuple[dict[str, set[str]], list[str], set[tuple[str, str]]]:
+    """Groups of two or more, decisions that a block held back, and blocked pairs.
+
+    ``decisions`` are ``id, action, members, group`` in order. A link pools its members with
+    all who share a present group with one of them, and moves the pool to its group; a merge,
+    unlike a manual link, is held back if the pool holds a blocked pair. A block only forbids
+    later merges; unmerging takes members out; other actions leave groups alone.
     """
-    group_of: dict[str, str] = {}
-    members_of: dict[str, set[str]] = {}
-    blocked: set[frozenset[str]] = set()
-
-    def leave(member: str) -> None:
-        group = group_of.pop(member, None)
-        if group is not None:
-            members_of[group].discard(member)
-
-    for _, d in rows.sort_values(["effective_at", "recorded_at", "decision_version", "decision_id"]).iterrows():
-        members = list(d["members"])
-        if d["action"] in ("merge", "manual_link"):
-            affected = set(members)
-            for m in members:
-                affected |= members_of.get(group_of.get(m, ""), set())
-            if d["action"] == "merge" and any(p <= affected for p in blocked):
-                continue
-            for m in sorted(affected):
-                leave(m)
-                group_of[m] = d["group_id"]
-                members_of.setdefault(d["group_id"], set()).add(m)
-        elif d["action"] == "manual_block":
-            blocked |= {frozenset((a, b)) for a in members for b in members if a < b}
-            for m in members:
-                leave(m)
-        elif d["action"] == "unmerge":
-            for m in members:
-                leave(m)
-    return sorted((g, m) for g, ms in members_of.items() if len(ms) > 1 for m in ms)
-
-
-def project_groups(decisions: DataFrame, part: str = "part") -> DataFrame:
-    """``part, group_id, member``: replay each ``part`` of the decisions on its own.
-
-    ``part`` must be the same for decisions that share a member or a group: both are nodes of
-    the decision graph.
+    home: dict[str, str | None] = {}
+    inside: dict[str | None, set[str]] = defaultdict(set)
+    foes: dict[str, set[str]] = defaultdict(set)
+    held = []
+    for decision, action, members, group in decisions:
+        pool = set(members)
+        if action == "manual_block":
+            for m in pool:
+                foes[m] |= pool - {m}
+        elif action in (*LINKS, "unmerge"):
+            present = {home[m] for m in pool if m in home}
+            if action != "unmerge":
+                pool = pool.union(*(inside[g] for g in present))
+                if action == "merge" and any(not foes[m].isdisjoint(pool) for m in pool if m in foes):
+                    held.append(decision)
+                    continue
+            for g in present:
+                inside[g] -= pool
+            if action == "unmerge":
+                for m in pool:
+                    home.pop(m, None)
+            else:
+                home.update(dict.fromkeys(pool, group))
+                inside[group] |= pool
+    pairs = {(a, b) for a, others in foes.items() for b in others if a < b}
+    return {g: ms for g, ms in inside.items() if len(ms) > 1}, held, pairs
+
+
+def latest_versions(decisions: DataFrame) -> DataFrame:
+    """Each decision's highest version."""
+    rest = [c for c in decisions.columns if c != "decision_id"]
+    return decisions.groupBy("decision_id").agg(F.max_by(F.struct(*rest), "decision_version").alias("d")).select("decision_id", "d.*")
+
+
+def with_parts(decisions: DataFrame) -> DataFrame:
+    """Adds ``part``: decisions that share a member, a group or a supersession are in one part."""
+    node = lambda kind, c: F.concat(F.lit(kind), c)
+    own = node("d", F.col("decision_id"))
+    ends = F.concat(F.transform("members", lambda m: node("m", m)), F.array_compact(F.array(node("g", F.col("group_id")), node("d", F.col("supersedes")))))
+    found = components(decisions.select(own.alias("a"), F.explode(ends).alias("b")))
+    return decisions.join(found.select(F.expr("substring(node, 2)").alias("decision_id"), F.col("component").alias("part")).where("node like 'd%'"), "decision_id")
+
+
+def snapshot(decisions: DataFrame) -> DataFrame:
+    """What a replay of all decisions comes to: rows ``kind, id, other``.
+
+    ``group`` rows hold a group and a member, ``blocked`` rows a pair, and ``applied``,
+    ``skipped`` and ``superseded`` rows a decision. The highest version of a decision counts.
+    Order is by ``effective_at, recorded_at, decision_version, decision_id``. Parts that share
+    nothing are replayed side by side; one part is one task, as each decision may depend on
+    all before it.
     """
+    ready = with_parts(latest_versions(decisions))
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        found = replay(rows)
-        return pd.DataFrame({"part": rows["part"].iloc[0], "group_id": [g for g, _ in found], "member": [m for _, m in found]})
+        rows = rows.sort_values(["effective_at", "recorded_at", "decision_version", "decision_id"])
+        counts = effective({d: None if pd.isna(s) else s for d, s in zip(rows["decision_id"], rows["supersedes"], strict=True)})
+        kept = [(d, a, list(m), g) for d, a, m, g in zip(rows["decision_id"], rows["action"], rows["members"], rows["group_id"], strict=True) if d in counts]
+        groups, held, pairs = replay(kept)
+        out = [("group", g, m) for g, ms in groups.items() for m in ms] + [("blocked", a, b) for a, b in pairs]
+        skipped = set(held)
+        out += [("skipped" if d in skipped else "applied", d, None) for d, *_ in kept]
+        targets = set(rows.loc[rows["decision_id"].isin(counts), "supersedes"].dropna())
+        out += [("superseded", d, None) for d in (set(rows["decision_id"]) - counts) | targets]
+        return pd.DataFrame(out, columns=["kind", "id", "other"], dtype=object)
+
+    return ready.groupBy("part").applyInPandas(run, "kind string, id string, other string")
+
+
+def project_groups(decisions: DataFrame) -> DataFrame:
+    """``group_id, member`` of the groups that a replay leaves."""
+    return snapshot(decisions).where("kind = 'group'").select(F.col("id").alias("group_id"), F.col("other").alias("member"))
+
 
-    return decisions.withColumnRenamed(part, "part").groupBy("part").applyInPandas(run, _OUT)
+def group_of(groups: DataFrame, members: DataFrame, member: str) -> DataFrame:
+    """The group of each member, or null."""
+    return members.join(groups.select("group_id", F.col("member").alias(member)), member, "left")
 
 
 def match_cascade(left: DataFrame, right: DataFrame, rules: list[tuple[str, list[str]]], left_id: str, right_id: str) -> DataFrame:

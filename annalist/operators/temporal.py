@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
 def _next_strictly_later(entity: str, axis: str) -> Column:
-    """The next different value of an axis: a frame that begins just after this one's."""
-    later = Window.partitionBy(entity).orderBy(axis).rangeBetween(1, Window.unboundedFollowing)
+    """The next different value of an axis.
+
+    In descending order that is the least value so far, this one's ties left out: a running
+    minimum, where a frame that begins after the row would be gone through for each row.
+    """
+    later = Window.partitionBy(entity).orderBy(F.desc(axis)).rangeBetween(Window.unboundedPreceding, -1)
     return F.min(axis).over(later)
 
 
@@ -71,18 +78,31 @@ def change_events(receipts: DataFrame) -> DataFrame:
 def heartbeat_observations(arrivals: DataFrame, *, entity: str = "entity", at: str = "observed_at", state_hash: str = "state_hash", heartbeat_seconds: int = 86_400) -> DataFrame:
     """Rows to keep: a changed state, or the first after ``heartbeat_seconds`` without a row.
 
-    What is kept depends on what was kept last, so an entity's rows are folded in order, as
-    one array; an entity with more rows than fit a task belongs into the streaming form.
+    What is kept depends on what was kept last, so an entity's rows are read in order, from
+    a sort that spills, with the last kept row as the only state. Ties are taken by state.
     """
-    items = F.array_sort(F.collect_list(F.struct(F.unix_micros(F.col(at).cast("timestamp")).alias("t"), F.col(state_hash).alias("h"))))
-    start = F.expr("named_struct('t', cast(null as bigint), 'h', cast(null as string), 'kept', cast(array() as array<struct<t: bigint, h: string, reason: string>>))")
-
-    def step(acc: Column, x: Column) -> Column:
-        changed = ~acc["h"].eqNullSafe(x["h"])
-        beat = x["t"] - acc["t"] >= heartbeat_seconds * 1_000_000
-        reason = F.when(acc["t"].isNull() | changed, "changed").when(beat, "heartbeat")
-        row = F.struct(x["t"].alias("t"), x["h"].alias("h"), reason.alias("reason"))
-        return F.when(reason.isNull(), acc).otherwise(F.struct(x["t"].alias("t"), x["h"].alias("h"), F.concat(acc["kept"], F.array(row)).alias("kept")))
-
-    folded = arrivals.groupBy(entity).agg(F.aggregate(items, start, step)["kept"].alias("kept"))
-    return folded.select(entity, F.inline("kept")).select(entity, F.timestamp_micros("t").cast("timestamp_ntz").alias(at), F.col("h").alias(state_hash), "reason")
+    names = ["entity", "t", "h"]
+    rows = arrivals.select(F.col(entity).alias("entity"), F.unix_micros(F.col(at).cast("timestamp")).alias("t"), F.col(state_hash).alias("h"))
+    ordered = rows.repartition("entity").sortWithinPartitions(*names)
+    width = heartbeat_seconds * 1_000_000
+
+    def keep(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        of, last, held = None, None, None
+        for batch in batches:
+            out = []
+            for who, t, h in zip(*(batch[c].tolist() for c in names), strict=True):
+                reason = "changed" if last is None or who != of or h != held else "heartbeat" if t - last >= width else None
+                if reason:
+                    out.append((who, t, h, reason))
+                    of, last, held = who, t, h
+            yield pd.DataFrame(out, columns=[*names, "reason"])
+
+    kinds = [rows.schema[c].dataType.simpleString() for c in names]
+    kept = ordered.mapInPandas(keep, f"entity {kinds[0]}, t {kinds[1]}, h {kinds[2]}, reason string")
+    return kept.select(F.col("entity").alias(entity), F.timestamp_micros("t").cast("timestamp_ntz").alias(at), F.col("h").alias(state_hash), "reason")
+
+
+def state_disorder(versions: DataFrame, *, entity: str = "entity", version: str = "version", effective: str = "effective_at") -> DataFrame:
+    """Versions that took effect before an earlier version of their entity did: backdated facts."""
+    earlier = Window.partitionBy(entity).orderBy(version).rowsBetween(Window.unboundedPreceding, -1)
+    return versions.withColumn("latest_before", F.max(effective).over(earlier)).where(F.col(effective) < F.col("latest_before"))

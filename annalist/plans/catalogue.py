@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from annalist.functions import hashing, text, time, url
-from annalist.operators import quality, relational, release, resolution, temporal
+from annalist.operators import quality, relational, temporal
 from annalist.sources.tables import FETCH_STATUSES, entity_versions, fetch_attempts, table
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,10 +34,14 @@ def query(sql: str | None = None):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    from annalist.plans import records  # noqa: F401  adds its own
+
     return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    from annalist.plans import records  # noqa: F401
+
     return dict(_SQL)
 
 
@@ -99,28 +103,39 @@ def ack_confirmed(spark, sf):
 
 _P = r"'^([A-Za-z][A-Za-z0-9+.-]*)://(?:([^/?#@]*)@)?(\[[^\]]*\]|[^/?#:]*)(?::(\d*))?([^?#]*)(?:\?([^#]*))?(?:#.*)?$'"
 _KEYS = "['" + "','".join(url.TRACKING_KEYS) + "']"
-_URL = f"""parts AS (SELECT page_id, url, lower(regexp_extract(url, {_P}, 1)) AS scheme, lower(regexp_extract(url, {_P}, 3)) AS host, regexp_extract(url, {_P}, 4) AS port,
-  regexp_extract(url, {_P}, 5) AS path, string_split(regexp_extract(url, {_P}, 6), '&') AS params FROM pages),
+#: The pages' URLs, and the forms they take with an empty parameter, a default port, and a fragment.
+_URLS = "urls AS (SELECT page_id, CASE page_id % 4 WHEN 1 THEN regexp_replace(url, '^(https?)://([^/]*)', '\\1://\\2:' || CASE WHEN url LIKE 'https%' THEN '443' ELSE '80' END) WHEN 2 THEN url || CASE WHEN contains(url, '?') THEN '&&z=1&' ELSE '?&z=1&&GCLID=x' END WHEN 3 THEN upper(left(url, 8)) || substr(url, 9) || '#part' ELSE url END AS url FROM pages)"
+_URL = f"""{_URLS}, parts AS (SELECT page_id, url, lower(regexp_extract(url, {_P}, 1)) AS scheme, lower(regexp_extract(url, {_P}, 3)) AS host, regexp_extract(url, {_P}, 4) AS port,
+  regexp_extract(url, {_P}, 5) AS path, string_split(regexp_extract(url, {_P}, 6), '&') AS params FROM urls),
 normal AS (SELECT *, scheme || '://' || host || CASE WHEN port = '' OR port = (CASE scheme WHEN 'http' THEN '80' WHEN 'https' THEN '443' END) THEN '' ELSE ':' || port END AS origin,
   list_filter(params, lambda p: lower(split_part(p, '=', 1)) LIKE 'utm\\_%' ESCAPE '\\' OR list_contains({_KEYS}, lower(split_part(p, '=', 1)))) AS tracking,
-  array_to_string(list_filter(params, lambda p: NOT (lower(split_part(p, '=', 1)) LIKE 'utm\\_%' ESCAPE '\\' OR list_contains({_KEYS}, lower(split_part(p, '=', 1))))), '&') AS kept FROM parts)"""
+  array_to_string(list_filter(params, lambda p: NOT (lower(split_part(p, '=', 1)) LIKE 'utm\\_%' ESCAPE '\\' OR list_contains({_KEYS}, lower(split_part(p, '=', 1))) OR p = '')), '&') AS kept FROM parts)"""
+
+
+def _urls(spark, sf):
+    given, port = F.col("url"), F.when(F.col("url").startswith("https"), "443").otherwise("80")
+    ported = F.regexp_replace(given, F.lit("^(https?)://([^/]*)"), F.concat(F.lit("$1://$2:"), port))
+    more = F.concat(given, F.when(F.contains(given, F.lit("?")), "&&z=1&").otherwise("?&z=1&&GCLID=x"))
+    loud = F.concat(F.upper(F.substring(given, 1, 8)), F.substring(given, F.lit(9), F.length(given)), F.lit("#part"))
+    form = F.col("page_id") % 4
+    return table(spark, sf, "pages").select("page_id", F.when(form == 1, ported).when(form == 2, more).when(form == 3, loud).otherwise(given).alias("url"))
 
 
 @query(f"WITH {_URL} SELECT page_id, origin || CASE WHEN path = '' THEN '/' ELSE path END || CASE WHEN kept = '' THEN '' ELSE '?' || kept END AS normalized FROM normal")
 def url_normalize(spark, sf):
-    return table(spark, sf, "pages").select("page_id", url.normalize(F.col("url")).alias("normalized"))
+    return _urls(spark, sf).select("page_id", url.normalize(F.col("url")).alias("normalized"))
 
 
 @query(f"WITH {_URL} SELECT origin, origin || '/robots.txt' AS robots_url, CAST(count(*) AS BIGINT) AS pages FROM normal GROUP BY origin")
 def url_origin(spark, sf):
-    pages = table(spark, sf, "pages").select(url.origin(F.col("url")).alias("origin"), url.robots_url(F.col("url")).alias("robots_url"))
+    pages = _urls(spark, sf).select(url.origin(F.col("url")).alias("origin"), url.robots_url(F.col("url")).alias("robots_url"))
     return pages.groupBy("origin", "robots_url").agg(F.count(F.lit(1)).alias("pages"))
 
 
 @query(f"WITH {_URL} SELECT page_id, array_to_string(list_sort(list_distinct(list_transform(tracking, lambda p: lower(split_part(p, '=', 1))))), ',') AS keys FROM normal WHERE len(tracking) > 0")
 def url_tracking_keys(spark, sf):
     keys = url.tracking_keys(F.col("url"))
-    return table(spark, sf, "pages").where(F.size(keys) > 0).select("page_id", F.array_join(keys, ",").alias("keys"))
+    return _urls(spark, sf).where(F.size(keys) > 0).select("page_id", F.array_join(keys, ",").alias("keys"))
 
 
 _DENIED = ("spam-farm.example.org", "cheap-pills.example.com")
@@ -129,13 +144,13 @@ _DENIED = ("spam-farm.example.org", "cheap-pills.example.com")
 @query(f"""WITH {_URL} SELECT page_id, CASE WHEN scheme NOT IN ('http', 'https') THEN 'scheme_forbidden' WHEN host = '' THEN 'url_invalid'
 WHEN host IN {_DENIED} OR host LIKE '%.{_DENIED[0]}' OR host LIKE '%.{_DENIED[1]}' THEN 'host_denied' WHEN regexp_matches(origin || path, '/7[0-9]*$') THEN 'path_denied' END AS reason FROM normal""")
 def route_guard(spark, sf):
-    return table(spark, sf, "pages").select("page_id", url.guard(F.col("url"), _DENIED, (r"^[^?]*/7[0-9]*(?:\?.*)?$",)).alias("reason"))
+    return _urls(spark, sf).select("page_id", url.guard(F.col("url"), _DENIED, (r"^[^?]*/7[0-9]*(?:\?.*)?$",)).alias("reason"))
 
 
 @query(f"WITH {_URL} SELECT page_id, host FROM normal WHERE host IN {_DENIED} OR host LIKE '%.{_DENIED[0]}' OR host LIKE '%.{_DENIED[1]}'")
 def denylist_semi(spark, sf):
     denied = spark.createDataFrame([(d,) for d in _DENIED], "suffix string")
-    pages = table(spark, sf, "pages").select("page_id", url.host(F.col("url")).alias("host"), F.explode(url.host_suffixes(F.col("url"))).alias("suffix"))
+    pages = _urls(spark, sf).select("page_id", url.host(F.col("url")).alias("host"), F.explode(url.host_suffixes(F.col("url"))).alias("suffix"))
     return pages.join(denied, "suffix", "left_semi").select("page_id", "host").distinct()
 
 
@@ -166,12 +181,19 @@ def tumbling_counts(spark, sf):
     return table(spark, sf, "events").groupBy(time.bucket_start(F.col("ts"), 3600).alias("bucket"), "event_type").agg(F.count(F.lit(1)).alias("n"))
 
 
+def _retry_after():
+    """A header that every second fetch gives in seconds; the others give no number."""
+    return F.when(F.col("event_id") % 2 == 0, (F.col("event_id") % 100).cast("string")).otherwise("soon")
+
+
 @query(f"""WITH {_FETCHES} SELECT event_id, status,
 CASE WHEN status = 304 THEN 'success' WHEN status BETWEEN 200 AND 299 THEN CASE WHEN body_empty THEN 'retryable' ELSE 'success' END WHEN status IN (429, 408, 425, 500, 502, 503, 504) THEN 'retryable' ELSE 'permanent_failure' END AS outcome,
 CASE WHEN status BETWEEN 200 AND 299 AND NOT body_empty THEN CASE WHEN status = 206 THEN 'partial' ELSE 'full' END WHEN status IN (401, 403, 451) THEN 'blocked' WHEN status IN (404, 410) THEN 'gone' ELSE 'unknown' END AS access,
-CASE WHEN status = 304 THEN NULL WHEN status BETWEEN 200 AND 299 THEN CASE WHEN body_empty THEN 'empty_body' END WHEN status BETWEEN 300 AND 399 THEN 'redirect_invalid' ELSE 'http_' || status END AS code FROM fetches""")
+CASE WHEN status = 304 THEN NULL WHEN status BETWEEN 200 AND 299 THEN CASE WHEN body_empty THEN 'empty_body' END WHEN status BETWEEN 300 AND 399 THEN 'redirect_invalid' ELSE 'http_' || status END AS code,
+CASE WHEN status BETWEEN 300 AND 399 AND status <> 304 THEN 'http_' || status END AS reason, CAST(CASE WHEN status = 429 THEN CASE WHEN event_id % 2 = 0 THEN least(greatest(event_id % 100, 5), 86400) ELSE 600 END END AS BIGINT) AS retry_after,
+status = 429 AS block_origin, status IN (401, 403) AS route_incident, status IN (401, 403) AS browser_candidate, status = 304 AS not_modified, false AS quarantine FROM fetches""")
 def http_classify(spark, sf):
-    return fetch_attempts(table(spark, sf, "events")).select("event_id", "status", time.classify_status(F.col("status"), F.col("body_empty")).alias("d")).select("event_id", "status", "d.*")
+    return fetch_attempts(table(spark, sf, "events")).select("event_id", "status", time.classify_status(F.col("status"), F.col("body_empty"), _retry_after()).alias("d")).select("event_id", "status", "d.*")
 
 
 @query("""SELECT o_orderkey, 1 + o_orderkey % 5 AS attempt, CASE WHEN 1 + o_orderkey % 5 < 4 THEN greatest([5, 30, 120, 600][CAST(1 + o_orderkey % 5 AS INT)], coalesce(CASE WHEN o_orderkey % 4 = 0 THEN o_custkey % 200 END, 0)) END AS delay_seconds FROM orders""")
@@ -281,44 +303,6 @@ def quality_gate_median(spark, sf):
     return relational.prior_median(runs, "source", ["run_date"], "yield", 7).withColumn("alarm", F.coalesce(F.col("yield") < 0.7 * F.col("prior_median"), F.lit(False)))
 
 
-_CATALOG = "part WHERE p_partkey % 3 = 0"
-
-
-@query(f"""WITH offers AS (SELECT p_partkey AS offer_id, CASE WHEN p_partkey % 2 = 0 THEN p_partkey END AS gtin, p_brand AS brand, p_type AS mpn FROM part),
-cat AS (SELECT p_partkey AS product_id, p_partkey AS gtin, p_brand AS brand, p_type AS mpn FROM {_CATALOG}),
-a AS (SELECT offer_id, min(product_id) AS product_id, 'gtin' AS rule FROM offers JOIN cat USING (gtin) GROUP BY offer_id),
-b AS (SELECT offer_id, min(product_id) AS product_id, 'brand_mpn' AS rule FROM offers JOIN cat USING (brand, mpn) WHERE offer_id NOT IN (SELECT offer_id FROM a) GROUP BY offer_id)
-SELECT * FROM a UNION ALL SELECT * FROM b""")
-def match_cascade(spark, sf):
-    part = table(spark, sf, "part")
-    offers = part.select(F.col("p_partkey").alias("offer_id"), F.when(F.col("p_partkey") % 2 == 0, F.col("p_partkey")).alias("gtin"), F.col("p_brand").alias("brand"), F.col("p_type").alias("mpn"))
-    cat = part.where("p_partkey % 3 = 0").select(F.col("p_partkey").alias("product_id"), F.col("p_partkey").alias("gtin"), F.col("p_brand").alias("brand"), F.col("p_type").alias("mpn"))
-    return resolution.match_cascade(offers, cat, [("gtin", ["gtin"]), ("brand_mpn", ["brand", "mpn"])], "offer_id", "product_id")
-
-
-@query()
-def resolution_replay(spark, sf):
-    customer = table(spark, sf, "customer")
-    key, group = F.col("c_custkey"), F.floor(F.col("c_custkey") / 10).cast("string")
-    action = F.element_at(F.array(*map(F.lit, ("merge", "merge", "merge", "manual_block", "unmerge"))), (key % 5 + 1).cast("int"))
-    members = F.array_distinct(F.array(key.cast("string"), (key - key % 10 + (key * 7) % 10).cast("string")))
-    at = F.timestamp_seconds(F.lit(1_700_000_000) + key)
-    decisions = customer.select(key.cast("string").alias("decision_id"), F.lit(1).alias("decision_version"), action.alias("action"), members.alias("members"), group.alias("group_id"), at.alias("effective_at"), at.alias("recorded_at"), F.lit(None).cast("string").alias("supersedes"), F.floor(key / 10).cast("long").alias("part"))
-    return resolution.project_groups(resolution.effective_decisions(decisions))
-
-
-@query()
-def mask_numbers(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", text.mask(F.col("text")).alias("m")).select("doc_id", F.size("m.spans").alias("n_spans"), F.sha2("m.masked", 256).alias("masked_sha256"))
-
-
-@query("SELECT doc_id, true AS round_trip, '' AS issues FROM documents")
-def preservation_check(spark, sf):
-    masked = table(spark, sf, "documents").withColumn("m", text.mask(F.col("text")))
-    back = text.unmask(F.col("m.masked"), F.col("m.spans")) == F.col("text")
-    return masked.select("doc_id", back.alias("round_trip"), F.array_join(text.preservation_issues(F.col("m.masked"), F.col("m.spans"), F.col("m.masked")), ",").alias("issues"))
-
-
 @query("SELECT conv_id, turn, m.item_id AS item_id, m.item_id IS NOT NULL AS hit FROM conversations c LEFT JOIN (SELECT sha256(trim(text)) AS k, min(item_id) AS item_id FROM benchmark GROUP BY 1) m ON sha256(trim(c.text)) = m.k")
 def tm_hits(spark, sf):
     memory = table(spark, sf, "benchmark").groupBy(hashing.sha256_hex(F.trim("text")).alias("k")).agg(F.min("item_id").alias("item_id"))
@@ -326,23 +310,6 @@ def tm_hits(spark, sf):
     return turns.join(memory, "k", "left").select("conv_id", "turn", "item_id", F.col("item_id").isNotNull().alias("hit"))
 
 
-@query("""SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN lang WHEN n_chars < 30 THEN NULL WHEN doc_id % 2 = 0 THEN 'en' ELSE 'de' END AS language,
-CASE WHEN doc_id % 4 = 0 THEN 'declared' WHEN n_chars < 30 THEN 'short' ELSE 'classifier' END AS basis, doc_id % 4 <> 0 AND n_chars >= 30 AND doc_id % 2 <> 0 AS uncertain FROM documents""")
-def language_decision(spark, sf):
-    even = F.col("doc_id") % 2 == 0
-    ranking = F.array(F.struct(F.lit("en").alias("language"), F.when(even, 0.9).otherwise(0.4).alias("confidence")), F.struct(F.lit("de").alias("language"), F.when(even, 0.1).otherwise(0.5).alias("confidence")))
-    docs = table(spark, sf, "documents").withColumn("d", text.language_decision(F.when(F.col("doc_id") % 4 == 0, F.col("lang")), ranking, F.col("text")))
-    return docs.select("doc_id", "d.*")
-
-
-@query("SELECT * FROM (VALUES ('b', 'removed'), ('c', 'type_changed'), ('e', 'new_required')) t(name, problem)")
-def schema_compat(spark, sf):
-    schema = "name string, type string, required boolean"
-    old = spark.createDataFrame([("a", "long", True), ("b", "string", False), ("c", "int", False)], schema)
-    new = spark.createDataFrame([("a", "long", True), ("c", "long", False), ("d", "string", False), ("e", "string", True)], schema)
-    return relational.schema_diff(old, new)
-
-
 @query("""SELECT c_custkey, array_to_string(list_filter([CASE WHEN NOT c_acctbal >= 0 THEN 'balance' END, CASE WHEN NOT regexp_full_match(c_name, 'Customer#0*[0-9]*[02468]') THEN 'name' END, CASE WHEN NOT c_nationkey BETWEEN 0 AND 20 THEN 'nation' END], lambda x: x IS NOT NULL), ',') AS violations
 FROM customer WHERE NOT (c_acctbal >= 0 AND regexp_full_match(c_name, 'Customer#0*[0-9]*[02468]') AND c_nationkey BETWEEN 0 AND 20)""")
 def dq_violations(spark, sf):
@@ -350,26 +317,6 @@ def dq_violations(spark, sf):
     return quality.split(table(spark, sf, "customer"), rules)[1].select("c_custkey", F.array_join("violations", ",").alias("violations"))
 
 
-@query("SELECT l_returnflag, l_linestatus, CAST(count(*) AS BIGINT) AS row_count, min(l_shipdate) AS min_time, max(l_shipdate) AS max_time FROM lineitem GROUP BY ALL")
-def release_parts(spark, sf):
-    return release.part_manifest(table(spark, sf, "lineitem"), ["l_returnflag", "l_linestatus"], "l_shipdate").drop("content_hash")
-
-
 @query("SELECT user_id, CAST(count(*) FILTER (event_type = 'error') AS BIGINT) AS errors, round(quantile_cont(value, 0.5), 4) AS p50, round(quantile_cont(value, 0.95), 4) AS p95 FROM events GROUP BY user_id")
 def capacity_percentiles(spark, sf):
     return table(spark, sf, "events").groupBy("user_id").agg(F.count_if(F.col("event_type") == "error").alias("errors"), F.round(F.percentile("value", 0.5), 4).alias("p50"), F.round(F.percentile("value", 0.95), 4).alias("p95"))
-
-
-@query("""WITH cur AS (SELECT c_custkey AS id, c_acctbal AS v, CAST(1 AS BIGINT) AS revision FROM customer WHERE c_custkey % 3 <> 0), new AS (SELECT c_custkey AS id, CASE WHEN c_custkey % 2 = 0 THEN c_acctbal ELSE c_acctbal + 1 END AS v FROM customer WHERE c_custkey % 5 <> 0)
-SELECT coalesce(cur.id, new.id) AS id, CASE WHEN new.id IS NULL THEN cur.v ELSE new.v END AS v, CASE WHEN cur.id IS NULL THEN 1 WHEN new.id IS NOT NULL AND cur.v IS DISTINCT FROM new.v THEN 2 ELSE 1 END AS revision FROM cur FULL JOIN new ON cur.id = new.id""")
-def upsert_cursor(spark, sf):
-    customer = table(spark, sf, "customer")
-    cur = customer.where("c_custkey % 3 <> 0").select(F.col("c_custkey").alias("id"), F.col("c_acctbal").alias("v"), F.lit(1).cast("long").alias("revision"))
-    new = customer.where("c_custkey % 5 <> 0").select(F.col("c_custkey").alias("id"), F.when(F.col("c_custkey") % 2 == 0, F.col("c_acctbal")).otherwise(F.col("c_acctbal") + 1).alias("v"))
-    return relational.upsert_distinct(cur, new, ["id"], ["v"])
-
-
-@query("SELECT o_custkey, min(o_orderkey) AS job_id, arg_min(o_orderstatus, o_orderkey) AS status FROM orders GROUP BY o_custkey")
-def enqueue_once(spark, sf):
-    incoming = table(spark, sf, "orders").select("o_custkey", F.col("o_orderkey").alias("job_id"), F.col("o_orderstatus").alias("status"))
-    return relational.insert_if_absent(incoming.limit(0), incoming, ["o_custkey"], "job_id")

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from annalist.operators.relational import refill_rate
+
 
 def deliver_once(events: DataFrame, *, event_id: str = "event_id", at: str = "ts", late: str = "2 hours") -> DataFrame:
     """Each event id once; state is dropped when the watermark has passed."""
@@ -45,14 +47,14 @@ def project_current(arrivals: DataFrame) -> DataFrame:
 
 def permits(requests: DataFrame, *, capacity: int = 1, per_second: float = 0.2) -> DataFrame:
     """Token bucket of each ``origin`` for ``request_id, at``; grants as in the batch form."""
-    unit = 10_000
+    unit, (num, den) = 10_000, refill_rate(per_second)
 
     def step(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         last, tokens = state.get if state.exists else (None, capacity * unit)
         rows = pd.concat(list(batches)).sort_values(["at", "request_id"])
         out = []
         for at, request in zip(rows["at"].astype("datetime64[us]").astype("int64"), rows["request_id"], strict=True):
-            tokens = min(capacity * unit, tokens + int((int(at) - (int(at) if last is None else last)) * (per_second * unit) / 1_000_000))
+            tokens = min(capacity * unit, tokens + (int(at) - (int(at) if last is None else last)) * num // den)
             granted = tokens >= unit
             tokens, last = tokens - unit * granted, int(at)
             out.append((key[0], int(request), bool(granted)))
@@ -60,3 +62,23 @@ def permits(requests: DataFrame, *, capacity: int = 1, per_second: float = 0.2)
         yield pd.DataFrame(out, columns=["origin", "request_id", "granted"])
 
     return requests.groupBy("origin").applyInPandasWithState(step, "origin long, request_id long, granted boolean", "last long, tokens long", "append", GroupStateTimeout.NoTimeout)
+
+
+def heartbeats(arrivals: DataFrame, *, heartbeat_seconds: int = 86_400) -> DataFrame:
+    """Observations to keep of ``entity, observed_at, state_hash``; the same as the batch form gives for arrivals in order."""
+    width = heartbeat_seconds * 1_000_000
+
+    def step(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        last, held = state.get if state.exists else (None, None)
+        rows = pd.concat(list(batches)).sort_values(["observed_at", "state_hash"])
+        out = []
+        for at, h in zip(rows["observed_at"], rows["state_hash"], strict=True):
+            t = int(at.value // 1000)
+            reason = "changed" if last is None or h != held else "heartbeat" if t - last >= width else None
+            if reason:
+                out.append((key[0], at, h, reason))
+                last, held = t, h
+        state.update((last, held))
+        yield pd.DataFrame(out, columns=["entity", "observed_at", "state_hash", "reason"])
+
+    return arrivals.groupBy("entity").applyInPandasWithState(step, "entity long, observed_at timestamp_ntz, state_hash string, reason string", "last long, held string", "append", GroupStateTimeout.NoTimeout)

@@ -49,3 +49,24 @@ def test_versions_delivered_out_of_order(spark):
 def test_heartbeats_fold(spark):
     kept = catalogue.queries()["observations_heartbeat"](spark, SF)
     assert {r["reason"] for r in kept.select("reason").distinct().collect()} <= {"changed", "heartbeat"}
+
+
+def test_heartbeat_stream(spark, tmp_path):
+    seen = spark.read.parquet(f"{SF}/events.parquet").select(F.col("user_id").alias("entity"), F.col("ts").alias("observed_at"), F.col("event_type").alias("state_hash"))
+    batch = {tuple(r) for r in temporal.heartbeat_observations(seen, heartbeat_seconds=3600).collect()}
+    assert drain(spark, stateful.heartbeats(stream(spark, seen, tmp_path / "h"), heartbeat_seconds=3600), "beats") == batch
+
+
+def test_window_counts_stream(spark, tmp_path):
+    events = spark.read.parquet(f"{SF}/events.parquet").select(F.col("ts").cast("timestamp").alias("ts"), "event_type")
+    closing = spark.createDataFrame([("2030-01-01 00:00:00", "end")], "ts string, event_type string").select(F.col("ts").cast("timestamp"), "event_type")
+    path = tmp_path / "c"
+    events.repartition(1).write.parquet(str(path))
+    source = spark.readStream.schema(events.schema).parquet(str(path))
+    run = stateful.tumbling_counts(source).writeStream.outputMode("append").format("memory").queryName("counts").start()
+    run.processAllAvailable()
+    closing.write.mode("append").parquet(str(path))
+    run.processAllAvailable()
+    run.stop()
+    want = events.groupBy(F.window("ts", "1 hour")["start"].alias("bucket"), "event_type").agg(F.count(F.lit(1)).alias("n"))
+    assert {tuple(r) for r in spark.table("counts").collect()} == {tuple(r) for r in want.collect()}
