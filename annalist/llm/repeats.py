@@ -28,11 +28,12 @@ HOT = 1000
 #: Positions that fit into the lower bits of a gram's hash.
 PLACES = 1 << 24
 ENTRIES_PER_RUN = 50_000
-ENTRIES_PER_SHARD = 2_500
+ENTRIES_PER_SHARD = 10_000
 #: Shards that a task takes one after the other; tasks grow with the entries, and are not put together again.
-SHARDS_PER_TASK = 8
+SHARDS_PER_TASK = 2
 _R = 0x9E3779B97F4A7C15
 _R_INVERSE = pow(_R, -1, 2**64)
+_ALL = 2**64 - 1
 
 
 @dataclass(frozen=True)
@@ -191,7 +192,8 @@ def _runs(entries: list[Entry], kind: Kind, size: int, shards: int, hot: set[int
     split, more = _collapse(split, kind)
     by_shard: dict[int, list[Entry]] = {}
     for e in [*(e for e in kept if e.gram not in hot), *split]:
-        by_shard.setdefault(e.gram * shards >> 64, []).append(e)
+        # anchors have small hashes, as they are minima, so their order would fill the first shards alone
+        by_shard.setdefault((e.gram * _R & _ALL) * shards >> 64, []).append(e)
     for shard, own in by_shard.items():
         yield shard, pack_run(own, size), None, None, None
     for key, start, end in [*covered, *more]:
