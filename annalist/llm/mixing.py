@@ -9,6 +9,8 @@ from annalist.llm.common import WORD, fresh, id_text, materialize, quoted
 
 WEIGHTS = (5, 2, 1)
 MAX_REPEAT = 3
+#: A document of at most its source's mean length weighs so much, a longer one 1.
+SHORT_WEIGHT = 2
 SEED = "mix-1"
 
 
@@ -41,6 +43,23 @@ def source_targets(sized: DataFrame, weights=WEIGHTS, max_repeat: int = MAX_REPE
     return level.select("source", "source_size", "n_docs", target.alias("target"))
 
 
+def document_dues(classes: DataFrame, max_repeat: int = MAX_REPEAT) -> DataFrame:
+    """Adds ``due``, the copies that a document of each class is due, to ``source, target, weight, words``.
+
+    A class is the documents of a source with one weight. Their words add up to the target
+    if each is due its weight times the source's level, and at most ``max_repeat``: heavier
+    classes reach that first, and the others share what is left.
+    """
+    heavier = Window.partitionBy("source").orderBy(F.desc("weight"))
+    capped = F.coalesce(F.sum(F.col("words") * float(max_repeat)).over(heavier.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
+    open_ = F.sum(F.col("weight") * F.col("words")).over(heavier.rowsBetween(0, Window.unboundedFollowing))
+    level = classes.withColumn("level", F.when(open_ > 0, (F.col("target") - capped) / open_))
+    fits = F.when(F.col("level") * F.col("weight") <= float(max_repeat), F.struct(F.col("weight"), "level"))
+    level = level.withColumn("own", F.max(fits).over(Window.partitionBy("source"))["level"])
+    open_class = F.coalesce("own", F.lit(float(max_repeat))) * F.col("weight")
+    return level.withColumn("due", F.when(F.col("target") > 0, F.least(F.lit(float(max_repeat)), open_class)).otherwise(F.lit(0.0))).drop("level", "own")
+
+
 def _unit(id_col: str, text_col: str, seed: str) -> Column:
     """A number between 0 and 1 from the id; rows without an id draw by their text."""
     own = F.when(F.col(id_col).isNull(), F.concat(F.lit(" "), F.coalesce(F.col(text_col).cast("string"), F.lit("")))).otherwise(id_text(id_col))
@@ -48,14 +67,16 @@ def _unit(id_col: str, text_col: str, seed: str) -> Column:
     return (F.conv(digits, 16, 10).cast("long") + F.lit(0.5)) / F.lit(float(2**52))
 
 
-def mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights=WEIGHTS, max_repeat: int = MAX_REPEAT, seed: str = SEED) -> DataFrame:
+def mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights=WEIGHTS, max_repeat: int = MAX_REPEAT, short_weight: int = SHORT_WEIGHT, seed: str = SEED) -> DataFrame:
     """How often the mix takes each document.
 
     Returns a row for each input row: ``id_col, source, size, source_size, target, copies,
-    taken, draw`` (``taken`` = ``copies`` x ``size``; ``draw`` is the row's random number). A document is due target / source_size
-    copies. Its whole copies are certain. The fraction is drawn: documents of a source are
-    ranked by their random odds divided by their inclusion odds, and the ranking's longest
-    prefix whose words fit what the target leaves is taken. One closing document of the
+    taken, draw`` (``taken`` = ``copies`` x ``size``; ``draw`` is the row's random number). A document is due copies by its weight (see
+    ``document_dues``): one of at most its source's mean length weighs ``short_weight``, a
+    longer one 1, so that what is drawn holds more different documents. Whole copies are
+    certain. The fraction is the document's probability to be drawn once more: documents of a
+    source are ranked by their random odds divided by their inclusion odds, and the ranking's
+    longest prefix whose words fit what the target leaves is taken. One closing document of the
     source, the unselected one nearest in size to the words still missing, is added if that
     brings the source nearer to its target. The random numbers come from the id, so reruns
     agree.
@@ -71,13 +92,19 @@ def mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sour
     """
     sized = docs.select(F.col(id_col).alias(id_col), F.col(source_col).cast("string").alias("source"), word_count(text_col).alias("size"), _unit(id_col, text_col, seed).alias("u"))
     sized = materialize(sized, "sized")
-    rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    sources = source_targets(sized, weights, max_repeat).withColumn("whole", F.floor(rate)).withColumn("part", rate - F.col("whole"))
-    sources = materialize(sources.withColumn("rest", F.col("target") - F.col("whole") * F.col("source_size")).withColumn("slices", F.ceil(F.sqrt("n_docs"))), "sources").withColumnRenamed("source", "of")
-    same = lambda other: sized_source.eqNullSafe(other["of"])
-    sized_source = sized["source"]
+    targets = materialize(source_targets(sized, weights, max_repeat), "targets").withColumnRenamed("source", "of")
+    short = F.col("size") * F.col("n_docs") <= F.col("source_size")
+    weighed = sized.join(targets, sized["source"].eqNullSafe(targets["of"])).drop("of").withColumn("weight", F.when(short, short_weight).otherwise(1))
+    classes = weighed.groupBy("source", "weight").agg(F.sum("size").alias("words"), F.first("target").alias("target"), F.first("source_size").alias("source_size"), F.first("n_docs").alias("n_docs"))
+    dues = document_dues(classes, max_repeat).withColumn("whole", F.floor("due")).withColumn("part", F.col("due") - F.col("whole"))
+    left = F.col("target") - F.sum(F.col("whole") * F.col("words")).over(Window.partitionBy("source"))
+    dues = dues.withColumn("rest", left).withColumn("slices", F.ceil(F.sqrt("n_docs")))
+    sources = materialize(dues.select(F.col("source").alias("of"), F.col("weight").alias("of_weight"), "target", "source_size", "n_docs", "whole", "part", "rest", "slices"), "sources")
+    # a class by its source and on which side of the source's mean a document is
+    bound = F.col("size") * F.col("n_docs") <= F.col("source_size")
     odds = (F.col("u") / (1 - F.col("u"))) / (F.col("part") / (1 - F.col("part")))
-    ranked = sized.join(sources, same(sources)).drop("of")
+    own_class = sized["source"].eqNullSafe(sources["of"]) & (sources["of_weight"] == F.when(bound, short_weight).otherwise(1))
+    ranked = sized.join(sources, own_class).drop("of", "of_weight")
     ranked = ranked.withColumn("order", F.when((F.col("part") > 0) & (F.col("size") > 0), odds / (1 + odds))).withColumn("tie", id_text(id_col))
     ranked = ranked.withColumn("slice", F.floor(F.col("order") * F.col("slices")))
     drawn = ranked.where("order is not null")
@@ -123,7 +150,7 @@ WITH sized AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '{WORD}')) AS BIGINT) AS size,
          (CAST('0x' || substr(md5('{SEED}' || CAST(doc_id AS VARCHAR)), 1, 13) AS BIGINT) + 0.5::DOUBLE) / 4503599627370496.0::DOUBLE AS u
   FROM documents),
-by_source AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM sized GROUP BY source),
+by_source AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, count(*) AS n_docs FROM sized GROUP BY source),
 weighed AS (
   SELECT *, CAST([5, 2, 1][1 + (row_number() OVER (ORDER BY source COLLATE "binary" ASC NULLS LAST) - 1) % 3] AS DOUBLE) AS weight,
          source_size * 3.0::DOUBLE AS cap FROM by_source),
@@ -133,14 +160,20 @@ level AS (
             / sum(weight) OVER (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
   FROM weighed),
 water AS (SELECT coalesce(arg_min(level, cap / weight) FILTER (WHERE level * weight <= cap), 0) AS water FROM level),
-sources AS (SELECT source, source_size, least(cap, water * weight) AS target FROM level, water),
-due AS (
-  SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate, floor(rate) AS whole, rate - whole AS part,
-         target - whole * source_size AS rest FROM sources),
+sources AS (SELECT source, source_size, n_docs, least(cap, water * weight) AS target FROM level, water),
+classed AS (
+  SELECT sized.*, s.source_size, s.target, CASE WHEN size * s.n_docs <= s.source_size THEN 2 ELSE 1 END AS w FROM sized JOIN sources s ON sized.source IS NOT DISTINCT FROM s.source),
+classes AS (SELECT source, w, any_value(target) AS target, CAST(sum(size) AS BIGINT) AS words FROM classed GROUP BY source, w),
+levels AS (
+  SELECT *, (target - coalesce(sum(words * 3.0::DOUBLE) OVER (PARTITION BY source ORDER BY w DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+            / nullif(sum(w * words) OVER (PARTITION BY source ORDER BY w DESC ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING), 0)::DOUBLE AS level FROM classes),
+own AS (SELECT *, arg_max(level, w) FILTER (WHERE level * w <= 3) OVER (PARTITION BY source) AS own FROM levels),
+dues AS (SELECT *, CASE WHEN target > 0 THEN least(3.0::DOUBLE, coalesce(own, 3.0::DOUBLE) * w) ELSE 0 END AS due FROM own),
+due AS (SELECT *, floor(due) AS whole, due - floor(due) AS part, target - sum(floor(due) * words) OVER (PARTITION BY source) AS rest FROM dues),
 ranked AS (
-  SELECT doc_id, sized.source, size, u, source_size, target, whole, rest,
+  SELECT doc_id, c.source, size, u, source_size, c.target, whole, rest,
          CASE WHEN part > 0 AND size > 0 THEN (u / (1 - u)) / (part / (1 - part)) END AS odds
-  FROM sized JOIN due ON sized.source IS NOT DISTINCT FROM due.source),
+  FROM classed c JOIN due ON c.source IS NOT DISTINCT FROM due.source AND c.w = due.w),
 upto AS (
   SELECT *, odds IS NOT NULL AND sum(size) FILTER (WHERE odds IS NOT NULL) OVER (PARTITION BY source ORDER BY odds, doc_id RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) <= rest AS chosen
   FROM ranked),

@@ -73,6 +73,25 @@ def test_packing_with_clashing_columns(spark):
     assert out.columns == [*odd.columns, "sequence_id", "offset"] and {r["slice"] for r in out.collect()} == {"a", "b", "c"}
 
 
+def test_mix_includes_documents_by_their_own_odds(spark):
+    """Over many seeds a document comes as often as it is due, and short ones more often than long ones."""
+    rows = [(n, "w " * (5 if n % 2 else 20), "a") for n in range(60)] + [(100 + n, "w " * 10, "b") for n in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    total = Counter()
+    for seed in range(12):
+        for r in mixing.mix(docs, weights=(1, 4), seed=f"s{seed}").collect():
+            total["short" if r["size"] == 5 else "long" if r["size"] == 20 else "other"] += r["copies"]
+    # source a has 750 of 1350 words and is due 270: level 270 / (2 * 150 + 600) = 0.3
+    assert abs(total["short"] / (12 * 30) - 0.6) < 0.1 and abs(total["long"] / (12 * 30) - 0.3) < 0.1
+
+
+def test_dues_stop_at_the_most(spark):
+    rows = [("a", 290.0, 2, 50), ("a", 290.0, 1, 50), ("b", 10.0, 2, 10), ("b", 10.0, 1, 10), ("c", 0.0, 1, 0), (None, 30.0, 2, 10)]
+    dues = mixing.document_dues(spark.createDataFrame(rows, "source string, target double, weight int, words long"))
+    got = {(r["source"], r["weight"]): round(r["due"], 9) for r in dues.collect()}
+    assert got == {("a", 2): 3, ("a", 1): 2.8, ("b", 2): round(2 / 3, 9), ("b", 1): round(1 / 3, 9), ("c", 1): 0, (None, 2): 3}
+
+
 def test_mix_draws_rows_without_id_apart(spark):
     rows = [(None, f"word {n} " * 5, "a", 1) for n in range(200)] + [(n, "x y", "b", 2) for n in range(300)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string, copies int")
@@ -92,7 +111,7 @@ def test_mix_meets_targets(documents, nothing):
     assert len(rows) == docs.count()
     taken, size, target = Counter(), Counter(), {}
     for r in rows:
-        assert r["taken"] in (0, r["size"], 2 * r["size"], 3 * r["size"])
+        assert r["taken"] in (0, r["size"], 2 * r["size"], 3 * r["size"]) and r["copies"] <= 3
         taken[r["source"]] += r["taken"]
         size[r["source"]] += r["size"]
         target[r["source"]] = r["target"]
