@@ -2,76 +2,15 @@
 
 from __future__ import annotations
 
-import atexit
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: A word is a maximal run of characters that are not ASCII white space.
-WORD = r"[^\x20\x09-\x0D]+"
-
-_own_scratch: dict[str, str] = {}
-_tables: dict[str, SparkSession] = {}
-
-
-def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder of ``spark.checkpoint.dir``.
-
-    Where that is unset, a folder of this machine serves a session that runs in one process;
-    on a cluster its executors would not find each other's files there, so the job fails.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if base:
-        return base
-    master = spark.sparkContext.master
-    if master != "local" and not master.startswith("local["):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    app = spark.sparkContext.applicationId
-    if app not in _own_scratch:
-        _own_scratch[app] = tempfile.mkdtemp(prefix="spark-annalist-", dir="/tmp")
-    return _own_scratch[app]
-
-
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it back.
-
-    This cuts the lineage: a lost executor costs the tasks that read the table again, not
-    the work that made it. Results are lazy and may read the table later, so it stays until
-    ``discard`` or the end of the driver.
-    """
-    spark = df.sparkSession
-    path = f"{scratch_dir(spark)}/annalist-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    if not _tables:
-        atexit.register(_discard_all)
-    _tables[path] = spark
-    out = spark.read.schema(df.schema).parquet(path)
-    out._annalist_path = path
-    return out
-
+from annalist.sources.scratch import discard, materialize, scratch_dir
 
-def _delete(path: str, spark: SparkSession) -> None:
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    at = jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(conf).delete(at, True)
+__all__ = ["WORD", "discard", "fresh", "held_out", "id_text", "materialize", "quoted", "sample_order", "scratch_dir", "shards_for", "text_batches"]
 
-
-def discard(*tables: DataFrame) -> None:
-    """Delete tables of ``materialize`` that nothing will read again."""
-    for df in tables:
-        path = df._annalist_path
-        if path in _tables:
-            _delete(path, _tables.pop(path))
-
-
-def _discard_all() -> None:
-    for path, spark in list(_tables.items()):
-        try:
-            _delete(path, spark)
-        except Exception:  # noqa: BLE001  the session's process may be gone
-            return
+#: A word is a maximal run of characters that are not ASCII white space.
+WORD = r"[^\x20\x09-\x0D]+"
 
 
 def fresh(taken: list[str], *names: str) -> list[str]:
