@@ -26,7 +26,7 @@ CELL_ROWS = 256
 MISS_COUNT = 1e-4
 MISS_ROUTE = 1e-3
 #: A cell with more vectors is divided into blocks, which are compared pair by pair of blocks.
-LARGE_CELL = 1024
+LARGE_CELL = 4096
 ROWS_PER_SHARD = 20_000
 SEED = 20_240
 
