@@ -31,9 +31,14 @@ KNOWN_SHARE = 0.8
 BATCH = 128
 SEED = "lang-1"
 #: Characters that count as alphanumeric but are no letters and no decimal digits, such as ½ and ².
-_OTHER = "".join(c for c in map(chr, range(0x80, 0x20000)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
-_LETTER = re.compile(rf"[^\W\d_{_OTHER}]")
-_SPACE = re.compile(rf"[\W\d_{_OTHER}]+")
+#: Those of the basic plane make a class that is looked up at once; others are rare.
+_OTHER = re.compile("[" + "".join(c for c in map(chr, range(0x80, 0x10000)) if c.isalnum() and not c.isalpha() and not c.isdecimal()) + "]")
+_ASTRAL = re.compile("[\U00010000-\U0010ffff]")
+_SPACE = re.compile(r"[\W\d_]+")
+
+
+def has_letter(text: str) -> bool:
+    return any(map(str.isalpha, text))
 
 
 def spectrum(text: str) -> np.ndarray:
@@ -42,7 +47,11 @@ def spectrum(text: str) -> np.ndarray:
     Case is folded, and each run of characters that aren't letters counts as one blank, so
     that digits, marks and layout say nothing about the language.
     """
-    letters = f" {_SPACE.sub(' ', text.lower()).strip()} "
+    folded = text.lower()
+    if not folded.isascii():
+        folded = _OTHER.sub(" ", folded)
+        folded = _ASTRAL.sub(lambda m: m[0] if m[0].isalpha() else " ", folded)
+    letters = f" {_SPACE.sub(' ', folded).strip()} "
     c = np.frombuffer(letters.encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.uint64) + np.uint64(1)
     two = c[:-1] << np.uint64(21) | c[1:]
     three = two[:-1] << np.uint64(21) | c[2:]
@@ -74,7 +83,7 @@ class Model:
     def judge(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
         """Language, score and known share of each text's n-grams."""
         names, scores, shares = [UNDETERMINED] * len(texts), np.zeros(len(texts)), np.zeros(len(texts))
-        known = [i for i, t in enumerate(texts) if t and _LETTER.search(t)] if self.languages else []
+        known = [i for i, t in enumerate(texts) if t and has_letter(t)] if self.languages else []
         for start in range(0, len(known), BATCH):
             rows = known[start : start + BATCH]
             spectra = [spectrum(texts[i]) for i in rows]
