@@ -464,3 +464,39 @@ def test_objects_and_buckets(spark, tmp_path):
     right = tables.bucketed(spark.range(50).withColumnRenamed("id", "k"), "right_side", "k", 4)
     joined = left.hint("merge").join(right, "k")
     assert joined.count() == 50 and "Exchange hashpartitioning(k" not in joined._jdf.queryExecution().executedPlan().toString()
+
+
+def test_ledgers_are_appended_once(spark, tmp_path):
+    from annalist.operators import ledger
+
+    path = str(tmp_path / "audit")
+    rows = spark.createDataFrame([(1, "late", 2), (1, "early", 1), (2, "x", 5)], "k int, v string, t int").withColumn("at", F.timestamp_seconds("t"))
+    ledger.append_once(spark, path, rows, ["k"], "t", month_of="at")
+    ledger.append_once(spark, path, rows.withColumn("k", F.col("k") + 1), ["k"], "t", month_of="at")
+    assert {(r["k"], r["v"]) for r in spark.read.parquet(path).collect()} == {(1, "early"), (2, "x"), (3, "x")}
+    objects = spark.createDataFrame([("a", b"1"), ("b", b"2")], "key string, content binary")
+    store = str(tmp_path / "store")
+    assert {r["result"] for r in ledger.put_objects(spark, store, objects).collect()} == {"new"}
+    again = spark.createDataFrame([("a", b"1"), ("b", b"3"), ("c", b"4")], "key string, content binary")
+    assert {r["key"]: r["result"] for r in ledger.put_objects(spark, store, again).collect()} == {"a": "verified", "b": "mismatch", "c": "new"}
+    assert spark.read.parquet(store).count() == 3
+    assert ledger.object_heads(spark, f"{store}/*.parquet").columns == ["path", "length", "modificationTime"]
+
+
+def test_compaction_keeps_what_is_needed(spark, tmp_path):
+    from annalist.operators import ledger
+
+    versions = spark.createDataFrame([(1, 1, 1), (1, 2, 2), (1, 3, 3), (2, 1, 1), (3, 1, 1), (3, 2, 9)], "entity int, version int, t int").withColumn("ingested_at", F.timestamp_seconds("t")).drop("t")
+    pins = spark.createDataFrame([(1, 2)], "entity int, version int")
+    stay, go = ledger.compacted(versions, pins, F.timestamp_seconds(F.lit(5)))
+    assert {(r["entity"], r["version"]) for r in go.collect()} == {(1, 1), (3, 1)} and stay.count() == 4
+    locators = ledger.archive(go, str(tmp_path / "archive"), ["entity"], "ingested_at")
+    assert {(r["entity"], r["version"]) for r in locators.collect()} == {(1, 1), (3, 1)}
+
+
+def test_components_of_chains_and_stars(spark):
+    from annalist.operators.graph import components
+
+    edges = [(f"n{i:03d}", f"n{i + 1:03d}") for i in range(60)] + [("s0", f"s{i}") for i in range(1, 30)] + [("x", "x"), ("y", None)]
+    got = {r["node"]: r["component"] for r in components(spark.createDataFrame(edges, "a string, b string")).collect()}
+    assert {got[f"n{i:03d}"] for i in range(61)} == {"n000"} and {got[f"s{i}"] for i in range(30)} == {"s0"} and got["x"] == "x" and "y" not in got
