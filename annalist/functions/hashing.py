@@ -30,9 +30,21 @@ def decimal_text(value: Column) -> Column:
     return F.when(plain.rlike(r"^-?0$"), "0").otherwise(plain)
 
 
+#: Control characters whose escapes have letters in them.
+_LETTERED = [f"{n:04X}" for n in range(32) if n not in (8, 9, 10, 12, 13) and not f"{n:04X}".isdigit()]
+
+
+def _plain_escapes(json_text: Column) -> Column:
+    """Escapes of control characters with small letters, where Spark writes capitals; escaped backslashes are no escapes."""
+    out = json_text
+    for code in _LETTERED:
+        out = F.regexp_replace(out, rf"(?<!\\)((?:\\\\)*)\\u{code}", rf"$1\\u{code.lower()}")
+    return F.when(F.contains(json_text, F.lit("\\u00")), out).otherwise(json_text)
+
+
 def flat_json(**fields: Column) -> Column:
     """Canonical JSON of a flat record of strings: sorted keys, no blanks, nulls written."""
-    return F.to_json(F.struct(*[fields[k].alias(k) for k in sorted(fields)]), {"ignoreNullFields": "false"})
+    return _plain_escapes(F.to_json(F.struct(*[fields[k].alias(k) for k in sorted(fields)]), {"ignoreNullFields": "false"}))
 
 
 def flat_hash(**fields: Column) -> Column:
@@ -132,7 +144,7 @@ def canonical_sha256(document: Column) -> Column:
 
 def _quoted(text: Column) -> Column:
     """A JSON string with only the escapes that JSON needs."""
-    return F.regexp_extract(F.to_json(F.struct(text.alias("v")), {"ignoreNullFields": "false"}), r"^\{\"v\":(.*)\}$", 1)
+    return F.regexp_extract(_plain_escapes(F.to_json(F.struct(text.alias("v")), {"ignoreNullFields": "false"})), r"^\{\"v\":(.*)\}$", 1)
 
 
 def identity_hash(url: Column, attributes: Column) -> Column:
@@ -172,7 +184,7 @@ def segment_hash(masked: Column) -> Column:
 def memory_key(source: Column, target: Column, segment: Column, provider: Column, model: Column, glossary: Column) -> Column:
     """Key of a translated segment; the provider is an object of its own in it."""
     nested = F.struct(glossary.alias("glossary_version"), segment.alias("normalized_segment_hash"), F.struct(model.alias("model_version"), provider.alias("name")).alias("provider"), source.alias("source_language"), target.alias("target_language"))
-    return sha256_hex(F.to_json(nested, {"ignoreNullFields": "false"}))
+    return sha256_hex(_plain_escapes(F.to_json(nested, {"ignoreNullFields": "false"})))
 
 
 #: Bounds of nested documents, and of what an event carries itself.

@@ -141,9 +141,8 @@ def quality_gates(records: DataFrame, by: str, *, parsed: Column, complete: Colu
 def fuzzy_match(left: DataFrame, right: DataFrame, block: list[str], name: str, left_id: str, right_id: str, most: int = 3) -> DataFrame:
     """``left_id, right_id, distance``: the nearest name of the same block within ``most`` edits.
 
-    Names with few edits share one of ``most + 1`` equal parts of the shorter one, which
-    would take all places; so candidates share the block and a length within ``most``, and a
-    block of many names wants a narrower key. Repeated names of a block are compared once.
+    Candidates share the block and have lengths within ``most`` of each other; equal names of
+    a block are compared once. A block of very many different names wants a narrower key.
     """
     names = lambda df, i, to: df.groupBy(*block, F.col(name).alias(to)).agg(F.min(i).alias(i))
     lengths = F.explode(F.sequence(F.length("_r") - most, F.length("_r") + most)).alias("_n")

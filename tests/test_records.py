@@ -52,6 +52,12 @@ def test_canonical_json(spark, given, want):
     assert one(spark, hashing.canonical_json(F.lit(given).cast("string"))) == want
 
 
+def test_flat_json_escapes_as_canonical_json_does(spark):
+    odd = ["a\"b\\c/d", "\x1f\x0b\x01\n\t\x7f", "\\u001F \\\\u000B", "\u2028é😀", "", None]
+    df = spark.createDataFrame([(v,) for v in odd], "v string")
+    assert [r["j"] for r in df.select(hashing.flat_json(k=F.col("v")).alias("j")).collect()] == [json.dumps({"k": v}, separators=(",", ":"), ensure_ascii=False) for v in odd]
+
+
 def test_canonical_json_does_not_depend_on_order(spark):
     rng = random.Random(1)
     for _ in range(20):
