@@ -120,3 +120,21 @@ def test_one_document_of_each_group_stays(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, stay int")
     kept = simhash.keep_first(docs).collect()
     assert sorted((r["doc_id"] or 0, r["text"] or "") for r in kept) == [(0, other), (1, ""), (4, text), (4, other + " eleven")]
+
+
+def test_texts_of_several_parts_keep_their_anchors(monkeypatch):
+    """Beyond PLACES symbols a text is taken in parts; equal windows must still agree on gram and place."""
+    import numpy as np
+
+    monkeypatch.setattr(repeats, "PLACES", 1 << 9)
+    rng = np.random.default_rng(3)
+    symbols = np.concatenate([rng.integers(0, 3, 1500), np.zeros(200, dtype=int), rng.integers(0, 3, 40)] * 3).astype(np.uint8)
+    kind = repeats.Kind(suffix_dedup.byte_symbols, 24, 12)
+    grams, places, first, last = repeats.anchors(symbols, kind)
+    seen, windows = {}, []
+    for g, p, a, b in zip(grams.tolist(), places.tolist(), first.tolist(), last.tolist()):
+        for w in range(a, b + 1):
+            windows.append(w)
+            assert w <= p <= w + kind.window - kind.gram
+            assert seen.setdefault(symbols[w : w + kind.window].tobytes(), (g, p - w)) == (g, p - w)
+    assert windows == list(range(len(symbols) - kind.window + 1))
