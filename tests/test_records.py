@@ -506,3 +506,26 @@ def test_components_of_chains_and_stars(spark):
     edges = [(f"n{i:03d}", f"n{i + 1:03d}") for i in range(60)] + [("s0", f"s{i}") for i in range(1, 30)] + [("x", "x"), ("y", None)]
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(edges, "a string, b string")).collect()}
     assert {got[f"n{i:03d}"] for i in range(61)} == {"n000"} and {got[f"s{i}"] for i in range(30)} == {"s0"} and got["x"] == "x" and "y" not in got
+
+
+def test_axes_are_combined(spark):
+    at = lambda n: dt.datetime(2026, 1, 1) + dt.timedelta(hours=n)
+    source = spark.createDataFrame([(1, at(1), None, False), (2, at(5), None, True)], "k int, source_event_at timestamp_ntz, source_updated_at timestamp_ntz, source_time_inferred boolean")
+    system = spark.createDataFrame([(1, at(4), at(5), at(6)), (2, at(4), at(5), at(4))], "k int, observed_at timestamp_ntz, fetched_at timestamp_ntz, ingested_at timestamp_ntz")
+    both = contracts.combined(source, system, "k").orderBy("k").collect()
+    assert [r["violations"] for r in both] == [[], ["event_is_fetch", "ingested_before_fetched"]]
+    derived = contracts.derived_time(source.join(system, "k")).orderBy("k").first()["effective"]
+    assert tuple(derived) == (at(1), "source_event", False)
+    joined = source.withColumn("s", F.struct("source_event_at", "source_updated_at", "source_time_inferred")).join(system.withColumn("y", F.struct("observed_at", "fetched_at", "ingested_at")), "k")
+    assert joined.select(times.entity_time(F.col("s"), F.col("y")).alias("t")).first()["t"].asDict()["ingested_at"] in (at(6), at(4))
+    record = source.join(system, "k").where("k = 1").withColumn("core", F.lit("[]")).withColumn("attributes", F.lit("{}")).withColumn("latest_state", F.lit("{}"))
+    assert quality.split(record, contracts.payload())[1].first()["violations"] == ["core"]
+
+
+def test_terms_and_groups_as_tables(spark, tmp_path):
+    path = tmp_path / "terms.json"
+    path.write_text(json.dumps({"schema": 1, "target_language": "uk", "pairs": {"de": [{"term": "BMW", "keep": True}]}}))
+    version, terms = registry.load_glossary(str(path))
+    assert len(version) == 64 and [tuple(r) for r in registry.glossary_terms(spark, terms).collect()] == [("de", 0, "BMW", "BMW")]
+    groups = spark.createDataFrame([("g", "a")], "group_id string, member string")
+    assert {tuple(r) for r in resolution.group_of(groups, spark.createDataFrame([("a",), ("b",)], "m string"), "m").collect()} == {("a", "g"), ("b", None)}
