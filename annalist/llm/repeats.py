@@ -20,7 +20,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from annalist.llm.common import id_text, materialize, shards_for
+from annalist.llm.common import discard, id_text, materialize, shards_for
 
 #: Anchors with a gram that occurs more often are compared window by window, so that no shard
 #: gets all contexts of one gram.
@@ -230,6 +230,7 @@ def repeated(docs: DataFrame, kind: Kind, solve: Callable[[list[bytes]], Iterato
     wanted = found.join(again, F.col("gram") == F.col("_gram")).select("key", F.struct("gram", (F.col("_n") > HOT).alias("hot")).alias("g"))
     wanted = wanted.groupBy(F.col("key").alias("_key")).agg(F.collect_set("g").alias("grams"))
     wanted = materialize(wanted, "wanted")
+    discard(found)
     shards = shards_for(int(wanted.agg(F.coalesce(F.sum(F.size("grams")), F.lit(0))).first()[0]), ENTRIES_PER_SHARD, docs.sparkSession)
 
     def contexts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -255,6 +256,7 @@ def repeated(docs: DataFrame, kind: Kind, solve: Callable[[list[bytes]], Iterato
     texts = source.select("key", row.alias("row"), "text").mapInPandas(compressed, "key long, row binary, z binary")
     parts = texts.join(wanted, F.col("key") == F.col("_key")).select("row", "z", "grams").mapInPandas(contexts, "shard int, run binary, row binary, start int, end int")
     parts = materialize(parts, "runs")
+    discard(wanted)
 
     def solved(shard: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame(list(solve(list(shard["run"]))), columns=["row", "start", "end"], dtype=object)
