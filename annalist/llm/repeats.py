@@ -17,7 +17,7 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from annalist.llm.common import discard, id_text, materialize, shards_for
@@ -200,6 +200,11 @@ def _runs(entries: list[Entry], kind: Kind, size: int, shards: int, hot: set[int
         yield None, None, key, start, end
 
 
+def _free_shuffles(spark: SparkSession) -> None:
+    """Spark deletes shuffle files once the JVM has collected what made them, so ask for that between the phases."""
+    spark._jvm.System.gc()
+
+
 def repeated(docs: DataFrame, kind: Kind, solve: Callable[[list[bytes]], Iterator[tuple[bytes, int, int]]], *, id_col: str, text_col: str) -> DataFrame:
     """``id_col, z, covers`` for every row: the compressed text and the covered stretches.
 
@@ -231,6 +236,7 @@ def repeated(docs: DataFrame, kind: Kind, solve: Callable[[list[bytes]], Iterato
     wanted = wanted.groupBy(F.col("key").alias("_key")).agg(F.collect_set("g").alias("grams"))
     wanted = materialize(wanted, "wanted")
     discard(found)
+    _free_shuffles(docs.sparkSession)
     shards = shards_for(int(wanted.agg(F.coalesce(F.sum(F.size("grams")), F.lit(0))).first()[0]), ENTRIES_PER_SHARD, docs.sparkSession)
 
     def contexts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -257,6 +263,7 @@ def repeated(docs: DataFrame, kind: Kind, solve: Callable[[list[bytes]], Iterato
     parts = texts.join(wanted, F.col("key") == F.col("_key")).select("row", "z", "grams").mapInPandas(contexts, "shard int, run binary, row binary, start int, end int")
     parts = materialize(parts, "runs")
     discard(wanted)
+    _free_shuffles(docs.sparkSession)
 
     def solved(shard: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame(list(solve(list(shard["run"]))), columns=["row", "start", "end"], dtype=object)
