@@ -40,9 +40,9 @@ def id_text(column: str):
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
-def held_out(column: str = "doc_id"):
-    """True for the rows that no model may learn from: crc32 of the id as text, mod 4, is 2."""
-    return F.pmod(F.crc32(id_text(column).cast("binary")), F.lit(4)) == 2
+def held_out(column: str = "doc_id", *, folds: int = 4, fold: int = 2):
+    """True for the rows that no model may learn from: crc32 of the id as text, mod ``folds``, is ``fold``."""
+    return F.pmod(F.crc32(id_text(column).cast("binary")), F.lit(folds)) == fold
 
 
 def text_batches(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from annalist.llm import embedding_dedup, gif, langid, mixing, packing, phrase_dedup, pii, simhash, suffix_dedup, toxicity
+from annalist.llm import clustering, divergence, embedding_dedup, gif, langid, mixing, packing, phrase_dedup, pii, quality, simhash, suffix_dedup, toxicity
 from annalist.llm.common import held_out
 
 
@@ -61,10 +61,23 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return removed.select("doc_id", "n_words", gone.alias("n_removed"), F.sha2(F.encode("kept", "UTF-8"), 256).alias("kept_sha256"))
 
 
+def op11_quality_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels, kept_back = _documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"), held_out(folds=3, fold=1)
+    return quality.score(docs, quality.fit(docs, labels.where(~kept_back))).select("doc_id", kept_back.alias("held_out"), "score", "predicted")
+
+
+def op12_yinyang_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clustering.cluster(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(_documents(spark, sf_dir))
+
+
 def queries() -> dict:
-    own = [op1_best_fit_packing, op2_language_id, op3_surrogates, op4_toxicity, op5_embedding_near_dedup, op6_gif_media, op7_simhash_near_dedup, op8_mix_sources, op9_suffix_dedup, op10_substring_dedup]
+    own = [op1_best_fit_packing, op2_language_id, op3_surrogates, op4_toxicity, op5_embedding_near_dedup, op6_gif_media, op7_simhash_near_dedup, op8_mix_sources, op9_suffix_dedup, op10_substring_dedup, op11_quality_votes, op12_yinyang_clusters, op13_source_divergence]
     return {f.__name__: f for f in own}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_mix_sources": mixing.ORACLE_SQL}
+    return {"op8_mix_sources": mixing.ORACLE_SQL, "op12_yinyang_clusters": clustering.ORACLE_SQL, "op13_source_divergence": divergence.ORACLE_SQL}
