@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import json
-import re
 import unicodedata
 from decimal import Decimal
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -64,77 +64,80 @@ class NotCanonical(ValueError):
     """A value without a canonical form."""
 
 
-def canonical_text(document: str) -> str:
-    """JSON text with sorted keys, no blanks, NFC strings and plain numbers.
+#: Numbers whose plain form would have more digits have no canonical form.
+MOST_DIGITS = 4_300
 
-    Integers stay; decimals lose exponents and zeros at their end. Keys that become one,
-    NaN and infinity, and lone surrogates are errors.
-    """
 
-    def wrong(name: str):
-        raise NotCanonical(name)
-
-    def normal(value):
-        if isinstance(value, str):
-            return unicodedata.normalize("NFC", value)
-        if isinstance(value, list):
-            return [normal(v) for v in value]
-        if isinstance(value, dict):
-            out = {normal(k): normal(v) for k, v in value.items()}
-            if len(out) < len(value):
-                raise NotCanonical("keys collide")
-            return out
-        return value
-
-    class Plain(float):
-        """A number that is written as its decimal text."""
-
-        def __new__(cls, text: str):
-            own = super().__new__(cls, text)
-            own.text = _plain_decimal(text)
-            return own
-
-        def __repr__(self) -> str:
-            return self.text
-
-    out = json.dumps(_holding(normal(json.loads(document, parse_float=Plain, parse_constant=wrong))), sort_keys=True, separators=(",", ":"), ensure_ascii=False, allow_nan=False)
-    out = _MARK.sub(lambda m: m[1], out)
-    out.encode("utf-8")
-    return out
+class _Plain(float):
+    """A number that isn't an integer, with its text as it is written."""
+
+    def __new__(cls, text: str):
+        own = super().__new__(cls, text)
+        own.text = _plain_decimal(text)
+        return own
+
 
+def _refuse(name: str):
+    raise NotCanonical(name)
 
-_MARK = re.compile('"\ufdd0([0-9.-]+)\ufdd0"')
 
+_DECODER = json.JSONDecoder(parse_float=_Plain, parse_constant=_refuse)
+_STRING = json.JSONEncoder(ensure_ascii=False).encode
+_CONSTANTS = {None: "null", True: "true", False: "false"}
 
-def _holding(value):
-    """The same tree with decimals as marked strings, as the encoder writes floats its own way."""
-    if isinstance(value, float):
-        return f"\ufdd0{value!r}\ufdd0"
+
+def _written(value) -> str:
+    if isinstance(value, str):
+        return _STRING(value if value.isascii() else unicodedata.normalize("NFC", value))
+    if isinstance(value, dict):
+        named = {k if k.isascii() else unicodedata.normalize("NFC", k): v for k, v in value.items()}
+        if len(named) < len(value):
+            raise NotCanonical("keys collide")
+        return "{" + ",".join([f"{_STRING(k)}:{_written(named[k])}" for k in sorted(named)]) + "}"
     if isinstance(value, list):
-        return [_holding(v) for v in value]
-    return {k: _holding(v) for k, v in value.items()} if isinstance(value, dict) else value
+        return "[" + ",".join(map(_written, value)) + "]"
+    if isinstance(value, _Plain):
+        return value.text
+    return _CONSTANTS[value] if value is None or isinstance(value, bool) else str(value)
+
+
+def canonical_text(document: str) -> str:
+    """JSON text with sorted keys, no blanks, NFC strings and plain numbers.
+
+    Integers stay; decimals lose exponents and zeros at their end. Keys that become one, NaN and
+    infinity, lone surrogates, trees too deep to walk, and numbers of more than ``MOST_DIGITS``
+    digits are errors.
+    """
+    try:
+        out = _written(_DECODER.decode(document))
+    except RecursionError:
+        raise NotCanonical("too deep") from None
+    out.encode("utf-8")
+    return out
 
 
 def _plain_decimal(text: str) -> str:
     value = Decimal(text)
-    if not value.is_finite():
-        raise NotCanonical(text)
+    if not value.is_finite() or abs(value.adjusted()) > MOST_DIGITS or len(value.as_tuple().digits) > MOST_DIGITS:
+        raise NotCanonical(text[:40])
     plain = f"{value:f}"
     plain = plain.rstrip("0").rstrip(".") if "." in plain else plain
     return "0" if plain in ("-0", "") else plain
 
 
-@F.pandas_udf(T.StringType())
-def canonical_json(documents: pd.Series) -> pd.Series:
-    """The canonical form of JSON texts; null for what has none."""
+def _canonical_or_none(text: str | None) -> str | None:
+    try:
+        return None if text is None else canonical_text(text)
+    except (ValueError, ArithmeticError):
+        return None
 
-    def one(text):
-        try:
-            return None if text is None else canonical_text(text)
-        except (ValueError, ArithmeticError):
-            return None
 
-    return documents.map(one)
+@F.pandas_udf(T.StringType())
+def canonical_json(documents: pd.Series) -> pd.Series:
+    """The canonical form of JSON texts; null for what has none. Equal texts of a batch are read once."""
+    which, distinct = pd.factorize(documents)
+    forms = np.array([*map(_canonical_or_none, distinct), None], dtype=object)
+    return pd.Series(forms[which])  # nulls are the last
 
 
 def canonical_sha256(document: Column) -> Column:
@@ -168,8 +171,17 @@ def _identity(url: Column, pairs: Column) -> Column:
 
 def state_hash(core: Column, attributes: Column, latest_state: Column) -> Column:
     """``v1:`` and the hash of three JSON objects; null if one of them has no canonical form."""
-    text = F.concat(F.lit('{"attributes":'), canonical_json(attributes), F.lit(',"core":'), canonical_json(core), F.lit(',"latest_state":'), canonical_json(latest_state), F.lit(',"v":1}'))
-    return F.concat(F.lit("v1:"), sha256_hex(text))
+    return F.concat(F.lit("v1:"), sha256_hex(_state_text(core, attributes, latest_state)))
+
+
+@F.pandas_udf(T.StringType())
+def _state_text(core: pd.Series, attributes: pd.Series, latest_state: pd.Series) -> pd.Series:
+    """One trip to Python for all three."""
+    forms = []
+    for texts in (attributes, core, latest_state):
+        which, distinct = pd.factorize(texts)
+        forms.append(np.array([*map(_canonical_or_none, distinct), None], dtype=object)[which])
+    return pd.Series([None if a is None or c is None or s is None else f'{{"attributes":{a},"core":{c},"latest_state":{s},"v":1}}' for a, c, s in zip(*forms, strict=True)], dtype=object)
 
 
 def translation_key(article_version: Column, target: Column, provider: Column, model: Column, glossary: Column) -> Column:

@@ -15,8 +15,6 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = frozenset("script style textarea".split())
 #: Elements that end when one of the others begins, unless one of the last kind is between.
 ENDS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "tr": ({"tr"}, {"table", "thead", "tbody", "tfoot"})}
-#: So far up the open elements is searched for one that ends.
-LOOK_UP = 256
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|</?([A-Za-z][^\s/>]*)(?:\"[^\"]*\"|'[^']*'|[^'\">])*(?:>|\Z)", re.DOTALL)
 _ATTRIBUTE = re.compile(r"\s([^\s=\"'<>/]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'<>=`]+))")
@@ -156,13 +154,35 @@ class Reader:
         self.kept: list[str] = []
         self.run: list[Token] = []
         self.open: list[tuple[str, str | None]] = []
+        #: Where the open elements of each name are among them, and those that have a language.
+        self.places: dict[str, list[int]] = {}
+        self.spoken: list[int] = []
         self.skip: list[str] = []
         self.skip_name, self.skip_depth, self.skip_inline = "", 0, False
         self.tops, self.root_lang = 0, None
 
     def lang(self) -> str | None:
         """The nearest language given by an element, the root's own left out."""
-        return next((own for _, own in reversed(self.open[1:] if self.tops == 1 and self.open else self.open) if own), None)
+        at = self.spoken[-1] if self.spoken else 0
+        return self.open[at][1] if self.spoken and not (at == 0 and self.tops == 1) else None
+
+    def push(self, name: str, own: str | None) -> None:
+        self.places.setdefault(name, []).append(len(self.open))
+        if own:
+            self.spoken.append(len(self.open))
+        self.open.append((name, own))
+
+    def pop_to(self, at: int) -> None:
+        """End the open elements from a place on; each is ended once, however deep it is."""
+        while len(self.open) > at:
+            name, own = self.open.pop()
+            self.places[name].pop()
+            if own:
+                self.spoken.pop()
+
+    def last(self, names: Iterable[str]) -> int:
+        """The place of the innermost open element of these names, or -1."""
+        return max((self.places[n][-1] for n in names if self.places.get(n)), default=-1)
 
     def literal(self, raw: str) -> None:
         if raw:
@@ -212,12 +232,9 @@ class Reader:
         if name not in ENDS:
             return
         ended, bounds = ENDS[name]
-        for back, (other, _) in enumerate(reversed(self.open[-LOOK_UP:])):
-            if other in bounds:
-                return
-            if other in ended:
-                del self.open[len(self.open) - back - 1 :]
-                return
+        at = self.last(ended)
+        if at > self.last(bounds):
+            self.pop_to(at)
 
     def take(self, token: Token) -> None:
         if self.skip_depth:
@@ -246,16 +263,16 @@ class Reader:
             return
         self.flush()
         if token.closing:
-            at = next((n for n in range(len(self.open) - 1, max(-1, len(self.open) - 1 - LOOK_UP), -1) if self.open[n][0] == token.name), None)
-            if at is not None:
-                del self.open[at:]
+            at = self.last((token.name,))
+            if at >= 0:
+                self.pop_to(at)
         elif not alone:
             self.close_implied(token.name)
             own = attributes(token.raw).get("lang", (None,))[0]
             if not self.open:
                 self.tops += 1
                 self.root_lang = own if self.tops == 1 else None
-            self.open.append((token.name, own))
+            self.push(token.name, own)
         self.literal(self.slotted(token))
 
     def skipped(self) -> None:

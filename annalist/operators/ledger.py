@@ -75,11 +75,8 @@ def receipt_page(receipts: DataFrame, keys: list[str], cursor: list | None, limi
     from annalist.operators.relational import page_after
 
     more = page_after(receipts, keys, cursor, limit + 1)
-    page = more.orderBy(*keys).limit(limit)
-    last = page.agg(F.max(F.struct(*keys)).alias("k"), F.count(F.lit(1)).alias("n"))
-    all_ = more.agg(F.count(F.lit(1)).alias("m"))
-    # one row meets one row
-    return page, last.withColumn("one", F.lit(1)).join(all_.withColumn("one", F.lit(1)), "one").where("m > n").select("k.*")
+    read = more.agg(F.array_sort(F.collect_list(F.struct(*keys))).alias("k")).where(F.size("k") > limit)
+    return more.orderBy(*keys).limit(limit), read.select(F.element_at("k", limit).alias("k")).select("k.*")
 
 
 def parked(outbox: DataFrame, keys: list[str], limit: int) -> DataFrame:
