@@ -1,14 +1,17 @@
 """How the sources of a language differ in their words, by wide term vectors.
 
-Each term of a language is one row whose array holds the term's count in every source. Higher-order
+Tasks count the terms of their rows; then each term of a language is one row whose array holds the term's count in every source. Higher-order
 functions turn such an array into what each pair of sources gains from the term, and partial
 aggregates add that up in each task. Equal arrays are met once, with their number.
 """
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Iterator
 from string import ascii_lowercase, ascii_uppercase
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,19 +19,63 @@ from annalist.llm.common import materialize
 
 #: A term is a maximal run of ASCII letters and characters beyond ASCII.
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
+#: The same on UTF-8 bytes: A-Z become small, other ASCII becomes blanks.
+_AS_WORDS = bytes(c | 32 if chr(c) in ascii_uppercase else c if c > 127 or chr(c) in ascii_lowercase else 32 for c in range(256))
+#: Bytes of a text taken apart at once, counts a task holds, rows it hands on at once.
+PIECE, HELD, ROWS = 1 << 20, 300_000, 20_000
 MIN_DOCS, TOP = 3, 200
 #: A language's row is repeated so often for joins, so that its terms fall into so many tasks at least.
 SALTS = 32
 
 
+def _words(data: bytes) -> Iterator[list[bytes]]:
+    """A text's terms, as bytes; a long text comes in pieces that end between terms."""
+    data = data.translate(_AS_WORDS)
+    start = 0
+    while start < len(data):
+        end = data.find(b" ", start + PIECE)
+        end = len(data) if end < 0 else end
+        yield data[start:end].split()
+        start = end
+
+
 def _term_counts(docs: DataFrame) -> DataFrame:
-    """``lang, source, term, n, docs``: occurrences, and documents with the term."""
-    tokens = F.regexp_extract_all(F.translate("text", ascii_uppercase, ascii_lowercase), F.lit(TERM), F.lit(0))
-    ordered = docs.select("lang", "source", F.sort_array(tokens).alias("tokens"))
-    # in order, the first of equal terms stands for its document
-    marked = F.expr("transform(tokens, (t, i) -> named_struct('term', t, 'first', if(i = 0, true, try_element_at(tokens, i) <> t)))")
-    each = ordered.select("lang", "source", F.inline(marked))
-    return each.groupBy("lang", "source", "term").agg(F.count(F.lit(1)).alias("n"), F.count_if("first").alias("docs"))
+    """``lang, source, term, n, docs``: occurrences, and documents with the term.
+
+    Each task counts its own rows in Arrow batches and hands on what it has whenever that is
+    ``HELD`` entries; Spark adds up.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple[str, str], tuple[Counter, Counter]] = {}
+
+        def given() -> Iterator[pa.RecordBatch]:
+            for (lang, source), (often, docs_with) in held.items():
+                terms = list(often)
+                for at in range(0, len(terms), ROWS):
+                    part = terms[at : at + ROWS]
+                    columns = [pa.array([lang] * len(part)), pa.array([source] * len(part)), pa.array(part, pa.binary()).cast(pa.string()), pa.array([often[t] for t in part], pa.int64()), pa.array([docs_with[t] for t in part], pa.int64())]
+                    yield pa.RecordBatch.from_arrays(columns, ["lang", "source", "term", "n", "docs"])
+            held.clear()
+
+        entries = 0
+        for batch in batches:
+            for lang, source, text in zip(*(batch.column(c).to_pylist() for c in ("lang", "source", "text")), strict=True):
+                often, docs_with = held.setdefault((lang, source), (Counter(), Counter()))
+                seen, before = set(), len(often)
+                for words in _words(text):
+                    often.update(words)
+                    seen.update(words)
+                docs_with.update(seen)
+                entries += len(often) - before
+                if entries > HELD:
+                    yield from given()
+                    entries = 0
+        yield from given()
+
+    rows = docs.select("lang", "source", F.col("text").cast("binary").alias("text"))
+    counted = rows.mapInArrow(count, "lang string, source string, term string, n long, docs long")
+    return counted.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
 
 
 def _with_language(rows: DataFrame, languages: DataFrame, by: str) -> DataFrame:

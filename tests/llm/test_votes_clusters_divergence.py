@@ -187,3 +187,12 @@ def test_the_sample_is_bounded(spark, documents):
     labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
     assert len(quality.fit(docs, labels, max_examples=10).labels) <= 10
     assert 0 < len(quality.fit(docs, labels, max_entries=30).labels) <= 30 // 4
+
+
+def test_long_texts_in_pieces(monkeypatch):
+    text = "Ab cd,éF ".encode() * 40
+    whole = [w for words in divergence._words(text) for w in words]
+    monkeypatch.setattr(divergence, "PIECE", 5)
+    pieces = list(divergence._words(text))
+    assert len(pieces) > 20 and [w for words in pieces for w in words] == whole == [b"ab", b"cd", "éf".encode().replace(b"F", b"f")] * 40
+    assert list(divergence._words(b"")) == []
