@@ -65,22 +65,28 @@ _EMAIL = r"[^\W_][\w.+%-]*@(?:[\w-]+\.)+[^\W\d_]{2,}"
 KEYS = [("AKIA", r"[0-9A-Z]{16}\b"), ("ASIA", r"[0-9A-Z]{16}\b"), *((p, r"[0-9A-Za-z]{30,}\b") for p in ("ghp_", "gho_", "ghu_", "ghs_", "ghr_")), ("github_pat_", r"\w{22,}"), ("glpat-", r"[\w-]{20,}"), ("sk-", r"[\w-]{20,}"), ("AIza", r"[\w-]{35}(?!\w)"), *((f"xox{c}-", r"[\w-]{10,}") for c in "abprs")]
 _KEY = re.compile(r"(?<!\w)(?:" + "|".join(f"{re.escape(p)}(?:{rest})" for p, rest in KEYS) + ")")
 _PEM = re.compile(r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----(?P<value>(?:[A-Za-z0-9+/=\s:,.]|-(?!-))+)")
-SECRETS = ["password", "passwd", "secret", "api_key", "token"]
-# a key word in any case, quoted or not, = or :, and the value
-_SECRET = re.compile(rf"(?ai:{'|'.join(SECRETS)})\\?[\"']?[ \t]*[=:][ \t]*\\?[\"']?(?!{_EMAIL})(?!{_KEY.pattern})(?P<value>[^\s\"',;]{{6,}})")
+SECRETS = ["password", "passwd", "pwd", "secret", "api_key", "token", "authorization"]
+# a key word in any case, quoted or not, = or :, how a header names its kind, and the value to its end
+_SECRET = re.compile(rf"(?ai:{'|'.join(SECRETS)})\\?[\"']?[ \t]*[=:][ \t]*\\?[\"']?(?:(?ai:bearer|basic|digest)[ \t]+)?(?P<value>[^\s\"',;]{{6,}})")
+#: A bearer's token without its header has a digit, as "bearer" is a word as well.
+_BEARER = re.compile(r"(?ai:bearer)[ \t]+(?=[A-Za-z._~+/=-]*[0-9])(?P<value>[\w.~+/=-]{16,})")
+_BEGINS = re.compile(f"{_EMAIL}|{_KEY.pattern}")
 _DOMAIN = re.compile(r"@(?:[\w-]+\.)+[^\W\d_]{2,}")
 _NUMERIC = re.compile(
-    r"(?P<phone>(?<![\w+])\+\d{1,3}[ .-]?\(?\d{2,4}\)?(?:[ .-]?\d{2,4}){2,3}(?!\w)"
+    r"(?P<phone>(?<![\w+])\+\d{1,3}[ .-]?\(0\)[ .-]?\d{2,4}(?:[ .-]?\d{2,4}){1,3}(?!\w)"
+    r"|(?<![\w+])\+\d{1,3}[ .-]?\(?\d{2,4}\)?(?:[ .-]?\d{2,4}){2,3}(?!\w)"
+    r"|(?<![\w.,+-])(?:0\d{2,4}|\(0\d{2,4}\))[ -]\d{3,4}[ -]\d{3,4}(?![\w-]|[.,]\d)"
     r"|(?<![\w+(.-])1[ .-]\(?\d{3}\)?[ .-]?\d{3}[ .-]?\d{4}(?![\w-])"
     r"|(?<![\w(])\(\d{3}\) ?\d{3}-\d{4}(?!\w)|(?<![\w.-])\d{3}-\d{3}-\d{4}(?![\w-])|(?<![\w.,-])[2-9]\d\d([ .])[2-9]\d\d\2\d{4}(?![\w-]|[.,]\d))"
     r"|(?P<ssn>(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-]))"
     r"|(?P<ipv4>(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\w|\.\d))"
     r"|(?P<iban>(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?!\w))"
-    r"|(?P<card>(?<![\w.-])[3-6]\d{3}(?:[ -]?\d{4}){2}[ -]?\d{3,4}(?![\w-]))"
+    r"|(?P<card>(?<![\w.-])(?:[3-6]\d{3}(?:[ -]?\d{4}){2}[ -]?\d{3,4}|3[47]\d\d([ -]?)\d{6}\7\d{5})(?![\w-]))"
 )
 _IPV6 = re.compile(r"(?<![\w:.])(?:[0-9A-Fa-f]{0,4}:){2,7}[0-9A-Fa-f]{0,4}(?![\w:])")
 _HEX_COLON = frozenset("0123456789abcdefABCDEF:")
 _MARK = re.compile(r"@|[0-9]+")
+_JOINED = re.compile(r"[^-]+")
 _PART = re.compile(r"[^\W\d_]+")
 _WORD = re.compile(r"(?<!\w)[^\W\d_]+(?:['’-](?!s\b)[^\W\d_]+)*(?!\w)")
 #: Scripts that put no blanks between words.
@@ -114,7 +120,7 @@ def _cues(text: str) -> list[tuple[int, int, str]]:
     folded = text.lower()
     if len(folded) != len(text):
         folded = "".join(low if len(low := c.lower()) == 1 else c for c in text)
-    words = [(text, f"{t} ", "name") for t in TITLE_GENDER] + [(text, p, "key") for p, _ in KEYS] + [(folded, s, "secret") for s in SECRETS] + [(text, "-----BEGIN ", "pem")]
+    words = [(text, f"{t} ", "name") for t in TITLE_GENDER] + [(text, p, "key") for p, _ in KEYS] + [(folded, s, "secret") for s in SECRETS] + [(folded, "bearer", "bearer"), (text, "-----BEGIN ", "pem")]
     for where, word, kind in words:
         at = where.find(word)
         while at >= 0:
@@ -171,7 +177,10 @@ def _names_at(text: str, at: int, after: int) -> list[tuple[int, int, str, str]]
         name = unicodedata.normalize("NFC", text[a:b]).lower()
         known = NAME_GENDER.get(name, "")
         given = len(parts) > 1 and n == 0 or len(parts) == 1 and known != ""
-        out.append((a, b, "given", f"{gender or known}|{name}") if given else (a, b, "surname", f"|{name}"))
+        # the parts of a double name are names of their own, as each may stand alone elsewhere
+        for part in _JOINED.finditer(text, a, b):
+            name = unicodedata.normalize("NFC", part[0]).lower()
+            out.append((*part.span(), "given", f"{gender or known}|{name}") if given else (*part.span(), "surname", f"|{name}"))
     return out
 
 
@@ -187,33 +196,44 @@ def _found_at(text: str, start: int, cue: int, pattern: str) -> list[tuple[int,
         if not m:
             return []
         kind, surface = m.lastgroup or "phone", m[0]
-        digits = re.sub(r"\D", "", surface)
+        digits = re.sub(r"\D", "", surface.replace("(0)", ""))
         if kind == "card":
             return [(*m.span(), kind, digits)] if _luhn(digits) else []
         if kind == "iban":
             iban = surface.replace(" ", "")
             return [(*m.span(), kind, iban)] if _iban_rest(iban) == 1 or sum(c.isdigit() for c in iban) >= 10 else []
         if kind == "phone":
+            if digits[0] == "0" and surface[0] != "+":
+                return [(*m.span(), kind, digits)]
             american = len(digits) == 10 and surface[0] != "+" or len(digits) == 11 and digits[0] == "1"
             return [(*m.span(), kind, digits[-10:] if american else f"+{digits}")]
         return [(*m.span(), kind, digits if kind == "ssn" else surface)]
     if pattern == "ipv6":
         m = _IPV6.match(text, start)
-        if not m or len(m[0].replace(":", "")) < 4:
+        if not m or len(m[0].replace(":", "")) < (1 if "::" in m[0] else 4):
             return []
         try:
             return [(*m.span(), "ipv6", ipaddress.IPv6Address(m[0]).exploded)]
         except ValueError:
             return []
-    m = {"secret": _SECRET, "key": _KEY, "pem": _PEM}[pattern].match(text, start)
+    m = {"secret": _SECRET, "bearer": _BEARER, "key": _KEY, "pem": _PEM}[pattern].match(text, start)
     if not m:
         return []
     if pattern == "key":
         return [(*m.span(), "key", m[0])]
-    value = m["value"]
-    # one mark over and over is a mask, not a secret
-    masked = len(set(value)) == 1 and not value[0].isalnum()
-    return [] if masked else [(*m.span("value"), pattern, value)]
+    at, end = m.span("value")
+    if pattern == "pem":
+        return [(at, end, pattern, text[at:end])]
+    out = []
+    # an address or a key that begins the value is one, and what is left of the value another mention
+    if begins := _BEGINS.match(text, at, end):
+        email = "@" in begins[0]
+        out.append((*begins.span(), "email" if email else "key", begins[0].lower() if email else begins[0]))
+        at = begins.end()
+    value = text[at:end]
+    # one mark over and over is a mask, not a secret; so is what ends a sentence behind an address
+    masked = not any(c.isalnum() for c in value) and (len(set(value)) <= 1 or bool(out))
+    return out if masked else [*out, (at, end, "secret", value)]
 
 
 def mentions(text: str) -> list[tuple[int, int, str, str]]:
@@ -349,6 +369,8 @@ def surrogate(kind: str, entity: str, attempt: int = 0, key: bytes = KEY) -> str
         rest = entity[len(prefix) :]
         return prefix + ("".join(d.of("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567") for _ in rest) if prefix in ("AKIA", "ASIA") else d.like(rest))
     if kind == "phone":
+        if entity[0] == "0":
+            return "0" + d.of("123456789") + "".join(d.of("0123456789") for _ in entity[2:])
         if entity[0] != "+":
             rest = [d.of("0123456789") for _ in entity]
             rest[0], rest[3] = d.of("23456789"), d.of("23456789")
@@ -380,6 +402,10 @@ def surrogate(kind: str, entity: str, attempt: int = 0, key: bytes = KEY) -> str
 
 def written(kind: str, surface: str, canonical: str) -> str:
     """The surrogate in the format of one mention: its separators and its case."""
+    if kind == "phone" and "(0)" in surface:
+        before, _, after = surface.partition("(0)")
+        whole = written(kind, before + after, canonical)
+        return f"{whole[: len(before)]}(0){whole[len(before) :]}"
     if kind in ("phone", "card", "ssn", "iban"):
         extra = sum(c.isalnum() for c in surface) - len(canonical)
         chars = iter([c for c in surface if c.isalnum()][: max(0, extra)] + list(canonical))
