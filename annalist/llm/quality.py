@@ -12,7 +12,6 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
 from operator import eq
 from zlib import crc32
 
@@ -27,55 +26,68 @@ from annalist.llm.common import materialize, sample_order, text_batches
 MAX_EXAMPLES, MAX_ENTRIES = 4_000, 8_000_000
 #: Hashed terms, latent directions, neighbours.
 BUCKETS, DIRECTIONS, NEIGHBOURS = 1 << 16, 64, 25
-#: Documents whose cosines are computed at once; labelled vectors a block; words whose terms a task remembers.
-QUERIES, BLOCK, WORDS = 256, 1_000, 200_000
+#: Documents whose cosines are computed at once; labelled vectors a block; shapes that a task remembers.
+QUERIES, BLOCK, SHAPES = 256, 1_000, 20_000
 #: The share of labels in the sample counts as a neighbour of this similarity.
 PRIOR = 0.5
 THRESHOLD = 0.5
 SEED = "quality-1"
+#: What may stand behind a plain word.
+_MARKS = ".,;:!?)]}%$&*#|\"'"
 _LETTERS = re.compile(r"[\W\d_]+")
 _RUNS = re.compile(r"(.)\1+", re.DOTALL)
 
 
 def shape(word: str) -> str:
-    """The word's kinds of characters, runs as one: ``Berlin!!`` gives ``Aa!``."""
-    kinds = "".join("0" if c.isdecimal() else "A" if c.isupper() else "a" if c.isalpha() else c for c in word[:64])
-    return _RUNS.sub(r"\1", kinds)
+    """The kinds of the first 64 characters, runs as one: ``Berlin!!`` gives ``Aa!``."""
+    return _RUNS.sub(r"\1", "".join("0" if c.isdecimal() else "A" if c.isupper() else "a" if c.isalpha() else c for c in word[:64]))
 
 
-def buckets_of(word: str) -> tuple[int, ...]:
-    """The buckets of a word's terms: its letters in lower case, if it has any, and its shape."""
-    letters = _LETTERS.sub("", word.lower())
-    terms = ([f"w {letters}"] if letters else []) + [f"s {shape(word)}"]
-    return tuple(crc32(t.encode("utf-8", "surrogatepass")) % BUCKETS for t in terms)
+def terms_of(word: str) -> tuple[str, str]:
+    """A word's letters in lower case, and its ``shape`` or, for a plain word with marks behind it, that with the marks' runs in full."""
+    core = word if word.isalpha() else word.rstrip(_MARKS)
+    if not core.isalpha():
+        return _LETTERS.sub("", word.lower()), shape(word)
+    kind = "a" if core.islower() else "A" if core.isupper() else "Aa" if core[0].isupper() and core[1:].islower() else shape(core)
+    return core.lower(), kind + word[len(core) : len(core) + 64]
+
+
+def bucket(term: str) -> int:
+    return crc32(term.encode("utf-8", "surrogatepass")) % BUCKETS
 
 
 #: The terms of words that are the same as the one before, each from a share of such words on.
-REPEATS = [(share, crc32(f"r {share}".encode()) % BUCKETS) for share in (0.0, 0.25, 0.5, 0.75)]
+REPEATS = [(share, bucket(f"r {share}")) for share in (0.0, 0.25, 0.5, 0.75)]
 
 
-class Terms(dict):
-    """Buckets of the words met so far."""
+class Shapes(dict):
+    """Buckets of the shapes met so far."""
 
-    def __missing__(self, word: str) -> tuple[int, ...]:
-        if len(self) >= WORDS:
+    def __missing__(self, kind: str) -> int:
+        if len(self) >= SHAPES:
             self.clear()
-        self[word] = found = buckets_of(word)
+        self[kind] = found = bucket("s " + _RUNS.sub(r"\1", kind))
         return found
 
-    def counts(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        """The whole text's buckets in order, and how often each is there."""
-        words = (text or "").split()
-        each = Counter(words)
-        found = [self[w] for w in each]
-        n = np.repeat(np.fromiter(each.values(), dtype=np.float64, count=len(each)), [len(f) for f in found])
-        at = np.fromiter(chain.from_iterable(found), dtype=np.int64, count=len(n))
-        repeats = sum(map(eq, words, words[1:]))
-        for share, bucket in REPEATS:
-            if repeats > share * len(words):
-                at, n = np.append(at, bucket), np.append(n, repeats)
-        at, which = np.unique(at, return_inverse=True)
-        return at, np.bincount(which, n, len(at))
+
+def counts(text: str | None, shapes: Shapes) -> tuple[np.ndarray, np.ndarray]:
+    """The whole text's buckets, and how often each is there. Words are often met once only, so they aren't remembered."""
+    words = (text or "").split()
+    found, kinds = {}, {}
+    for word, n in Counter(words).items():
+        letters, kind = terms_of(word)
+        if letters:
+            at = bucket(letters)
+            found[at] = found.get(at, 0) + n
+        kinds[kind] = kinds.get(kind, 0) + n
+    for kind, n in kinds.items():
+        at = shapes[kind]
+        found[at] = found.get(at, 0) + n
+    repeats = sum(map(eq, words, words[1:]))
+    for share, at in REPEATS:
+        if repeats > share * len(words):
+            found[at] = found.get(at, 0) + repeats
+    return np.fromiter(found, dtype=np.int64, count=len(found)), np.fromiter(found.values(), dtype=np.float64, count=len(found))
 
 
 @dataclass
@@ -140,11 +152,11 @@ def document_frequencies(docs: DataFrame, text_col: str) -> tuple[int, np.ndarra
     """How many rows there are and how many of them have each bucket; whole texts of all rows."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        terms, rows, found = Terms(), 0, np.zeros(BUCKETS, dtype=np.int64)
+        shapes, rows, found = Shapes(), 0, np.zeros(BUCKETS, dtype=np.int64)
         for batch in batches:
             rows += len(batch)
             for text in batch["text"]:
-                found[terms.counts(text)[0]] += 1
+                found[counts(text, shapes)[0]] += 1
         at = np.flatnonzero(found)
         yield pd.DataFrame({"bucket": [-1, *at], "n": [rows, *found[at]]})
 
@@ -169,9 +181,9 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
     rows = texts.join(materialize(own, "quality-labels"), "_id")
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        terms = Terms()
+        shapes = Shapes()
         for batch in batches:
-            found = [terms.counts(text) for text in batch["text"]]
+            found = [counts(text, shapes) for text in batch["text"]]
             packed = [at.astype("<u2").tobytes() + n.astype("<u4").tobytes() for at, n in found]
             yield pd.DataFrame({"draw": batch["draw"], "label": batch["label"], "vector": packed, "entries": [len(at) for at, _ in found]})
 
@@ -209,11 +221,11 @@ def score(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: st
     shipped = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        terms, known = Terms(), shipped.value
+        shapes, known = Shapes(), shipped.value
         for batch in batches:
             for start in range(0, len(batch), QUERIES):
                 part = batch.iloc[start : start + QUERIES]
-                found = known.score(np.stack([known.latent(*terms.counts(text)) for text in part["text"]]))
+                found = known.score(np.stack([known.latent(*counts(text, shapes)) for text in part["text"]]))
                 yield pd.DataFrame({"id": part["id"], "score": found, "predicted": (found >= threshold).astype(np.int32)})
 
     kind = docs.schema[id_col].dataType.simpleString()
