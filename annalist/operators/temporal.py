@@ -8,34 +8,25 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from annalist.operators.scan import ROWS_PER_PART, max_before, next_later
 
-def _next_strictly_later(entity: str, axis: str) -> Column:
-    """The next different value of an axis.
 
-    In descending order that is the least value so far, this one's ties left out: a running
-    minimum, where a frame that begins after the row would be gone through for each row.
-    """
-    later = Window.partitionBy(entity).orderBy(F.desc(axis)).rangeBetween(Window.unboundedPreceding, -1)
-    return F.min(axis).over(later)
+def _micros(c: str) -> Column:
+    return F.unix_micros(F.col(c).cast("timestamp"))
 
 
-def intervals(versions: DataFrame, *, entity: str = "entity", effective: str = "effective_at", ingested: str = "ingested_at") -> DataFrame:
+def intervals(versions: DataFrame, *, entity: str = "entity", effective: str = "effective_at", ingested: str = "ingested_at", rows_per_part: int = ROWS_PER_PART) -> DataFrame:
     """Adds ``valid_from, valid_to, known_from, known_to`` to each version.
 
     Both axes stand alone. An upper bound is the entity's next strictly later value, so ties
     share it, and a late arrival shortens the valid interval of an older version, never its
-    known interval. The last upper bound is null.
+    known interval. The last upper bound is null. An entity with more than ``rows_per_part``
+    versions is scanned in parts.
     """
-    micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
     back = lambda c: F.timestamp_micros(c).cast("timestamp_ntz")
-    numbered = versions.withColumn("_e", micros(effective)).withColumn("_i", micros(ingested))
-    return numbered.select(
-        *versions.columns,
-        F.col(effective).alias("valid_from"),
-        back(_next_strictly_later(entity, "_e")).alias("valid_to"),
-        F.col(ingested).alias("known_from"),
-        back(_next_strictly_later(entity, "_i")).alias("known_to"),
-    )
+    numbered = versions.withColumn("_e", _micros(effective)).withColumn("_i", _micros(ingested))
+    found = next_later(next_later(numbered, [entity], "_e", "_valid_to", rows_per_part), [entity], "_i", "_known_to", rows_per_part)
+    return found.select(*versions.columns, F.col(effective).alias("valid_from"), back("_valid_to").alias("valid_to"), F.col(ingested).alias("known_from"), back("_known_to").alias("known_to"))
 
 
 def contains(valid_at: Column, known_at: Column) -> Column:
@@ -56,18 +47,19 @@ def current(versions: DataFrame, *, entity: str = "entity", order: str = "versio
     return best.select(entity, *[F.col(f"v.{c}").alias(c) for c in others])
 
 
-def compare_and_set(arrivals: DataFrame, *, entity: str = "entity", version: str = "version", state_hash: str = "state_hash", order: tuple[str, ...] = ("ingested_at", "version")) -> DataFrame:
+def compare_and_set(arrivals: DataFrame, *, entity: str = "entity", version: str = "version", state_hash: str = "state_hash", order: tuple[str, ...] = ("ingested_at", "version"), rows_per_part: int = ROWS_PER_PART) -> DataFrame:
     """Adds ``applied, previous_version, previous_hash, state_changed`` in order of arrival.
 
     A version is applied if it is higher than the current one at its arrival; every version
     keeps its row. The previous hash is the current row's, which is the highest version so
-    far, not the arrival before.
+    far, not the arrival before. An entity with more than ``rows_per_part`` arrivals is scanned
+    in parts.
     """
-    earlier = Window.partitionBy(entity).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    seen = arrivals.withColumn("_top", F.max(F.struct(version, state_hash)).over(earlier))
+    whole = {f"_o{n}": (_micros(c) if arrivals.schema[c].dataType.simpleString().startswith("timestamp") else F.col(c).cast("long")) for n, c in enumerate(order)}
+    seen = max_before(arrivals.withColumns(whole), [entity], list(whole), F.struct(version, state_hash), "_top", rows_per_part)
     seen = seen.withColumn("previous_version", F.col(f"_top.{version}")).withColumn("previous_hash", F.col(f"_top.{state_hash}"))
     seen = seen.withColumn("applied", F.coalesce(F.col(version) > F.col("previous_version"), F.lit(True)))
-    return seen.withColumn("state_changed", ~F.col(state_hash).eqNullSafe(F.col("previous_hash"))).drop("_top")
+    return seen.withColumn("state_changed", ~F.col(state_hash).eqNullSafe(F.col("previous_hash"))).drop("_top", *whole)
 
 
 def change_events(receipts: DataFrame) -> DataFrame:
