@@ -30,6 +30,15 @@ def scratch_dir(spark: SparkSession) -> str:
     return _own_scratch[app]
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder, deleted when the driver ends."""
+    path = f"{scratch_dir(spark)}/annalist-{name}-{uuid.uuid4().hex}"
+    if not _tables:
+        atexit.register(_discard_all)
+    _tables[path] = spark
+    return path
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back.
 
@@ -38,11 +47,8 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     ``discard`` or the end of the driver.
     """
     spark = df.sparkSession
-    path = f"{scratch_dir(spark)}/annalist-{name}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, name)
     df.write.parquet(path)
-    if not _tables:
-        atexit.register(_discard_all)
-    _tables[path] = spark
     out = spark.read.schema(df.schema).parquet(path)
     out._annalist_path = path
     return out
