@@ -9,9 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from annalist.functions import contacts, hashing, network, preserve, text, time, url
-from annalist.operators import contracts, quality, relational, release, resolution, temporal, translation
+from annalist.operators import contracts, languages, quality, relational, release, resolution, temporal, translation
 from annalist.plans.catalogue import query
 from annalist.sources import registry
+from annalist.sources.scratch import materialize
 from annalist.sources.tables import entity_versions, fetch_attempts, table
 
 _UUID = lambda c, kind: F.concat(F.lpad(F.lower(F.hex(c)), 8, "0"), F.lit(f"-0000-{kind}000-8000-000000000000"))
@@ -471,6 +472,28 @@ def language_decision(spark, sf):
     return docs.select("doc_id", "d.language", "d.basis", "d.uncertain")
 
 
+def learned_ranking(spark: SparkSession, sf: str):
+    """Rankings by what four fifths of the documents teach."""
+    return languages.profiles(languages.profile_table(table(spark, sf, "documents").where("doc_id % 5 > 0"))).ranking()
+
+
+@query("SELECT lang, CAST(count(*) AS BIGINT) AS docs, true AS accurate FROM documents WHERE doc_id % 5 = 0 GROUP BY lang")
+def language_accuracy(spark, sf):
+    """Held-out documents by language, and whether the classifier's best answer is right for 98 in 100."""
+    best = F.try_element_at(learned_ranking(spark, sf)(F.col("text")), F.lit(1))["language"]
+    held = table(spark, sf, "documents").where("doc_id % 5 = 0").withColumn("best", best)
+    return held.groupBy("lang").agg(F.count(F.lit(1)).alias("docs"), (F.avg(F.col("best").eqNullSafe(F.col("lang")).cast("int")) >= 0.98).alias("accurate"))
+
+
+@query("""SELECT doc_id, CASE WHEN doc_id % 4 = 1 THEN 'en' ELSE lang END AS language, CASE doc_id % 4 WHEN 0 THEN 'metadata' WHEN 1 THEN 'lang_attribute' ELSE 'classifier' END AS basis, false AS uncertain, CASE WHEN doc_id % 4 > 1 THEN lang END AS candidate
+FROM documents WHERE doc_id % 5 = 0""")
+def language_decision_learned(spark, sf):
+    """Decisions on held-out documents: of what they declare, and of what the classifier ranks first."""
+    k = F.col("doc_id") % 4
+    decided = text.article_language(F.when(k == 0, F.concat("lang", F.lit("-XX"))), F.when(k == 1, "EN_us"), F.col("text"), learned_ranking(spark, sf)(F.col("text")), _SUPPORTED)
+    return table(spark, sf, "documents").where("doc_id % 5 = 0").select("doc_id", decided.alias("d")).select("doc_id", "d.language", "d.basis", "d.uncertain", "d.candidate")
+
+
 def _articles(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
     access = F.element_at(F.array(*map(F.lit, ("full", "partial", "metadata_only"))), (F.col("doc_id") % 3 + 1).cast("int"))
@@ -479,17 +502,20 @@ def _articles(spark: SparkSession, sf: str) -> DataFrame:
 
 @query()
 def translation_plan(spark, sf):
-    planned = translation.plan(_articles(spark, sf), _ranking, _SUPPORTED, limit=1000)
+    planned = translation.plan(_articles(spark, sf), learned_ranking(spark, sf), _SUPPORTED, limit=1000)
     return planned.where("kind <> 'literal'").select("article_id", "field", "pos", "language.language", "language.basis", "action")
 
 
 @query()
 def translation_outcome(spark, sf):
-    """Articles through plan, memory and a translator that only marks what it gets."""
-    planned = translation.plan(_articles(spark, sf), _ranking, _SUPPORTED, limit=1000)
-    memory = spark.createDataFrame([], "key string, translated_text string")
+    """Articles through plan, a memory that every third article has filled, and a translator that only marks what it gets."""
+    ranking = learned_ranking(spark, sf)
     marked = lambda todo: todo.select("key", F.concat(F.lit("~"), "masked").alias("translated_text"))
-    outcome, _ = translation.execute(planned, memory, marked, provider="p", model="m", glossary_version="g")
+    names = {"provider": "p", "model": "m", "glossary_version": "g"}
+    first = translation.plan(_articles(spark, sf).where("article_id % 3 = 0"), ranking, _SUPPORTED, limit=1000)
+    _, entries = translation.execute(first, spark.createDataFrame([], "key string, translated_text string"), marked, **names)
+    planned = translation.plan(_articles(spark, sf), ranking, _SUPPORTED, limit=1000)
+    outcome, _ = translation.execute(planned, materialize(entries.select("key", "translated_text"), "memory"), marked, **names)
     return outcome.select("article_id", "not_required", "complete", F.array_join("quality_flags", ",").alias("quality_flags"), "memory_hits", "provider_segments", F.sha2("body_html", 256).alias("body_sha256"))
 
 
