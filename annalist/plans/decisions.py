@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from annalist.operators import resolution
+from annalist.functions import url
+from annalist.operators import fetching, resolution
 from annalist.plans.catalogue import query
 from annalist.sources.scratch import scratch_path
 from annalist.sources.tables import table
@@ -56,3 +57,50 @@ def resolution_incremental(spark, sf):
     for batch in range(3):
         resolution.advance(spark, path, made.where(F.col("batch") == batch))
     return resolution.kept_snapshot(spark, path)
+
+
+# --- fetches
+
+_NOON = "2026-09-01 12:00:00"
+#: What is wrong, or happens, by number of the page modulo 26: exit, result, code, reason, seconds, steps, stored, parsed, reset, opened, browser.
+_EXPECTED = """(0, 'source', 'permanent', 'fetch_source_missing', NULL, NULL, 1, 0, 0, 0, 0, 0), (1, 'arguments', 'permanent', 'fetch_args_invalid', NULL, NULL, 2, 0, 0, 0, 0, 0),
+(2, 'arguments', 'permanent', 'fetch_args_invalid', NULL, NULL, 2, 0, 0, 0, 0, 0), (3, 'arguments', 'permanent', 'fetch_args_invalid', NULL, NULL, 2, 0, 0, 0, 0, 0),
+(4, 'preflight', 'permanent', 'fetch_preflight_missing', NULL, NULL, 3, 0, 0, 0, 0, 0), (5, 'source_state', 'deferred', 'source_not_enabled', NULL, 5, 4, 0, 0, 0, 0, 0),
+(6, 'policy', 'permanent', 'source_policy_missing', NULL, NULL, 5, 0, 0, 0, 0, 0), (7, 'robots_policy', 'permanent', 'robots_policy_invalid', NULL, NULL, 6, 0, 0, 0, 0, 0),
+(8, 'route', 'deferred', 'route_not_available', NULL, 100, 7, 0, 0, 0, 0, 0), (9, 'route', 'deferred', 'route_not_available', NULL, 5, 7, 0, 0, 0, 0, 0),
+(10, 'robots_fresh', 'success', NULL, NULL, NULL, 8, 0, 0, 0, 0, 0), (11, 'robots_rules', 'permanent', 'policy_blocked', 'robots_disallowed', NULL, 9, 0, 0, 0, 0, 0),
+(12, 'guard', 'permanent', 'policy_blocked', 'ssrf_forbidden_address', NULL, 10, 0, 0, 0, 0, 0), (13, 'ready', 'ready', NULL, NULL, NULL, 11, 0, 0, 0, 0, 0),
+(14, 'permit', 'deferred', 'origin_busy', NULL, 60, 12, 0, 0, 0, 0, 0), (15, 'upload', 'deferred', 'upload_claim_busy', NULL, 5, 13, 0, 0, 0, 0, 0),
+(16, 'success', 'success', NULL, NULL, NULL, 14, 1, 1, 1, 0, 0), (17, 'success', 'success', NULL, NULL, NULL, 14, 0, 0, 1, 0, 0), (18, 'success', 'success', NULL, NULL, NULL, 14, 1, 0, 1, 0, 0),
+(19, 'retry', 'retry', 'http_503', NULL, 5, 15, 0, 0, 0, 0, 0), (20, 'retry', 'retry', 'http_429', NULL, 50, 15, 0, 0, 0, 0, 0), (21, 'dead_letter', 'dead_letter', 'timeout', NULL, NULL, 17, 0, 0, 0, 0, 0),
+(22, 'quarantine', 'quarantine', 'body_too_large', NULL, NULL, 16, 0, 0, 0, 0, 0), (23, 'permanent', 'permanent', 'http_404', NULL, NULL, 18, 0, 0, 0, 0, 0),
+(24, 'permanent', 'permanent', 'http_403', NULL, NULL, 18, 0, 0, 0, 1, 1), (25, 'permanent', 'permanent', 'policy_blocked', 'redirect_downgrade', NULL, 18, 0, 0, 0, 0, 0)"""
+
+
+def _by_kind(given: dict, otherwise=None):
+    """A column by the page's number modulo 26; what isn't given is ``otherwise``."""
+    out = otherwise if otherwise is not None else F.lit(None)
+    for k, value in given.items():
+        out = F.when(F.col("k") == k, value).otherwise(out)
+    return out
+
+
+@query(f"""WITH e(k, exit, result, code, reason, wait, steps, stored, parsed, reset, opened, browser) AS (VALUES {_EXPECTED})
+SELECT page_id AS task_id, exit, result, code, reason, TIMESTAMP '{_NOON}' + to_seconds(wait) AS until, steps, stored = 1 AS stored, parsed = 1 AS parsed, reset = 1 AS reset, opened = 1 AS opened, browser = 1 AS browser FROM pages JOIN e ON page_id % 26 = k""")
+def fetch_decisions(spark, sf):
+    pages = table(spark, sf, "pages").withColumn("k", F.col("page_id") % 26)
+    now = F.lit(_NOON).cast("timestamp_ntz")
+    source, route = F.concat(F.lit("news_"), F.col("k")), F.concat(F.lpad(F.hex("k"), 8, "0"), F.lit("-0000-4000-8000-000000000000"))
+    route = F.lower(route)
+    tasks = pages.select(F.col("page_id").alias("task_id"), _by_kind({0: F.lit(None)}, source).alias("source_id"), _by_kind({1: F.lit("route")}, route).alias("route_id"), _by_kind({3: F.lit("no url"), 12: F.lit("http://10.0.0.1/x")}, F.col("url")).alias("url"), _by_kind({2: F.lit("bogus"), 10: F.lit("robots"), 18: F.lit("robots")}, F.lit("page")).alias("request_kind"), _by_kind({20: F.lit(2), 21: F.lit(4)}, F.lit(1)).alias("attempt"))
+    kinds = pages.select("k").distinct()
+    held = _by_kind({8: F.expr(f"timestamp_ntz'{_NOON}' + interval 100 second")}).cast("timestamp_ntz")
+    preflight = kinds.where("k <> 4").select(source.alias("source_id"), route.alias("route_id"), _by_kind({5: F.lit("paused")}, F.lit("enabled")).alias("source_state"), (F.col("k") != 6).alias("has_policy"), _by_kind({7: F.lit("maybe")}, F.lit("respect")).alias("robots_policy"), _by_kind({8: F.lit("circuit_open"), 9: F.lit("unsupported")}, F.lit("active")).alias("route_state"), held.alias("circuit_open_until"), F.lit("detail").alias("route_kind"), F.lit(True).alias("browser_allowed"))
+    files = pages.select(source.alias("source_id"), url.origin(F.col("url")).alias("origin"), "k").distinct()
+    body = F.when(F.col("k") == 11, F.lit("User-agent: *\nDisallow: /\n")).otherwise(F.lit("User-agent: *\nDisallow: /private\n"))
+    robots = fetching.robots_rules(files.withColumn("body", body).withColumn("fresh", F.col("k") == 10), "annalist", ["source_id", "origin", "fresh"])
+    status = _by_kind({15: F.lit(200), 16: F.lit(200), 17: F.lit(304), 18: F.lit(200), 19: F.lit(503), 20: F.lit(429), 23: F.lit(404), 24: F.lit(403)}).cast("int")
+    error = _by_kind({21: F.lit("timeout"), 22: F.lit("body_too_large"), 25: F.lit("redirect_downgrade")}).cast("string")
+    permit = _by_kind({14: F.lit("origin_busy")}).cast("string")
+    responses = pages.where("k <> 13").select(F.col("page_id").alias("task_id"), status.alias("status"), F.lit(False).alias("body_empty"), error.alias("error"), (F.col("k") == 25).alias("by_policy"), permit.alias("permit_code"), F.expr(f"timestamp_ntz'{_NOON}' + interval 60 second").alias("permit_until"), F.when(F.col("k") == 20, "50").alias("retry_after"), (F.col("k") == 15).alias("upload_busy"))
+    return fetching.decide(tasks, preflight, robots, responses, now).withColumn("steps", F.size("chain")).drop("chain")
