@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from annalist.functions import url
-from annalist.operators import fetching, resolution
+from annalist.operators import fetching, matching, resolution
 from annalist.plans.catalogue import query
 from annalist.sources.scratch import scratch_path
 from annalist.sources.tables import table
@@ -104,3 +104,44 @@ def fetch_decisions(spark, sf):
     permit = _by_kind({14: F.lit("origin_busy")}).cast("string")
     responses = pages.where("k <> 13").select(F.col("page_id").alias("task_id"), status.alias("status"), F.lit(False).alias("body_empty"), error.alias("error"), (F.col("k") == 25).alias("by_policy"), permit.alias("permit_code"), F.expr(f"timestamp_ntz'{_NOON}' + interval 60 second").alias("permit_until"), F.when(F.col("k") == 20, "50").alias("retry_after"), (F.col("k") == 15).alias("upload_busy"))
     return fetching.decide(tasks, preflight, robots, responses, now).withColumn("steps", F.size("chain")).drop("chain")
+
+
+# --- matches
+
+@query("SELECT a.c_name AS left_name, b.c_name AS right_name, CAST(levenshtein(a.c_name, b.c_name) AS INTEGER) AS distance FROM customer a, customer b WHERE levenshtein(a.c_name, b.c_name) <= 1")
+def near_names(spark, sf):
+    names = table(spark, sf, "customer").select(F.col("c_name").alias("name"))
+    return matching.near_names(names, names, 1)
+
+
+_PRODUCTS = """WITH o AS (SELECT p_partkey AS offer_id, CASE WHEN p_partkey % 4 = 0 THEN p_partkey END AS gtin, p_brand AS brand, CASE WHEN p_partkey % 4 = 1 THEN p_type || p_size END AS mpn, replace(p_name, 'r', 'x') AS title FROM part),
+p AS (SELECT p_partkey AS product_id, 4 * p_partkey AS gtin, p_brand AS brand, p_type || (p_size + 1) AS mpn, p_name AS title FROM part),
+a AS (SELECT offer_id, min(product_id) AS product_id FROM o JOIN p USING (gtin) GROUP BY offer_id), ra AS (SELECT * FROM o WHERE offer_id NOT IN (SELECT offer_id FROM a)),
+b AS (SELECT offer_id, min(product_id) AS product_id FROM ra JOIN p USING (brand, mpn) GROUP BY offer_id), rb AS (SELECT * FROM ra WHERE offer_id NOT IN (SELECT offer_id FROM b)),
+c AS (SELECT offer_id, min((levenshtein(rb.title, p.title), product_id)) AS m FROM rb JOIN p USING (brand) WHERE levenshtein(rb.title, p.title) <= 2 GROUP BY offer_id)
+SELECT offer_id, product_id, 'gtin' AS rule, 0::DOUBLE AS distance, true AS sure FROM a UNION ALL SELECT offer_id, product_id, 'brand_mpn', 0, true FROM b UNION ALL SELECT offer_id, m[2], 'fuzzy_name', m[1], false FROM c"""
+
+
+@query(_PRODUCTS)
+def product_cascade(spark, sf):
+    part, k = table(spark, sf, "part"), F.col("p_partkey")
+    offers = part.select(k.alias("offer_id"), F.when(k % 4 == 0, k).alias("gtin"), F.col("p_brand").alias("brand"), F.when(k % 4 == 1, F.concat("p_type", F.col("p_size").cast("string"))).alias("mpn"), F.replace("p_name", F.lit("r"), F.lit("x")).alias("title"))
+    products = part.select(k.alias("product_id"), (4 * k).alias("gtin"), F.col("p_brand").alias("brand"), F.concat("p_type", (F.col("p_size") + 1).cast("string")).alias("mpn"), F.col("p_name").alias("title"))
+    return matching.cascade(offers, products, matching.PRODUCTS, "offer_id", "product_id")
+
+
+_VEHICLES = """WITH l AS (SELECT p_partkey AS listing_id, CASE WHEN p_partkey % 5 = 0 THEN 's' || p_partkey END AS source_id, CASE WHEN p_partkey % 5 = 1 THEN 'V' || p_partkey END AS vin, p_brand AS make, p_type AS model, 1990 + p_size % 4 AS year, p_partkey * 104729 % 50000 AS mileage FROM part),
+v AS (SELECT p_partkey AS vehicle_id, 's' || 5 * p_partkey AS source_id, 'V' || (10 * p_partkey + 1) AS vin, p_brand AS make, p_type AS model, 1990 + p_size % 4 AS year, p_partkey * 7919 % 50000 AS mileage FROM part),
+a AS (SELECT listing_id, min(vehicle_id) AS vehicle_id FROM l JOIN v USING (source_id) GROUP BY listing_id), ra AS (SELECT * FROM l WHERE listing_id NOT IN (SELECT listing_id FROM a)),
+b AS (SELECT listing_id, min(vehicle_id) AS vehicle_id FROM ra JOIN v USING (vin) GROUP BY listing_id), rb AS (SELECT * FROM ra WHERE listing_id NOT IN (SELECT listing_id FROM b)),
+c AS (SELECT listing_id, min((abs(rb.mileage - v.mileage), vehicle_id)) AS m FROM rb JOIN v USING (make, model, year) WHERE abs(rb.mileage - v.mileage) <= 1000 GROUP BY listing_id)
+SELECT listing_id, vehicle_id, 'source_id' AS rule, 0::DOUBLE AS distance, true AS sure FROM a UNION ALL SELECT listing_id, vehicle_id, 'vin', 0, true FROM b UNION ALL SELECT listing_id, m[2], 'make_model_year_mileage', m[1], false FROM c"""
+
+
+@query(_VEHICLES)
+def vehicle_cascade(spark, sf):
+    part, k = table(spark, sf, "part"), F.col("p_partkey")
+    common = [F.col("p_brand").alias("make"), F.col("p_type").alias("model"), (F.lit(1990) + F.col("p_size") % 4).alias("year")]
+    listings = part.select(k.alias("listing_id"), F.when(k % 5 == 0, F.concat(F.lit("s"), k.cast("string"))).alias("source_id"), F.when(k % 5 == 1, F.concat(F.lit("V"), k.cast("string"))).alias("vin"), *common, (k * 104_729 % 50_000).alias("mileage"))
+    vehicles = part.select(k.alias("vehicle_id"), F.concat(F.lit("s"), (5 * k).cast("string")).alias("source_id"), F.concat(F.lit("V"), (10 * k + 1).cast("string")).alias("vin"), *common, (k * 7_919 % 50_000).alias("mileage"))
+    return matching.cascade(listings, vehicles, matching.VEHICLES, "listing_id", "vehicle_id")
