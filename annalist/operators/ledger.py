@@ -8,24 +8,38 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from annalist.functions import text
+from annalist.sources import epochs
+from annalist.sources.scratch import materialize
 
 
-def append_once(spark: SparkSession, path: str, rows: DataFrame, keys: list[str], arrival: str, month_of: str | None = None) -> None:
-    """Append rows whose keys are not there yet, the earliest of each key, in folders by month.
+def append_once(spark: SparkSession, path: str, rows: DataFrame, keys: list[str], arrival: str, month_of: str | None = None) -> int | None:
+    """Append rows whose keys are not there yet, the earliest of each key, in folders by month; the epoch, or None if nothing is new.
 
-    Only the key columns of what is there are read.
+    The rows count once their epoch is published, so a run may end anywhere and be repeated; of two
+    writers at once one fails. Only the key columns of what is there are read, and only those of
+    the months that come in: a key stays in its month. Null keys are equal.
     """
     first = rows.groupBy(*keys).agg(F.min_by(F.struct(*[c for c in rows.columns if c not in keys]), arrival).alias("_v")).select(*keys, "_v.*").select(*rows.columns)
-    try:
-        present = spark.read.parquet(path).select(*keys)
-        first = first.join(present, keys, "left_anti")
-    except Exception as missing:
-        if "PATH_NOT_FOUND" not in str(missing):
-            raise
-    if month_of is None:
-        first.write.mode("append").parquet(path)
-    else:
-        first.withColumn("month", F.date_format(month_of, "yyyy-MM")).write.mode("append").partitionBy("month").parquet(path)
+    if month_of is not None:
+        first = first.withColumn("month", F.date_format(month_of, "yyyy-MM"))
+    first = materialize(first, "incoming")
+    present = ledger_rows(spark, path)
+    if present is not None:
+        if month_of is not None:
+            months = [r[0] for r in first.select("month").distinct().collect()]
+            present = present.where(F.col("month").isin(*months) if months else F.lit(False))
+        first = first.join(present.select(*keys).withColumnsRenamed({k: f"_{k}" for k in keys}), reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]), "left_anti")
+    epoch = epochs.next_epoch(spark, path)
+    epochs.write(first, path, epoch, "rows", partition_by=None if month_of is None else ["month"])
+    if spark.read.schema(first.schema).parquet(f"{path}/epoch={epoch}/rows").isEmpty():
+        return None
+    epochs.publish(spark, path, epoch)
+    return epoch
+
+
+def ledger_rows(spark: SparkSession, path: str) -> DataFrame | None:
+    """What was appended to a ledger; None for a ledger without rows."""
+    return epochs.read(spark, path, "rows") if epochs.published(spark, path) else None
 
 
 def object_heads(spark: SparkSession, path: str) -> DataFrame:
@@ -34,19 +48,18 @@ def object_heads(spark: SparkSession, path: str) -> DataFrame:
 
 
 def put_objects(spark: SparkSession, path: str, objects: DataFrame) -> DataFrame:
-    """Store ``key, content`` by key: ``key, result`` with ``new``, ``verified`` or ``mismatch``. Only new ones are written."""
+    """Store ``key, content`` by key: ``key, result`` with ``new``, ``verified`` or ``mismatch``. Only new ones are written, in one epoch."""
     from annalist.operators.relational import changed_documents
-    from annalist.sources.scratch import materialize
 
     incoming = objects.withColumn("sha256", F.sha2("content", 256)).dropDuplicates(["key"])
-    try:
-        stored = spark.read.parquet(path).select("key", "sha256")
-    except Exception as missing:
-        if "PATH_NOT_FOUND" not in str(missing):
-            raise
-        stored = incoming.select("key", "sha256").where("false")
+    stored = ledger_rows(spark, path)
+    stored = incoming.select("key", "sha256").where("false") if stored is None else stored.select("key", "sha256")
     judged = materialize(changed_documents(stored, incoming, "key", "sha256"), "objects")
-    judged.where("result = 'new'").select("key", "sha256", "content").write.mode("append").parquet(path)
+    new = judged.where("result = 'new'").select("key", "sha256", "content")
+    if not new.isEmpty():
+        epoch = epochs.next_epoch(spark, path)
+        epochs.write(new, path, epoch, "rows")
+        epochs.publish(spark, path, epoch)
     return judged.select("key", "result")
 
 
@@ -160,13 +173,46 @@ def compacted(versions: DataFrame, pinned: DataFrame, before: Column, *, entity:
 
 
 def archive(versions: DataFrame, path: str, part_cols: list[str], time_col: str, *, entity: str = "entity", version: str = "version") -> DataFrame:
-    """Write versions as a release, check it, and return a locator row for each; an unsound archive is an error."""
+    """Write versions as a release, check it, publish it, and return a locator row for each; an unsound archive is an error."""
     from annalist.operators.release import verify_release, write_release
 
-    write_release(versions, path, part_cols, [entity, version], time_col)
-    if not verify_release(versions.sparkSession, path, part_cols, time_col).isEmpty():
-        raise RuntimeError(f"the archive at {path} is not what was written")
-    return versions.select(entity, version, F.lit(path).alias("archive"), *part_cols)
+    spark = versions.sparkSession
+    epoch = epochs.next_epoch(spark, path)
+    at = f"{path}/epoch={epoch}"
+    write_release(versions, at, part_cols, [entity, version], time_col)
+    if not verify_release(spark, at, part_cols, time_col).isEmpty():
+        raise RuntimeError(f"the archive at {at} is not what was written")
+    located = versions.select(entity, version, F.lit(f"{at}/data").alias("archive"), *[c for c in part_cols if c not in (entity, version)])
+    epochs.write(located, path, epoch, "locators")
+    epochs.publish(spark, path, epoch)
+    return epochs.read(spark, path, "locators")
+
+
+def compact(spark: SparkSession, hot: str, cold: str, pinned: DataFrame, before: Column, part_cols: list[str], *, entity: str = "entity", version: str = "version", at: str = "ingested_at") -> int | None:
+    """Move old versions of the table at ``hot`` into the archive at ``cold``; the new epoch of ``hot``, or None if nothing moves.
+
+    In order: mark, write the archive, verify it, publish it with its locators, and only then
+    publish a table without what moved. A run that ends in between has lost and doubled nothing:
+    what the archive has already isn't written again, and the table that counts is the last
+    published one (``hot_rows``).
+    """
+    rows = hot_rows(spark, hot)
+    stay, go = compacted(rows, pinned, before, entity=entity, version=version, at=at)
+    moved = epochs.read(spark, cold, "locators").select(entity, version) if epochs.published(spark, cold) else None
+    fresh = materialize(go if moved is None else go.join(moved, [entity, version], "left_anti"), "to-archive")
+    if not fresh.isEmpty():
+        archive(fresh, cold, part_cols, at, entity=entity, version=version)
+    elif go.isEmpty():
+        return None
+    epoch = epochs.next_epoch(spark, hot)
+    epochs.write(stay, hot, epoch, "rows")
+    epochs.publish(spark, hot, epoch)
+    return epoch
+
+
+def hot_rows(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of a table of which each epoch is the whole."""
+    return spark.read.parquet(f"{path}/epoch={epochs.published(spark, path)[-1]}/rows")
 
 
 def disposition(error: Column, message: Column, permanent: list[str]) -> Column:

@@ -388,6 +388,7 @@ def test_release_round_trip(spark, tmp_path):
     release.write_release(df.withColumn("id", F.when(F.col("id") == 7, 8).otherwise(F.col("id"))), other, ["p"], ["id"], "t")
     spark.read.parquet(f"{path}/manifest").write.mode("overwrite").parquet(f"{other}/manifest")
     assert [r["p"] for r in release.verify_release(spark, other, ["p"], "t").collect()] == ["1"]
+    assert {r["row_count"] for r in spark.read.parquet(f"{path}/manifest").collect()} == {33, 34}
     registry.write_jsonl(df, str(tmp_path / "j"), ["id"])
     assert spark.read.json(str(tmp_path / "j/manifest")).agg(F.sum("row_count")).first()[0] == 100
 
@@ -479,14 +480,14 @@ def test_ledgers_are_appended_once(spark, tmp_path):
     rows = spark.createDataFrame([(1, "late", 2), (1, "early", 1), (2, "x", 5)], "k int, v string, t int").withColumn("at", F.timestamp_seconds("t"))
     ledger.append_once(spark, path, rows, ["k"], "t", month_of="at")
     ledger.append_once(spark, path, rows.withColumn("k", F.col("k") + 1), ["k"], "t", month_of="at")
-    assert {(r["k"], r["v"]) for r in spark.read.parquet(path).collect()} == {(1, "early"), (2, "x"), (3, "x")}
+    assert {(r["k"], r["v"]) for r in ledger.ledger_rows(spark, path).collect()} == {(1, "early"), (2, "x"), (3, "x")}
     objects = spark.createDataFrame([("a", b"1"), ("b", b"2")], "key string, content binary")
     store = str(tmp_path / "store")
     assert {r["result"] for r in ledger.put_objects(spark, store, objects).collect()} == {"new"}
     again = spark.createDataFrame([("a", b"1"), ("b", b"3"), ("c", b"4")], "key string, content binary")
     assert {r["key"]: r["result"] for r in ledger.put_objects(spark, store, again).collect()} == {"a": "verified", "b": "mismatch", "c": "new"}
-    assert spark.read.parquet(store).count() == 3
-    assert ledger.object_heads(spark, f"{store}/*.parquet").columns == ["path", "length", "modificationTime"]
+    assert ledger.ledger_rows(spark, store).count() == 3
+    assert ledger.object_heads(spark, f"{store}/epoch=1/rows/*.parquet").columns == ["path", "length", "modificationTime"]
 
 
 def test_compaction_keeps_what_is_needed(spark, tmp_path):
