@@ -10,6 +10,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from annalist.sources.scratch import materialize
+
 
 def claim(jobs: DataFrame, job_types: list[str], now: Column, limit: int) -> DataFrame:
     """The jobs to lease next: ready, of a type, by priority, time and id (a top-k, no full sort)."""
@@ -202,6 +204,28 @@ def located(index: DataFrame, documents: DataFrame, probes: DataFrame, *, key: s
     return probes.join(index, key).join(documents, [key, version])
 
 
+def located_or_archived(index: DataFrame, hot: DataFrame, locators: DataFrame, cold: DataFrame, probes: DataFrame, body: str, *, key: str = "key", version: str = "version", archive: str = "archive") -> DataFrame:
+    """``key, version, body, found, conflict`` of each different probe, whatever is there.
+
+    The index says a key's version; the document is then ``hot``, or in the ``archive`` that its
+    locator names, or ``missing``; a key that the index doesn't know is ``unknown``. Where both
+    have the document and they differ, the hot one counts and ``conflict`` is true. Index, locators
+    and documents are first cut down to the probes' keys, archives to the folders that locators
+    name, so that scans are filtered by small sides. A null key is unknown.
+    """
+    asked = materialize(probes.select(key).distinct(), "probes")
+    some = asked.where(F.col(key).isNotNull())
+    wanted = materialize(index.join(some, key, "left_semi").select(key, version), "located")
+    present = hot.join(wanted, [key, version], "left_semi").select(key, version, F.col(body).alias("_hot"))
+    places = materialize(locators.join(wanted, [key, version], "left_semi").select(key, version, archive).distinct(), "places")
+    # always true; Spark prunes folders by a side only if that has a comparison
+    named = places.where(F.length(F.col(archive).cast("string")) >= 0).select(archive).distinct()
+    kept = cold.join(named, archive, "left_semi").join(places, [key, version, archive], "left_semi").select(key, version, F.col(body).alias("_cold"))
+    read = asked.join(wanted, key, "left").join(present, [key, version], "left").join(kept, [key, version], "left")
+    found = F.when(F.col(version).isNull(), "unknown").when(F.col("_hot").isNotNull(), "hot").when(F.col("_cold").isNotNull(), "archive").otherwise("missing")
+    return read.select(key, version, F.coalesce("_hot", "_cold").alias(body), found.alias("found"), F.coalesce(F.col("_hot") != F.col("_cold"), F.lit(False)).alias("conflict"))
+
+
 def changed_documents(stored: DataFrame, incoming: DataFrame, key: str, digest: str) -> DataFrame:
     """Adds ``result`` to incoming objects: ``new``, ``verified`` if the stored digest is the same, ``mismatch`` if not."""
     old = stored.select(key, F.col(digest).alias("_old"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from annalist.functions import url
-from annalist.operators import fetching, matching, resolution
+from annalist.operators import fetching, matching, metrics, relational, resolution
 from annalist.plans.catalogue import query
 from annalist.sources.scratch import scratch_path
 from annalist.sources.tables import table
@@ -145,3 +145,47 @@ def vehicle_cascade(spark, sf):
     listings = part.select(k.alias("listing_id"), F.when(k % 5 == 0, F.concat(F.lit("s"), k.cast("string"))).alias("source_id"), F.when(k % 5 == 1, F.concat(F.lit("V"), k.cast("string"))).alias("vin"), *common, (k * 104_729 % 50_000).alias("mileage"))
     vehicles = part.select(k.alias("vehicle_id"), F.concat(F.lit("s"), (5 * k).cast("string")).alias("source_id"), F.concat(F.lit("V"), (10 * k + 1).cast("string")).alias("vin"), *common, (k * 7_919 % 50_000).alias("mileage"))
     return matching.cascade(listings, vehicles, matching.VEHICLES, "listing_id", "vehicle_id")
+
+
+# --- capacity
+
+_WINDOWS = "days AS (SELECT DISTINCT event_type, CAST(ts AS DATE) AS day FROM events)"
+
+
+@query(f"""WITH {_WINDOWS} SELECT d.event_type, d.day, CAST(count(*) AS BIGINT) AS n, round(min(value), 6) AS least, round(max(value), 6) AS most, true AS p50_close, true AS p95_close, true AS different_close
+FROM days d JOIN events e ON e.event_type = d.event_type AND CAST(e.ts AS DATE) BETWEEN d.day - 29 AND d.day GROUP BY d.event_type, d.day""")
+def rolling_capacity(spark, sf):
+    """Thirty days to each day from kept sketches of days, beside exact ranks and counts of the events: within 3 in 100 (and a row), and 6 in 100."""
+    events, path = table(spark, sf, "events").select("event_type", "ts", "value", "user_id", "event_id"), scratch_path(spark, "days")
+    for batch in range(2):
+        metrics.keep_days(spark, path, events.where(F.col("event_id") % 2 == batch), ["event_type"], "ts", "value", "user_id")
+    found = metrics.estimates(metrics.rolling(metrics.kept_days(spark, path, ["event_type"]), ["event_type"]), ["event_type", "day"])
+    spread = events.withColumn("day", F.explode(F.sequence(F.col("ts").cast("date"), F.date_add(F.col("ts").cast("date"), 29))))
+    below = lambda p: F.avg((F.col("value") <= F.col(p)).cast("int"))
+    exact = spread.join(found.select("event_type", "day", "p50", "p95", "different"), ["event_type", "day"]).groupBy("event_type", "day")
+    judged = exact.agg((F.abs(below("p50") - 0.5) <= 0.03 + 1 / F.count("value")).alias("p50_close"), (F.abs(below("p95") - 0.95) <= 0.03 + 1 / F.count("value")).alias("p95_close"), (F.abs(F.first("different") / F.count_distinct("user_id") - 1) < 0.06).alias("different_close"))
+    return found.join(judged, ["event_type", "day"]).select("event_type", "day", "n", F.round("least", 6).alias("least"), F.round("most", 6).alias("most"), "p50_close", "p95_close", "different_close")
+
+
+# --- reads
+
+_LOCATED = """WITH i AS (SELECT o_orderkey AS key, CASE WHEN o_orderkey % 7 = 0 THEN 2 ELSE 1 END AS version FROM orders WHERE o_orderkey % 11 <> 0),
+h AS (SELECT o_orderkey AS key, 1 AS version, o_orderstatus AS body FROM orders WHERE o_orderkey % 3 > 0 AND o_orderkey % 7 > 0),
+a AS (SELECT o_orderkey AS key, CASE WHEN o_orderkey % 7 = 0 THEN 2 ELSE 1 END AS version, 'part-' || o_orderkey % 4 AS archive, CASE WHEN o_orderkey % 5 = 0 THEN 'other' ELSE o_orderstatus END AS body FROM orders WHERE o_orderkey % 3 = 0 OR o_orderkey % 10 = 0),
+p AS (SELECT DISTINCT l_orderkey AS key FROM lineitem WHERE l_linenumber = 1 UNION SELECT -c_custkey - 1 FROM customer)
+SELECT p.key, i.version, coalesce(h.body, CASE WHEN i.version IS NOT NULL THEN a.body END) AS body, CASE WHEN i.version IS NULL THEN 'unknown' WHEN h.body IS NOT NULL THEN 'hot' WHEN a.body IS NOT NULL THEN 'archive' ELSE 'missing' END AS found,
+coalesce(h.body <> a.body, false) AS conflict FROM p LEFT JOIN i ON i.key = p.key LEFT JOIN h ON h.key = p.key AND h.version = i.version LEFT JOIN a ON a.key = p.key AND a.version = i.version"""
+
+
+@query(_LOCATED)
+def located_or_archived(spark, sf):
+    orders, k = table(spark, sf, "orders"), F.col("o_orderkey")
+    version = F.when(k % 7 == 0, 2).otherwise(1)
+    index = orders.where(k % 11 != 0).select(k.alias("key"), version.alias("version"))
+    hot = orders.where((k % 3 > 0) & (k % 7 > 0)).select(k.alias("key"), F.lit(1).alias("version"), F.col("o_orderstatus").alias("body"))
+    kept = orders.where((k % 3 == 0) | (k % 10 == 0)).select(k.alias("key"), version.alias("version"), F.concat(F.lit("part-"), (k % 4).cast("string")).alias("archive"), F.when(k % 5 == 0, "other").otherwise(F.col("o_orderstatus")).alias("body"))
+    path = scratch_path(spark, "cold")
+    kept.write.partitionBy("archive").parquet(path)
+    probes = table(spark, sf, "lineitem").where("l_linenumber = 1").select(F.col("l_orderkey").alias("key")).union(table(spark, sf, "customer").select(-F.col("c_custkey") - 1))
+    found = relational.located_or_archived(index, hot, kept.select("key", "version", "archive"), spark.read.parquet(path), probes, "body")
+    return found.select("key", "version", "body", "found", "conflict")
