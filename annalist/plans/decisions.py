@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import gzip
+
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from annalist.functions import url
 from annalist.operators import fetching, matching, metrics, relational, resolution
 from annalist.plans.catalogue import query
+from annalist.sources import registry
 from annalist.sources.scratch import scratch_path
 from annalist.sources.tables import table
 
@@ -189,3 +193,46 @@ def located_or_archived(spark, sf):
     probes = table(spark, sf, "lineitem").where("l_linenumber = 1").select(F.col("l_orderkey").alias("key")).union(table(spark, sf, "customer").select(-F.col("c_custkey") - 1))
     found = relational.located_or_archived(index, hot, kept.select("key", "version", "archive"), spark.read.parquet(path), probes, "body")
     return found.select("key", "version", "body", "found", "conflict")
+
+
+# --- feeds
+
+_FEEDS = """WITH p AS (SELECT page_id, url, page_id % 8 AS feed FROM pages)
+SELECT feed AS source_id, CASE feed % 4 WHEN 2 THEN 'url' WHEN 3 THEN 'sitemap' ELSE 'item' END AS kind, url, CASE feed % 4 WHEN 0 THEN 'Page ' || page_id || ' & </item>' WHEN 1 THEN 'Page <' || page_id || '>' END AS title, 't' || page_id AS published, NULL::VARCHAR AS error FROM p"""
+
+
+@query(_FEEDS)
+def feed_entries(spark, sf):
+    """The pages as entries of feeds of four kinds, every other feed packed in two gzip members."""
+    page, g = F.col("page_id").cast("string"), F.col("feed") % 4
+    link = F.replace(F.col("url"), F.lit("&"), F.lit("&amp;"))
+    c = lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
+    rss = c("<item><title><![CDATA[Page ", page, " & </item>]]></title><link>", link, "</link><!-- <item> --><pubDate>t", page, "</pubDate></item>")
+    atom = c('<a:entry><a:title>Page &lt;', page, '&gt;</a:title><a:link rel="self" href="https://self.example/"/><a:link href=\'', link, "' rel='alternate'/><a:author><a:title>x</a:title></a:author><a:updated>t", page, "</a:updated></a:entry>")
+    site = c("<url><loc> ", link, "\n</loc><lastmod>t", page, "</lastmod></url>")
+    index = c("<sitemap><loc>", link, "</loc><lastmod>t", page, "</lastmod></sitemap>")
+    one = F.when(g == 0, rss).when(g == 1, atom).when(g == 2, site).otherwise(index)
+    heads = F.when(g == 0, "<rss><channel><title>all</title>").when(g == 1, "<a:feed xmlns:a='x'><a:title>all</a:title>").when(g == 2, "<urlset>").otherwise("<sitemapindex>")
+
+    @F.pandas_udf("binary")
+    def packed(numbers: pd.Series, texts: pd.Series) -> pd.Series:
+        half = lambda t: gzip.compress(t[: len(t) // 2]) + gzip.compress(t[len(t) // 2 :])
+        return pd.Series([half(t.encode()) if n % 2 else t.encode() for n, t in zip(numbers, texts, strict=True)])
+
+    pages = table(spark, sf, "pages").withColumn("feed", F.col("page_id") % 8)
+    feeds = pages.select("feed", heads.alias("head"), one.alias("one"), "page_id").groupBy("feed").agg(F.concat(F.first("head"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("page_id", "one"))), lambda r: r["one"]), "\n")).alias("text"))
+    return registry.feed_items(feeds.select(F.col("feed").alias("source_id"), packed("feed", "text").alias("body")))
+
+
+@query("""SELECT conv_id AS key, CAST(sum(strlen(text)) AS BIGINT) AS size, CASE WHEN conv_id % 7 = 0 THEN 'missing' WHEN sum(strlen(text)) > 6000 THEN 'too_large' WHEN conv_id % 7 = 1 AND count(*) > 1 THEN 'incomplete' WHEN conv_id % 7 = 2 THEN 'mismatch' ELSE 'ok' END AS status
+FROM (SELECT conv_id, coalesce(text, '') AS text, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS n, count(*) OVER (PARTITION BY conv_id) AS m FROM conversations) WHERE NOT (conv_id % 7 = 1 AND m > 1 AND n = 1) GROUP BY conv_id""".replace("CAST(sum(strlen(text)) AS BIGINT) AS size", "CASE WHEN conv_id % 7 > 0 THEN CAST(sum(strlen(text)) AS BIGINT) END AS size").replace("count(*) > 1 THEN 'incomplete'", "max(m) > 1 THEN 'incomplete'"))
+def verified_pieces(spark, sf):
+    """Conversations as bodies in pieces, of which some lack their first piece, have another digest, or aren't there."""
+    turns = table(spark, sf, "conversations").select("conv_id", "turn", F.coalesce("text", F.lit("")).alias("text"))
+    ranked = turns.withColumn("seq", F.row_number().over(Window.partitionBy("conv_id").orderBy("turn")) - 1)
+    whole = ranked.groupBy("conv_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("seq", "text"))), lambda r: r["text"]), "").alias("t"), F.count(F.lit(1)).alias("pieces"))
+    k = F.col("conv_id") % 7
+    expected = whole.select(F.col("conv_id").alias("key"), F.sha2(F.when(k == 2, "other").otherwise(F.col("t")), 256).alias("sha256"), "pieces")
+    lost = (k == 0) | ((k == 1) & (F.col("pieces") > 1) & (F.col("seq") == 0))
+    chunks = ranked.join(whole.select("conv_id", "pieces"), "conv_id").where(~lost).select(F.col("conv_id").alias("key"), "seq", F.encode("text", "UTF-8").alias("content"))
+    return registry.verified_chunks(chunks, expected, 6_000)

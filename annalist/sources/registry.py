@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import zlib
 from collections.abc import Iterator
+from itertools import islice
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from annalist.functions import feeds as reading
 from annalist.functions.hashing import canonical_text
+from annalist.sources.scratch import materialize
 
 ANY_LANGUAGE = "*"
 REGISTRY = "id string, kind string, country string, name string, domains array<string>, rating int, research string"
@@ -62,7 +67,6 @@ def glossary(data: dict, target: str = "uk") -> tuple[str, dict[str, dict[str, s
             pairs.setdefault(language, []).append([term, None if keep else str(goal).strip()])
         if len({t for t, _ in pairs.get(language, [])}) < len(pairs.get(language, [])):
             raise ValueError(f"{language}: a term comes twice")
-    import hashlib
 
     version = hashlib.sha256(canonical_text(json.dumps({"schema": 1, "target_language": target, "pairs": pairs})).encode()).hexdigest()
     return version, {language: {t: t if goal is None else goal for t, goal in terms} for language, terms in pairs.items()}
@@ -161,34 +165,110 @@ def parsed(artifacts: DataFrame, parsers: dict[str, str], schema: str) -> tuple[
     return read.where("error is null").drop("error", "content"), read.where("error is not null").drop("record")
 
 
-def feed_items(feeds: DataFrame, *, id_col: str = "source_id", body_col: str = "body") -> DataFrame:
-    """``id, url, title, published`` of RSS, Atom and sitemap documents; entries without an address are left out.
+#: Fixed value: how much a packed feed may hold.
+MAX_FEED_BYTES = 100 * 1024 * 1024
 
-    A document that is none of these gives no rows. Entities are never expanded.
-    """
-    import re
-    from html import unescape
 
-    entry = re.compile(r"<(item|entry|url|sitemap)(?=[\s>])[^>]*>(.*?)</\1\s*>", re.DOTALL | re.IGNORECASE)
+def feed_items(feeds: DataFrame, *, id_col: str = "source_id", body_col: str = "body", max_bytes: int = MAX_FEED_BYTES) -> DataFrame:
+    """``id, kind, url, title, published, error`` of RSS, Atom and sitemap documents, as text or bytes, packed or not.
+
+    ``kind`` is ``item``, ``url`` or ``sitemap`` (an index's entry). Entries without an address are
+    left out, and a document that is none of these gives no rows; one that can't be unpacked
+    gives one row with its ``error``. Entities are never expanded.
+    """
 
-    def tag(block: str, *names: str) -> str | None:
-        for name in names:
-            m = re.search(rf"<{name}(?=[\s>])[^>]*>\s*(?:<!\[CDATA\[)?(.*?)(?:\]\]>)?\s*</{name}\s*>", block, re.DOTALL | re.IGNORECASE)
-            if m and m[1].strip():
-                return unescape(m[1].strip())
-        return None
+    def rows(key, body) -> Iterator[tuple]:
+        try:
+            text = reading.unpacked(body or b"", max_bytes).decode("utf-8", errors="replace")
+        except reading.Packed as problem:
+            yield (key, None, None, None, None, str(problem))
+            return
+        yield from ((key, *entry, None) for entry in reading.entries(text))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        columns = ["id", "kind", "url", "title", "published", "error"]
         for batch in batches:
-            rows = []
             for key, body in zip(batch["id"], batch["body"], strict=True):
-                for m in entry.finditer(body or ""):
-                    href = re.search(r"<link\b[^>]*\bhref\s*=\s*[\"']([^\"']+)[\"']", m[2], re.IGNORECASE)
-                    url = tag(m[2], "link", "loc") or (unescape(href[1]) if href else None)
-                    if url:
-                        rows.append((key, url, tag(m[2], "title"), tag(m[2], "pubDate", "published", "updated", "lastmod")))
-            yield pd.DataFrame(rows, columns=["id", "url", "title", "published"], dtype=object)
+                found = rows(key, body)
+                while part := list(islice(found, 10_000)):
+                    yield pd.DataFrame(part, columns=columns, dtype=object)
 
     kind = feeds.schema[id_col].dataType.simpleString()
-    read = feeds.select(F.col(id_col).alias("id"), F.col(body_col).cast("string").alias("body"))
-    return read.mapInPandas(run, f"id {kind}, url string, title string, published string").withColumnRenamed("id", id_col)
+    read = feeds.select(F.col(id_col).alias("id"), F.col(body_col).cast("binary").alias("body"))
+    return read.mapInPandas(run, f"id {kind}, kind string, url string, title string, published string, error string").withColumnRenamed("id", id_col)
+
+
+def read_feeds(spark: SparkSession, path: str) -> DataFrame:
+    """``feed_items`` of the files at ``path``; Spark reads them, from whatever store, a file or more a task."""
+    files = spark.read.format("binaryFile").load(path)
+    return feed_items(files.select("path", "content"), id_col="path", body_col="content")
+
+
+def expanded_sitemaps(roots: DataFrame, documents: DataFrame, *, most_levels: int = 5) -> DataFrame:
+    """``root, url, published, level``: what sitemaps list, indexes being followed into the documents that are there.
+
+    ``roots`` has ``root``, the address of a document; ``documents`` has ``url, body``. A document is
+    read once for each root, so circles end; at most ``most_levels`` indexes lie above an address.
+    """
+    level = materialize(roots.select("root", F.col("root").alias("at")).distinct(), "sitemaps")
+    seen, out = level, None
+    for depth in range(most_levels + 1):
+        bodies = documents.join(level.select("at").distinct(), documents["url"] == F.col("at"), "left_semi").select("url", "body")
+        found = materialize(level.join(_items_of(bodies), "at").select("root", "kind", "url", "published").distinct(), "listed")
+        leaves = found.where("kind <> 'sitemap'").select("root", "url", "published", F.lit(depth).alias("level"))
+        out = leaves if out is None else out.union(leaves)
+        below = found.where("kind = 'sitemap'").select("root", F.col("url").alias("at")).distinct().join(seen, ["root", "at"], "left_anti")
+        level = materialize(below, "sitemaps")
+        if level.isEmpty():
+            break
+        seen = seen.union(level)
+    return out
+
+
+def _items_of(bodies: DataFrame) -> DataFrame:
+    """Entries beside the address ``at`` of their document."""
+    return feed_items(bodies.select(F.col("url").alias("at"), "body"), id_col="at").where("url is not null").select("at", "kind", "url", "published")
+
+
+def verified_chunks(chunks: DataFrame, expected: DataFrame, max_bytes: int) -> DataFrame:
+    """``key, size, status`` of bodies that are stored in pieces ``key, seq, content``.
+
+    ``expected`` has ``key, sha256, pieces``. A body is read piece by piece, in order, and never
+    whole: ``ok``, ``mismatch``, ``incomplete`` (pieces are missing, or come twice), ``too_large``, or
+    ``missing``.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, digest, size, count, sound = None, hashlib.sha256(), 0, 0, True
+        done: list[tuple] = []
+
+        def given() -> pa.RecordBatch:
+            made = pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*done, strict=True), (kind, pa.int64(), pa.int64(), pa.bool_(), pa.string()), strict=True)], ["key", "size", "count", "sound", "digest"])
+            done.clear()
+            return made
+
+        kind, begun = None, False
+        for batch in batches:
+            kind = batch.schema.field("key").type
+            for own, seq, content in zip(*(batch.column(c).to_pylist() for c in ("key", "seq", "content")), strict=True):
+                if not begun or own != key:
+                    if begun:
+                        done.append((key, size, count, sound, digest.hexdigest()))
+                    key, digest, size, count, sound, begun = own, hashlib.sha256(), 0, 0, True, True
+                sound &= seq == count and content is not None
+                size, count = size + len(content or b""), count + 1
+                if size <= max_bytes:
+                    digest.update(content or b"")
+            if len(done) > 5_000:
+                yield given()
+        if begun:
+            done.append((key, size, count, sound, digest.hexdigest()))
+        if done:
+            yield given()
+
+    kind = chunks.schema["key"].dataType.simpleString()
+    ordered = chunks.select("key", F.col("seq").cast("long").alias("seq"), F.col("content").cast("binary").alias("content")).repartition("key").sortWithinPartitions("key", "seq")
+    read = ordered.mapInArrow(run, f"key {kind}, size long, count long, sound boolean, digest string")
+    joined = expected.join(read, "key", "left")
+    status = F.when(F.col("count").isNull(), "missing").when(F.col("size") > max_bytes, "too_large").when(~F.col("sound") | ~F.col("count").eqNullSafe(F.col("pieces")), "incomplete").when(F.col("digest").eqNullSafe(F.col("sha256")), "ok").otherwise("mismatch")
+    return joined.select("key", "size", status.alias("status"))

@@ -374,7 +374,7 @@ def test_feeds(spark):
     atom = '<feed><entry><title>T</title><link rel="alternate" href="https://x.example/2?a=1&amp;b=2"/><updated>u</updated></entry></feed>'
     site = "<urlset><url><loc> https://x.example/3 </loc><lastmod>m</lastmod></url></urlset>"
     got = registry.feed_items(spark.createDataFrame([("r", rss), ("a", atom), ("s", site), ("n", None), ("x", "text")], "source_id string, body string")).collect()
-    assert sorted(map(tuple, got)) == [("a", "https://x.example/2?a=1&b=2", "T", "u"), ("r", "https://x.example/1", "A & B", "d"), ("s", "https://x.example/3", None, "m")]
+    assert sorted(map(tuple, got)) == [("a", "item", "https://x.example/2?a=1&b=2", "T", "u", None), ("r", "item", "https://x.example/1", "A & B", "d", None), ("s", "url", "https://x.example/3", None, "m", None)]
 
 
 # --- releases and manifests
