@@ -34,13 +34,13 @@ def query(sql: str | None = None):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    from annalist.plans import decisions, ledgers, records  # noqa: F401  add their own
+    from annalist.plans import decisions, ledgers, records, rules  # noqa: F401  add their own
 
     return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    from annalist.plans import decisions, ledgers, records  # noqa: F401
+    from annalist.plans import decisions, ledgers, records, rules  # noqa: F401
 
     return dict(_SQL)
 

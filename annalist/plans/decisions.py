@@ -26,7 +26,7 @@ _SCRIPTS = {
 }
 
 
-def _scripted(spark: SparkSession, sf: str) -> DataFrame:
+def scripted(spark: SparkSession, sf: str) -> DataFrame:
     """Decisions of every kind on each four customers."""
     anchor = F.col("c_custkey")
     name = lambda m: (anchor + "abcd".index(m)).cast("string")
@@ -52,12 +52,12 @@ UNION ALL SELECT 'blocked', least(k::VARCHAR, (k + other)::VARCHAR), greatest(k:
 
 @query(_OUTCOME)
 def resolution_mixed(spark, sf):
-    return resolution.snapshot(_scripted(spark, sf).drop("batch"))
+    return resolution.snapshot(scripted(spark, sf).drop("batch"))
 
 
 @query(_OUTCOME)
 def resolution_incremental(spark, sf):
-    path, made = scratch_path(spark, "replay"), _scripted(spark, sf)
+    path, made = scratch_path(spark, "replay"), scripted(spark, sf)
     for batch in range(3):
         resolution.advance(spark, path, made.where(F.col("batch") == batch))
     return resolution.kept_snapshot(spark, path)
