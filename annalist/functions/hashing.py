@@ -259,14 +259,16 @@ def uuid7_time(value: Column) -> Column:
 def uuid7(ts: Column, place: Column, seed: Column) -> Column:
     """A version 7 UUID from a time, a place among the rows of one millisecond, and a seed.
 
-    Ids grow with time and place (12 bits), and the seed's hash fills the rest, so that reruns
-    give the same ids.
+    Ids grow with time and place, which has 26 bits on both sides of the version and variant, and
+    the seed's hash fills the rest, so that reruns give the same ids. A place beyond that is an error.
     """
     ms = F.lpad(F.lower(F.hex(F.unix_millis(ts.cast("timestamp")))), 12, "0")
-    twelve = F.lpad(F.lower(F.hex(F.pmod(place, F.lit(4096)).cast("long"))), 3, "0")
-    noise = sha256_hex(seed.cast("string"))
-    variant = F.element_at(F.array(*map(F.lit, "89ab")), (F.conv(F.substring(noise, 1, 1), 16, 10).cast("int") % 4 + 1).cast("int"))
-    return F.concat(F.substring(ms, 1, 8), F.lit("-"), F.substring(ms, 9, 4), F.lit("-7"), twelve, F.lit("-"), variant, F.substring(noise, 2, 3), F.lit("-"), F.substring(noise, 5, 12))
+    digits = lambda number: F.lpad(F.lower(F.hex(number)), 3, "0")
+    whole = F.when(place.between(0, (1 << 26) - 1), place.cast("long")).otherwise(F.raise_error(F.lit("more than 2^26 ids of one millisecond")).cast("long"))
+    high, low = F.shiftright(whole, 14), whole.bitwiseAND(F.lit(16_383).cast("long"))
+    variant = F.element_at(F.array(*map(F.lit, "89ab")), (F.shiftright(low, 12) + 1).cast("int"))
+    last = F.substring(sha256_hex(seed.cast("string")), 1, 12)
+    return F.concat(F.substring(ms, 1, 8), F.lit("-"), F.substring(ms, 9, 4), F.lit("-7"), digits(high), F.lit("-"), variant, digits(low.bitwiseAND(F.lit(4_095).cast("long"))), F.lit("-"), last)
 
 
 def is_uuid(value: Column, version: int | None = None) -> Column:

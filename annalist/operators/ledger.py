@@ -122,6 +122,61 @@ def buckets(target: DataFrame, wanted: DataFrame, key: str = "origin") -> DataFr
     return both.select(key, "capacity", tokens.alias("tokens"), F.when(have & want, F.col("revision") + 1).otherwise(F.coalesce("revision", F.lit(1))).cast("long").alias("revision"))
 
 
+def preflight(sources: DataFrame, routes: DataFrame, policies: DataFrame, *, source: str, policy: str) -> DataFrame:
+    """Sources with their routes, and with the policy that a route names, if there is one."""
+    return sources.join(routes, source).join(policies, policy, "left")
+
+
+def purge_page(outbox: DataFrame, tasks: DataFrame, acknowledgements: DataFrame, cutoff: Column, after: int | None, limit: int, key: str = "event_id") -> DataFrame:
+    """The next ``limit`` keys that may be deleted, in order, after a key.
+
+    Domain events that were published before ``cutoff``; internal ones made before it whose task
+    succeeded and was acknowledged. What is not published, or parked, is never deleted.
+    """
+    from annalist.operators.relational import page_after
+
+    settled = acknowledged(tasks, acknowledgements, key).select(key).distinct().withColumn("_settled", F.lit(True))
+    seen = outbox.where((F.col("created_at") < cutoff) | (F.col("published_at") < cutoff)).join(settled, key, "left")
+    domain = (F.col("topic") == "domain") & (F.col("published_at") < cutoff) & ~F.coalesce("parked", F.lit(False))
+    internal = (F.col("topic") == "internal") & (F.col("created_at") < cutoff) & F.col("_settled")
+    return page_after(seen.where(F.coalesce(domain, F.lit(False)) | F.coalesce(internal, F.lit(False))).select(key), [key], None if after is None else [after], limit)
+
+
+def purged(outbox: DataFrame, keys: DataFrame, key: str = "event_id") -> DataFrame:
+    """The outbox without these keys."""
+    return outbox.join(keys, key, "left_anti")
+
+
+def stale_tasks(tasks: DataFrame, cutoff: Column, after: int | None, limit: int, key: str = "task_id") -> DataFrame:
+    """A page of unfinished tasks that nobody has taken, or finished, since ``cutoff``."""
+    from annalist.operators.relational import page_after
+
+    waiting = F.col("status").isin("pending", "retry") & (F.col("not_before") <= cutoff)
+    held = (F.col("status") == "leased") & (F.col("leased_at") <= cutoff)
+    return page_after(tasks.where(waiting | held), [key], None if after is None else [after], limit)
+
+
+def with_stale_instances(instances: DataFrame, now: Column, ttl_seconds: int) -> DataFrame:
+    """Living instances without a heartbeat for so long become ``stale``."""
+    silent = F.unix_micros(now.cast("timestamp")) - F.unix_micros(F.col("last_heartbeat_at").cast("timestamp")) > ttl_seconds * 1_000_000
+    return instances.withColumn("status", F.when(F.col("status").isin("starting", "ready", "draining") & silent, "stale").otherwise(F.col("status")))
+
+
+def capacity(instances: DataFrame, by: str, slots: str) -> DataFrame:
+    """``by, instances, slots, least`` of the living instances."""
+    return instances.groupBy(by).agg(F.count(F.lit(1)).alias("instances"), F.coalesce(F.sum(slots), F.lit(0)).alias("slots"), F.min(slots).alias("least"))
+
+
+def completeness(tasks: DataFrame, by: str, *, is_open: Column, is_quarantined: Column, at: str) -> DataFrame:
+    """``by, open_tasks, oldest_open, quarantined, settled``, as partial counts."""
+    return tasks.groupBy(by).agg(F.count_if(is_open).alias("open_tasks"), F.min(F.when(is_open, F.col(at))).alias("oldest_open"), F.count_if(is_quarantined).alias("quarantined"), (F.count_if(is_open) == 0).alias("settled"))
+
+
+def confirmed(acknowledgements: DataFrame, entity: str, version: str) -> DataFrame:
+    """``entity, tasks, confirmed``: different acknowledged versions, and the highest."""
+    return acknowledgements.groupBy(entity).agg(F.count_distinct(version).alias("tasks"), F.max(version).alias("confirmed"))
+
+
 def content_conflicts(artifacts: DataFrame, key: str = "object_key", digest: str = "sha256") -> DataFrame:
     """``key, digests``: keys under which more than one content was put."""
     return artifacts.groupBy(key).agg(F.count_distinct(digest).alias("digests")).where("digests > 1")

@@ -27,20 +27,31 @@ def page_after(df: DataFrame, keys: list[str], cursor: list | None, limit: int)
     return df.orderBy(*keys).limit(limit)
 
 
+def _same(keys: list[str]) -> Column:
+    """Equality of keys with those of the other side, which have an underscore before; nulls are equal."""
+    return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+
+
 def insert_if_absent(target: DataFrame, incoming: DataFrame, keys: list[str], arrival: str) -> DataFrame:
-    """``target`` and the first row of each new key, by ``arrival``; present keys are untouched."""
+    """``target`` and the first row of each new key, by ``arrival``; present keys, null ones too, are untouched."""
     columns = [c for c in target.columns if c not in keys]
     first = incoming.groupBy(*keys).agg(F.min_by(F.struct(*columns), arrival).alias("_v")).select(*keys, *[F.col(f"_v.{c}").alias(c) for c in columns])
-    return target.unionByName(first.join(target.select(*keys), keys, "left_anti"))
+    present = target.select(*[F.col(k).alias(f"_{k}") for k in keys])
+    return target.unionByName(first.join(present, _same(keys), "left_anti"))
 
 
 def upsert_distinct(target: DataFrame, incoming: DataFrame, keys: list[str], values: list[str], revision: str = "revision") -> DataFrame:
-    """Update only what differs, null-safely; an update raises the revision, an insert has 1."""
-    new = incoming.select(*keys, *[F.col(v).alias(f"_{v}") for v in values], F.lit(True).alias("_in"))
-    both = target.join(new, keys, "full")
+    """Update only what differs, null-safely; an update raises the revision, an insert has 1.
+
+    Of several incoming rows of a key the greatest counts; null keys are equal.
+    """
+    best = incoming.groupBy(*keys).agg(F.max(F.struct(*values)).alias("_v"))
+    new = best.select(*[F.col(k).alias(f"_{k}") for k in keys], *[F.col(f"_v.{v}").alias(f"_{v}") for v in values], F.lit(True).alias("_in"))
+    both = target.join(new, _same(keys), "full")
     differs = F.coalesce(F.col("_in"), F.lit(False)) & reduce(lambda a, b: a | b, [~F.col(v).eqNullSafe(F.col(f"_{v}")) for v in values])
     made = F.col(revision).isNull()
-    return both.select(*keys, *[F.when(differs | made, F.col(f"_{v}")).otherwise(F.col(v)).alias(v) for v in values], F.when(made, 1).when(differs, F.col(revision) + 1).otherwise(F.col(revision)).cast("long").alias(revision))
+    known = [F.when(made, F.col(f"_{k}")).otherwise(F.col(k)).alias(k) for k in keys]
+    return both.select(*known, *[F.when(differs | made, F.col(f"_{v}")).otherwise(F.col(v)).alias(v) for v in values], F.when(made, 1).when(differs, F.col(revision) + 1).otherwise(F.col(revision)).cast("long").alias(revision))
 
 
 def latest_by(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from annalist.functions import hashing, text, time, url
-from annalist.operators import quality, relational, temporal
+from annalist.operators import ledger, quality, relational, temporal
 from annalist.sources.tables import FETCH_STATUSES, entity_versions, fetch_attempts, table
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -98,7 +98,7 @@ def observations_heartbeat(spark, sf):
 @query("SELECT l_orderkey, CAST(count(DISTINCT l_linenumber) AS BIGINT) AS tasks, max(l_linenumber) AS confirmed FROM lineitem WHERE l_linestatus = 'F' GROUP BY l_orderkey")
 def ack_confirmed(spark, sf):
     acks = table(spark, sf, "lineitem").where("l_linestatus = 'F'").select("l_orderkey", "l_linenumber")
-    return acks.groupBy("l_orderkey").agg(F.count_distinct("l_linenumber").alias("tasks"), F.max("l_linenumber").alias("confirmed"))
+    return ledger.confirmed(acks, "l_orderkey", "l_linenumber")
 
 
 _P = r"'^([A-Za-z][A-Za-z0-9+.-]*)://(?:([^/?#@]*)@)?(\[[^\]]*\]|[^/?#:]*)(?::(\d*))?([^?#]*)(?:\?([^#]*))?(?:#.*)?$'"
@@ -230,7 +230,7 @@ def keyset_page(spark, sf):
 @query("SELECT s_suppkey, n_name, r_name, CASE WHEN s_acctbal < 0 THEN 'paused' ELSE 'active' END AS state FROM supplier JOIN nation ON s_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey")
 def preflight_join(spark, sf):
     supplier, nation, region = (table(spark, sf, t) for t in ("supplier", "nation", "region"))
-    joined = supplier.join(nation, F.col("s_nationkey") == F.col("n_nationkey")).join(region, F.col("n_regionkey") == F.col("r_regionkey"), "left")
+    joined = ledger.preflight(supplier.withColumnRenamed("s_nationkey", "n_nationkey"), nation, region.withColumnRenamed("r_regionkey", "n_regionkey"), source="n_nationkey", policy="n_regionkey")
     return joined.select("s_suppkey", "n_name", "r_name", F.when(F.col("s_acctbal") < 0, "paused").otherwise("active").alias("state"))
 
 
@@ -256,14 +256,13 @@ def latest_validators(spark, sf):
 CAST(count(*) FILTER (o_orderstatus = 'P') AS BIGINT) AS quarantined, count(*) FILTER (o_orderstatus = 'O') = 0 AS settled FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY c_mktsegment""")
 def completeness(spark, sf):
     joined = table(spark, sf, "orders").join(table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"))
-    is_open = F.col("o_orderstatus") == "O"
-    return joined.groupBy("c_mktsegment").agg(F.count_if(is_open).alias("open_tasks"), F.min(F.when(is_open, F.col("o_orderdate"))).alias("oldest_open"), F.count_if(F.col("o_orderstatus") == "P").alias("quarantined"), (F.count_if(is_open) == 0).alias("settled"))
+    return ledger.completeness(joined, "c_mktsegment", is_open=F.col("o_orderstatus") == "O", is_quarantined=F.col("o_orderstatus") == "P", at="o_orderdate")
 
 
 @query("SELECT s_nationkey AS role, CAST(count(*) AS BIGINT) AS instances, CAST(coalesce(sum(s_suppkey % 16), 0) AS BIGINT) AS slots, min(s_suppkey % 16) AS least FROM supplier WHERE s_acctbal > 0 GROUP BY s_nationkey")
 def observed_capacity(spark, sf):
-    slots = F.col("s_suppkey") % 16
-    return table(spark, sf, "supplier").where("s_acctbal > 0").groupBy(F.col("s_nationkey").alias("role")).agg(F.count(F.lit(1)).alias("instances"), F.coalesce(F.sum(slots), F.lit(0)).alias("slots"), F.min(slots).alias("least"))
+    instances = table(spark, sf, "supplier").where("s_acctbal > 0").select(F.col("s_nationkey").alias("role"), (F.col("s_suppkey") % 16).alias("n"))
+    return ledger.capacity(instances, "role", "n")
 
 
 @query("SELECT source, CAST(count(*) AS BIGINT) AS uploads, CAST(count(DISTINCT text) AS BIGINT) AS objects, round((count(*) - count(DISTINCT text)) / count(*)::DOUBLE, 6) AS dedup_ratio FROM documents GROUP BY source")

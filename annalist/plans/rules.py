@@ -282,3 +282,36 @@ def glossary_entries(spark, sf):
     counts = table(spark, sf, "documents").where("lang is not null").groupBy("lang").agg(F.count(F.lit(1)).alias("documents"))
     each = counts.withColumn("language", F.explode(F.array("lang", F.lit(registry.ANY_LANGUAGE))))
     return each.join(terms, "language").select("lang", "term", "replacement", "documents")
+
+
+# --- retention and staleness
+
+_OUTBOX = "o AS (SELECT o_orderkey AS event_id, CASE WHEN o_orderkey % 3 = 0 THEN 'internal' ELSE 'domain' END AS topic, o_orderdate AS created_at, CASE WHEN o_orderkey % 4 > 0 THEN o_orderdate + INTERVAL 1 DAY END AS published_at, o_orderkey % 11 = 0 AS parked, o_orderstatus FROM orders)"
+
+
+@query(f"""WITH {_OUTBOX}, done AS (SELECT event_id FROM o WHERE o_orderstatus = 'F' AND EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = event_id AND l_returnflag = 'R'))
+SELECT event_id FROM o WHERE event_id > 1000 AND ((topic = 'domain' AND published_at < TIMESTAMP '1996-06-01' AND NOT parked) OR (topic = 'internal' AND created_at < TIMESTAMP '1996-06-01' AND event_id IN (SELECT event_id FROM done))) ORDER BY event_id LIMIT 500""")
+def purge_page(spark, sf):
+    k, orders = F.col("o_orderkey"), table(spark, sf, "orders")
+    outbox = orders.select(k.alias("event_id"), F.when(k % 3 == 0, "internal").otherwise("domain").alias("topic"), F.col("o_orderdate").alias("created_at"), F.when(k % 4 > 0, F.expr("o_orderdate + INTERVAL 1 DAY")).alias("published_at"), (k % 11 == 0).alias("parked"))
+    tasks = orders.select(k.alias("event_id"), F.when(F.col("o_orderstatus") == "F", "succeeded").otherwise("pending").alias("status"))
+    acknowledgements = table(spark, sf, "lineitem").where("l_returnflag = 'R'").select(F.col("l_orderkey").alias("event_id"))
+    return ledger.purge_page(outbox, tasks, acknowledgements, F.lit("1996-06-01 00:00:00").cast("timestamp_ntz"), 1000, 500)
+
+
+@query("""SELECT o_orderkey AS task_id, CASE o_orderstatus WHEN 'O' THEN 'retry' WHEN 'P' THEN 'leased' ELSE 'succeeded' END AS status FROM orders
+WHERE o_orderkey > 100 AND (o_orderstatus = 'O' AND o_orderdate <= TIMESTAMP '1997-01-01' OR o_orderstatus = 'P' AND o_orderdate + INTERVAL 2 DAY <= TIMESTAMP '1997-01-01') ORDER BY o_orderkey LIMIT 300""")
+def stale_tasks(spark, sf):
+    status = F.when(F.col("o_orderstatus") == "O", "retry").when(F.col("o_orderstatus") == "P", "leased").otherwise("succeeded")
+    tasks = table(spark, sf, "orders").select(F.col("o_orderkey").alias("task_id"), status.alias("status"), F.col("o_orderdate").alias("not_before"), F.expr("o_orderdate + INTERVAL 2 DAY").alias("leased_at"))
+    return ledger.stale_tasks(tasks, F.lit("1997-01-01 00:00:00").cast("timestamp_ntz"), 100, 300).select("task_id", "status")
+
+
+@query("""WITH i AS (SELECT user_id, max(ts) AS last, ['starting', 'ready', 'draining', 'stopped'][1 + user_id % 4] AS status FROM events GROUP BY user_id)
+SELECT user_id, CASE WHEN status <> 'stopped' AND (SELECT max(ts) FROM events) - last > INTERVAL 1 HOUR THEN 'stale' ELSE status END AS status FROM i""")
+def stale_instances(spark, sf):
+    events = table(spark, sf, "events")
+    status = F.element_at(F.array(*map(F.lit, ("starting", "ready", "draining", "stopped"))), (F.col("user_id") % 4 + 1).cast("int"))
+    instances = events.groupBy("user_id").agg(F.max("ts").alias("last_heartbeat_at")).withColumn("status", status)
+    now = F.lit(events.agg(F.max("ts")).first()[0])
+    return ledger.with_stale_instances(instances, now, 3_600).select("user_id", "status")

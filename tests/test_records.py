@@ -82,6 +82,22 @@ def test_events_round_trip(spark):
     assert one(spark, hashing.decoded_event(F.lit(bytes(small["v"]["bytes"])), "a string, b int")) == ("x", 2)
 
 
+def test_upserts_of_repeated_and_null_keys(spark):
+    target = spark.createDataFrame([(1, "a", 1), (None, "n", 4)], "k int, v string, revision long")
+    incoming = spark.createDataFrame([(1, "b"), (1, "c"), (2, "x"), (2, None), (None, "n"), (None, "m")], "k int, v string")
+    got = {r["k"]: (r["v"], r["revision"]) for r in relational.upsert_distinct(target, incoming, ["k"], ["v"]).collect()}
+    assert got == {1: ("c", 2), 2: ("x", 1), None: ("n", 4)}
+    rows = spark.createDataFrame([(None, "y", 1), (3, "z", 1)], "k int, v string, revision long")
+    once = relational.insert_if_absent(target, rows, ["k"], "v")
+    assert once.count() == relational.insert_if_absent(once, rows, ["k"], "v").count() == 3
+
+
+def test_uuid7_keeps_the_order_of_many_of_a_millisecond(spark):
+    ids = [r[0] for r in spark.range(0, 40_000, 7).orderBy("id").select(hashing.uuid7(F.timestamp_seconds(F.lit(1_700_000_000)), F.col("id"), F.col("id"))).collect()]
+    assert ids == sorted(ids) and len(set(ids)) == len(ids)
+    assert all(len(i) == 36 and i[14] == "7" and i[19] in "89ab" for i in ids)
+
+
 def test_uuid7_grows_and_tells_its_time(spark):
     at = dt.datetime(2026, 9, 1, 12, 30, 0, 123000)
     df = spark.createDataFrame([(at, n) for n in range(50)], "t timestamp, n int").select("n", hashing.uuid7(F.col("t"), F.col("n"), F.col("n")).alias("id"))
