@@ -167,7 +167,7 @@ def near_duplicates(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: s
     counted for each pair, and pairs that reach the calibrated count are verified. Only
     counts and spanning edges leave a task.
 
-    Ids must be whole numbers; another id is read as null. A vector that is null, empty, zero or holds null, NaN or infinity links with nothing, and
+    Ids are whole numbers, as numbers or text; another id counts as none. A vector that is null, empty, zero or holds null, NaN or infinity links with nothing, and
     so do vectors of different lengths. A row without an id links with nothing and has a null
     component. Repeated rows count as other rows. An empty table gives no rows; other columns
     are not looked at.
@@ -175,10 +175,10 @@ def near_duplicates(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: s
     # floats stay floats on the way, which loses nothing; cosines are computed in double
     kind = vectors.schema[vector_col].dataType.simpleString()
     kind = kind if kind == "array<float>" else "array<double>"
-    rows = vectors.select(F.col(id_col).alias("id"), F.col(vector_col).cast(kind).alias("e"))
-    sound = F.col("id").isNotNull() & F.coalesce(F.forall("e", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("e", lambda x: x != 0), F.lit(False))
+    rows = vectors.select(F.col(id_col).alias("id"), F.col(id_col).try_cast("long").alias("number"), F.col(vector_col).cast(kind).alias("e"))
+    sound = F.col("number").isNotNull() & F.coalesce(F.forall("e", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("e", lambda x: x != 0), F.lit(False))
     rows = rows.withColumn("sound", sound)
-    nodes = rows.where("sound").groupBy("e").agg(F.min(F.col("id").cast("long")).alias("node"), F.count(F.lit(1)).alias("n"))
+    nodes = rows.where("sound").groupBy("e").agg(F.min("number").alias("node"), F.count(F.lit(1)).alias("n"))
     nodes = materialize(nodes, "nodes")
     n_nodes = nodes.count()
     plan = Plan.of(n_nodes, min_cosine)
@@ -205,7 +205,7 @@ def near_duplicates(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: s
     component = connected_components(found.where("a <> b")).select(F.col("node").alias("_node"), "component")
     nodes = nodes.join(links, F.col("node") == F.col("_of"), "left").join(component, F.col("node") == F.col("_node"), "left")
     nodes = nodes.select(F.col("e").alias("_e"), (F.coalesce("_links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("component", "node").alias("component_id"))
-    linked = rows.where("sound").join(nodes, F.col("e") == F.col("_e")).select("id", "n_links", "component_id")
-    alone = rows.where(~F.col("sound")).select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").cast("long").alias("component_id"))
-    both = linked.union(alone).withColumn("kept", F.coalesce(F.col("id") == F.col("component_id"), F.lit(False)))
+    linked = rows.where("sound").join(nodes, F.col("e") == F.col("_e")).select("id", "number", "n_links", "component_id")
+    alone = rows.where(~F.col("sound")).select("id", "number", F.lit(0).cast("long").alias("n_links"), F.col("number").alias("component_id"))
+    both = linked.union(alone).withColumn("kept", F.coalesce(F.col("number") == F.col("component_id"), F.lit(False)))
     return both.select(F.col("id").alias(id_col), "n_links", "component_id", "kept")

@@ -331,12 +331,12 @@ def gains(n1: np.ndarray, n0: np.ndarray, toxic: int, clean: int) -> np.ndarray:
 
 
 def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_examples: int = MAX_EXAMPLES) -> Index:
-    """Index at most ``max_examples`` labelled texts; see ``fit_and_vectorize``."""
+    """Index about ``max_examples`` labelled texts; see ``fit_and_vectorize``."""
     return fit_and_vectorize(docs, labels, id_col=id_col, text_col=text_col, label_col=label_col, max_examples=max_examples)[0]
 
 
 def fit_and_vectorize(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_examples: int = MAX_EXAMPLES) -> tuple[Index, DataFrame]:
-    """Index at most ``max_examples`` labelled texts, drawn by a hash of the id.
+    """Index about ``max_examples`` labelled texts, all or the share that a hash of the id draws.
 
     The terms are all of these examples; their document frequencies are over all of ``docs``,
     whose vectors come back as a table beside the index, so that texts are read once. The

@@ -9,7 +9,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from annalist.llm import clustering, divergence, quality
+from annalist.llm import clustering, divergence, embedding_dedup, quality
 from annalist.llm.common import held_out
 
 SF = "/root/testdata/sf0.01"
@@ -90,6 +90,12 @@ def test_bounds_stay_bounds_over_many_rounds(seed):
         assert all((lower[:, g] <= every[:, group == g].min(axis=1)).all() for g in range(group.max() + 1))
 
 
+def test_embeddings_with_ids_of_text(spark):
+    rows = [("7", [1.0, 0.0]), ("x", [1.0, 0.0]), ("12", [1.0, 0.01]), (None, [1.0, 0.0]), ("3", [0.0, 1.0])]
+    got = embedding_dedup.near_duplicates(spark.createDataFrame(rows, "vec_id string, embedding array<float>"))
+    assert sorted(map(tuple, got.collect()), key=str) == sorted([("7", 1, 7, True), ("12", 1, 7, False), ("3", 0, 3, True), ("x", 0, None, False), (None, 0, None, False)], key=str)
+
+
 def plain_divergence(rows, top=200):
     pattern = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
     lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
