@@ -35,6 +35,9 @@ def divided(rows: DataFrame, keys: list[str], axis: str, part: str, rows_per_par
     own value is a part (an odd number), and so is each open range between two of them; so equal
     values are in one part, and a value with very many rows is alone in its part.
     """
+    # few rows in all, which is cheap to know, need no look at the keys
+    if rows.select(keys).count() <= rows_per_part:
+        return None
     sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > rows_per_part)
     sizes = materialize(sizes, "large-keys")
     largest = sizes.agg(F.max("_n")).first()[0]

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import gzip
+import zlib
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from annalist.functions import hashing, network, preserve, text, url
-from annalist.operators import contracts, ledger, quality, relational, release, resolution
+from annalist.operators import contracts, fetching, ledger, quality, relational, release, resolution
 from annalist.plans import decisions
 from annalist.plans.catalogue import query
 from annalist.sources import registry
@@ -315,3 +318,34 @@ def stale_instances(spark, sf):
     instances = events.groupBy("user_id").agg(F.max("ts").alias("last_heartbeat_at")).withColumn("status", status)
     now = F.lit(events.agg(F.max("ts")).first()[0])
     return ledger.with_stale_instances(instances, now, 3_600).select("user_id", "status")
+
+
+# --- bodies and robots files
+
+@query("SELECT page_id, CASE WHEN page_id % 5 = 4 THEN NULL ELSE sha256(html) END AS body_sha256, CASE WHEN page_id % 5 = 4 THEN 'content_decoding_error' END AS error FROM pages")
+def decoded_chains(spark, sf):
+    """Bodies in gzip, in deflate within gzip, in two gzip layers, in upper-case names, and cut off."""
+
+    @F.pandas_udf("binary")
+    def packed(kinds: pd.Series, texts: pd.Series) -> pd.Series:
+        def one(kind: int, body: bytes) -> bytes:
+            inner = zlib.compress(body) if kind == 1 else gzip.compress(body) if kind == 2 else body
+            return gzip.compress(inner)[: -9 if kind == 4 else None]
+
+        return pd.Series([one(k, t.encode()) for k, t in zip(kinds, texts, strict=True)])
+
+    k = F.col("page_id") % 5
+    names = F.element_at(F.array(*map(F.lit, ("gzip", "deflate, gzip", "gzip,gzip", "GZIP", "x-gzip"))), (k + 1).cast("int"))
+    rows = table(spark, sf, "pages").select("page_id", packed(k, F.col("html")).alias("body"), names.alias("content_encoding"))
+    return registry.decoded_bodies(rows).select("page_id", F.sha2("data", 256).alias("body_sha256"), "error")
+
+
+@query("""WITH p AS (SELECT page_id, page_id % 4 AS f, regexp_extract(url, '^https?://[^/?#]*([^#]*)', 1) AS path FROM pages)
+SELECT page_id, CASE f WHEN 0 THEN NOT starts_with(path, '/en/') WHEN 1 THEN starts_with(path, '/fr/8') OR NOT starts_with(path, '/fr/') WHEN 2 THEN true ELSE starts_with(path, '/de/') END AS allowed FROM p""")
+def robots_by_file(spark, sf):
+    """Pages against robots files of four kinds, each of which is read once."""
+    files = {0: b"User-agent: *\nDisallow: /en/\n", 1: b"User-agent: *\nAllow: /fr/8\nDisallow: /fr/\n", 2: b"User-agent: other\nDisallow: /\n", 3: b"User-agent: other\nAllow: /\n\nUser-agent: annalist\nAllow: /de/\nDisallow: /\n"}
+    pages = table(spark, sf, "pages").withColumn("f", F.col("page_id") % 4)
+    body = F.element_at(F.array(*[F.lit(bytearray(b)) for b in files.values()]), (F.col("f") + 1).cast("int"))
+    rules = fetching.robots_rules(pages.select("f").distinct().withColumn("body", body), "annalist/1.0", ["f"])
+    return pages.join(rules, "f").select("page_id", fetching.allowed(F.col("rules"), F.col("url")).alias("allowed"))
