@@ -10,6 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from annalist.operators.scan import ROWS_PER_PART, longs, max_before, max_upto, sum_upto
 from annalist.sources.scratch import materialize
 
 
@@ -69,21 +70,27 @@ def schema_diff(old: DataFrame, new: DataFrame) -> DataFrame:
     return both.select("name", problem.alias("problem")).where("problem is not null")
 
 
-def circuit(outcomes: DataFrame, route: str, order: list[str], failed: str, threshold: int) -> DataFrame:
-    """Adds ``consecutive_failures`` and ``circuit_open``: failures since the last success."""
-    by_time = Window.partitionBy(route).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    island = outcomes.withColumn("_run", F.sum(F.when(F.col(failed), 0).otherwise(1)).over(by_time))
-    in_run = Window.partitionBy(route, "_run").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    counted = island.withColumn("consecutive_failures", F.sum(F.col(failed).cast("long")).over(in_run)).drop("_run")
-    return counted.withColumn("circuit_open", F.col("consecutive_failures") >= threshold)
+def circuit(outcomes: DataFrame, route: str, order: list[str], failed: str, threshold: int, rows_per_part: int = ROWS_PER_PART) -> DataFrame:
+    """Adds ``consecutive_failures`` and ``circuit_open``: failures since the last success; an unknown outcome is none.
 
-
-def sessions(df: DataFrame, key: str, at: str, gap_seconds: int, tie: str) -> DataFrame:
-    """Adds ``session``, from 1: a gap longer than ``gap_seconds`` begins another."""
-    w = Window.partitionBy(key).orderBy(at, tie)
-    gap = F.unix_micros(F.col(at).cast("timestamp")) - F.lag(F.unix_micros(F.col(at).cast("timestamp"))).over(w)
-    started = df.withColumn("_new", F.coalesce((gap > gap_seconds * 1_000_000).cast("long"), F.lit(1).cast("long")))
-    return started.withColumn("session", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))).drop("_new")
+    That is all failures so far less those up to the last success, which two running aggregates
+    tell, so a route with more than ``rows_per_part`` outcomes is scanned in parts. ``order`` is of
+    whole numbers and times.
+    """
+    whole = longs(outcomes, order)
+    fails = F.coalesce(F.col(failed), F.lit(False))
+    counted = sum_upto(outcomes.withColumns(whole), [route], list(whole), fails.cast("long"), "_all", rows_per_part)
+    counted = max_upto(counted, [route], list(whole), F.when(~fails, F.col("_all")), "_before", rows_per_part)
+    counted = counted.withColumn("consecutive_failures", F.col("_all") - F.coalesce("_before", F.lit(0)))
+    return counted.drop("_all", "_before", *whole).withColumn("circuit_open", F.col("consecutive_failures") >= threshold)
+
+
+def sessions(df: DataFrame, key: str, at: str, gap_seconds: int, tie: str, rows_per_part: int = ROWS_PER_PART) -> DataFrame:
+    """Adds ``session``, from 1: a gap longer than ``gap_seconds`` begins another; keys with very many rows are scanned in parts."""
+    whole = longs(df, [at, tie])
+    timed = max_before(df.withColumns(whole), [key], list(whole), F.col("_o0"), "_last", rows_per_part)
+    begins = F.coalesce((F.col("_o0") - F.col("_last") > gap_seconds * 1_000_000).cast("long"), F.lit(1).cast("long"))
+    return sum_upto(timed, [key], list(whole), begins, "session", rows_per_part).drop("_last", *whole)
 
 
 def prior_median(df: DataFrame, key: str, order: list[str], value: str, runs: int) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -74,12 +76,37 @@ def next_later(rows: DataFrame, keys: list[str], axis: str, out: str, rows_per_p
     return found.select(*rows.columns, F.coalesce("_within", "_next").alias(out)).union(alone)
 
 
+def longs(rows: DataFrame, columns: list[str]) -> dict[str, Column] | None:
+    """Columns as longs in the same order, by new names; None if one is neither a whole number nor a time."""
+    kinds = {c: rows.schema[c].dataType.simpleString() for c in columns}
+    if not all(k in ("tinyint", "smallint", "int", "bigint", "date") or k.startswith("timestamp") for k in kinds.values()):
+        return None
+    as_long = lambda c: F.unix_micros(F.col(c).cast("timestamp")) if kinds[c].startswith("timestamp") else F.unix_date(F.col(c)).cast("long") if kinds[c] == "date" else F.col(c).cast("long")
+    return {f"_o{n}": as_long(c) for n, c in enumerate(columns)}
+
+
 def max_before(rows: DataFrame, keys: list[str], order: list[str], value: Column, out: str, rows_per_part: int = ROWS_PER_PART) -> DataFrame:
-    """Adds ``out``: the largest ``value`` of the key's rows that come before in ``order`` (columns of longs), or null.
+    """Adds ``out``: the largest ``value`` of the key's rows that come before in ``order`` (columns of longs), or null."""
+    return _scanned(rows, keys, order, value, out, F.max, F.greatest, -1, rows_per_part)
+
+
+def max_upto(rows: DataFrame, keys: list[str], order: list[str], value: Column, out: str, rows_per_part: int = ROWS_PER_PART) -> DataFrame:
+    """The same with the row itself."""
+    return _scanned(rows, keys, order, value, out, F.max, F.greatest, 0, rows_per_part)
+
+
+def sum_upto(rows: DataFrame, keys: list[str], order: list[str], value: Column, out: str, rows_per_part: int = ROWS_PER_PART) -> DataFrame:
+    """Adds ``out``: the sum of ``value`` of the key's rows up to this one; zero where all are null."""
+    add = lambda a, b: F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0))
+    return _scanned(rows, keys, order, F.coalesce(value, F.lit(0)), out, F.sum, add, 0, rows_per_part)
+
+
+def _scanned(rows: DataFrame, keys: list[str], order: list[str], value: Column, out: str, aggregate: Callable, join: Callable, last: int, rows_per_part: int) -> DataFrame:
+    """A running aggregate from a key's first row to the row ``last`` away.
 
-    A key with too many rows is divided along the first column, and what has one value there
-    along the next; a part's first row begins with the maximum of all parts before. Rows that
-    agree in the whole order are one task.
+    A key with too many rows is divided along the first column of ``order``, and what has one
+    value there along the next; a part's first row begins with what all parts before come to.
+    Rows that agree in the whole order are one task.
     """
     rows = rows.withColumn("_v", value)
     by, parted = list(keys), None
@@ -88,12 +115,12 @@ def max_before(rows: DataFrame, keys: list[str], order: list[str], value: Column
         if deeper is None:
             break
         parted, by = deeper, [*by, f"_part{n}"]
-    earlier = lambda *k: Window.partitionBy(*k).rowsBetween(Window.unboundedPreceding, -1)
+    frame = lambda to, *k: Window.partitionBy(*k).rowsBetween(Window.unboundedPreceding, to)
     if parted is None:
-        return rows.withColumn(out, F.max("_v").over(earlier(*keys).orderBy(*order))).drop("_v")
+        return rows.withColumn(out, aggregate("_v").over(frame(last, *keys).orderBy(*order))).drop("_v")
     parts = [c for c in by if c not in keys]
-    tops = parted.groupBy(*by).agg(F.max("_v").alias("_top"))
-    carried = materialize(tops.withColumn("_carried", F.max("_top").over(earlier(*keys).orderBy(*parts))), "carried")
+    tops = parted.groupBy(*by).agg(aggregate("_v").alias("_top"))
+    carried = materialize(tops.withColumn("_carried", aggregate("_top").over(frame(-1, *keys).orderBy(*parts))), "carried")
     joined = beside(parted, carried, by, "_carried")
-    found = joined.withColumn(out, F.greatest(F.max("_v").over(earlier(*by).orderBy(*order)), "_carried"))
+    found = joined.withColumn(out, join(aggregate("_v").over(frame(last, *by).orderBy(*order)), F.col("_carried")))
     return found.drop("_v", "_carried", *parts)

@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from annalist.operators.scan import ROWS_PER_PART, max_before, next_later
+from annalist.operators.scan import ROWS_PER_PART, longs, max_before, next_later
 
 
 def _micros(c: str) -> Column:
@@ -55,7 +55,7 @@ def compare_and_set(arrivals: DataFrame, *, entity: str = "entity", version: str
     far, not the arrival before. An entity with more than ``rows_per_part`` arrivals is scanned
     in parts.
     """
-    whole = {f"_o{n}": (_micros(c) if arrivals.schema[c].dataType.simpleString().startswith("timestamp") else F.col(c).cast("long")) for n, c in enumerate(order)}
+    whole = longs(arrivals, list(order))
     seen = max_before(arrivals.withColumns(whole), [entity], list(whole), F.struct(version, state_hash), "_top", rows_per_part)
     seen = seen.withColumn("previous_version", F.col(f"_top.{version}")).withColumn("previous_hash", F.col(f"_top.{state_hash}"))
     seen = seen.withColumn("applied", F.coalesce(F.col(version) > F.col("previous_version"), F.lit(True)))

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from annalist.operators import scan, temporal
+from annalist.operators import relational, scan, temporal
 
 
 def versions(spark, n, kind):
@@ -30,6 +30,23 @@ def test_parts_give_what_whole_entities_give(spark, kind):
     assert whole == parts
 
 
+@pytest.mark.parametrize("kind", ["spread", "ties"])
+def test_circuits_and_sessions_in_parts(spark, kind):
+    made = versions(spark, 3_000, kind).select("entity", "effective_at", F.monotonically_increasing_id().alias("n"), (F.col("version") % 3 > 0).alias("failed"))
+    made = made.withColumn("failed", F.when(F.col("n") % 50 > 0, F.col("failed")))
+    for run in (lambda n: relational.circuit(made, "entity", ["effective_at", "n"], "failed", 3, n), lambda n: relational.sessions(made, "entity", "effective_at", 5, "n", n)):
+        whole, parts = (sorted(map(str, run(n).collect())) for n in (10**9, 200))
+        assert whole == parts
+    last, run = {}, {}
+    for r in sorted(relational.circuit(made, "entity", ["effective_at", "n"], "failed", 3, 200).collect(), key=lambda r: (r["effective_at"], r["n"])):
+        run[r["entity"]] = run.get(r["entity"], 0) + 1 if r["failed"] else 0
+        assert (r["consecutive_failures"], r["circuit_open"]) == (run[r["entity"]], run[r["entity"]] >= 3)
+    for r in sorted(relational.sessions(made, "entity", "effective_at", 5, "n", 200).collect(), key=lambda r: (r["effective_at"], r["n"])):
+        before = last.get(r["entity"])
+        assert r["session"] == (1 if before is None else before[1] + ((r["effective_at"] - before[0]).total_seconds() > 5))
+        last[r["entity"]] = (r["effective_at"], r["session"])
+
+
 def test_no_task_gets_a_whole_entity(spark):
     made = spark.range(200_000).select(F.lit("hot").alias("k"), F.when(F.col("id") % 4 == 0, 77).otherwise(F.col("id") * 7919 % 1_000_003).alias("v"))
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
