@@ -289,3 +289,19 @@ def combined(source: DataFrame, system: DataFrame, key: str) -> DataFrame:
 def derived_time(df: DataFrame) -> DataFrame:
     """Adds the effective time and its basis to rows with both axes."""
     return df.withColumn("effective", time.effective_time(F.col("source_event_at"), F.col("source_updated_at"), F.col("observed_at")))
+
+
+#: What an event on a new version of an article holds.
+NEWS_EVENT = "article_id string, version_number int, content_access string, body_sha256 string, original_language string"
+
+
+def decoded_news(rows: DataFrame, data: str) -> DataFrame:
+    """Adds ``event`` and the ``violations`` of its rules; bytes that are no such event have ``undecodable`` alone and no event."""
+    from annalist.operators.quality import violations
+
+    read = rows.withColumn("event", hashing.decoded_event(F.col(data), NEWS_EVENT))
+    fields = [F.col(f"event.{f.split()[0]}").alias(f.split()[0]) for f in NEWS_EVENT.split(", ")]
+    # the rules read plain columns
+    spread = read.select(F.struct(*rows.columns).alias("_row"), "event", *fields).withColumn("_broken", violations({"article": _text("article_id"), **news_version()}))
+    whole = F.col("event").isNotNull() & F.col("version_number").isNotNull()
+    return spread.select("_row.*", F.when(whole, F.col("event")).alias("event"), F.when(whole, F.col("_broken")).otherwise(F.array(F.lit("undecodable"))).alias("violations"))

@@ -42,6 +42,21 @@ def ledger_rows(spark: SparkSession, path: str) -> DataFrame | None:
     return epochs.read(spark, path, "rows") if epochs.published(spark, path) else None
 
 
+def record_failures(spark: SparkSession, path: str, failures: DataFrame, keys: list[str], at: Column) -> int | None:
+    """Keep parse failures, the first of each artifact and parser version, with when they were met; see ``append_once``."""
+    return append_once(spark, path, failures.withColumn("failed_at", at), keys, "failed_at", month_of="failed_at")
+
+
+def append_audit(spark: SparkSession, path: str, rows: DataFrame, key: str, at: str) -> DataFrame:
+    """Append audit rows that say who, why and in which correlation; the others come back with what they break, and aren't kept."""
+    from annalist.operators.contracts import audit_context
+    from annalist.operators.quality import split
+
+    sound, broken = split(rows, audit_context())
+    append_once(spark, path, sound, [key], at, month_of=at)
+    return broken
+
+
 def object_heads(spark: SparkSession, path: str) -> DataFrame:
     """``path, length, modificationTime`` of stored objects; their contents are not read."""
     return spark.read.format("binaryFile").load(path).select("path", "length", "modificationTime")

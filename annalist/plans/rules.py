@@ -349,3 +349,36 @@ def robots_by_file(spark, sf):
     body = F.element_at(F.array(*[F.lit(bytearray(b)) for b in files.values()]), (F.col("f") + 1).cast("int"))
     rules = fetching.robots_rules(pages.select("f").distinct().withColumn("body", body), "annalist/1.0", ["f"])
     return pages.join(rules, "f").select("page_id", fetching.allowed(F.col("rules"), F.col("url")).alias("allowed"))
+
+
+# --- events on news, failures and audits
+
+@query("""WITH d AS (SELECT doc_id, CASE WHEN doc_id % 7 = 0 THEN NULL ELSE doc_id % 5 END AS version, ['full', 'blocked'][1 + doc_id % 2] AS access, CASE WHEN doc_id % 3 = 0 THEN NULL ELSE 'x' END AS body, CASE WHEN doc_id % 11 = 0 THEN 'de-AT' ELSE lang END AS lang FROM documents),
+v AS (SELECT doc_id, CASE WHEN version IS NULL THEN ['undecodable'] ELSE list_filter([CASE WHEN access = 'blocked' AND body IS NOT NULL THEN 'body_forbidden' END, CASE WHEN access = 'full' AND body IS NULL THEN 'body_missing' END, CASE WHEN lang = 'de-AT' THEN 'language' END, CASE WHEN version < 1 THEN 'version' END], lambda x: x IS NOT NULL) END AS v FROM d)
+SELECT doc_id, array_to_string(v, ',') AS violations FROM v""")
+def decoded_news(spark, sf):
+    k = F.col("doc_id")
+    event = F.struct(k.cast("string").alias("article_id"), (k % 5).alias("version_number"), F.element_at(F.array(F.lit("full"), F.lit("blocked")), (k % 2 + 1).cast("int")).alias("content_access"), F.when(k % 3 > 0, "x").alias("body_sha256"), F.when(k % 11 == 0, "de-AT").otherwise(F.col("lang")).alias("original_language"))
+    data = F.when(k % 7 == 0, F.encode(F.lit("{broken"), "UTF-8")).otherwise(hashing.encoded_event(F.to_json(event), "application/json")["bytes"])
+    return contracts.decoded_news(table(spark, sf, "documents").select("doc_id", data.alias("data")), "data").select("doc_id", F.array_join("violations", ",").alias("violations"))
+
+
+@query("SELECT event_id, 'v' || (1 + event_id % 3) AS parser_version, 'malformed' AS error FROM events WHERE event_id % 3 < 2 AND event_id % 5 = 0 UNION ALL SELECT event_id, NULL, 'no_parser' FROM events WHERE event_id % 3 = 2")
+def parse_failures(spark, sf):
+    """Artifacts that no parser read, kept by artifact and parser version; the run comes twice."""
+    k, path = F.col("event_id"), scratch_path(spark, "failures")
+    kind = F.element_at(F.array(*map(F.lit, ("a", "b", "c"))), (k % 3 + 1).cast("int"))
+    artifacts = table(spark, sf, "events").select("event_id", kind.alias("kind"), F.when(k % 5 == 0, F.lit("{broken")).otherwise("{}").alias("content"))
+    failed = registry.parsed(artifacts, {"a": "v1", "b": "v2"}, "user_id long")[1].select("event_id", "parser_version", "error")
+    for day in (1, 2):
+        ledger.record_failures(spark, path, failed, ["event_id", "parser_version"], F.lit(f"2026-01-0{day} 00:00:00").cast("timestamp_ntz"))
+    return ledger.ledger_rows(spark, path).select("event_id", "parser_version", "error")
+
+
+@query("SELECT o_orderkey AS audit_id, strftime(o_orderdate, '%Y-%m') AS month FROM orders WHERE o_orderkey % 3 > 0 AND o_orderkey % 5 > 0")
+def audit_trail(spark, sf):
+    k, path = F.col("o_orderkey"), scratch_path(spark, "audit")
+    rows = table(spark, sf, "orders").select(k.alias("audit_id"), F.when(k % 3 > 0, "clerk").otherwise("").alias("actor"), F.when(k % 5 > 0, "moved").alias("reason"), F.lit("00000000-0000-4000-8000-000000000000").alias("correlation_id"), F.col("o_orderdate").alias("at"))
+    for _ in range(2):
+        ledger.append_audit(spark, path, rows, "audit_id", "at")
+    return ledger.ledger_rows(spark, path).select("audit_id", "month")
