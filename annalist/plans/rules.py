@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from annalist.functions import hashing, network, preserve, text, url
-from annalist.operators import contracts, fetching, ledger, quality, relational, release, resolution
+from annalist.operators import contracts, fetching, ledger, quality, relational, release, resolution, translation
 from annalist.plans import decisions
 from annalist.plans.catalogue import query
 from annalist.sources import registry
@@ -382,3 +382,17 @@ def audit_trail(spark, sf):
     for _ in range(2):
         ledger.append_audit(spark, path, rows, "audit_id", "at")
     return ledger.ledger_rows(spark, path).select("audit_id", "month")
+
+
+# --- translated markup
+
+@query("""SELECT c_custkey, '<!-- k --><div title="' || CASE WHEN c_custkey % 2 = 0 THEN '&lt;' || c_mktsegment || '&quot;' ELSE c_mktsegment END || '"><h1>~' || c_name || '</h1><script>var x = "</p>";</script><p> ~' || c_mktsegment || ' <b>bold</b>: ' || c_custkey || '. </p><hr><ul><li>' || CASE WHEN c_custkey % 3 = 0 THEN 'one' ELSE '~one' END || '<li>~two</ul></div>' AS html FROM customer""")
+def html_translated(spark, sf):
+    """Documents with headings, inline elements, scripts, attributes and open list items, with translations put in."""
+    k, name, segment = F.col("c_custkey"), F.col("c_name"), F.col("c_mktsegment")
+    c = lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
+    source = c('<!-- k --><div title="', segment, '"><h1>', name, '</h1><script>var x = "</p>";</script><p> ', segment, " <b>bold</b>: ", k.cast("string"), ". </p><hr><ul><li>one<li>two</ul></div>")
+    parts = translation.pieces(table(spark, sf, "customer").select("c_custkey", source.alias("html")), ["c_custkey"], "html", translated=("title",))
+    new = F.when(F.col("kind") == "text", F.concat(F.lit("~"), F.col("html"))).otherwise(F.concat(F.lit("<"), F.col("text"), F.lit('"')))
+    wanted = F.when(F.col("kind") == "text", ~((F.col("text") == "one") & (k % 3 == 0))).when(F.col("kind") == "attribute", k % 2 == 0).otherwise(False)
+    return translation.reassemble(parts, ["c_custkey"], parts.where(wanted).select("c_custkey", "pos", new.alias("translated")))
