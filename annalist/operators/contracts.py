@@ -90,7 +90,7 @@ def raw_artifact() -> Rules:
 
 
 def upload_claim() -> Rules:
-    return {"key": _text("object_key"), "owner": _text("owner"), "status": _c("status").isin("leased", "committed", "released"), "generation": _c("claim_generation") >= 1}
+    return {"key": _text("object_key"), "owner": _text("owner"), "status": _c("status").isin("leased", "committed", "released", "expired"), "lease": _c("lease_expires_at").isNotNull(), "generation": _c("claim_generation") >= 1}
 
 
 def lineage() -> Rules:

@@ -56,7 +56,7 @@ _rules("rules_effective_time", contracts.effective_time, {"basis": _when(4, "'gu
 _rules("rules_money", contracts.money, {"amount_minor": _when(3, "cast(null as int)", "5"), "currency": _when(4, "'eur'", _when(5, "'EURO'", "'EUR'"))}, {"amount": "amount_minor IS NOT NULL", "currency": "regexp_full_match(currency, '[A-Z]{3}')"})
 _rules("rules_measured_value", contracts.measured_value, {"value": _when(3, "cast(null as double)", "1.5"), "unit": _when(4, "''", "'kg'"), "raw_value": _when(5, "cast(null as string)", "'1,5'")}, {"value": "value IS NOT NULL", "unit": _FILLED.format("unit"), "raw": _FILLED.format("raw_value")})
 _rules("rules_raw_artifact", contracts.raw_artifact, {"http_status": "cast(90 + k % 600 as int)", "requested_url": _when(3, "''", "'u'"), "final_url": _when(4, "cast(null as string)", "'u'"), "sha256": _when(5, f"upper({_SHA})", _SHA), "fetch_id": _when(7, "'1'", _UUID)}, {"status": "http_status BETWEEN 100 AND 599", "requested": _FILLED.format("requested_url"), "final": _FILLED.format("final_url"), "digest": _IS_SHA.format("sha256"), "fetch": _IS_UUID.format("fetch_id")})
-_rules("rules_upload_claim", contracts.upload_claim, {"object_key": _when(3, "''", "'k'"), "owner": _when(5, "cast(null as string)", "'o'"), "status": _when(4, "'lost'", _when(7, "'released'", "'leased'")), "claim_generation": "k % 3"}, {"key": _FILLED.format("object_key"), "owner": _FILLED.format("owner"), "status": "status IN ('leased', 'committed', 'released')", "generation": "claim_generation >= 1"})
+_rules("rules_upload_claim", contracts.upload_claim, {"object_key": _when(3, "''", "'k'"), "owner": _when(5, "cast(null as string)", "'o'"), "status": _when(4, "'lost'", _when(7, "'expired'", "'leased'")), "lease_expires_at": _when(8, "cast(null as timestamp)", "timestamp '2026-01-01 00:00:00'"), "claim_generation": "k % 3"}, {"key": _FILLED.format("object_key"), "owner": _FILLED.format("owner"), "status": "status IN ('leased', 'committed', 'released', 'expired')", "lease": "lease_expires_at IS NOT NULL", "generation": "claim_generation >= 1"})
 _rules("rules_lineage", lambda: {**contracts.lineage(), **contracts.lineage_task()}, {"fetch_id": _when(3, "'x'", _UUID), "raw_sha256": _when(4, "'0'", _SHA), "parser_version": _when(5, "''", "'1'"), "projection_task_id": _when(7, "'t'", _UUID), "lineage_task_id": _when(11, "cast(null as string)", _UUID)}, {"fetch": _IS_UUID.format("fetch_id"), "raw": _IS_SHA.format("raw_sha256"), "parser": _FILLED.format("parser_version"), "task": _IS_UUID.format("projection_task_id"), "lineage_task": "projection_task_id = lineage_task_id"})
 _rules("rules_payload", contracts.payload, {**_TIMES, **_BLOCKS}, {**_TIME_RULES, **_BLOCK_RULES})
 _rules("rules_payload_artifact", lambda: contracts.payload_matches_artifact({"news": ("news", "press"), "car": ("cars",)}), {"entity_uuid": "cast(k as string)", "artifact_entity_uuid": "cast(k - cast(k % 5 = 0 as int) as string)", "schema_version": "'1.0'", "artifact_schema_version": _when(4, "'1.1'", "'1.0'"), "entity_kind": _when(2, "'news'", "'car'"), "artifact_domain": _when(3, "'press'", "'cars'")}, {"entity": "k % 5 <> 0", "schema": "artifact_schema_version = '1.0'", "domain": "CASE WHEN entity_kind = 'news' THEN artifact_domain IN ('news', 'press') ELSE artifact_domain = 'cars' END"})
@@ -396,3 +396,12 @@ def html_translated(spark, sf):
     new = F.when(F.col("kind") == "text", F.concat(F.lit("~"), F.col("html"))).otherwise(F.concat(F.lit("<"), F.col("text"), F.lit('"')))
     wanted = F.when(F.col("kind") == "text", ~((F.col("text") == "one") & (k % 3 == 0))).when(F.col("kind") == "attribute", k % 2 == 0).otherwise(False)
     return translation.reassemble(parts, ["c_custkey"], parts.where(wanted).select("c_custkey", "pos", new.alias("translated")))
+
+
+@query("""SELECT event_id, CASE event_id % 4 WHEN 0 THEN sha256('{"a":"\uFDD01\uFDD0","u":' || user_id || '}') WHEN 1 THEN sha256('{"a":[1.5,100,-2,0],"u":' || user_id || '}') WHEN 2 THEN sha256('{"a":{"b":null,"é":true},"u":"' || event_type || '"}') END AS document_sha256 FROM events""".replace("\\uFDD0", "\ufdd0"))
+def canonical_hashes(spark, sf):
+    """Nested documents whatever their order, forms of numbers and of letters; the last kind has no canonical form."""
+    user, k = F.col("user_id").cast("string"), F.col("event_id") % 4
+    c = lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
+    document = F.when(k == 0, c('{"u": ', user, ', "a": "\ufdd01\ufdd0"}')).when(k == 1, c('{"a": [1.50, 1E2, -2.0, -0.0], "u": ', user, "}")).when(k == 2, c('{"u": "', F.col("event_type"), '", "a": {"e\u0301": true, "b": null}}')).otherwise(c('{"u": 1E999999999, "a": ', user, "}"))
+    return table(spark, sf, "events").select("event_id", hashing.canonical_sha256(document).alias("document_sha256"))

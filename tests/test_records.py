@@ -429,7 +429,7 @@ def test_rules_on_small_records(spark):
     assert broken(contracts.money(), amount_minor=5, currency="EUR") == [] and broken(contracts.money(), amount_minor=F.lit(None).cast("int"), currency="eur") == ["amount", "currency"]
     assert broken(contracts.measured_value(), value=1.5, unit="", raw_value="1,5") == ["unit"]
     assert broken(contracts.raw_artifact(), http_status=99, requested_url="u", final_url="", sha256=sha, fetch_id=uid) == ["final", "status"]
-    assert broken(contracts.upload_claim(), object_key="k", owner="o", status="lost", claim_generation=0) == ["generation", "status"]
+    assert broken(contracts.upload_claim(), object_key="k", owner="o", status="lost", claim_generation=0, lease_expires_at=none) == ["generation", "lease", "status"]
     assert broken(contracts.lineage(), fetch_id=uid, raw_sha256=sha, parser_version="1", projection_task_id="x") == ["task"]
     assert broken(contracts.source_time(), source_time_precision="week", source_time_inferred=True, source_locale_raw="x" * 65) == ["locale", "precision"]
     assert broken(contracts.effective_time(), basis="observed", inferred=False) == ["inferred"]
