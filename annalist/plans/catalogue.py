@@ -89,7 +89,10 @@ def change_events(spark, sf):
     return temporal.change_events(_receipts(spark, sf)).select("entity", "version", "state_hash")
 
 
-@query()
+@query("""WITH RECURSIVE r AS (SELECT user_id AS e, epoch_us(ts) AS t, ts, event_type AS h, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_type) AS n FROM events),
+s AS (SELECT e, n, ts, h, t AS last, h AS held, 'changed' AS reason FROM r WHERE n = 1
+UNION ALL SELECT r.e, r.n, r.ts, r.h, CASE WHEN r.h <> s.held OR r.t - s.last >= 86400000000 THEN r.t ELSE s.last END, r.h, CASE WHEN r.h <> s.held THEN 'changed' WHEN r.t - s.last >= 86400000000 THEN 'heartbeat' END FROM s JOIN r ON r.e = s.e AND r.n = s.n + 1)
+SELECT e AS entity, ts AS observed_at, h AS state_hash, reason FROM s WHERE reason IS NOT NULL""")
 def observations_heartbeat(spark, sf):
     seen = table(spark, sf, "events").select(F.col("user_id").alias("entity"), F.col("ts").alias("observed_at"), F.col("event_type").alias("state_hash"))
     return temporal.heartbeat_observations(seen)
@@ -280,7 +283,10 @@ def route_circuit(spark, sf):
     return relational.circuit(fetches, "source", ["fetched_at", "event_id"], "failed", 3).select("event_id", "source", "consecutive_failures", "circuit_open")
 
 
-@query()
+@query("""WITH RECURSIVE r AS (SELECT user_id AS origin, epoch_us(ts) AS t, event_id AS request_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n FROM events),
+s AS (SELECT origin, request_id, n, t, 10000::BIGINT AS tokens, true AS granted FROM r WHERE n = 1
+UNION ALL SELECT origin, request_id, n, t, g - CASE WHEN g >= 10000 THEN 10000 ELSE 0 END, g >= 10000 FROM (SELECT r.*, least(20000, s.tokens + (r.t - s.t) // 1000000) AS g FROM s JOIN r ON r.origin = s.origin AND r.n = s.n + 1))
+SELECT origin, request_id, granted FROM s""")
 def token_bucket(spark, sf):
     requests = table(spark, sf, "events").select(F.col("user_id").alias("origin"), F.col("ts").alias("at"), F.col("event_id").alias("request_id"))
     return relational.token_bucket(requests, capacity=2, per_second=0.0001)
