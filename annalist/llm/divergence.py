@@ -15,13 +15,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from annalist.llm.common import materialize
+from annalist.llm.common import materialize, shards_for
 
 #: A term is a maximal run of ASCII letters and characters beyond ASCII.
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
 #: The same on UTF-8 bytes: A-Z become small, other ASCII becomes blanks.
 _AS_WORDS = bytes(c | 32 if chr(c) in ascii_uppercase else c if c > 127 or chr(c) in ascii_lowercase else 32 for c in range(256))
-#: Bytes of a text taken apart at once, counts a task holds, rows it hands on at once.
+#: Bytes of a text taken apart at once, counts a task holds, rows it hands on at once or pairs up.
 PIECE, HELD, ROWS = 1 << 20, 300_000, 20_000
 MIN_DOCS, TOP = 3, 200
 #: A language's row is repeated so often for joins, so that its terms fall into so many tasks at least.
@@ -131,7 +131,9 @@ def divergence(docs: DataFrame, *, lang_col: str = "lang", source_col: str = "so
     totals = words.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("i", "n")))["n"].alias("totals"), F.max("terms").alias("terms"))
     languages = materialize(languages.join(totals, "lang", "left").withColumn("terms", F.coalesce("terms", F.lit(0))), "term-totals")
 
-    vectors = wide.groupBy("lang", "counts").agg(F.count(F.lit(1)).alias("alike"))
+    # few bytes, but much work for each row: so many tasks as the rows need, whatever their size
+    tasks = shards_for(wide.count(), ROWS, docs.sparkSession)
+    vectors = wide.repartition(tasks, "lang", "counts").groupBy("lang", "counts").agg(F.count(F.lit(1)).alias("alike"))
     shares = _with_language(vectors, languages.drop("sources"), "counts").select("lang", "alike", F.expr(f"transform(counts, (n, i) -> {share('n', 'totals[i]', 'terms')})").alias("p"))
     gains = shares.select("lang", "alike", F.posexplode(F.expr(f"flatten(transform(p, p1 -> transform(p, p2 -> {gain('p1', 'p2')})))")).alias("at", "f"))
     every = languages.select("lang", F.explode(F.expr("sequence(0, size(sources) * size(sources) - 1)")).alias("at"))
