@@ -53,7 +53,9 @@ def near_names(left: DataFrame, right: DataFrame, most: int = 2) -> DataFrame:
     lengths = F.explode(F.sequence(F.col("n") - most, F.col("n") + most)).alias("n")
     a = _prefixes(ours.where(F.length("name") > short), all_, most)
     b = _prefixes(theirs.where(F.length("name") > short), all_, most).select(F.col("name").alias("other"), "gram", F.col("at").alias("other_at"), lengths)
-    long_pairs = a.join(b, ["gram", "n"]).where(F.abs(F.col("at") - F.col("other_at")) <= most).select(F.col("name").alias("left_name"), F.col("other").alias("right_name"))
+    # rows are short and their pairs many, so tasks aren't merged by the size of what they read
+    tasks = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    long_pairs = a.repartition(tasks, "gram", "n").join(b.repartition(tasks, "gram", "n"), ["gram", "n"]).where(F.abs(F.col("at") - F.col("other_at")) <= most).select(F.col("name").alias("left_name"), F.col("other").alias("right_name"))
     near_short = F.length("name") <= short + most
     c, d = (_without_letters(df.where(near_short), most) for df in (ours, theirs))
     short_pairs = c.join(d.withColumnRenamed("name", "other"), "rest").where(F.least(F.length("name"), F.length("other")) <= short).select(F.col("name").alias("left_name"), F.col("other").alias("right_name"))
