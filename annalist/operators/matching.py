@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from functools import reduce
+from math import comb
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,6 +13,8 @@ from annalist.sources.scratch import materialize
 
 #: Letters in a gram.
 GRAM = 2
+#: Names up to so long, and with up to so many forms, meet by these forms.
+MOST_LETTERS, MOST_FORMS = 64, 300
 
 
 def _grams(name: Column, most: int) -> Column:
@@ -28,39 +31,61 @@ def _prefixes(names: DataFrame, grams: DataFrame, most: int) -> DataFrame:
     return kept.select("name", F.length("name").alias("n"), F.inline("kept")).drop("often")
 
 
-def _without_letters(names: DataFrame, most: int) -> DataFrame:
-    """``name, rest``: what is left of each name without up to ``most`` of its letters."""
-    rest = F.array(F.col("name"))
+def _forms(names: DataFrame, most: int) -> DataFrame:
+    """``name, form, blank, gone, other``: each name with up to ``most`` of its letters blanked or taken out.
+
+    ``blank`` and ``gone`` say how many, ``other`` how many the name that it meets may lack.
+    """
+    at = lambda f, n, c: F.concat(F.substring(f, F.lit(1), n - 1), F.lit(c), F.substring(f, n + 1, F.length(f)))
+    made = lambda form, blank, gone: F.struct(form.alias("form"), blank.alias("blank"), gone.alias("gone"))
+    forms = last = F.array(made(F.col("name"), F.lit(0), F.lit(0)))
+    places = lambda f: F.when(F.length(f["form"]) > 0, F.sequence(F.lit(1), F.length(f["form"]))).otherwise(F.array().cast("array<int>"))
+    blanked = lambda f: F.transform(places(f), lambda n: made(at(f["form"], n, "\x01"), f["blank"] + 1, f["gone"]))
+    shortened = lambda f: F.transform(places(f), lambda n: made(at(f["form"], n, ""), f["blank"], f["gone"] + 1))
     for _ in range(most):
-        shorter = F.flatten(F.transform(rest, lambda r: F.transform(F.sequence(F.lit(1), F.greatest(F.length(r), F.lit(1))), lambda n, r=r: F.concat(F.substring(r, F.lit(1), n - 1), F.substring(r, n + 1, F.length(r))))))
-        rest = F.array_distinct(F.concat(rest, shorter))
-    return names.select("name", F.explode(rest).alias("rest"))
+        blanks, shorter = F.flatten(F.transform(last, blanked)), F.flatten(F.transform(last, shortened))
+        last = F.array_distinct(F.concat(blanks, shorter))
+        forms = F.concat(forms, last)
+    return names.select("name", F.inline(forms)).select("*", F.explode(F.sequence(F.lit(0), most - F.col("blank") - F.col("gone"))).alias("other"))
 
 
 def near_names(left: DataFrame, right: DataFrame, most: int = 2) -> DataFrame:
     """``left_name, right_name, distance``: all pairs of the names in ``name`` within ``most`` edits.
 
-    No pair is lost. An edit spoils ``GRAM`` grams at most, so of the rarest ``most * GRAM + 1``
-    grams of both names one is common, at places that differ by ``most`` at most; only names that
-    share such a gram and nearly the length are compared. Names too short for so many grams meet,
-    with those up to ``most`` longer, where both have lost up to ``most`` letters. Names are
-    compared once each; null and repeated names add nothing. Very many names that are all near
-    each other have as many pairs.
+    No pair is lost. Names that are not too long meet where they have the same form: letters that
+    differ are blank in both, and what one has more is taken out of it; so hardly any but near
+    names meet, however alike all names are. An edit spoils ``GRAM`` grams at most, so
+    of the rarest ``most * GRAM + 1`` grams of two longer names one is common, at places that
+    differ by ``most`` at most; of these only names that share such a gram and nearly the length
+    are compared. Names are compared once each; null and repeated names add nothing. Very many
+    names that are all near each other have as many pairs.
     """
-    short = max(0, (most - 1) * GRAM + 1)  # a shorter or equal name may have too few grams
-    ours, theirs = (materialize(df.select(F.col("name").cast("string").alias("name")).where("name is not null").distinct(), "names") for df in (left, right))
-    all_ = ours.union(theirs).select("name", F.inline(_grams(F.col("name"), most)))
+    forms = lambda n: sum(comb(n, k) * 2**k for k in range(most + 1))
+    short = max(n for n in range(MOST_LETTERS + 1) if n <= (most - 1) * GRAM + 1 or forms(n) <= MOST_FORMS)
+    named = lambda df: materialize(df.select(F.col("name").cast("string").alias("name")).where("name is not null").distinct(), "names")
+    ours = named(left)
+    theirs = ours if left is right else named(right)
+    # rows are short and their pairs many, so tasks aren't merged by the size of what they read
+    tasks = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    near_short, key = F.length("name") <= short + most, ["form", "blank", "gone", "other"]
+    c = _forms(ours.where(near_short), most).repartition(tasks, *key)
+    d = _forms(theirs.where(near_short), most).select(F.col("name").alias("right"), "form", "blank", F.col("other").alias("gone"), F.col("gone").alias("other")).repartition(tasks, *key)
+    # a name meets itself in other forms too
+    met = c.join(d, key).where((F.least(F.length("name"), F.length("right")) <= short) & ((F.col("name") != F.col("right")) | (F.col("blank") + F.col("gone") + F.col("other") == 0)))
+    short_pairs = _within(met.select("name", F.col("right").alias("other")), most)
+    if most > 1:  # names one edit apart share exactly one form
+        short_pairs = short_pairs.distinct()
+    all_ = ours.union(theirs).where(F.length("name") > short).select("name", F.inline(_grams(F.col("name"), most)))
     lengths = F.explode(F.sequence(F.col("n") - most, F.col("n") + most)).alias("n")
     a = _prefixes(ours.where(F.length("name") > short), all_, most)
     b = _prefixes(theirs.where(F.length("name") > short), all_, most).select(F.col("name").alias("other"), "gram", F.col("at").alias("other_at"), lengths)
-    # rows are short and their pairs many, so tasks aren't merged by the size of what they read
-    tasks = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    long_pairs = a.repartition(tasks, "gram", "n").join(b.repartition(tasks, "gram", "n"), ["gram", "n"]).where(F.abs(F.col("at") - F.col("other_at")) <= most).select(F.col("name").alias("left_name"), F.col("other").alias("right_name"))
-    near_short = F.length("name") <= short + most
-    c, d = (_without_letters(df.where(near_short), most) for df in (ours, theirs))
-    short_pairs = c.join(d.withColumnRenamed("name", "other"), "rest").where(F.least(F.length("name"), F.length("other")) <= short).select(F.col("name").alias("left_name"), F.col("other").alias("right_name"))
-    pairs = long_pairs.union(short_pairs).distinct()
-    return pairs.withColumn("distance", F.levenshtein("left_name", "right_name", most)).where("distance >= 0")
+    long_pairs = a.repartition(tasks, "gram", "n").join(b.repartition(tasks, "gram", "n"), ["gram", "n"]).where(F.abs(F.col("at") - F.col("other_at")) <= most).select("name", "other").distinct()
+    return short_pairs.union(_within(long_pairs, most))
+
+
+def _within(pairs: DataFrame, most: int) -> DataFrame:
+    """``left_name, right_name, distance`` of the pairs ``name, other`` within ``most`` edits."""
+    return pairs.select(F.col("name").alias("left_name"), F.col("other").alias("right_name"), F.levenshtein("name", "other", most).alias("distance")).where("distance >= 0")
 
 
 @dataclass(frozen=True)

@@ -4,6 +4,7 @@ import random
 import time
 
 import pytest
+from pyspark.sql import functions as F
 
 from annalist.operators import matching
 
@@ -50,3 +51,17 @@ def test_stages_take_what_is_left(spark):
     got = sorted(tuple(r) for r in matching.cascade(left, right, matching.VEHICLES, "l", "r").collect())
     assert got == [(1, 10, "source_id", 0.0, True), (2, 11, "vin", 0.0, True), (3, 12, "make_model_year_mileage", 1000.0, False)]
     assert matching.cascade(left.where("false"), right, matching.PRODUCTS[:0] + matching.VEHICLES, "l", "r").collect() == []
+
+
+def test_names_that_differ_in_digits_only_meet_near_ones(spark):
+    names = spark.range(40_000).select(F.format_string("Customer#%09d", "id").alias("name"))
+    pairs = matching.near_names(names, names, 1)
+    began = time.perf_counter()
+    assert pairs.count() == 40_000 + 2 * sum(1 for n in range(40_000) for m in nearby(n) if n < m < 40_000)
+    assert time.perf_counter() - began < 60
+
+
+def nearby(n):
+    """Numbers of nine digits one edit away."""
+    digits = f"{n:09d}"
+    return {int(digits[:k] + c + digits[k + 1 :]) for k in range(9) for c in "0123456789" if c != digits[k]}
