@@ -5,6 +5,7 @@ import datetime
 from pyspark.sql import functions as F
 
 from annalist.operators import metrics, relational
+from annalist.plans import catalogue
 
 
 def events(spark, n=6_000):
@@ -57,3 +58,9 @@ def test_reads_fall_back_to_archives(spark, tmp_path):
     got = relational.located_or_archived(index, hot, cold.select("key", "version", "archive"), stored, probes, "body")
     assert sorted(map(tuple, got.collect()), key=repr) == sorted([(1, 1, "a", "hot", False), (2, 1, "b", "hot", True), (3, 2, "c", "archive", False), (4, 1, None, "missing", False), (5, None, None, "unknown", False), (None, None, None, "unknown", False)], key=repr)
     assert "dynamicpruning" in got._jdf.queryExecution().executedPlan().toString().lower()
+
+
+def test_events_are_not_repeated_before_they_are_joined(spark):
+    # Spark takes repeated rows for as small as those they come from, and sent them all to the driver
+    text = catalogue.queries()["rolling_capacity"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate explode(sequence(cast(ts" not in text and "Generate inline(s" in text
