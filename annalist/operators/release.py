@@ -55,7 +55,12 @@ def with_files(df: DataFrame, part_cols: list[str], sort_cols: list[str], rows_p
     taken = sample.groupBy(*part_cols).agg(F.array_sort(F.collect_set(key)).alias("_s"), F.first("_files").alias("_f"))
     every = F.transform(F.sequence(F.lit(1), F.col("_f") - 1), lambda n: F.element_at("_s", F.least(F.ceil(n * F.size("_s") / F.col("_f")), F.size("_s")).cast("int")))
     bounds = materialize(taken.select(*part_cols, F.array_distinct(every).alias("_bounds")), "file-bounds")
-    number = F.coalesce(F.size(F.filter("_bounds", lambda b: b < key)), F.lit(0))
+    # bounds are in order: how many are below a key is found by halving
+    steps = F.sequence(F.lit(1), F.greatest(F.lit(1), F.ceil(F.log2(F.size("_bounds") + 1.0)).cast("int")))
+    middle = lambda a: F.floor((a["low"] + a["high"]) / 2).cast("int")
+    below = lambda a: (a["low"] < a["high"]) & (F.get("_bounds", middle(a)) < key)
+    halved = lambda a, _: F.struct(F.when(below(a), middle(a) + 1).otherwise(a["low"]).alias("low"), F.when(below(a) | (a["low"] >= a["high"]), a["high"]).otherwise(middle(a)).alias("high"))
+    number = F.when(F.size("_bounds") > 0, F.aggregate(steps, F.struct(F.lit(0).alias("low"), F.size("_bounds").alias("high")), halved, lambda a: a["low"])).otherwise(0)
     return beside(df, bounds, part_cols, "_bounds").withColumn("_file", F.when(F.col("_bounds").isNull(), 0).otherwise(number)).drop("_bounds")
 
 
@@ -72,7 +77,7 @@ def write_release(df: DataFrame, path: str, part_cols: list[str], sort_cols: lis
     tasks as it has files. The input is computed once.
     """
     content = [c for c in df.columns if c not in part_cols]
-    rows = with_files(materialize(df, "release"), part_cols, sort_cols, rows_per_file)
+    rows = materialize(with_files(materialize(df, "release"), part_cols, sort_cols, rows_per_file), "release-files")
     rest = [c for c in content if c not in sort_cols]
     files = rows.select(*part_cols, "_file").distinct().count()
     ordered = rows.repartition(max(1, files), *part_cols, "_file").sortWithinPartitions(*part_cols, "_file", *sort_cols, *rest)

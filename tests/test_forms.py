@@ -104,3 +104,35 @@ def test_how_many_elements_are_open_changes_nothing(many):
     document = markup.read("<body><article lang='de'>" + "<div>" * many + "<p>drinnen</p></article><p>draussen</p><ul><li>a" + "<div>" * many + "<li>b</ul></body>")
     assert [(p.lang, p.text) for p in document.pieces if p.kind == "text"][:2] == [("de", "drinnen"), (None, "draussen")]
     assert [t.block for t in document.pieces if t.kind == "text"][2:] == ["li", "li"]
+
+
+def test_pages_are_handed_on_in_parts(spark, monkeypatch):
+    import pyarrow as pa
+
+    from annalist.operators import translation
+
+    rows = [(n, f"<p>one {n}</p><p>two</p>" if n % 5 else None) for n in range(40)]
+    pages = spark.createDataFrame(rows, "n int, html string")
+    whole = translation.reassemble(translation.pieces(pages, ["n"], "html"), ["n"], spark.createDataFrame([], "n int, pos int, translated string"))
+    assert sorted(map(tuple, whole.collect())) == [r for r in rows if r[1]]
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], ["n", "html"])
+    names = ["n", "pos", "kind", "slot", "block", "lang", "html", "text", "root_lang", "unterminated"]
+    text, number = pa.string(), pa.int32()
+    types = [number, number, text, number, text, text, text, text, text, pa.bool_()]
+    monkeypatch.setattr(translation, "HELD_ROWS", 10)
+    sizes = [b.num_rows for b in translation._taken_apart(iter([batch]), names, types, None, ())]
+    assert sum(sizes) == 32 * 5 and max(sizes) <= 15
+
+
+def test_files_are_found_by_halving(spark):
+    from annalist.operators import release
+
+    rows = spark.range(5_000).select((F.col("id") % 2).alias("p"), F.when(F.col("id") % 97 > 0, F.col("id") * 7919 % 5_003).alias("k"))
+    found = release.with_files(rows, ["p"], ["k"], 40)
+    files = {}
+    for r in found.collect():
+        files.setdefault((r["p"], r["_file"]), []).append(-1 if r["k"] is None else r["k"])
+    for part in (0, 1):
+        spans = [(min(v), max(v)) for (p, _), v in sorted(files.items()) if p == part]
+        assert len(spans) > 40 and all(a[1] < b[0] for a, b in zip(spans, spans[1:], strict=False))
+    assert "filter(_bounds" not in found._jdf.queryExecution().optimizedPlan().toString()
