@@ -195,6 +195,11 @@ def article_language(declared: Column, root_lang: Column, text: Column, ranking:
     )
 
 
+def is_small(text: Column, short: int = 30) -> Column:
+    """Whether a segment says too little of its language."""
+    return (F.length(text) < short) | ~text.rlike(r"\p{L}")
+
+
 def segment_language(own_lang: Column, text: Column, ranking: Column, article: Column, supported: list[str], *, short: int = 30, min_confidence: float = 0.6) -> Column:
     """The same of a segment: its own attribute, the article's language if it is short, else the classifier.
 
@@ -204,7 +209,7 @@ def segment_language(own_lang: Column, text: Column, ranking: Column, article: C
     found = classified(ranking, supported, min_confidence=min_confidence)
     answer = lambda language, confidence, basis, unsure, candidate: F.struct(language.cast("string").alias("language"), confidence.cast("double").alias("confidence"), F.lit(basis).alias("basis"), unsure.alias("uncertain"), candidate.cast("string").alias("candidate"))
     inherited = answer(article["language"], article["confidence"], "inherited", article["uncertain"], article["candidate"])
-    small = (F.length(text) < short) | ~text.rlike(r"\p{L}")
+    small = is_small(text, short)
     sure = F.coalesce((found["confidence"] >= min_confidence) | (found["candidate"] != found["language"]), F.lit(False))
     unsure = answer(article["language"], F.coalesce(found["confidence"], F.lit(0.0)), "inherited", F.lit(True), found["candidate"])
     return (

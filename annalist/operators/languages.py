@@ -16,40 +16,53 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from annalist.sources.scratch import materialize
+
 #: Buckets of each length of runs; a model of L languages is 4 * L * BUCKETS numbers.
 BUCKETS, LENGTHS = 1 << 14, 4
 #: Languages that a model may have.
 MOST_LANGUAGES = 512
 #: Runs count as much together as so many that are independent; more runs of a text add nothing to the confidence.
 EVIDENCE = 40
-#: Bytes of a text taken at once.
-PIECE = 1 << 20
+#: Bytes of a text taken at once; texts up to so long are looked up run by run.
+PIECE, SHORT = 1 << 20, 1 << 13
 RANKING = "array<struct<language: string, confidence: double>>"
 
 
 #: Small ASCII letters and all bytes beyond ASCII stay, the rest becomes a blank.
+_PRIME = 2_147_483_647
 _LETTERS = bytes(c if c > 127 or chr(c).islower() else c | 32 if chr(c).isupper() else 32 for c in range(256))
 
 
-def runs(text: str | None) -> np.ndarray:
-    """How often each bucket is met in the whole text, for each length of runs; blanks of any number are one."""
-    found = np.zeros(LENGTHS * BUCKETS, dtype=np.int64)
+def _buckets(text: str | None) -> Iterator[np.ndarray]:
+    """The bucket of each run of the whole text, length by length and piece by piece; blanks of any number are one."""
     words = b" ".join((text or "").lower().encode("utf-8", "surrogatepass").translate(_LETTERS).split())
     if not words:
-        return found
+        return
     data = b" " + words + b" "
     for start in range(0, len(data), PIECE):
         # a piece sees as much of the next one as a run that begins in it needs
         letters = np.frombuffer(data[start : start + PIECE + LENGTHS - 1], dtype=np.uint8).astype(np.int64)
         code, kept = np.zeros(len(letters), dtype=np.int64), letters != 32
         for n in range(LENGTHS):
-            code = (code[: len(letters) - n] * 257 + letters[n:]) % 2_147_483_647
+            code = code[: len(letters) - n] * 257 + letters[n:]
+            if n == 3:  # modulo 2 ** 31 - 1, which shorter runs don't reach
+                code = (code & _PRIME) + (code >> 31)
+                code[code >= _PRIME] -= _PRIME
             # a run has a letter, and no blank but at its ends
             inside = kept.copy() if n == 0 else kept[:-1] | kept[1:] if n == 1 else np.ones(len(code), dtype=bool)
             for at in range(1, n):
                 inside &= kept[at : at + len(code)]
             inside[PIECE:] = False
-            found[n * BUCKETS : (n + 1) * BUCKETS] += np.bincount(code[inside] * 2_654_435_761 % 4_294_967_296 >> 18, minlength=BUCKETS)
+            yield ((code[inside] * 2_654_435_761 & 4_294_967_295) >> 18) + n * BUCKETS
+
+
+def runs(text: str | None) -> np.ndarray:
+    """How often each bucket is met in the whole text, for each length of runs."""
+    found = np.zeros(LENGTHS * BUCKETS, dtype=np.int64)
+    for met in _buckets(text):
+        n = int(met[0]) // BUCKETS if len(met) else 0
+        found[n * BUCKETS : (n + 1) * BUCKETS] += np.bincount(met - n * BUCKETS, minlength=BUCKETS)
     return found
 
 
@@ -62,13 +75,20 @@ class Profiles:
 
     def ranked(self, text: str | None) -> list[tuple[str, float]]:
         """The languages with their confidences, best first, ties by name; nothing for a text without letters."""
-        counts = runs(text)
-        at = np.flatnonzero(counts)
-        if not len(at) or not self.languages:
+        if not text or not self.languages:
+            return []
+        if len(text) <= SHORT:
+            met = [*_buckets(text)]
+            many = sum(map(len, met))
+            total = self.weights[np.concatenate(met)].sum(axis=0) if many else None
+        else:
+            counts = runs(text)
+            at, many = np.flatnonzero(counts), int(counts.sum())
+            total = counts[at].astype(np.float64) @ self.weights[at]
+        if not many:
             return []
-        n = counts[at].astype(np.float64)
-        mean = n @ self.weights[at] / n.sum()
-        score = (mean - mean.max()) * min(n.sum(), EVIDENCE)
+        mean = total / many
+        score = (mean - mean.max()) * min(many, EVIDENCE)
         share = np.exp(score) / np.exp(score).sum()
         order = sorted(range(len(share)), key=lambda k: (-share[k], self.languages[k]))
         return [(self.languages[k], float(share[k])) for k in order if share[k] > 0]
@@ -106,7 +126,8 @@ def profile_table(docs: DataFrame, *, text_col: str = "text", lang_col: str = "l
 
 
 def profiles(table: DataFrame, languages: list[str] | None = None) -> Profiles:
-    """The model of a table of ``profile_table``, of all its languages or of those that are named."""
+    """The model of a table of ``profile_table``, of all its languages or of those that are named; the table is made once."""
+    table = materialize(table, "profiles")
     wanted = table if languages is None else table.where(F.col("language").isin(*languages))
     names = sorted(r[0] for r in wanted.select("language").distinct().limit(MOST_LANGUAGES + 1).collect())
     if len(names) > MOST_LANGUAGES:

@@ -6,15 +6,21 @@ import html
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from annalist.functions import hashing, markup, preserve, text
+from annalist.sources.scratch import materialize
 
 #: Access that comes with a body, and the language of translations.
 BODY_ACCESS = ("full", "partial")
 TARGET = "uk"
 FIELDS = ("title", "lead", "body")
+#: Letters of documents, and rows, that a task holds before it hands on what it has.
+HELD_LETTERS, HELD_ROWS = 2_000_000, 10_000
 
 
 def pieces(docs: DataFrame, keys: list[str], html_col: str, *, limit: int | None = None, translated: tuple[str, ...] = ()) -> DataFrame:
@@ -24,22 +30,35 @@ def pieces(docs: DataFrame, keys: list[str], html_col: str, *, limit: int | None
     has the document's ``root_lang`` and whether a skipped element was left ``unterminated``.
     Null documents give no rows.
     """
-    names = ["pos", "kind", "slot", "block", "lang", "html", "text", "root_lang", "unterminated"]
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = []
-            for own, source in zip(batch[keys].itertuples(index=False, name=None), batch["_html"], strict=True):
-                if source is None:
-                    continue
-                found = markup.read(source, translated, limit)
-                slots = [None] * len(found.pieces) + list(range(len(found.slots)))
-                rows += [(*own, n, p.kind, slot, p.block, p.lang, p.html, p.text, found.root_lang, found.unterminated) for n, (p, slot) in enumerate(zip([*found.pieces, *found.slots], slots, strict=True))]
-            yield pd.DataFrame(rows, columns=[*keys, *names], dtype=object)
-
+    names = [*keys, "pos", "kind", "slot", "block", "lang", "html", "text", "root_lang", "unterminated"]
     kinds = ", ".join(f"`{k}` {docs.schema[k].dataType.simpleString()}" for k in keys)
     schema = f"{kinds}, pos int, kind string, slot int, block string, lang string, html string, text string, root_lang string, unterminated boolean"
-    return docs.select(*keys, F.col(html_col).alias("_html")).mapInPandas(run, schema)
+    arrow = to_arrow_schema(T._parse_datatype_string(schema))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _taken_apart(batches, names, arrow.types, limit, translated)
+
+    return docs.select(*keys, F.col(html_col).alias("_html")).mapInArrow(run, schema)
+
+
+def _taken_apart(batches: Iterator[pa.RecordBatch], names: list[str], types: list[pa.DataType], limit: int | None, translated: tuple[str, ...]) -> Iterator[pa.RecordBatch]:
+    """The pieces of documents, which follow their keys, in batches of bounded size: a batch may come with very many documents."""
+    given = lambda: pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names)
+    for batch in batches:
+        rows, size = [], 0
+        for n in range(batch.num_rows):
+            *own, source = (c[n].as_py() for c in batch.columns)
+            if source is None:
+                continue
+            found = markup.read(source, translated, limit)
+            slots = [None] * len(found.pieces) + list(range(len(found.slots)))
+            rows += [(*own, at, p.kind, slot, p.block, p.lang, p.html, p.text, found.root_lang, found.unterminated) for at, (p, slot) in enumerate(zip([*found.pieces, *found.slots], slots, strict=True))]
+            size += len(source)
+            if rows and (size > HELD_LETTERS or len(rows) > HELD_ROWS):
+                yield given()
+                rows, size = [], 0
+        if rows:
+            yield given()
 
 
 def _escaped(value: Column, quotes: bool = False) -> Column:
@@ -73,21 +92,27 @@ def plan(articles: DataFrame, ranking: Callable[[Column], Column], supported: li
     """
     body = F.when(F.col("access").isin(*BODY_ACCESS), F.col("body_html"))
     fields = F.array(*[F.struct(F.lit(n).alias("field_no"), F.lit(name).alias("field"), source.alias("source")) for n, (name, source) in enumerate([("title", _escaped(F.col("title"))), ("lead", _escaped(F.col("lead"))), ("body", body)])])
-    wanted = articles.select("article_id", F.explode(fields).alias("f")).select("article_id", "f.*").where(F.trim("source") != "")
-    parts = pieces(wanted, ["article_id", "field_no", "field"], "source", limit=limit, translated=translated)
+    tag = text.language_tag
+    wanted = articles.select("article_id", tag(F.col("declared")).isNull().alias("asks"), F.explode(fields).alias("f")).select("article_id", "asks", "f.*").where(F.trim("source") != "")
+    parts = materialize(pieces(wanted, ["article_id", "asks", "field_no", "field"], "source", limit=limit, translated=translated), "pieces")
     segment = F.col("kind") != "literal"
+    # only articles that don't say their language are read as one text
     whole = parts.groupBy("article_id").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.when(segment, F.struct("field_no", "pos", "text")))), lambda r: r["text"]), " ").alias("all_text"),
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.when(segment & F.col("asks"), F.struct("field_no", "pos", "text")))), lambda r: r["text"]), " ").alias("all_text"),
         F.max(F.when(F.col("field") == "body", F.col("root_lang"))).alias("article_root"),
         F.max("unterminated").alias("untranslated_content"),
     )
     whole = articles.select("article_id", "declared").join(whole, "article_id")
-    decided = whole.select("article_id", "untranslated_content", text.article_language(F.col("declared"), F.col("article_root"), F.col("all_text"), ranking(F.col("all_text")), supported, min_confidence=min_confidence).alias("article"))
-    planned = parts.join(decided, "article_id")
+    unknown = F.when(tag(F.col("declared")).isNull() & tag(F.col("article_root")).isNull(), F.col("all_text"))
+    decided = whole.select("article_id", "untranslated_content", text.article_language(F.col("declared"), F.col("article_root"), F.col("all_text"), ranking(unknown), supported, min_confidence=min_confidence).alias("article"))
+    planned = parts.drop("asks").join(decided, "article_id")
     # the root's language is the article's, not the segment's
     own = F.when(F.col("lang").eqNullSafe(F.col("root_lang")), None).otherwise(F.col("lang"))
-    language = text.segment_language(own, text.normalize(F.col("text")), ranking(F.col("text")), F.col("article"), supported, short=short, min_confidence=min_confidence)
-    planned = planned.withColumn("language", F.when(segment, language))
+    planned = planned.withColumn("_normal", text.normalize(F.when(segment, F.col("text"))))
+    # what needs no classifier isn't read by it
+    doubtful = F.when(segment & tag(own).isNull() & ~text.is_small(F.col("_normal"), short), F.col("text"))
+    language = text.segment_language(own, F.col("_normal"), ranking(doubtful), F.col("article"), supported, short=short, min_confidence=min_confidence)
+    planned = planned.withColumn("language", F.when(segment, language)).drop("_normal")
     return planned.withColumn("action", F.when(segment, text.action(F.col("language.language"), supported, TARGET)))
 
 
@@ -128,7 +153,8 @@ def execute(planned: DataFrame, memory: DataFrame, translator: Callable[[DataFra
     cut off. A translation counts only if it preserves what was masked. An article is complete
     if all its segments are; sound segments are remembered even where others fail.
     """
-    todo = jobs(planned, glossary=glossary, provider=provider, model=model, glossary_version=glossary_version)
+    planned = materialize(planned, "plan")
+    todo = materialize(jobs(planned, glossary=glossary, provider=provider, model=model, glossary_version=glossary_version), "jobs")
     known = memory.select("key", F.col("translated_text").alias("remembered")).dropDuplicates(["key"])
     todo = todo.join(known, "key", "left")
     pending = todo.where("remembered is null").groupBy("key").agg(F.first(F.struct("source_language", F.col("m.masked").alias("masked"))).alias("v")).select("key", "v.*")
@@ -136,6 +162,7 @@ def execute(planned: DataFrame, memory: DataFrame, translator: Callable[[DataFra
     todo = todo.join(fresh, "key", "left").withColumn("answer", F.coalesce("remembered", "made"))
     todo = todo.withColumn("issues", preserve.issues(F.col("html"), F.col("m"), F.col("answer")))
     todo = todo.withColumn("ok", F.coalesce(F.size("issues") == 0, F.lit(False)))
+    todo = materialize(todo, "answers")
     final = preserve.unmask(F.col("answer"), F.col("m"))
     finals = todo.where("ok").select("article_id", "field_no", "field", "pos", F.when(F.col("kind") == "attribute", _unescape(final)).otherwise(final).alias("translated"))
     sent = F.when(F.col("remembered").isNull(), F.struct("key", F.length("m.masked").alias("n")))
