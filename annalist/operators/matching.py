@@ -6,7 +6,7 @@ from dataclasses import dataclass
 from functools import reduce
 from math import comb
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from annalist.sources.scratch import materialize
@@ -118,9 +118,16 @@ def _candidates(rest: DataFrame, right: DataFrame, stage: Stage, left_id: str, r
     elif stage.near is not None:
         band = lambda c: F.floor(F.col(c) / F.lit(float(stage.within))) if stage.within else F.col(c)
         bands = F.explode(F.array(*[band(stage.near) + n for n in (-1, 0, 1)])) if stage.within else band(stage.near)
-        one = ours.select(left_id, *stage.keys, F.col(stage.near).alias("_l"), band(stage.near).alias("_band"))
-        two = theirs.groupBy(*stage.keys, F.col(stage.near)).agg(F.min(right_id).alias(right_id)).select(right_id, *stage.keys, F.col(stage.near).alias("_r"), bands.alias("_band"))
-        found = one.join(two, [*stage.keys, "_band"]).withColumn("distance", F.abs(F.col("_l") - F.col("_r"))).where(F.col("distance") <= stage.within)
+        block = [*stage.keys, "_band"]
+        one = ours.select(*stage.keys, F.col(stage.near).alias("_l"), band(stage.near).alias("_band"), F.struct(F.col(left_id)).alias("_own"))
+        two = theirs.groupBy(*stage.keys, F.col(stage.near)).agg(F.min(right_id).alias(right_id)).select(*stage.keys, F.col(stage.near).alias("_l"), bands.alias("_band"), F.struct(F.col(stage.near).alias("_r"), right_id).alias("_other"))
+        # of one block only the next values below and above can be nearest, so its rows don't meet in pairs
+        tasks = int(rest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        both = one.unionByName(two, allowMissingColumns=True).repartition(tasks, *block)
+        first = F.col("_own").isNotNull()
+        next_ = lambda order: F.last("_other", ignorenulls=True).over(Window.partitionBy(*block).orderBy(order, first).rowsBetween(Window.unboundedPreceding, 0))
+        beside = both.select("_own", "_l", F.array_compact(F.array(next_(F.asc("_l")), next_(F.desc("_l")))).alias("_near")).where(first)
+        found = beside.select(f"_own.{left_id}", "_l", F.inline("_near")).withColumn("distance", F.abs(F.col("_l") - F.col("_r"))).where(F.col("distance") <= stage.within)
     else:
         best = theirs.groupBy(*stage.keys).agg(F.min(right_id).alias(right_id))
         found = ours.join(best, list(stage.keys)).withColumn("distance", F.lit(0))

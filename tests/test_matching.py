@@ -65,3 +65,18 @@ def nearby(n):
     """Numbers of nine digits one edit away."""
     digits = f"{n:09d}"
     return {int(digits[:k] + c + digits[k + 1 :]) for k in range(9) for c in "0123456789" if c != digits[k]}
+
+
+def test_nearest_value_of_a_large_block(spark):
+    draw = random.Random(3)
+    left = {n: draw.choice([None, draw.randint(0, 4_000)]) for n in range(400)}
+    right = {n: draw.choice([None, 10 * draw.randint(0, 400)]) for n in range(300)}
+    df = lambda rows, key: spark.createDataFrame([("k", n, v) for n, v in rows.items()], f"kind string, {key} int, v int")
+    found = matching.cascade(df(left, "a"), df(right, "b"), [matching.Stage("near", ("kind",), near="v", within=7)], "a", "b")
+    want = {a: min((abs(v - w), b) for b, w in right.items() if w is not None) for a, v in left.items() if v is not None}
+    assert {r["a"]: (r["distance"], r["b"]) for r in found.collect()} == {a: m for a, m in want.items() if m[0] <= 7}
+    # 40,000 rows of one block would meet 1.6 billion times
+    many = spark.range(40_000).select(F.lit("k").alias("kind"), F.col("id").alias("a"), (F.col("id") / 40_000.0).alias("v"))
+    began = time.perf_counter()
+    assert matching.cascade(many, many.withColumnRenamed("a", "b"), [matching.Stage("near", ("kind",), near="v", within=1)], "a", "b").where("a = b and distance = 0").count() == 40_000
+    assert time.perf_counter() - began < 30
