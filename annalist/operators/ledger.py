@@ -19,7 +19,9 @@ def append_once(spark: SparkSession, path: str, rows: DataFrame, keys: list[str]
     writers at once one fails. Only the key columns of what is there are read, and only those of
     the months that come in: a key stays in its month. Null keys are equal.
     """
-    first = rows.groupBy(*keys).agg(F.min_by(F.struct(*[c for c in rows.columns if c not in keys]), arrival).alias("_v")).select(*keys, "_v.*").select(*rows.columns)
+    # rows are dealt to many tasks before the first of a key is found: that sorts what a task holds
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    first = rows.repartition(tasks, *keys).groupBy(*keys).agg(F.min_by(F.struct(*[c for c in rows.columns if c not in keys]), arrival).alias("_v")).select(*keys, "_v.*").select(*rows.columns)
     if month_of is not None:
         first = first.withColumn("month", F.date_format(month_of, "yyyy-MM"))
     first = materialize(first, "incoming")
@@ -28,8 +30,11 @@ def append_once(spark: SparkSession, path: str, rows: DataFrame, keys: list[str]
         if month_of is not None:
             months = [r[0] for r in first.select("month").distinct().collect()]
             present = present.where(F.col("month").isin(*months) if months else F.lit(False))
-        first = first.join(present.select(*keys).withColumnsRenamed({k: f"_{k}" for k in keys}), reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]), "left_anti")
+        # keys are small in files and many in rows, so they are merged, not sent to the driver
+        first = first.join(present.select(*keys).withColumnsRenamed({k: f"_{k}" for k in keys}).hint("merge"), reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]), "left_anti")
     epoch = epochs.next_epoch(spark, path)
+    if month_of is not None:  # a writer sorts its rows by month
+        first = first.repartition(tasks, "month", F.pmod(F.xxhash64(*keys), F.lit(8)))
     epochs.write(first, path, epoch, "rows", partition_by=None if month_of is None else ["month"])
     if spark.read.schema(first.schema).parquet(f"{path}/epoch={epoch}/rows").isEmpty():
         return None

@@ -127,3 +127,15 @@ def test_nulls_and_repeats_enter_the_hash(spark):
     cases = [[("x", None, 1)], [(None, "x", 1)], [("x", "x", 1)], [("x", None, 1)] * 2, [("x", None, 1), (None, "x", 1)], [(None, None, 1)], [("", None, 1)]]
     assert len({hashed(c) for c in cases}) == len(cases)
     assert hashed([("x", None, 1), ("y", "z", 1)]) == hashed([("y", "z", 1), ("x", None, 1)])
+
+
+def test_rows_of_a_month_are_written_by_several_tasks(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from annalist.operators import ledger
+
+    path = str(tmp_path / "many")
+    rows = spark.range(2_000).select("id", F.lit("2026-01-02").cast("timestamp_ntz").alias("at")).coalesce(1)
+    assert [ledger.append_once(spark, path, rows, ["id"], "at", month_of="at") for _ in range(2)] == [1, None]
+    assert ledger.ledger_rows(spark, path).count() == 2_000
+    assert len(list((tmp_path / "many/epoch=1/rows/month=2026-01").glob("*.parquet"))) > 1
