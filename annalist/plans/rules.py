@@ -14,7 +14,7 @@ from annalist.operators import contracts, fetching, ledger, quality, relational,
 from annalist.plans import decisions
 from annalist.plans.catalogue import query
 from annalist.sources import registry
-from annalist.sources.scratch import scratch_path
+from annalist.sources.scratch import materialize, scratch_path
 from annalist.sources.tables import table
 
 _UUID = "'00000000-0000-4000-8000-000000000000'"
@@ -392,7 +392,9 @@ def html_translated(spark, sf):
     k, name, segment = F.col("c_custkey"), F.col("c_name"), F.col("c_mktsegment")
     c = lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
     source = c('<!-- k --><div title="', segment, '"><h1>', name, '</h1><script>var x = "</p>";</script><p> ', segment, " <b>bold</b>: ", k.cast("string"), ". </p><hr><ul><li>one<li>two</ul></div>")
-    parts = translation.pieces(table(spark, sf, "customer").select("c_custkey", source.alias("html")), ["c_custkey"], "html", translated=("title",))
+    # small rows make much work, so they are dealt to more tasks than their file has parts
+    customers = table(spark, sf, "customer").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "c_custkey")
+    parts = materialize(translation.pieces(customers.select("c_custkey", source.alias("html")), ["c_custkey"], "html", translated=("title",)), "pieces")
     new = F.when(F.col("kind") == "text", F.concat(F.lit("~"), F.col("html"))).otherwise(F.concat(F.lit("<"), F.col("text"), F.lit('"')))
     wanted = F.when(F.col("kind") == "text", ~((F.col("text") == "one") & (k % 3 == 0))).when(F.col("kind") == "attribute", k % 2 == 0).otherwise(False)
     return translation.reassemble(parts, ["c_custkey"], parts.where(wanted).select("c_custkey", "pos", new.alias("translated")))
