@@ -2,7 +2,8 @@
 
 A profile is how often each run of one to four bytes of a language's letters is met, by hashed
 bucket. Profiles are counted over all labelled texts, kept as a table, and small enough for every
-task; a text's likelihoods come from one product of its own counts and the profiles.
+task. A text may hold one passage of another language: where that is clearly likelier than one
+language throughout, the passage is set aside, and what is around it is ranked.
 """
 
 from __future__ import annotations
@@ -24,8 +25,14 @@ BUCKETS, LENGTHS = 1 << 14, 4
 MOST_LANGUAGES = 512
 #: Runs count as much together as so many that are independent; more runs of a text add nothing to the confidence.
 EVIDENCE = 40
-#: Bytes of a text taken at once; texts up to so long are looked up run by run.
-PIECE, SHORT = 1 << 20, 1 << 13
+#: Bytes of a text taken at once when runs are counted.
+PIECE = 1 << 20
+#: Rows, and numbers, that a text's places come to at most; places of a longer text share rows.
+PLACES, NUMBERS = 1 << 16, 1 << 22
+#: What a passage of another language has to be likelier by: in all, and for each of its runs, so that of two parts the shorter is the passage.
+QUOTING, QUOTED = 150.0, 0.02
+#: Places whose best languages are the ones that may quote or be quoted, and how many languages of a text may.
+STRETCH, MOST_QUOTED = 32, 8
 RANKING = "array<struct<language: string, confidence: double>>"
 
 
@@ -34,16 +41,16 @@ _PRIME = 2_147_483_647
 _LETTERS = bytes(c if c > 127 or chr(c).islower() else c | 32 if chr(c).isupper() else 32 for c in range(256))
 
 
-def _buckets(text: str | None) -> Iterator[np.ndarray]:
-    """The bucket of each run of the whole text, length by length and piece by piece; blanks of any number are one."""
+def _buckets(text: str | None, piece: int | None = None) -> Iterator[list[np.ndarray]]:
+    """Piece by piece of the whole text, for each length of runs: the bucket of the run that begins at each place, -1 if none does; blanks of any number are one."""
     words = b" ".join((text or "").lower().encode("utf-8", "surrogatepass").translate(_LETTERS).split())
     if not words:
         return
-    data = b" " + words + b" "
-    for start in range(0, len(data), PIECE):
+    data, piece = b" " + words + b" ", piece or PIECE
+    for start in range(0, len(data), piece):
         # a piece sees as much of the next one as a run that begins in it needs
-        letters = np.frombuffer(data[start : start + PIECE + LENGTHS - 1], dtype=np.uint8).astype(np.int64)
-        code, kept = np.zeros(len(letters), dtype=np.int64), letters != 32
+        letters = np.frombuffer(data[start : start + piece + LENGTHS - 1], dtype=np.uint8).astype(np.int64)
+        code, kept, found = np.zeros(len(letters), dtype=np.int64), letters != 32, []
         for n in range(LENGTHS):
             code = code[: len(letters) - n] * 257 + letters[n:]
             if n == 3:  # modulo 2 ** 31 - 1, which shorter runs don't reach
@@ -53,40 +60,74 @@ def _buckets(text: str | None) -> Iterator[np.ndarray]:
             inside = kept.copy() if n == 0 else kept[:-1] | kept[1:] if n == 1 else np.ones(len(code), dtype=bool)
             for at in range(1, n):
                 inside &= kept[at : at + len(code)]
-            inside[PIECE:] = False
-            yield ((code[inside] * 2_654_435_761 & 4_294_967_295) >> 18) + n * BUCKETS
+            found.append(np.where(inside, ((code * 2_654_435_761 & 4_294_967_295) >> 18) + n * BUCKETS, -1)[:piece])
+        yield found
 
 
 def runs(text: str | None) -> np.ndarray:
     """How often each bucket is met in the whole text, for each length of runs."""
     found = np.zeros(LENGTHS * BUCKETS, dtype=np.int64)
-    for met in _buckets(text):
-        n = int(met[0]) // BUCKETS if len(met) else 0
-        found[n * BUCKETS : (n + 1) * BUCKETS] += np.bincount(met - n * BUCKETS, minlength=BUCKETS)
+    for piece in _buckets(text):
+        for n, met in enumerate(piece):
+            found[n * BUCKETS : (n + 1) * BUCKETS] += np.bincount(met[met >= 0] - n * BUCKETS, minlength=BUCKETS)
+    return found
+
+
+def _quoted(said: np.ndarray, met: np.ndarray, step: int) -> slice:
+    """The rows of the passage of another language that makes the text likeliest; none if one language throughout does.
+
+    For a text in one language, the passage is the stretch of rows that gains most by another.
+    """
+    leads, often = np.unique(np.add.reduceat(said, np.arange(0, len(said), max(1, STRETCH // step))).argmax(axis=1), return_counts=True)
+    some = np.union1d(leads[np.argsort(-often, kind="stable")[:MOST_QUOTED]], said.sum(axis=0).argmax())
+    found = slice(0, 0)
+    if len(some) < 2:
+        return found
+    sums = np.vstack([np.zeros(len(some)), np.cumsum(said[:, some], axis=0)])
+    cost = QUOTED * np.concatenate([[0], np.cumsum(met)])[:, None]
+    best = sums[-1].max()
+    for own in range(len(some)):
+        ahead = sums - sums[:, [own]] - cost
+        gain = ahead - np.minimum.accumulate(ahead, axis=0)
+        end, other = np.unravel_index(gain.argmax(), gain.shape)
+        score = sums[-1, own] + gain[end, other] - QUOTING
+        if score > best:
+            best, found = score, slice(int(ahead[: end + 1, other].argmin()), int(end))
     return found
 
 
 @dataclass
 class Profiles:
-    """Languages in order of their names, and the logarithms of their buckets' shares."""
+    """Languages in order of their names, and the logarithms of their buckets' shares, with a last row of zeros for places where no run begins."""
 
     languages: list[str]
     weights: np.ndarray
 
+    def _said(self, text: str) -> tuple[np.ndarray, np.ndarray, int]:
+        """What the runs that begin at the places of each row say for each language, how many they are, and a row's places."""
+        most = min(PLACES, NUMBERS // len(self.languages))
+        said, met, step = np.zeros((0, len(self.languages))), np.zeros(0, dtype=np.int64), 1
+        for piece in _buckets(text, most):
+            here, many = np.zeros((len(piece[0]), len(self.languages))), np.zeros(len(piece[0]), dtype=np.int64)
+            for found in piece:
+                here[: len(found)] += self.weights[found]
+                many[: len(found)] += found >= 0
+            starts = np.arange(0, len(here), step)
+            said, met = np.concatenate([said, np.add.reduceat(here, starts)]), np.concatenate([met, np.add.reduceat(many, starts)])
+            while len(said) > most:
+                starts, step = np.arange(0, len(said), 2), step * 2
+                said, met = np.add.reduceat(said, starts), np.add.reduceat(met, starts)
+        return said, met, step
+
     def ranked(self, text: str | None) -> list[tuple[str, float]]:
         """The languages with their confidences, best first, ties by name; nothing for a text without letters."""
         if not text or not self.languages:
             return []
-        if len(text) <= SHORT:
-            met = [*_buckets(text)]
-            many = sum(map(len, met))
-            total = self.weights[np.concatenate(met)].sum(axis=0) if many else None
-        else:
-            counts = runs(text)
-            at, many = np.flatnonzero(counts), int(counts.sum())
-            total = counts[at].astype(np.float64) @ self.weights[at]
-        if not many:
+        said, met, step = self._said(text)
+        if not met.any():
             return []
+        passage = _quoted(said, met, step)
+        total, many = said.sum(axis=0) - said[passage].sum(axis=0), int(met.sum() - met[passage].sum())
         mean = total / many
         score = (mean - mean.max()) * min(many, EVIDENCE)
         share = np.exp(score) / np.exp(score).sum()
@@ -136,4 +177,5 @@ def profiles(table: DataFrame, languages: list[str] | None = None) -> Profiles:
     found = wanted.toPandas()
     counts[found["bucket"], found["language"].map({n: k for k, n in enumerate(names)})] = found["n"]
     lengths = counts.reshape(LENGTHS, BUCKETS, len(names)) + 0.5
-    return Profiles(names, np.log(lengths / lengths.sum(axis=1, keepdims=True)).reshape(LENGTHS * BUCKETS, len(names)))
+    shares = np.log(lengths / lengths.sum(axis=1, keepdims=True)).reshape(LENGTHS * BUCKETS, len(names))
+    return Profiles(names, np.vstack([shares, np.zeros(len(names))]))

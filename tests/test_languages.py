@@ -39,6 +39,26 @@ def test_a_doubtful_text_is_doubtful(model):
     assert model.ranked("e")[0][1] < 0.9 < model.ranked(TEXTS["en"])[0][1]
 
 
+@pytest.mark.parametrize("own", sorted(TEXTS))
+@pytest.mark.parametrize("quoted", sorted(TEXTS))
+def test_a_longer_passage_that_is_quoted_is_set_aside(monkeypatch, model, own, quoted):
+    half = len(TEXTS[own]) // 2
+    given = TEXTS[own][:half] + " " + 3 * TEXTS[quoted] + " " + TEXTS[own][half:]
+    for places in (1 << 16, 64):
+        monkeypatch.setattr(languages, "PLACES", places)
+        (best, confidence), *_ = model.ranked(given)
+        assert best == own and confidence > 0.6
+
+
+def test_of_two_parts_the_longer_is_a_text_s_own(model):
+    assert [model.ranked(t)[0][0] for t in (TEXTS["de"] + 2 * TEXTS["en"], 2 * TEXTS["de"] + TEXTS["en"])] == ["en", "de"]
+
+
+def test_no_passage_where_one_language_is_enough(model):
+    for given in ("x", *TEXTS.values(), 500 * TEXTS["fr"]):
+        assert languages._quoted(*model._said(given)) == slice(0, 0)
+
+
 def plain_runs(given):
     data = b" " + b" ".join("".join(c if c.isalpha() or not c.isascii() else " " for c in given.lower()).encode().split()) + b" "
     out = collections.Counter()
