@@ -57,10 +57,10 @@ def labels(edges: DataFrame) -> DataFrame:
     while _unfinished(now):
         both = now.union(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
+        large = both.join(least.hint("merge"), "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
         down = materialize(large, "large-star")
         first = down.groupBy("a").agg(F.min("b").alias("m"))
-        small = down.join(first, "a").select(F.inline(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct("a", F.col("m").alias("b"))))).where("a <> b").distinct()
+        small = down.join(first.hint("merge"), "a").select(F.inline(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct("a", F.col("m").alias("b"))))).where("a <> b").distinct()
         later = materialize(_contracted(small), "small-star")
         discard(now, down)
         now = later
@@ -72,9 +72,9 @@ def components(edges: DataFrame) -> DataFrame:
 
     Tasks contract the edges they hold; then, in turn, every node ties its larger neighbours and
     its smaller ones to the least of them, until all pieces are stars. Rounds grow with the
-    logarithm of the longest path at most. Null ends are left out; a node tied only to itself is
+    logarithm of the longest path at most. Rows are merged, not broadcast. Null ends are left out; a node tied only to itself is
     its own component.
     """
     sound = edges.where("a is not null and b is not null")
     nodes = sound.select(F.col("a").alias("node")).union(sound.select("b")).distinct()
-    return nodes.join(labels(sound), "node", "left").select("node", F.coalesce("component", "node").alias("component"))
+    return nodes.join(labels(sound).hint("merge"), "node", "left").select("node", F.coalesce("component", "node").alias("component"))

@@ -1,4 +1,8 @@
-"""Reversible entity resolution: decisions are replayed, never applied for good."""
+"""Reversible entity resolution: decisions are replayed, never applied for good.
+
+Both sides of the joins here grow with the decisions, and their files are much smaller than their
+rows; so they are merged, and none is sent through the driver.
+"""
 
 from __future__ import annotations
 
@@ -96,7 +100,7 @@ def node_table(decisions: DataFrame) -> DataFrame:
 def links(nodes: DataFrame) -> DataFrame:
     """``a, b``: each decision with the least one at each of its nodes; what is alone at all of its nodes has no row."""
     least = nodes.groupBy("node").agg(F.min("decision_id").alias("b"), F.count(F.lit(1)).alias("n")).where("n > 1").select("node", "b")
-    return nodes.join(least, "node").where("decision_id <> b").select(F.col("decision_id").alias("a"), "b").distinct()
+    return nodes.join(least.hint("merge"), "node").where("decision_id <> b").select(F.col("decision_id").alias("a"), "b").distinct()
 
 
 def with_parts(decisions: DataFrame) -> DataFrame:
@@ -105,7 +109,7 @@ def with_parts(decisions: DataFrame) -> DataFrame:
     if edges.isEmpty():
         return decisions.withColumn("part", F.col("decision_id"))
     found = labels(edges).select(F.col("node").alias("decision_id"), F.col("component").alias("_part"))
-    return decisions.join(found, "decision_id", "left").withColumn("part", F.coalesce("_part", "decision_id")).drop("_part")
+    return decisions.join(found.hint("merge"), "decision_id", "left").withColumn("part", F.coalesce("_part", "decision_id")).drop("_part")
 
 
 _RESULT = "part string, kind string, id string, other string"
@@ -180,18 +184,18 @@ def advance(spark: SparkSession, path: str, decisions: DataFrame) -> int:
     nodes = materialize(node_table(fresh), "new-nodes")
     epoch = epochs.next_epoch(spark, path)
     stored = _living(spark, path, "nodes", "part string, node string")
-    touched = materialize(stored.join(nodes, "node").select("decision_id", F.col("part").alias("_part")).distinct(), "touched")
+    touched = materialize(stored.join(nodes.hint("merge"), "node").select("decision_id", F.col("part").alias("_part")).distinct(), "touched")
     bridges = touched.select(F.concat(F.lit("n"), "decision_id").alias("a"), F.concat(F.lit("o"), "_part").alias("b"))
     own = links(nodes).select(F.concat(F.lit("n"), "a").alias("a"), F.concat(F.lit("n"), "b").alias("b"))
     found = materialize(labels(own.union(bridges)), "fused")
     label = lambda kind, c: found.where(F.substring("node", 1, 1) == kind).select(F.expr("substring(node, 2)").alias(c), F.concat(F.lit(f"{epoch}:"), "component").alias("_new"))
     retired = materialize(label("o", "part"), "retired")
-    here = fresh.join(label("n", "decision_id"), "decision_id", "left").withColumn("part", F.coalesce("_new", F.concat(F.lit(f"{epoch}:n"), "decision_id"))).drop("_new")
-    before = _living(spark, path, "decisions", f"part string, {_KEPT_TYPES}").join(retired, "part").withColumn("part", F.col("_new")).select("part", *_KEPT)
+    here = fresh.join(label("n", "decision_id").hint("merge"), "decision_id", "left").withColumn("part", F.coalesce("_new", F.concat(F.lit(f"{epoch}:n"), "decision_id"))).drop("_new")
+    before = _living(spark, path, "decisions", f"part string, {_KEPT_TYPES}").join(retired.hint("merge"), "part").withColumn("part", F.col("_new")).select("part", *_KEPT)
     ready = materialize(latest_versions(before.union(here.select("part", *_KEPT))).select("part", *_KEPT), "ready")
     of = ready.select("decision_id", "part")
     epochs.write(ready, path, epoch, "decisions")
-    epochs.write(node_table(ready).join(of, "decision_id").select("part", "node").distinct(), path, epoch, "nodes")
+    epochs.write(node_table(ready).join(of.hint("merge"), "decision_id").select("part", "node").distinct(), path, epoch, "nodes")
     epochs.write(replay_parts(ready), path, epoch, "results")
     epochs.write(retired.select("part"), path, epoch, "retired")
     epochs.publish(spark, path, epoch)
@@ -210,7 +214,7 @@ _KEPT_TYPES = "decision_id string, decision_version int, action string, members
 
 def _living(spark: SparkSession, path: str, name: str, schema: str) -> DataFrame:
     """Rows of the parts that no later epoch replaced."""
-    return epochs.read(spark, path, name, schema).join(epochs.read(spark, path, "retired", "part string"), "part", "left_anti")
+    return epochs.read(spark, path, name, schema).join(epochs.read(spark, path, "retired", "part string").hint("merge"), "part", "left_anti")
 
 
 def project_groups(decisions: DataFrame) -> DataFrame:

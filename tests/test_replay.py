@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from annalist.operators import resolution
+from annalist.operators import graph, resolution
 from annalist.sources import epochs
 
 SCHEMA = "decision_id string, decision_version int, action string, members array<string>, group_id string, effective_at timestamp, recorded_at timestamp, supersedes string"
@@ -82,3 +82,25 @@ def test_parts_of_hubs_and_loners(spark):
     rows = [(f"d{n}", 1, "merge", [f"a{n}", f"b{n}"], "hub" if n < 200 else f"g{n}", None, None, None) for n in range(400)]
     parts = {r["decision_id"]: r["part"] for r in resolution.with_parts(spark.createDataFrame(rows, SCHEMA)).collect()}
     assert len({parts[f"d{n}"] for n in range(200)}) == 1 and len(set(parts.values())) == 201
+
+
+def test_no_table_of_a_replay_is_sent_through_the_driver(spark, tmp_path, monkeypatch):
+    plans, made, written = [], graph.materialize, epochs.write
+
+    def seen(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return df
+
+    for module in (resolution, graph):
+        monkeypatch.setattr(module, "materialize", lambda df, name: made(seen(df), name))
+    monkeypatch.setattr(epochs, "write", lambda df, *a, **k: written(seen(df), *a, **k))
+    path = str(tmp_path / "replay")
+    # a chain dealt so that one task doesn't hold it: contracting takes rounds of joins
+    rows = spark.createDataFrame([(f"d{n * 37 % 101}", 1, "merge", [f"a{n}", f"a{n + 1}"], None, None, None, None) for n in range(101)], SCHEMA).repartition(4)
+    for n in range(2):
+        resolution.advance(spark, path, rows.where(F.crc32("decision_id") % 2 == n))
+    seen(resolution.kept_snapshot(spark, path))
+    seen(resolution.with_parts(rows))
+    seen(graph.components(rows.select(F.col("members")[0].alias("a"), F.col("members")[1].alias("b"))))
+    joins = [line for p in plans for line in p.splitlines() if "Join " in line]
+    assert len(joins) > 10 and all("SortMergeJoin" in line for line in joins)
