@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column
@@ -161,6 +162,11 @@ def shortened(message: Column, limit: int = 2048) -> Column:
     return F.when(F.length(message) > limit, F.concat(F.substring(message, 1, limit - 1), F.lit("…"))).otherwise(message)
 
 
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """What ``use`` makes of a value that stands only once in the expression, however often it is used: filters copy expressions."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def classified(ranking: Column, supported: list[str], *, target: str = "uk", min_confidence: float = 0.6, neighbour: float = 0.3) -> Column:
     """``language, confidence, uncertain, candidate`` of a ranking of (language, confidence), best first.
 
@@ -169,23 +175,26 @@ def classified(ranking: Column, supported: list[str], *, target: str = "uk", min
     Null if the ranking is empty.
     """
     ours = [*supported, target]
-    fits = F.filter(ranking, lambda r: r["language"].isin(*ours))
-    best, near = F.try_element_at(ranking, F.lit(1)), F.try_element_at(fits, F.lit(1))
-    mass = F.aggregate(fits, F.lit(0.0), lambda a, r: a + r["confidence"])
-    answer = lambda language, confidence, unsure: F.struct(language.alias("language"), confidence.alias("confidence"), unsure.alias("uncertain"), best["language"].alias("candidate"))
-    share = F.when(mass > 0, best["confidence"] / mass).otherwise(best["confidence"])
-    own = answer(best["language"], share, share < min_confidence)
-    other = answer(near["language"], near["confidence"], F.lit(True))
-    alone = answer(best["language"], best["confidence"], best["confidence"] < min_confidence)
-    return F.when(best.isNotNull(), F.when(best["language"].isin(*ours), own).when(near["confidence"] >= neighbour, other).otherwise(alone))
+
+    def answered(ranking: Column) -> Column:
+        fits = F.filter(ranking, lambda r: r["language"].isin(*ours))
+        best, near = F.try_element_at(ranking, F.lit(1)), F.try_element_at(fits, F.lit(1))
+        mass = F.aggregate(fits, F.lit(0.0), lambda a, r: a + r["confidence"])
+        answer = lambda language, confidence, unsure: F.struct(language.alias("language"), confidence.alias("confidence"), unsure.alias("uncertain"), best["language"].alias("candidate"))
+        share = F.when(mass > 0, best["confidence"] / mass).otherwise(best["confidence"])
+        own = answer(best["language"], share, share < min_confidence)
+        other = answer(near["language"], near["confidence"], F.lit(True))
+        alone = answer(best["language"], best["confidence"], best["confidence"] < min_confidence)
+        return F.when(best.isNotNull(), F.when(best["language"].isin(*ours), own).when(near["confidence"] >= neighbour, other).otherwise(alone))
+
+    return _once(ranking, answered)
 
 
 def article_language(declared: Column, root_lang: Column, text: Column, ranking: Column, supported: list[str], **options) -> Column:
     """``language, confidence, basis, uncertain, candidate`` of an article: what it says of itself, else the classifier."""
-    found = classified(ranking, supported, **options)
     answer = lambda language, confidence, basis, unsure, candidate: F.struct(language.cast("string").alias("language"), confidence.cast("double").alias("confidence"), F.lit(basis).alias("basis"), unsure.alias("uncertain"), candidate.cast("string").alias("candidate"))
     none, no, yes = F.lit(None), F.lit(False), F.lit(True)
-    by_class = answer(found["language"], F.coalesce(found["confidence"], F.lit(0.0)), "classifier", F.coalesce(found["uncertain"], yes), found["candidate"])
+    by_class = _once(classified(ranking, supported, **options), lambda found: answer(found["language"], F.coalesce(found["confidence"], F.lit(0.0)), "classifier", F.coalesce(found["uncertain"], yes), found["candidate"]))
     empty = F.coalesce(F.trim(text) == "", yes)
     return (
         F.when(language_tag(declared).isNotNull(), answer(language_tag(declared), F.lit(1.0), "metadata", no, none))
@@ -206,17 +215,19 @@ def segment_language(own_lang: Column, text: Column, ranking: Column, article: C
     A classifier that is not sure leaves the article's language, marked as uncertain, with
     its own candidate beside it.
     """
-    found = classified(ranking, supported, min_confidence=min_confidence)
     answer = lambda language, confidence, basis, unsure, candidate: F.struct(language.cast("string").alias("language"), confidence.cast("double").alias("confidence"), F.lit(basis).alias("basis"), unsure.alias("uncertain"), candidate.cast("string").alias("candidate"))
     inherited = answer(article["language"], article["confidence"], "inherited", article["uncertain"], article["candidate"])
     small = is_small(text, short)
-    sure = F.coalesce((found["confidence"] >= min_confidence) | (found["candidate"] != found["language"]), F.lit(False))
-    unsure = answer(article["language"], F.coalesce(found["confidence"], F.lit(0.0)), "inherited", F.lit(True), found["candidate"])
+
+    def by_class(found: Column) -> Column:
+        sure = F.coalesce((found["confidence"] >= min_confidence) | (found["candidate"] != found["language"]), F.lit(False))
+        unsure = answer(article["language"], F.coalesce(found["confidence"], F.lit(0.0)), "inherited", F.lit(True), found["candidate"])
+        return F.when(sure, answer(found["language"], found["confidence"], "classifier", found["uncertain"], found["candidate"])).otherwise(unsure)
+
     return (
         F.when(language_tag(own_lang).isNotNull(), answer(language_tag(own_lang), F.lit(1.0), "lang_attribute", F.lit(False), F.lit(None)))
         .when(small, inherited)
-        .when(sure, answer(found["language"], found["confidence"], "classifier", found["uncertain"], found["candidate"]))
-        .otherwise(unsure)
+        .otherwise(_once(classified(ranking, supported, min_confidence=min_confidence), by_class))
     )
 
 

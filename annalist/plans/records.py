@@ -494,7 +494,8 @@ def language_decision_learned(spark, sf):
 
 
 def _articles(spark: SparkSession, sf: str) -> DataFrame:
-    docs = table(spark, sf, "documents")
+    # reading articles is much work, so they are dealt to more tasks than their files have parts
+    docs = table(spark, sf, "documents").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "doc_id")
     access = F.element_at(F.array(*map(F.lit, ("full", "partial", "metadata_only"))), (F.col("doc_id") % 3 + 1).cast("int"))
     return docs.select(F.col("doc_id").alias("article_id"), access.alias("access"), F.when(F.col("doc_id") % 5 > 0, F.col("lang")).alias("declared"), F.substring("text", 1, 40).alias("title"), F.lit(None).cast("string").alias("lead"), F.concat(F.lit("<p>"), F.replace(F.replace("text", F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit("</p>")).alias("body_html"))
 
@@ -511,10 +512,10 @@ def translation_outcome(spark, sf):
     ranking = learned_ranking(spark, sf)
     marked = lambda todo: todo.select("key", F.concat(F.lit("~"), "masked").alias("translated_text"))
     names = {"provider": "p", "model": "m", "glossary_version": "g"}
-    first = translation.plan(_articles(spark, sf).where("article_id % 3 = 0"), ranking, _SUPPORTED, limit=1000)
-    _, entries = translation.execute(first, spark.createDataFrame([], "key string, translated_text string"), marked, **names)
-    planned = translation.plan(_articles(spark, sf), ranking, _SUPPORTED, limit=1000)
-    outcome, _ = translation.execute(planned, materialize(entries.select("key", "translated_text"), "memory"), marked, **names)
+    planned = translation.kept(translation.plan(_articles(spark, sf), ranking, _SUPPORTED, limit=1000))
+    _, entries = translation.execute(planned.where("article_id % 3 = 0"), spark.createDataFrame([], "key string, translated_text string"), marked, stored=True, **names)
+    memory = materialize(entries.select("key", "translated_text"), "memory", compact=True)
+    outcome, _ = translation.execute(planned, memory, marked, stored=True, **names)
     return outcome.select("article_id", "not_required", "complete", F.array_join("quality_flags", ",").alias("quality_flags"), "memory_hits", "provider_segments", F.sha2("body_html", 256).alias("body_sha256"))
 
 

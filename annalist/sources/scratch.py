@@ -39,16 +39,29 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+#: Whether what a query's shuffles wrote is deleted as soon as the query has ended.
+_SHUFFLES_END = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def materialize(df: DataFrame, name: str, *, compact: bool = False) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back.
 
     This cuts the lineage: a lost executor costs the tasks that read the table again, not
     the work that made it. Results are lazy and may read the table later, so it stays until
-    ``discard`` or the end of the driver.
+    ``discard`` or the end of the driver. ``compact`` is for tables of much text: they are
+    packed more tightly, and what the shuffles wrote that made them is deleted at once.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    if compact:
+        before = spark.conf.get(_SHUFFLES_END)
+        spark.conf.set(_SHUFFLES_END, "true")
+        try:
+            df.write.option("compression", "zstd").parquet(path)
+        finally:
+            spark.conf.set(_SHUFFLES_END, before)
+    else:
+        df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._annalist_path = path
     return out

@@ -351,6 +351,39 @@ def test_articles_through_plan_memory_and_translator(spark):
     assert entries.count() == 2
 
 
+def test_articles_with_attributes_and_what_stays(spark):
+    body = '<html lang="de"><p>der erste Satz steht hier ganz allein</p><img alt="der &lt;Titel&gt; eines schönen Bildes"><p lang="uk">тут лишається</p><script>der</script></html>'
+    rows = [(1, "full", None, "der Titel ist & bleibt ein langer Titel", "der Vorspann ist auch ein langer Satz", body), (2, "full", None, " ", None, "<p>der Satz kommt nicht zurück, wie schade</p>"), (3, "full", "de", "", None, None), (None, "full", "de", "der Titel ohne Nummer", None, None)]
+    articles = spark.createDataFrame(rows, "article_id long, access string, declared string, title string, lead string, body_html string")
+    planned = translation.kept(translation.plan(articles, ranking, ["de", "en"], translated=("alt",)))
+    translator = lambda todo: todo.where("masked not like '%zurück%'").select("key", F.concat(F.lit("П "), "masked").alias("translated_text"))
+    memory = spark.createDataFrame([], "key string, translated_text string")
+    outcome, entries = translation.execute(planned, memory, translator, provider="p", model="m", glossary_version="g", stored=True)
+    got = {r["article_id"]: r.asDict() for r in outcome.collect()}
+    assert sorted(got) == [1, 2] and got[1]["complete"] and got[1]["provider_segments"] == 4
+    assert (got[1]["title"], got[1]["lead"]) == ("П der Titel ist & bleibt ein langer Titel", "П der Vorspann ist auch ein langer Satz")
+    assert got[1]["body_html"] == body.replace("der erste", "П der erste").replace('alt="der', 'alt="П der')
+    assert not got[2]["complete"] and got[2]["quality_flags"] == ["provider_truncated"] and got[2]["body_html"] is None
+    again, none = translation.execute(planned, entries.select("key", "translated_text"), translator, provider="p", model="m", glossary_version="g", stored=True)
+    assert none.count() == 0 and {(r["article_id"], r["body_html"], r["memory_hits"]) for r in again.collect()} == {(1, got[1]["body_html"], 4), (2, None, 0)}
+
+
+def test_articles_are_stored_about_once(spark):
+    """What is kept of articles on their way, the second translation and the memory included, in times of what they take."""
+    import os
+    from pathlib import Path
+
+    from annalist.plans import records
+    from annalist.sources import scratch
+
+    size = lambda path: sum(f.stat().st_size for f in Path(path).rglob("*.parquet"))
+    sf, before, setting = "/root/testdata/sf0.01", set(scratch._tables), spark.conf.get(scratch._SHUFFLES_END)
+    records.translation_outcome(spark, sf)
+    assert spark.conf.get(scratch._SHUFFLES_END) == setting
+    tables = [size(t) for t in set(scratch._tables) - before if "-profiles-" not in t]
+    assert 0 < sum(tables) < 3 * os.path.getsize(f"{sf}/documents.parquet")
+
+
 def test_languages_of_articles_and_segments(spark):
     pair = lambda *kv: F.array(*[F.struct(F.lit(k).alias("language"), F.lit(v).alias("confidence")) for k, v in kv])
     none = F.lit(None).cast("string")
